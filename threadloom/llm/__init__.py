@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from . import ngram_join
+from . import bpe, mixing, ngram_join, quality, substring_dedup
 
 QUERIES = {
+    "op3_substring_dedup": substring_dedup.op3_substring_dedup,
+    "op4_quality_classifier": quality.op4_quality_classifier,
+    "op6_bpe": bpe.op6_bpe,
+    "op9_mixing": mixing.op9_mixing,
     "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_mixing": mixing.ORACLE_SQL,
+}
