@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing, ngram_join, quality, substring_dedup
+from . import bpe, embedding_dedup, fingerprints, mixing, ngram_join, quality, substring_dedup, toxicity
 
 QUERIES = {
+    "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_quality_classifier": quality.op4_quality_classifier,
+    "op5_document_fingerprints": fingerprints.op5_document_fingerprints,
     "op6_bpe": bpe.op6_bpe,
     "op9_mixing": mixing.op9_mixing,
     "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op5_document_fingerprints": fingerprints.ORACLE_SQL,
     "op9_mixing": mixing.ORACLE_SQL,
 }
