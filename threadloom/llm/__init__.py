@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, embedding_dedup, fingerprints, mixing, ngram_join, quality, substring_dedup, toxicity
+from . import bpe, embedding_dedup, fingerprints, licenses, mixing, ngram_join, quality, substring_dedup, toxicity, warc
 
 QUERIES = {
     "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
@@ -11,10 +11,13 @@ QUERIES = {
     "op4_quality_classifier": quality.op4_quality_classifier,
     "op5_document_fingerprints": fingerprints.op5_document_fingerprints,
     "op6_bpe": bpe.op6_bpe,
+    "op7_warc": warc.op7_warc,
+    "op8_license_scan": licenses.op8_license_scan,
     "op9_mixing": mixing.op9_mixing,
     "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_document_fingerprints": fingerprints.ORACLE_SQL,
+    "op7_warc": warc.ORACLE_SQL,
     "op9_mixing": mixing.ORACLE_SQL,
 }
