@@ -1 +1 @@
-
+"""Operators: functions of DataFrames to DataFrames."""
