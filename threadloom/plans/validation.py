@@ -1 +1,101 @@
-"""Queries."""
+"""Validation of model output."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import validation as V
+from ..registry import query
+
+_EXP = "(SELECT product AS batch, nugget_id AS thread_id FROM nuggets)"
+_ANS = "(SELECT product AS batch, CASE WHEN product = 'Brand#9' AND score < 0.1 THEN 'zz' || nugget_id ELSE nugget_id END AS thread_id, topic_key, cast(score * 100 AS INT) AS pos FROM nuggets WHERE product <> 'Brand#2' OR action = 'keep' UNION ALL SELECT product, 'extra', 'x', 1 FROM nuggets WHERE product = 'Brand#4')"
+
+
+@query("v1_coverage", f"""WITH e AS (SELECT DISTINCT batch, thread_id FROM {_EXP} x), a AS (SELECT DISTINCT batch, thread_id FROM {_ANS} y), b AS (SELECT coalesce(e.batch, a.batch) AS batch, e.thread_id AS et, a.thread_id AS ax FROM e FULL JOIN a ON e.batch = a.batch AND e.thread_id = a.thread_id)
+SELECT batch, CASE WHEN count(*) FILTER (ax IS NULL) > 0 THEN 'missing_assignments:' || count(*) FILTER (ax IS NULL) WHEN count(*) FILTER (et IS NULL) > 0 THEN 'extra_assignments:' || count(*) FILTER (et IS NULL) END AS error FROM b GROUP BY batch""")
+def v1(t):
+    return V.coverage(t.sql(f"SELECT * FROM {_EXP}"), t.sql(f"SELECT * FROM {_ANS}"))
+
+
+@query("v2_soft_coverage", f"SELECT e.thread_id, a.topic_key FROM (SELECT DISTINCT thread_id FROM {_EXP} x) e LEFT JOIN (SELECT thread_id, arg_max(topic_key, pos) AS topic_key FROM {_ANS} y GROUP BY 1) a USING (thread_id)")
+def v2(t):
+    answers = t.sql(f"SELECT thread_id, topic_key, pos FROM {_ANS}")
+    return V.soft_coverage(t.sql(f"SELECT DISTINCT thread_id FROM {_EXP}"), answers).select("thread_id", "topic_key")
+
+
+_RES = "SELECT thread_id, product, CASE WHEN usefulness = 0.1 THEN '' WHEN usefulness = 0.2 THEN 'nowhere' ELSE topic_key END AS topic_key, CASE WHEN usefulness = 0.3 THEN 'NO_MATCH' WHEN usefulness = 0.4 THEN 'nowhere' ELSE scenario_key END AS scenario_key, CASE WHEN usefulness = 0.5 THEN NULL ELSE variant_key END AS variant_key, CASE WHEN usefulness = 0.6 THEN 'NO_MATCH' WHEN usefulness = 0.7 THEN 'nowhere' ELSE leaf_key END AS leaf_key FROM threads"
+
+
+@query("v3_resolve_assignments", f"""WITH r AS ({_RES}), c AS (SELECT * FROM catalog WHERE is_active),
+w AS (SELECT r.*, n1.cluster_id AS a, n2.cluster_id AS b, n3.cluster_id AS d, n4.cluster_id AS e FROM r LEFT JOIN c n1 ON n1.cluster_level = 1 AND n1.product = r.product AND n1.cluster_key = r.topic_key
+ LEFT JOIN c n2 ON n2.cluster_level = 2 AND n2.product = r.product AND n2.cluster_key = r.scenario_key AND n2.parent_id = n1.cluster_id LEFT JOIN c n3 ON n3.cluster_level = 3 AND n3.product = r.product AND n3.cluster_key = r.variant_key AND n3.parent_id = n2.cluster_id
+ LEFT JOIN c n4 ON n4.cluster_level = 4 AND n4.product = r.product AND n4.cluster_key = r.leaf_key AND n4.parent_id = n3.cluster_id)
+SELECT thread_id, e AS leaf_cluster, CASE WHEN coalesce(topic_key, '') IN ('', 'NO_MATCH') THEN 'bad_assignment' WHEN a IS NULL THEN 'missing_topic' WHEN coalesce(scenario_key, '') IN ('', 'NO_MATCH') THEN 'assigned_topic_only' WHEN b IS NULL THEN 'missing_scenario'
+ WHEN coalesce(variant_key, '') IN ('', 'NO_MATCH') THEN 'assigned_topic_scenario' WHEN d IS NULL THEN 'missing_variant' WHEN coalesce(leaf_key, '') IN ('', 'NO_MATCH') THEN 'no_leaf_match' WHEN e IS NULL THEN 'missing_leaf' ELSE 'assigned' END AS status FROM w""")
+def v3(t):
+    return V.resolve_assignments(t.sql(_RES), t.catalog).select("thread_id", "leaf_cluster", "status")
+
+
+@query("v4_nugget_gate", "SELECT n.nugget_id, c.cluster_level AS target_level, c.cluster_key FROM nuggets n JOIN catalog c ON c.cluster_id = try_cast(n.cluster_ref AS BIGINT) AND c.is_active AND c.cluster_level <= 2 WHERE n.action = 'keep'")
+def v4(t):
+    return V.nugget_gate(t.nuggets, t.catalog).select("nugget_id", "target_level", "cluster_key")
+
+
+@query("v6_staged_merge", "SELECT nugget_id AS thread_id, CASE WHEN action = 'keep' THEN 'S' || topic_key ELSE topic_key END AS topic_key, CASE WHEN cluster_ref = 'x' THEN NULL WHEN score > 0.2 THEN 'deep' ELSE title END AS title FROM (SELECT nugget_id, action, topic_key, cluster_ref, score, CASE WHEN cluster_ref = 'x' THEN NULL ELSE title END AS title FROM nuggets)")
+def v6(t):
+    seed = t.nuggets.select(F.col("nugget_id").alias("thread_id"), "topic_key", F.when(F.col("cluster_ref") != "x", F.col("title")).alias("title"))
+    a = t.nuggets.where("action = 'keep'").select(F.col("nugget_id").alias("thread_id"), F.concat(F.lit("S"), "topic_key").alias("topic_key"))
+    b = t.nuggets.where("score > 0.2 and cluster_ref <> 'x'").select(F.col("nugget_id").alias("thread_id"), F.lit("deep").alias("title"))
+    return V.staged_merge(seed, (a, ["topic_key"]), (b, ["title"]))
+
+
+@query("v7_refine_merge", "WITH h AS (SELECT nugget_id, title FROM nuggets WHERE action = 'keep' AND cluster_ref <> 'x') SELECT nugget_id, title FROM h WHERE nugget_id NOT IN (SELECT nugget_id FROM nuggets WHERE action = 'discard' AND score > 0.2) UNION ALL SELECT nugget_id, 'added' FROM nuggets WHERE action = 'discard' AND score > 0.2")
+def v7(t):
+    have = t.nuggets.where("action = 'keep' and cluster_ref <> 'x'").select("nugget_id", "title")
+    adds = t.nuggets.where("action = 'discard' and score > 0.2").select("nugget_id", F.lit("added").alias("title"))
+    return V.refine(have, have.limit(0), have.select("nugget_id"), adds, "nugget_id")
+
+
+@query("v8_overlay", "SELECT thread_id, coalesce(CASE WHEN leaf_id IS NULL THEN 4000000000 END, leaf_id) AS leaf_id, topic_id FROM threads")
+def v8(t):
+    base = t.threads.select("thread_id", "leaf_id", "topic_id")
+    return V.overlay(base, t.mutes.select("thread_id", F.lit(4000000000).alias("leaf_id"), F.lit(None).cast("long").alias("topic_id")))
+
+
+@query("v9_taxonomy_ids", "SELECT n.nugget_id, x.id FROM nuggets n LEFT JOIN (SELECT topic_key, row_number() OVER (ORDER BY topic_key) AS id FROM (SELECT DISTINCT topic_key FROM nuggets WHERE topic_key <> 'promo')) x USING (topic_key)")
+def v9(t):
+    from pyspark.sql import Window
+
+    ids = t.nuggets.where("topic_key <> 'promo'").select("topic_key").distinct().withColumn("id", F.row_number().over(Window.orderBy("topic_key")).cast("long"))
+    return t.nuggets.join(ids, "topic_key", "left").select("nugget_id", "id")
+
+
+_CAND = "(SELECT 'c' || cast(p_partkey AS STRING) AS cand, p_brand AS product, cast(1 + p_size % 5 AS INT) AS level, lower(p_type) AS topic_key, CASE WHEN p_partkey % 6 = 0 THEN '' ELSE replace(p_name, ' ', '-') END AS scenario_key, 'v-' || cast(p_partkey % 9 AS STRING) AS variant_key, CASE WHEN p_partkey % 7 = 0 THEN 'eco-x' ELSE 'l-' || cast(p_partkey AS STRING) END AS leaf_key, CASE WHEN p_partkey % 5 = 0 THEN ' ' ELSE 'fix' END AS resolution_text FROM part)"
+
+
+@query("n13_parent_scaffold", f"""WITH c AS (SELECT * FROM {_CAND} x WHERE level <= 4), u AS (SELECT DISTINCT product, i::INT AS level, CASE WHEN i > 0 THEN topic_key ELSE '' END AS topic_key, CASE WHEN i > 1 THEN scenario_key ELSE '' END AS scenario_key, CASE WHEN i > 2 THEN variant_key ELSE '' END AS variant_key FROM c, range(1, 4) r(i) WHERE i < level),
+h AS (SELECT product, level, topic_key, CASE WHEN level > 1 THEN scenario_key ELSE '' END AS scenario_key, CASE WHEN level > 2 THEN variant_key ELSE '' END AS variant_key FROM c) SELECT * FROM u EXCEPT SELECT * FROM h""")
+def n13(t):
+    return V.scaffold_parents(t.sql(f"SELECT * FROM {_CAND} WHERE level <= 4"))
+
+
+@query("n14_candidate_nodes", f"""SELECT cand, product, level, cluster_key, parent_key FROM (SELECT *, row_number() OVER (PARTITION BY product, level, cluster_key, parent_key ORDER BY cand) AS rn FROM (SELECT cand, product, level, CASE level WHEN 1 THEN topic_key WHEN 2 THEN scenario_key WHEN 3 THEN variant_key ELSE leaf_key END AS cluster_key,
+CASE level WHEN 2 THEN topic_key WHEN 3 THEN scenario_key WHEN 4 THEN variant_key END AS parent_key FROM {_CAND} x WHERE level <= 4)) WHERE rn = 1""")
+def n14(t):
+    return V.candidates_to_nodes(t.sql(f"SELECT * FROM {_CAND} WHERE level <= 4"), "cand").select("cand", "product", "level", "cluster_key", "parent_key")
+
+
+@query("n15_leaf_synthesis", "SELECT leaf_key, min(thread_id) AS thread_id FROM threads WHERE usefulness >= 0.9 AND trim(signature_text) <> '' AND topic_key IN (SELECT cluster_key FROM catalog WHERE cluster_level = 1) AND leaf_key NOT IN (SELECT cluster_key FROM catalog WHERE cluster_level = 4 AND is_active) GROUP BY 1")
+def n15(t):
+    rows = t.threads.where(F.coalesce(F.trim("signature_text") != "", F.lit(False)) & (F.col("usefulness") >= F.lit("0.9").cast("decimal(4,3)")))
+    rows = rows.join(t.catalog.where("cluster_level = 1").select(F.col("cluster_key").alias("topic_key")), "topic_key", "left_semi")
+    rows = rows.join(t.catalog.where("cluster_level = 4 and is_active").select(F.col("cluster_key").alias("leaf_key")), "leaf_key", "left_anti")
+    return rows.groupBy("leaf_key").agg(F.min("thread_id").alias("thread_id"))
+
+
+@query("n16_candidate_validation", f"""WITH c AS (SELECT *, CASE level WHEN 1 THEN topic_key WHEN 2 THEN scenario_key WHEN 3 THEN variant_key ELSE leaf_key END AS own FROM {_CAND} x), k AS (SELECT 'promo' AS topic_key UNION SELECT topic_key FROM c WHERE level = 1)
+SELECT cand, CASE WHEN product <> 'Brand#2' THEN 'other_product' WHEN level NOT BETWEEN 1 AND 4 THEN 'bad_level' WHEN level > 1 AND trim(scenario_key) = '' THEN 'missing_key' WHEN own = 'eco' OR starts_with(own, 'eco-') THEN 'product_alias'
+WHEN level > 1 AND topic_key NOT IN (SELECT topic_key FROM k) THEN 'unknown_topic' WHEN level = 4 AND trim(resolution_text) = '' THEN 'missing_resolution' END AS skip_reason FROM c""")
+def n16(t):
+    known = t.spark.createDataFrame([("promo",)], "topic_key string")
+    return V.validate_candidates(t.sql(f"SELECT * FROM {_CAND}"), "Brand#2", ["eco"], known, fallback=False).select("cand", "skip_reason")
