@@ -2,8 +2,9 @@
 
 Documents of one shingle set form a class and are handled once. Each class puts the prefix of its set in inverted
 lists; lists are sorted by set size, so that runs of sets which are too short, or whose positions leave too few
-shingles, are skipped as blocks. Answers are shared between similar sets in two rounds: first each list links only
-neighbours (a chain), which are verified and joined to groups; a set of a group then takes over its group's answers,
+shingles, are skipped as blocks; parities of the items over a small bitmap, which bound how much two sets differ,
+drop most of the pairs that would fail before any set is moved. Answers are shared between similar sets in two rounds: first each list links its
+sets to one leader only, which is verified and joins them to groups; a set of a group then takes over its group's answers,
 and only pairs of different groups, of lists with three sets or more, are generated and verified. Every pair that
 passes the prefix, size and position bounds is thus verified or implied, so components are exact.
 
@@ -79,29 +80,51 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(d[0]), int(d[1])
 
 
+def parity(s: np.ndarray) -> bytes:
+    """Parities of the set's items over as many bits as it has items (a power of two, 64 to 8192)."""
+    bits = min(8192, max(64, 1 << (len(s) - 1).bit_length()))
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _folded(p: np.ndarray, words: int) -> np.ndarray:
+    """Parities over fewer bits: the items of equal low bits meet, halves are added modulo 2."""
+    while len(p) > words:
+        p = p[: len(p) // 2] ^ p[len(p) // 2 :]
+    return p
+
+
+def may_match(own: np.ndarray, others: list[np.ndarray], own_size: int, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """False for sets that differ from `own` in more parities than a match leaves items to differ in. Never wrong."""
+    low = min(len(own), min(map(len, others)))
+    differ = np.bitwise_count(np.stack([_folded(o, low) for o in others]) ^ _folded(own, low)).sum(1)
+    return differ <= own_size + sizes - 2 * need(own_size, sizes, percent)
+
+
 def _postings(n: int, percent: int, heavy):
-    """(x, y, c, doc): of each document its class (digest, size), and once for each set and task its prefix."""
+    """(x, y, c, doc, par): of each document its class (digest, size, parities), and once for each set and task its prefix."""
 
     def run(batches):
         table = heavy.value
         hashes, times = table
         hasher, seen = WordHasher(), set()
-        schema = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("c", pa.int64()), ("doc", pa.int64())])
+        schema = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("par", pa.binary())])
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            out, held, rows = [], 0, []
+            out, held, rows, bits = [], 0, [], []
 
             def flush():
                 x = np.concatenate([o[0] for o in out]).view(np.int64) if out else np.zeros(0, np.int64)
                 y = np.concatenate([np.full(len(o[0]), o[1], np.int64) for o in out]) if out else x
                 c = np.concatenate([(o[2] << 32) + np.arange(len(o[0]), dtype=np.int64) for o in out]) if out else x
                 r = np.array(rows, np.int64).reshape(-1, 4)
-                return batch_of(schema, np.concatenate([x, r[:, 0]]), np.concatenate([y, r[:, 1]]), np.concatenate([c, r[:, 2]]), np.concatenate([np.zeros(len(x), np.int64), r[:, 3]]))
+                return batch_of(schema, np.concatenate([x, r[:, 0]]), np.concatenate([y, r[:, 1]]), np.concatenate([c, r[:, 2]]), np.concatenate([np.zeros(len(x), np.int64), r[:, 3]]), [None] * len(x) + bits)
 
             for r, s in _sets(batch, n, hasher, "text"):
                 size = len(s)
                 high, low = _digest(s)
                 rows.append((high, low, (size << 32) + 0xFFFFFFFF, NO_ID if ids[r] is None else ids[r]))
+                bits.append(parity(s) if size else None)
                 if size and ids[r] is not None and (high, low) not in seen:
                     seen.add((high, low))
                     keep = size - (percent * size + 99) // 100 + 1
@@ -118,17 +141,17 @@ def _postings(n: int, percent: int, heavy):
                     held += keep
                 if held > 200_000 or len(rows) > 50_000:
                     yield flush()
-                    out, rows, held = [], [], 0
+                    out, rows, bits, held = [], [], [], 0
             yield flush()
 
     return run
 
 
-_FOUND = pa.schema([("kind", pa.int8()), ("x", pa.int64()), ("y", pa.int64()), ("c", pa.int64()), ("doc", pa.int64())])
+_FOUND = pa.schema([("kind", pa.int8()), ("x", pa.int64()), ("y", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("par", pa.binary())])
 
 
 def _chains(percent: int):
-    """Over lists sorted by (x, c, y): kind 0 neighbours of a list, 1 classes of documents, 2 entries of longer lists."""
+    """Over lists sorted by (x, c, y): kind 0 sets with their list's leader, 1 classes of documents, 2 entries of longer lists."""
 
     def run(batches):
         for t in grouped(batches, "x"):
@@ -136,7 +159,7 @@ def _chains(percent: int):
             whole = (c & 0xFFFFFFFF) == 0xFFFFFFFF
             if whole.any():
                 k = int(whole.sum())
-                yield batch_of(_FOUND, np.ones(k, np.int8), x[whole], y[whole], c[whole] >> 32, doc[whole])
+                yield batch_of(_FOUND, np.ones(k, np.int8), x[whole], y[whole], c[whole] >> 32, doc[whole], column(t, "par")[whole])
                 x, y, c = x[~whole], y[~whole], c[~whole]
             if not len(x):
                 continue
@@ -152,19 +175,19 @@ def _chains(percent: int):
             if ok.any():
                 pairs = np.unique(np.stack([np.minimum(y[:-1], y[1:])[ok], np.maximum(y[:-1], y[1:])[ok]], 1), axis=0)
                 z = np.zeros(len(pairs), np.int64)
-                yield batch_of(_FOUND, z.astype(np.int8), pairs[:, 0], pairs[:, 1], z, z)
+                yield batch_of(_FOUND, z.astype(np.int8), pairs[:, 0], pairs[:, 1], z, z, [None] * len(z))
             begins = np.flatnonzero(np.concatenate([[True], ~same]))
             lengths = np.diff(np.append(begins, len(x)))
             long = np.repeat(lengths > 2, lengths)
             if long.any():
                 k = int(long.sum())
-                yield batch_of(_FOUND, np.full(k, 2, np.int8), x[long], y[long], c[long], np.zeros(k, np.int64))
+                yield batch_of(_FOUND, np.full(k, 2, np.int8), x[long], y[long], c[long], np.zeros(k, np.int64), [None] * k)
 
     return run
 
 
 def _crossings(percent: int):
-    """Over lists sorted by (x, size): pairs of different groups that the size and position bounds leave."""
+    """Over lists sorted by (x, size): pairs of different groups that the size, position and parity bounds leave."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
@@ -173,19 +196,37 @@ def _crossings(percent: int):
             begins = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
             low, high = np.minimum.reduceat(group, begins), np.maximum.reduceat(group, begins)
             ends = np.append(begins[1:], len(x))
+            raw = column(t, "par")
             for g in np.flatnonzero(low != high):
                 s, e = begins[g], ends[g]
+                own = {k: np.frombuffer(raw[k], np.uint64) for k in range(s, e)}
                 for i in range(s, e - 1):
                     # The list ascends by size: the block of larger sets that may still match ends here.
                     j = s + int(np.searchsorted(size[s:e], size[i] * 100 // percent, "right"))
                     k = np.arange(i + 1, j)
                     k = k[(group[k] != group[i]) & (rep[k] != rep[i]) & (np.minimum(size[i] - pos[i], size[k] - pos[k]) >= need(size[i], size[k], percent))]
+                    if len(k):
+                        k = k[may_match(own[i], [own[o] for o in k.tolist()], size[i], size[k], percent)]
                     if len(k):
                         yield batch_of(schema, np.minimum(rep[i], rep[k]), np.maximum(rep[i], rep[k]))
 
     return run
 
 
+def _likely(percent: int):
+    """Over pairs of classes (a, b, their sizes and parities): those that may match."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            a, b, na, nb, pa_, pb = (c.to_pylist() for c in batch.columns)
+            nb = np.array(nb, np.int64)
+            keep = [k for k in range(len(a)) if may_match(np.frombuffer(pa_[k], np.uint64), [np.frombuffer(pb[k], np.uint64)], na[k], nb[k : k + 1], percent)[0]]
+            yield batch_of(schema, [a[k] for k in keep], [b[k] for k in keep])
+
+    return run
+
+
 def _contents(n: int):
     """(id, items) of rows whose text is still the one of the class."""
     schema = pa.schema([("id", pa.int64()), ("items", pa.binary())])
@@ -240,16 +281,17 @@ def ngram_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     order = np.argsort(hashes)
     heavy = spark.sparkContext.broadcast((hashes[order], np.array([r["c"] for r in top], np.int64)[order]))
 
-    lists = texts.mapInArrow(_postings(n, percent, heavy), "x long, y long, c long, doc long")
+    lists = texts.mapInArrow(_postings(n, percent, heavy), "x long, y long, c long, doc long, par binary")
     dealt = lists.repartition("x").sortWithinPartitions("x", F.shiftright("c", 32), "y", "c")
-    found = materialize(dealt.mapInArrow(_chains(percent), "kind byte, x long, y long, c long, doc long"), "lists")
+    found = materialize(dealt.mapInArrow(_chains(percent), "kind byte, x long, y long, c long, doc long, par binary"), "lists")
 
-    members = found.where("kind = 1").selectExpr("doc", "x as high", "y as low", "c as size")
-    classes = materialize(members.where(f"size > 0 and doc <> {NO_ID}").groupBy("high", "low").agg(F.min("doc").alias("rep"), F.min("size").alias("size")), "classes")
+    members = found.where("kind = 1").selectExpr("doc", "x as high", "y as low", "c as size", "par")
+    classes = materialize(members.where(f"size > 0 and doc <> {NO_ID}").groupBy("high", "low").agg(F.min("doc").alias("rep"), F.min("size").alias("size"), F.first("par").alias("par")), "classes")
 
-    by_low = classes.select("low", "rep")
+    by_low = classes.select("low", "rep", "size", "par")
     near = found.where("kind = 0").select("x", "y").distinct()
-    near = near.join(by_low.toDF("x", "a"), "x").join(by_low.toDF("y", "b"), "y").where("a <> b")
+    near = near.join(by_low.toDF("x", "a", "na", "pa"), "x").join(by_low.toDF("y", "b", "nb", "pb"), "y").where("a <> b")
+    near = near.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_likely(percent), "a long, b long")
     near = near.selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct()
 
     def verified(pairs: DataFrame, tag: str) -> DataFrame:
@@ -266,8 +308,8 @@ def ngram_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
     links = verified(near, "chains")
     groups = components(links)
-    entries = found.where("kind = 2").select("x", F.col("y").alias("low"), "c").join(classes.select("low", "rep", "size"), "low")
-    entries = entries.join(groups.withColumnRenamed("node", "rep"), "rep", "left").selectExpr("x", "rep", "size", "c & 4294967295 as pos", "coalesce(component, rep) as grp")
+    entries = found.where("kind = 2").select("x", F.col("y").alias("low"), "c").join(by_low, "low")
+    entries = entries.join(groups.withColumnRenamed("node", "rep"), "rep", "left").selectExpr("x", "rep", "size", "c & 4294967295 as pos", "coalesce(component, rep) as grp", "par")
     crossed = entries.repartition("x").sortWithinPartitions("x", "size", "rep").mapInArrow(_crossings(percent), "a long, b long").distinct()
     crossed = materialize(crossed.join(links, ["a", "b"], "left_anti"), "crossed")
     if not crossed.isEmpty():
