@@ -1 +1,163 @@
-"""Queries."""
+"""HTML and context queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import html as H
+from ..functions import text as T
+from ..operators import rollup as R
+from ..operators import selection as K
+from ..registry import query
+
+_S = r"[\s\x{00a0}\x{2000}-\x{200a}\x{3000}]"
+
+
+def _norm(x):
+    return rf"regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace({x}, chr(13), chr(10)), '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '^{_S}+', ''), '{_S}+$', '')"
+
+
+def _unescape(x):
+    for k, v in T.ENTITIES.items():
+        x = f"replace({x}, '{k}', '{v.replace(chr(39), chr(39) * 2)}')"
+    return x
+
+
+_GONE = r"regexp_replace(regexp_replace(html, '(?is)<script\b[^>]*>.*?</script>', '{0}', 'g'), '(?is)<style\b[^>]*>.*?</style>', '{0}', 'g')"
+_BR = r"regexp_replace({0}, '(?i)<br\s*/?>', chr(10), 'g')"
+_THREAD = _norm(_unescape(rf"regexp_replace(regexp_replace({_BR.format(_GONE.format(''))}, '(?i)</({T._BLOCKS})>', chr(10), 'g'), '<[^>]+>', ' ', 'g')"))
+_DOC = _norm(r"regexp_replace(" + _unescape(rf"regexp_replace(regexp_replace({_BR.format(_GONE.format(' '))}, '(?i)</?({T._BLOCKS})\b[^>]*>', chr(10), 'g'), '<[^>]+>', ' ', 'g')") + r", '\n[ \t]+', chr(10), 'g')")
+
+
+@query("t10_strip_html", f"SELECT page_id, {_THREAD} AS text FROM pages")
+def t10(t):
+    return t.pages.select("page_id", T.strip_html(F.col("html")).alias("text"))
+
+
+@query("t11_strip_doc_html", f"SELECT page_id, {_DOC} AS text FROM pages")
+def t11(t):
+    return t.pages.select("page_id", T.strip_doc_html(F.col("html")).alias("text"))
+
+
+_LD = "html || '<script type=\"application/ld+json\">{broken</script><script type=\"application/ld+json\">{\"@type\":\"Other\"}</script>' || CASE WHEN page_id % 2 = 0 THEN '<script type=\"application/ld+json\">{\"@type\":\"QAPage\",\"n\":' || cast(page_id AS STRING) || '}</script>' ELSE '' END"
+
+
+@query("t12_ld_json_pick", "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '{\"@type\":\"QAPage\",\"n\":' || page_id || '}' END AS ld FROM pages")
+def t12(t):
+    return t.pages.select("page_id", H.pick_ld_json(F.expr(_LD)).alias("ld"))
+
+
+_H1 = "regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]+>', ' ', 'g')"
+
+
+@query("t13_question_scrape", f"SELECT page_id, {_norm(_unescape(_H1))} AS title FROM pages")
+def t13(t):
+    return H.scrape_question(t.pages).select("page_id", "title")
+
+
+@query("t14_link_extract", r"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*href="[^"]*"[^>]*>.*?</a>')) AS a, generate_subscripts(regexp_extract_all(html, '(?is)<a\s[^>]*href="[^"]*"[^>]*>.*?</a>'), 1) - 1 AS pos FROM pages),
+b AS (SELECT page_id, pos, regexp_extract(a, '(?i)href="([^"]*)"', 1) AS href FROM a)
+SELECT page_id, CASE WHEN starts_with(href, '/') THEN 'https://site' || href ELSE href END AS href, min(pos)::INT AS pos FROM b WHERE regexp_matches(href, '^/[A-Za-z]') GROUP BY ALL""")
+def t14(t):
+    return H.page_links(t.pages, "page_id", "html", "^/[A-Za-z]", F.lit("https://site")).select("page_id", "href", "pos")
+
+
+@query("t15_last_page", "SELECT page_id, coalesce(list_max(list_transform(regexp_extract_all(url || html, '[?&;]page=([0-9]{1,9})', 1), lambda x: x::INT)), 1)::INT AS pages FROM pages")
+def t15(t):
+    return t.pages.select("page_id", H.last_page(F.concat("url", "html")).alias("pages"))
+
+
+@query("t16_page_url", "SELECT page_id, CASE WHEN regexp_matches(url, '[?&]page=') THEN regexp_replace(url, '([?&])page=[^&#]*', '\\1page=' || (page_id % 7)) ELSE url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'page=' || (page_id % 7) END AS url FROM pages")
+def t16(t):
+    return t.pages.select("page_id", H.page_url(F.col("url"), F.col("page_id") % 7).alias("url"))
+
+
+@query("t18_nested_div")
+def t18(t):
+    return t.pages.select("page_id", H.nested_div(F.concat(F.lit('<div id="x"><div>a</div>'), "html", F.lit("</div>")), "id", "x").alias("inner"))
+
+
+@query("t19_doc_title_body", f"SELECT page_id, length({_DOC})::BIGINT AS n FROM pages")
+def t19(t):
+    return t.pages.select("page_id", F.length(T.strip_doc_html(F.col("html"))).cast("long").alias("n"))
+
+
+_TOC = "'[{\"href\":\"a' || cast(p_partkey AS STRING) || '\",\"toc_title\":\"A\",\"children\":[{\"href\":\"../b\",\"toc_title\":\"B\"}],\"items\":[{\"items\":[{\"href\":\"/c?x=1\",\"toc_title\":\"C\"}]}]},{\"href\":\"http://off\",\"toc_title\":\"D\"}]'"
+
+
+@query("t20_toc_flatten", "SELECT p_partkey, pos::INT AS pos, CASE pos WHEN 0 THEN 'a' || p_partkey WHEN 1 THEN '../b' WHEN 2 THEN '/c?x=1' ELSE 'http://off' END AS href FROM part, range(0, 4) r(pos)")
+def t20(t):
+    return H.flatten_toc(t.part.select("p_partkey", F.expr(_TOC).alias("toc"))).select("p_partkey", "pos", "href")
+
+
+@query("t21_resolve_href", "SELECT p_partkey, pos::INT AS pos, CASE pos WHEN 0 THEN 'https://docs.site/base/dir/a' || p_partkey WHEN 1 THEN 'https://docs.site/base/b' WHEN 2 THEN 'https://docs.site/c' END AS url FROM part, range(0, 4) r(pos)")
+def t21(t):
+    rows = H.flatten_toc(t.part.select("p_partkey", F.expr(_TOC).alias("toc")))
+    return rows.select("p_partkey", "pos", H.resolve_href(F.col("href"), "https://docs.site/base/dir", "https://docs.site").alias("url"))
+
+
+@query("t22_ordered_urls", "SELECT url, (row_number() OVER (ORDER BY pos, url))::INT AS \"order\" FROM (SELECT regexp_replace(url, '[?].*$', '') AS url, min(page_id) AS pos FROM pages GROUP BY 1) ORDER BY pos, url LIMIT 40")
+def t22(t):
+    rows = t.pages.select(F.regexp_replace("url", "[?].*$", "").alias("url"), F.col("page_id").alias("pos"), F.lit("").alias("title"))
+    return H.ordered_urls(rows, 40).select("url", "order")
+
+
+@query("t32_wiki_links", """WITH m AS (SELECT cluster_key, max(cluster_id) AS id, arg_max(wiki_path, cluster_id) AS path FROM catalog WHERE is_active AND wiki_path IS NOT NULL GROUP BY 1)
+SELECT c.cluster_id, 'see ' || CASE WHEN m.path IS NOT NULL THEN '[' || c.cluster_key || '](' || replace(replace(m.path, ' ', '%20'), '#', '%23') || ')' ELSE c.cluster_key END || ' and ' || CASE WHEN m.path IS NOT NULL THEN '[More](' || replace(replace(m.path, ' ', '%20'), '#', '%23') || ')' ELSE 'More' END || '.' AS text
+FROM catalog c LEFT JOIN m USING (cluster_key) WHERE c.cluster_level <= 3""")
+def t32(t):
+    from ..operators.context import resolve_wiki_links
+
+    rows = t.catalog.where("cluster_level <= 3").select("cluster_id", F.concat(F.lit("see [["), "cluster_key", F.lit("]] and [[More|"), "cluster_key", F.lit("]].")).alias("text"))
+    return resolve_wiki_links(rows, t.catalog)
+
+
+@query("t34_playbook", "SELECT cluster_id, '# ' || title || chr(10) || chr(10) || '## Problem' || chr(10) || problem || chr(10) || chr(10) || '## Resolution' || chr(10) || '1. ' || trim(regexp_extract(steps, '\"([^\"]*)\"', 1)) || chr(10) || '3. ' || trim(regexp_extract(steps, ',\"\",\"([^\"]*)\"', 1)) || chr(10) || chr(10) || '## Validation' || chr(10) || '- none given' AS page FROM solutions")
+def t34(t):
+    from ..operators.context import playbook
+
+    return t.solutions.select("cluster_id", playbook(F.col("title"), F.col("problem"), F.from_json("steps", "array<string>"), F.array().cast("array<string>")).alias("page"))
+
+
+@query("t35_context_blocks", """SELECT leaf_id, string_agg(rn || '. ' || left(thread_id, 12) || ' (' || printf('%.2f', usefulness::DOUBLE) || ')', chr(10) ORDER BY rn) AS block FROM (SELECT leaf_id, thread_id, coalesce(usefulness, 0) AS usefulness, row_number() OVER (PARTITION BY leaf_id ORDER BY usefulness DESC NULLS LAST, created_on DESC, thread_id) AS rn FROM threads WHERE leaf_id IS NOT NULL) WHERE rn <= 4 GROUP BY 1""")
+def t35(t):
+    top = K.top_threads(t.threads, "leaf_id", 4)
+    line = F.format_string("%d. %s (%.2f)", "rn", F.substring("thread_id", 1, 12), F.coalesce(F.col("usefulness").cast("double"), F.lit(0.0)))
+    rows = top.groupBy("leaf_id").agg(F.sort_array(F.collect_list(F.struct("rn", line.alias("l")))).alias("x"))
+    return rows.select("leaf_id", F.array_join(F.transform("x", lambda v: v["l"]), "\n").alias("block"))
+
+
+@query("t36_prompt_payload", "SELECT cluster_id, '{\"id\":' || cluster_id || ',\"key\":\"' || left(cluster_key, 8) || '\"}' AS payload FROM catalog WHERE cluster_level <= 2")
+def t36(t):
+    return t.catalog.where("cluster_level <= 2").select("cluster_id", F.to_json(F.struct(F.col("cluster_id").alias("id"), F.substring("cluster_key", 1, 8).alias("key"))).alias("payload"))
+
+
+@query("t38_problem_bundle", "SELECT parent_id, string_agg('- ' || cluster_key, chr(10) ORDER BY rn) AS problem FROM (SELECT parent_id, cluster_key, row_number() OVER (PARTITION BY parent_id ORDER BY cluster_id) AS rn FROM catalog WHERE cluster_level = 3 AND is_active) WHERE rn <= 10 GROUP BY 1")
+def t38(t):
+    rows = R.top_n(t.catalog.where("cluster_level = 3 and is_active"), ["parent_id"], [F.col("cluster_id")], 10)
+    x = rows.groupBy("parent_id").agg(F.sort_array(F.collect_list(F.struct("rn", "cluster_key"))).alias("x"))
+    return x.select("parent_id", F.array_join(F.transform("x", lambda v: F.concat(F.lit("- "), v["cluster_key"])), "\n").alias("problem"))
+
+
+@query("s8_document_search", r"""WITH w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) AS w FROM documents), f AS (SELECT doc_id, w, count(*) AS tf FROM w WHERE w IN ('the', 'license', 'apache') GROUP BY ALL),
+n AS (SELECT doc_id, count(*) AS len FROM w GROUP BY 1), a AS (SELECT count(*) AS docs, avg(len) AS mean FROM n), d AS (SELECT w, count(*) AS df FROM f GROUP BY 1)
+SELECT doc_id, round(sum(ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))), 6)::DOUBLE AS score FROM f JOIN d USING (w) JOIN n USING (doc_id), a GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 10""")
+def s8(t):
+    from ..sources.search import search
+
+    return search(t.documents.select("doc_id", "text"), "the Apache license", 10).select("doc_id", "score")
+
+
+@query("s2_schema_patch", "SELECT 'qa' || doc_id AS question_id, source AS asker FROM documents")
+def s2(t):
+    from ..sources.raw import patch_columns
+
+    rows = t.documents.select(F.concat(F.lit("qa"), F.col("doc_id").cast("string")).alias("question_id"), F.col("source").alias("asker"))
+    return patch_columns(rows, {"question_id": "", "created_at": None}).select("question_id", "asker")
+
+
+@query("s4a_toc_locations", "SELECT page_id, i::INT AS turn, '/' || array_to_string(list_slice(p, 1, len(p) - i), '/') || '/toc.json' AS path FROM (SELECT page_id, list_filter(string_split(regexp_replace(url, '^https?://[^/]*|[?].*$', '', 'g'), '/'), lambda x: x <> '') AS p FROM pages), range(0, 9) r(i) WHERE i < len(p)")
+def s4a(t):
+    from ..sources.raw import toc_locations
+
+    return toc_locations(t.pages, "page_id", "url")

@@ -1 +1,65 @@
-"""Queries."""
+"""Incremental queries; streams are compared with what the batch form gives."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..functions import annotations as A
+from ..registry import query
+from ..streaming import ingest as S
+
+_DAYS = "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, sum(cast(value AS DECIMAL(18,2)))::DECIMAL(28,2) AS total FROM events GROUP BY ALL"
+
+
+@query("w1_incremental_ingest", "SELECT event_id, event_type FROM events WHERE event_type <> 'view'")
+def w1(t):
+    base = t.spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="threadloom-stream-")
+    run = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    events = t.events
+    S.run_available(t.spark, f"{t.sf_dir}/events.parquet*", events.schema, lambda s: s.where("event_type <> 'view'").select("event_id", "event_type"), f"{run}/out", f"{run}/state")
+    return t.spark.read.schema("event_id long, event_type string").parquet(f"{run}/out")
+
+
+@query("w2_incremental_crawl", "SELECT page_id FROM pages WHERE page_id % 4 <> 1")
+def w2(t):
+    return S.unseen(t.pages, t.pages.where("page_id % 4 = 1"), "page_id").select("page_id")
+
+
+@query("w3_event_windows", _DAYS)
+def w3(t):
+    return S.event_windows(t.events)
+
+
+@query("w4_liveness", "SELECT incident_id, CASE WHEN max(added_on) < date '2024-01-06' THEN 'resolved' WHEN max(added_on) < date '2024-01-22' THEN 'possibly_resolved' ELSE 'active' END AS state FROM incident_threads GROUP BY 1")
+def w4(t):
+    last = t.incident_threads.groupBy("incident_id").agg(F.max("added_on").alias("last"))
+    return last.select("incident_id", F.when(F.col("last") < F.lit("2024-01-06").cast("date"), "resolved").when(F.col("last") < F.lit("2024-01-22").cast("date"), "possibly_resolved").otherwise("active").alias("state"))
+
+
+@query("w5_sessions", """WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER w + interval 3 hour THEN 1 ELSE 0 END AS b FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT user_id, ts, sum(b) OVER (PARTITION BY user_id ORDER BY ts) AS s FROM g)
+SELECT user_id, count(*) AS n, min(ts) AS first, max(ts) AS last FROM s GROUP BY user_id, s""")
+def w5(t):
+    return S.sessions(t.events.select("user_id", "ts"), ["user_id"], "3 hours")
+
+
+@query("w6_load_per_minute", "SELECT event_id, sum(cast(value AS DECIMAL(18,2))) OVER (PARTITION BY event_type ORDER BY cast(floor(epoch(ts)) AS BIGINT) RANGE BETWEEN 60 PRECEDING AND CURRENT ROW)::DECIMAL(28,2) AS load FROM events")
+def w6(t):
+    return S.load_per_minute(t.events).select("event_id", "load")
+
+
+@query("w7_branch_state", "SELECT incident_id, count(*) AS n, max(s)::BIGINT AS stretches FROM (SELECT incident_id, sum(b) OVER (PARTITION BY incident_id ORDER BY added_on, thread_id) AS s FROM (SELECT incident_id, added_on, thread_id, CASE WHEN added_on - lag(added_on) OVER (PARTITION BY incident_id ORDER BY added_on, thread_id) > 3 THEN 1 ELSE 0 END AS b FROM incident_threads)) GROUP BY 1")
+def w7(t):
+    rows = S.split_by_silence(t.incident_threads)
+    return rows.groupBy("incident_id").agg(F.count("*").alias("n"), F.max("stretch").alias("stretches"))
+
+
+@query("annotator_rules", """WITH w AS (SELECT nugget_id AS thread_id, list_distinct(list_filter(regexp_split_to_array(lower(title), '[^a-z0-9]+'), lambda x: x <> '')) AS a FROM nuggets), k AS (SELECT k AS topic_key, list_distinct(list_filter(regexp_split_to_array(lower(k), '[^a-z0-9]+'), lambda x: x <> '')) AS b FROM (VALUES ('red ring'), ('big bolt'), ('small widget')) v(k)),
+s AS (SELECT thread_id, topic_key, len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))) AS score FROM w, k), b AS (SELECT thread_id, arg_max(topic_key, (round(score, 9), topic_key)) AS topic_key FROM s WHERE score >= 0.2 GROUP BY 1)
+SELECT w.thread_id, '{"topic_cluster_key":"' || coalesce(topic_key, 'NO_MATCH') || '"}' AS output FROM w LEFT JOIN b USING (thread_id)""")
+def annotator(t):
+    topics = t.spark.createDataFrame([("red ring", None), ("big bolt", None), ("small widget", None)], "topic_key string, signature_text string")
+    return A.annotate_by_rules(t.nuggets.select(F.col("nugget_id").alias("thread_id"), F.col("title").alias("signature_text")), topics)
+

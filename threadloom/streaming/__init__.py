@@ -1 +1 @@
-
+"""Incremental processing with Structured Streaming."""
