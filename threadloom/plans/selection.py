@@ -12,7 +12,11 @@ from ..operators import selection as K
 from ..registry import query
 from .aggregates import _F2
 
-_ORDER = [F.desc("created_on"), F.desc("thread_id")]
+
+def _order():
+    return [F.desc("created_on"), F.desc("thread_id")]
+
+
 _ELIG = f"{_F2} AND coalesce(usefulness, 0) >= 0.4 AND checked_on IS NULL"
 _ASSIGN = f"{_F2} AND coalesce(usefulness, 0) >= 0.3 AND checked_on IS NOT NULL AND started_on IS NULL AND completed_on IS NULL"
 
@@ -24,17 +28,17 @@ def k1(t):
 
 @query("k2_keyset_pages", f"SELECT thread_id, product, (row_number() OVER (PARTITION BY product ORDER BY created_on DESC, thread_id DESC) - 1) // 25 AS page FROM threads WHERE {_ELIG}")
 def k2(t):
-    return K.pages_of(t.threads.where(P.catalog_eligible()), _ORDER, 25, ["product"]).select("thread_id", "product", "page")
+    return K.pages_of(t.threads.where(P.catalog_eligible()), _order(), 25, ["product"]).select("thread_id", "product", "page")
 
 
 @query("k3_claim_batch", f"SELECT thread_id FROM threads WHERE {_ASSIGN} ORDER BY created_on DESC, thread_id DESC LIMIT 30")
 def k3(t):
-    return K.claim(t.threads, P.assign_eligible(), _ORDER, 30, dt.date(2024, 2, 5))[0].select("thread_id")
+    return K.claim(t.threads, P.assign_eligible(), _order(), 30, dt.date(2024, 2, 5))[0].select("thread_id")
 
 
 @query("k3_claim_snapshot", f"WITH c AS (SELECT thread_id FROM threads WHERE {_ASSIGN} ORDER BY created_on DESC, thread_id DESC LIMIT 30) SELECT thread_id, CASE WHEN thread_id IN (SELECT thread_id FROM c) THEN date '2024-02-05' ELSE started_on END AS started_on FROM threads")
 def k3b(t):
-    return K.claim(t.threads, P.assign_eligible(), _ORDER, 30, dt.date(2024, 2, 5))[1].select("thread_id", "started_on")
+    return K.claim(t.threads, P.assign_eligible(), _order(), 30, dt.date(2024, 2, 5))[1].select("thread_id", "started_on")
 
 
 @query("k4_leaf_candidates", "SELECT cluster_id, member_count, max_usefulness FROM catalog WHERE cluster_level = 4 AND is_active AND ((member_count >= 2 AND max_usefulness >= 0.6) OR max_usefulness >= 0.9) AND cluster_id NOT IN (SELECT cluster_id FROM solutions) ORDER BY max_usefulness DESC, member_count DESC, last_seen DESC, cluster_id LIMIT 100")
@@ -113,7 +117,7 @@ def k13(t):
 
 @query("k14_branch_threads", "SELECT product, topic_key, thread_id FROM (SELECT product, topic_key, thread_id, row_number() OVER (PARTITION BY product, topic_key ORDER BY created_on DESC, thread_id DESC) AS rn FROM threads WHERE (classification = 'emergent_issue' OR is_emergent) AND coalesce(emergent_signal, 0) >= 0.5) WHERE rn <= 500")
 def k14(t):
-    return R.top_n(t.threads.where(P.emergent_eligible()), ["product", "topic_key"], _ORDER, 500).select("product", "topic_key", "thread_id")
+    return R.top_n(t.threads.where(P.emergent_eligible()), ["product", "topic_key"], _order(), 500).select("product", "topic_key", "thread_id")
 
 
 @query("k14_branch_incidents", "SELECT incident_id, product FROM incidents WHERE status <> 'archived'")
@@ -143,7 +147,7 @@ def k18(t):
 
 @query("k19_round_robin", "SELECT r AS round, product, thread_id FROM (SELECT (row_number() OVER (PARTITION BY product ORDER BY created_on DESC, thread_id DESC) - 1) // 15 AS r, product, thread_id FROM threads WHERE (classification = 'emergent_issue' OR is_emergent) AND coalesce(emergent_signal, 0) >= 0.5) WHERE r < 4")
 def k19(t):
-    return K.round_robin(t.threads.where(P.emergent_eligible()), _ORDER, 15, 4)
+    return K.round_robin(t.threads.where(P.emergent_eligible()), _order(), 15, 4)
 
 
 @query("n18_circular_window", "WITH p AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS rn, count(*) OVER () AS n FROM products) SELECT name, ((rn - 40 % n + n) % n)::BIGINT AS turn FROM p WHERE (rn - 40 % n + n) % n < 12")
