@@ -61,6 +61,30 @@ def page_links(rows: DataFrame, key: str, page: str, pattern: str, base: Column
     return out.groupBy(key, "href").agg(F.min("pos").alias("pos"), F.min_by("title", "pos").alias("title"))
 
 
+def link_dates(rows: DataFrame, key: str, page: str, pattern: str, reach: int = 5000) -> DataFrame:
+    """(key, href, asked): of every matching anchor the first date in the `reach` characters behind it."""
+    anchors = F.regexp_extract_all(page, F.lit(r'(?is)<a\s[^>]*href="[^"]*"[^>]*>'), 0)
+    out = rows.select(key, page, F.posexplode(anchors).alias("pos", "a"))
+    href = F.regexp_extract("a", r'(?i)href="([^"]*)"', 1)
+    behind = F.substring(F.col(page), F.expr(f"locate(a, `{page}`)"), F.lit(reach))
+    out = out.select(key, "pos", href.alias("href"), F.nullif(F.regexp_extract(behind, r'(?i)datetime="([^"]+)"', 1), F.lit("")).alias("asked")).where(F.col("href").rlike(pattern))
+    return out.groupBy(key, "href").agg(F.min_by("asked", "pos").alias("asked"))
+
+
+def doc_title_body(rows: DataFrame, page: str = "html") -> DataFrame:
+    """Adds title and body of a documentation page: the heading, and what stands between it and the footer, without the
+    lines up to one that repeats the title and without page furniture."""
+    from .text import drop_noise_lines, strip, strip_doc_html
+
+    title = strip_doc_html(F.regexp_extract(page, r"(?is)<h1[^>]*>(.*?)</h1>", 1))
+    inner = F.nullif(F.regexp_extract(page, r"(?is)<h1[^>]*>.*?</h1>(.*?)(?:<footer|\z)", 1), F.lit(""))
+    text = F.coalesce(strip_doc_html(inner), F.substring(strip_doc_html(F.col(page)), 1, 80_000))
+    out = rows.withColumn("title", title).withColumn("_lines", F.split(text, "\n"))
+    at = F.array_position(F.transform("_lines", lambda x: F.lower(strip(x)) == F.lower(F.col("title"))), F.lit(True))
+    rest = F.when((at > 0) & (F.col("title") != ""), F.slice("_lines", (at + 1).cast("int"), F.greatest(F.size("_lines") - at.cast("int"), F.lit(0)))).otherwise(F.col("_lines"))
+    return out.withColumn("body", norm_space(drop_noise_lines(F.array_join(rest, "\n")))).drop("_lines")
+
+
 def last_page(page: Column) -> Column:
     """The largest number of the pagination, else of page= in any link, else 1."""
     ints = lambda pattern: F.array_max(F.transform(F.regexp_extract_all(page, F.lit(pattern), 1), lambda x: x.cast("int")))

@@ -9,6 +9,7 @@ from ..functions import text as T
 from ..operators import rollup as R
 from ..operators import selection as K
 from ..registry import query
+from .texts import _noise as noise_filter
 
 _S = r"[\s\x{00a0}\x{2000}-\x{200a}\x{3000}]"
 
@@ -77,9 +78,21 @@ def t18(t):
     return t.pages.select("page_id", H.nested_div(F.concat(F.lit('<div id="x"><div>a</div>'), "html", F.lit("</div>")), "id", "x").alias("inner"))
 
 
-@query("t19_doc_title_body", f"SELECT page_id, length({_DOC})::BIGINT AS n FROM pages")
+_BODY = _DOC.replace("regexp_replace(regexp_replace(html, ", "regexp_replace(regexp_replace(inner_html, ")
+_TITLE = _DOC.replace("regexp_replace(regexp_replace(html, ", "regexp_replace(regexp_replace(h1, ")
+
+
+@query("t19_doc_title_body", f"""WITH x AS (SELECT page_id, regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) AS h1, regexp_extract(html, '(?is)<h1[^>]*>.*?</h1>(.*?)(?:<footer|$)', 1) AS inner_html FROM pages), y AS (SELECT page_id, {_TITLE} AS title, string_split({_BODY}, chr(10)) AS l FROM x),
+z AS (SELECT page_id, title, l, coalesce(list_position(list_transform(l, lambda v: lower(trim(v)) = lower(title)), true), 0) AS at_line FROM y), c AS (SELECT page_id, title, array_to_string(CASE WHEN at_line > 0 AND title <> '' THEN list_slice(l, at_line + 1, len(l)) ELSE l END, chr(10)) AS t FROM z)
+SELECT page_id, title, {_norm(noise_filter('t'))} AS body FROM c""")
 def t19(t):
-    return t.pages.select("page_id", F.length(T.strip_doc_html(F.col("html"))).cast("long").alias("n"))
+    return H.doc_title_body(t.pages).select("page_id", "title", "body")
+
+
+@query("t14_link_dates", r"""WITH h AS (SELECT page_id, '<a class="q" href="/q/' || page_id || '">x</a>' || repeat('.', (page_id % 3) * 3000) || '<local-time datetime="2024-01-0' || (1 + page_id % 9) || '">' AS html FROM pages) SELECT page_id, '/q/' || page_id AS href, CASE WHEN page_id % 3 < 2 THEN '2024-01-0' || (1 + page_id % 9) END AS asked FROM h""")
+def t14b(t):
+    html = F.expr("concat('<a class=\"q\" href=\"/q/', page_id, '\">x</a>', repeat('.', cast(page_id % 3 as int) * 3000), '<local-time datetime=\"2024-01-0', 1 + page_id % 9, '\">')")
+    return H.link_dates(t.pages.select("page_id", html.alias("html")), "page_id", "html", "^/q/")
 
 
 _TOC = "'[{\"href\":\"a' || cast(p_partkey AS STRING) || '\",\"toc_title\":\"A\",\"children\":[{\"href\":\"../b\",\"toc_title\":\"B\"}],\"items\":[{\"items\":[{\"href\":\"/c?x=1\",\"toc_title\":\"C\"}]}]},{\"href\":\"http://off\",\"toc_title\":\"D\"}]'"
@@ -161,3 +174,24 @@ def s4a(t):
     from ..sources.raw import toc_locations
 
     return toc_locations(t.pages, "page_id", "url")
+
+
+@query("s1_prefix_scan", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def s1(t):
+    from ..sources.raw import scan_prefix
+
+    return scan_prefix(t.spark, f"{t.sf_dir}/events.parquet").groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query("s5_csv_sink", "SELECT cluster_id, title, problem FROM solutions")
+def s5(t):
+    from ..sources.raw import csv_round_trip
+
+    return csv_round_trip(t.solutions, ["cluster_id", "title", "problem"], "cluster_id long, title string, problem string")
+
+
+@query("s9_wiki_upsert", "SELECT '/kb' AS path, true AS stub UNION ALL SELECT DISTINCT wiki_path, false FROM catalog WHERE wiki_path IS NOT NULL")
+def s9(t):
+    from ..sources.wiki import upsert_plan
+
+    return upsert_plan(t.catalog.where("wiki_path is not null").select(F.col("wiki_path").alias("path"), F.lit("x").alias("content"))).select("path", "stub").distinct()

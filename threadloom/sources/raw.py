@@ -32,3 +32,14 @@ def toc_locations(rows: DataFrame, key: str, url: str) -> DataFrame:
 def write_csv(rows: DataFrame, path: str, columns: list[str]) -> None:
     """A CSV with a header and a fixed choice of columns."""
     rows.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def csv_round_trip(rows: DataFrame, columns: list[str], schema: str) -> DataFrame:
+    """What a reader of the written CSV gets, from the shared folder."""
+    import uuid
+
+    spark = rows.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/threadloom"
+    path = f"{base.rstrip('/')}/csv-{uuid.uuid4().hex}"
+    write_csv(rows, path, columns)
+    return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
