@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import BYTE_KEYS, WS, slabs, table, utf8
+from .common import BYTE_KEYS, WS, map_arrow, schema_with, slabs, table, utf8
 
 LEAST, MOST, BITS = 96, 4096, 4
 #: Bytes of chunk texts whose ids a task keeps at most.
@@ -212,9 +212,8 @@ def encode(docs: DataFrame, tokenizer: str | None = None, with_ids: bool = True,
     with open(tokenizer, encoding="utf-8") as f:
         definition = docs.sparkSession.sparkContext.broadcast(f.read())
     names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["token_ids"] if with_ids else [])]
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in names]
     own = ["n_tokens long", "ids_sha256 string", "decoded_sha256 string", *(["token_ids array<int>"] if with_ids else [])]
-    return docs.mapInArrow(_encoded(definition, least, most, bits, with_ids), ", ".join([*fields, *own]))
+    return map_arrow(docs, _encoded(definition, least, most, bits, with_ids), schema_with(docs, ", ".join(own), names))
 
 
 def op6_bpe(spark, sf_dir: str) -> DataFrame:

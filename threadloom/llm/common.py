@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _OWN_DIR: list[str] = []
 _LEFT: dict[str, SparkSession] = {}
@@ -71,6 +72,19 @@ def release(*tables: DataFrame) -> None:
             remove_path(t.sparkSession, path)
 
 
+def schema_with(df: DataFrame, more: str, without=()) -> T.StructType:
+    """The schema of `df` less some names, all nullable, with further fields."""
+    fields = [T.StructField(f.name, f.dataType, True) for f in df.schema if f.name not in without]
+    return T.StructType(fields + T.StructType.fromDDL(more).fields)
+
+
+def map_arrow(df: DataFrame, f, schema: T.StructType) -> DataFrame:
+    """df.mapInArrow, also for column names with dots and quotes, which mapInArrow takes for paths."""
+    safe = lambda name: name.replace(".", "\u2024").replace("`", "\u2035")
+    plain = T.StructType([T.StructField(safe(x.name), x.dataType, x.nullable) for x in schema])
+    return df.toDF(*map(safe, df.columns)).mapInArrow(f, plain).toDF(*schema.names)
+
+
 # ---------------------------------------------------------------- Arrow views of text
 
 
@@ -114,6 +128,17 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def distinct(a: np.ndarray) -> np.ndarray:
+    """The distinct values, ascending, by sorting: for integers several times faster than np.unique."""
+    if not len(a):
+        return a
+    s = np.sort(a)
+    new = np.empty(len(s), bool)
+    new[0] = True
+    np.not_equal(s[1:], s[:-1], out=new[1:])
+    return s[new]
+
+
 BYTE_KEYS = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = 0x5851F42D4C957F2D
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -169,7 +194,7 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     h = np.full(n - w + 1, np.uint64(w), np.uint64)
     for j in range(w):
         h = h * _SHINGLE_BASE + words[j : n - w + 1 + j]
-    return np.unique(mix64(h))
+    return distinct(mix64(h))
 
 
 # ---------------------------------------------------------------- streams of sorted groups

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, WordHasher, crc_fold, slabs, table, utf8
+from .common import WS, WordHasher, crc_fold, map_arrow, schema_with, slabs, table, utf8
 
 STATS = ["chars", "words", "word_length", "word_spread", "upper", "digits", "symbols", "points", "wide", "lines", "distinct", "phrases", "marked_ends", "line_words", "short_words", "line_repeats"]
 SAMPLE = 20_000
@@ -71,12 +71,12 @@ def text_statistics(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher) -
     marked = run((kind[ends] == 4) | (b[ends] == 33)) / some
     short = run(lengths <= 3) / some
     hashes, where = hasher(data, offsets)
-    distinct, phrases, again = np.zeros(n), np.zeros(n), np.zeros(n)
+    different, phrases, again = np.zeros(n), np.zeros(n), np.zeros(n)
     newline = np.flatnonzero(b == 10)
     for i in range(n):
         w = hashes[where[i] : where[i + 1]]
         if len(w):
-            distinct[i] = len(np.unique(w)) / len(w)
+            different[i] = len(np.unique(w)) / len(w)
         if len(w) > 2:
             phrase = w[:-2] * np.uint64(0x9E3779B97F4A7C15) + w[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + w[2:]
             phrases[i] = len(np.unique(phrase)) / len(phrase)
@@ -87,7 +87,7 @@ def text_statistics(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher) -
     c = np.maximum(chars, 1)
     letters = np.maximum(upper + lower, 1)
     lines = breaks + (chars > 0)
-    return np.stack([np.log1p(chars), np.log1p(words), mean, spread, upper / letters, digits / c, symbols / c, points / c, wide / c, np.log1p(lines), distinct, phrases, marked, words / np.maximum(lines, 1), short, again], 1)
+    return np.stack([np.log1p(chars), np.log1p(words), mean, spread, upper / letters, digits / c, symbols / c, points / c, wide / c, np.log1p(lines), different, phrases, marked, words / np.maximum(lines, 1), short, again], 1)
 
 
 def _with_statistics():
@@ -104,8 +104,7 @@ def _with_statistics():
 
 def with_statistics(docs: DataFrame) -> DataFrame:
     """`docs` with the columns _<name> for the names in STATS."""
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    return docs.mapInArrow(_with_statistics(), ", ".join([*fields, *(f"_{s} double" for s in STATS)]))
+    return map_arrow(docs, _with_statistics(), schema_with(docs, ", ".join(f"_{s} double" for s in STATS)))
 
 
 # ---------------------------------------------------------------- learning, on a bounded sample

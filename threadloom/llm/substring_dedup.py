@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_KEYS, WS, batch_of, column, grouped, slabs, table, utf8
+from .common import BYTE_KEYS, WS, batch_of, column, grouped, map_arrow, schema_with, slabs, table, utf8
 
 LEAST, MOST, BITS, MIN_WORDS = 32, 1024, 3, 20
 #: Chunks that a task compares among themselves before it sends them on.
@@ -175,8 +175,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, least: int = LEA
     again = dealt.mapInArrow(_repeats(), "doc long, pos long, d1 long")
     by_doc = again.distinct().groupBy(F.col("doc").alias("_repeats_of")).agg(F.collect_list(F.struct("pos", "d1")).alias("_repeats"))
     joined = docs.join(by_doc, docs["doc_id"] == by_doc["_repeats_of"], "left").drop("_repeats_of")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    return joined.mapInArrow(_cleaned(least, most, bits, min_words), ", ".join([*fields, "_chunks_repeated long, _chars_removed long, _spans_removed string"]))
+    return map_arrow(joined, _cleaned(least, most, bits, min_words), schema_with(docs, "_chunks_repeated long, _chars_removed long, _spans_removed string"))
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
