@@ -97,7 +97,32 @@ def test_ngram_join_groups_of_different_lists(spark):
     links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     want = closure(sets, links)
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_classes(df).collect()} == want
+    for block in (ngram_join.LIST_BLOCK, 5):  # whole lists, and pairs of blocks
+        old, ngram_join.LIST_BLOCK = ngram_join.LIST_BLOCK, block
+        try:
+            assert {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_classes(df).collect()} == want
+        finally:
+            ngram_join.LIST_BLOCK = old
+
+
+def test_lists_are_streamed_over_batches():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    rows = sorted({(int(x), int(y)) for x, y in rng.integers(0, 12, (60, 2))} | {(50, k) for k in range(40)})
+    rows = [(x, y, (10 << 32) + 0, 0, None) for x, y in rows for _ in range(1 + y % 2)]
+    schema = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("par", pa.binary())])
+    found = []
+    for step in (1, 2, 3, 7, 1000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows[k : k + step], strict=True), schema, strict=True)], schema=schema) for k in range(0, len(rows), step)]
+        out = [tuple(r.values())[:3] for b in ngram_join._stars(80)(iter(batches)) for r in b.to_pylist()]
+        found.append((sorted(set(o for o in out if o[0] == 0)), sorted(o for o in out if o[0] == 2)))
+    lists = collections.defaultdict(set)
+    for x, y, *_ in rows:
+        lists[x].add(y)
+    assert all(f == found[0] for f in found)
+    assert found[0][0] == sorted({(0, y, min(ys)) for ys in lists.values() for y in ys if y != min(ys)})
+    assert found[0][1] == sorted((2, x, y) for x, ys in lists.items() for y in ys if len(ys) > 2)
 
 
 def test_parities_never_drop_a_match():

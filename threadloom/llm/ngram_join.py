@@ -1,12 +1,13 @@
 """Operator 10: exact Jaccard self-join of documents on word n-grams, with set-relation skipping.
 
 Documents of one shingle set form a class and are handled once. Each class puts the prefix of its set in inverted
-lists; lists are sorted by set size, so that runs of sets which are too short, or whose positions leave too few
-shingles, are skipped as blocks; parities of the items over a small bitmap, which bound how much two sets differ,
-drop most of the pairs that would fail before any set is moved. Answers are shared between similar sets in two rounds: first each list links its
-sets to one leader only, which is verified and joins them to groups; a set of a group then takes over its group's answers,
-and only pairs of different groups, of lists with three sets or more, are generated and verified. Every pair that
-passes the prefix, size and position bounds is thus verified or implied, so components are exact.
+lists. When pairs are made, a list is sorted by set size, so that the block of sets which are too large, and those whose
+positions leave too few shingles, are skipped; parities of the items over a small bitmap, which bound how much two sets
+differ, drop most pairs that would fail before any set is moved. Answers are shared between similar sets: first each
+list links its sets to one leader only, then, in a few rounds, to one neighbour of another group. Verified links join
+sets to groups, a set takes over its group's answers, and only pairs of different groups, of lists with three sets or
+more, are generated and verified in the end. Every pair that passes the prefix, size, position and parity bounds is
+thus verified or implied, so components are exact.
 
 Prefixes take rare shingles first. The order is any fixed one; a bounded table of the most frequent shingles (merged
 from per-task counts over all documents) moves these to the end, which keeps lists short. It never changes results.
@@ -29,6 +30,10 @@ from .common import WordHasher, batch_of, column, components, grouped, materiali
 #: Frequent shingles that a task reports, and those kept of all (the table that is sent to the tasks: 1 MB at most).
 HEAVY_PER_TASK, HEAVY = 8192, 65_536
 NO_ID = -(1 << 63)
+#: Entries of a list that are compared among themselves in one task.
+LIST_BLOCK = 8192
+#: Rounds of neighbours before what is left of pairs is compared whole.
+ROUNDS = 3
 
 
 def need(a, b, percent: int):
@@ -81,8 +86,8 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
 
 
 def parity(s: np.ndarray) -> bytes:
-    """Parities of the set's items over as many bits as it has items (a power of two, 64 to 8192)."""
-    bits = min(8192, max(64, 1 << (len(s) - 1).bit_length()))
+    """Parities of the set's items over two to four times as many bits as it has items (a power of two, 64 to 32768)."""
+    bits = min(32_768, max(64, 2 << (len(s) - 1).bit_length()))
     odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -150,11 +155,16 @@ def _postings(n: int, percent: int, heavy):
 _FOUND = pa.schema([("kind", pa.int8()), ("x", pa.int64()), ("y", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("par", pa.binary())])
 
 
-def _chains(percent: int):
-    """Over lists sorted by (x, c, y): kind 0 sets with their list's leader, 1 classes of documents, 2 entries of longer lists."""
+def _stars(percent: int):
+    """Over lists sorted by (x, y): kind 0 sets with their list's leader, 1 classes of documents, 2 entries of longer lists.
+
+    Lists are streamed: of the one that a batch ends in, only its leader, its length and two entries are held.
+    """
 
     def run(batches):
-        for t in grouped(batches, "x"):
+        now = last_y = None  # the list that goes on, and its last set
+        count, leader, held = 0, None, None
+        for t in batches:
             x, y, c, doc = (column(t, k) for k in ("x", "y", "c", "doc"))
             whole = (c & 0xFFFFFFFF) == 0xFFFFFFFF
             if whole.any():
@@ -166,45 +176,92 @@ def _chains(percent: int):
             # Copies of a set reach a list once for each task that read one.
             new = np.ones(len(x), bool)
             new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+            new[0] = (x[0], y[0]) != (now, last_y)
             x, y, c = x[new], y[new], c[new]
-            same = x[1:] == x[:-1]
-            size, pos = c >> 32, c & 0xFFFFFFFF
-            a, b = size[:-1], size[1:]
-            room = np.minimum(a - pos[:-1], b - pos[1:])
-            ok = same & (y[1:] != y[:-1]) & (100 * a >= percent * b) & (room >= need(a, b, percent))
+            if not len(x):
+                continue
+            begins = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+            lengths = np.diff(np.append(begins, len(x)))
+            goes_on = x[0] == now
+            # A list's leader is the set of the smallest digest: in the lists of similar sets, mostly the same one.
+            heads = np.stack([y[begins], c[begins]], 1)
+            totals = lengths.copy()
+            if goes_on:
+                heads[0] = leader
+                totals[0] += count
+            ly, lc = np.repeat(heads[:, 0], lengths), np.repeat(heads[:, 1], lengths)
+            a, b = c >> 32, lc >> 32
+            room = np.minimum(a - (c & 0xFFFFFFFF), b - (lc & 0xFFFFFFFF))
+            ok = (y != ly) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & (room >= need(a, b, percent))
             if ok.any():
-                pairs = np.unique(np.stack([np.minimum(y[:-1], y[1:])[ok], np.maximum(y[:-1], y[1:])[ok]], 1), axis=0)
+                pairs = np.unique(np.stack([y[ok], ly[ok]], 1), axis=0)
                 z = np.zeros(len(pairs), np.int64)
                 yield batch_of(_FOUND, z.astype(np.int8), pairs[:, 0], pairs[:, 1], z, z, [None] * len(z))
-            begins = np.flatnonzero(np.concatenate([[True], ~same]))
-            lengths = np.diff(np.append(begins, len(x)))
-            long = np.repeat(lengths > 2, lengths)
-            if long.any():
-                k = int(long.sum())
-                yield batch_of(_FOUND, np.full(k, 2, np.int8), x[long], y[long], c[long], np.zeros(k, np.int64), [None] * k)
+            long = np.repeat(totals > 2, lengths)
+            ex, ey, ec = x[long], y[long], c[long]
+            if goes_on and totals[0] > 2 and held is not None:
+                ex, ey, ec = np.append(ex, held[0]), np.append(ey, held[1]), np.append(ec, held[2])
+            if len(ex):
+                k = len(ex)
+                yield batch_of(_FOUND, np.full(k, 2, np.int8), ex, ey, ec, np.zeros(k, np.int64), [None] * k)
+            tail = begins[-1]
+            only = goes_on and len(begins) == 1
+            kept = (x[tail:], y[tail:], c[tail:])
+            if totals[-1] > 2:
+                held = None
+            elif only and held is not None:
+                held = tuple(np.append(h, k) for h, k in zip(held, kept, strict=True))
+            else:
+                held = kept
+            now, last_y, count, leader = x[-1], y[-1], int(totals[-1]), heads[-1].copy()
+
+    return run
+
+
+def _neighbours(percent: int):
+    """Over lists sorted by x and a common random order of sets: pairs of neighbours of different groups that may match."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        last = None
+        for batch in batches:
+            rows = list(zip(*(batch.column(batch.schema.get_field_index(k)).to_pylist() for k in ("x", "grp", "rep", "size", "par")), strict=True))
+            out = set()
+            for row in rows:
+                if last is not None and last[0] == row[0] and last[1] != row[1]:
+                    small, large = sorted((last[3], row[3]))
+                    pair = (min(last[2], row[2]), max(last[2], row[2]))
+                    if 100 * small >= percent * large and pair not in out:
+                        own, other = np.frombuffer(last[4], np.uint64), np.frombuffer(row[4], np.uint64)
+                        if may_match(own, [other], last[3], np.array([row[3]]), percent)[0]:
+                            out.add(pair)
+                last = row
+            if out:
+                yield batch_of(schema, *zip(*sorted(out), strict=True))
 
     return run
 
 
 def _crossings(percent: int):
-    """Over lists sorted by (x, size): pairs of different groups that the size, position and parity bounds leave."""
+    """Over blocks of lists sorted by (work, x, size): pairs of different groups that the size, position and parity
+    bounds leave; in a block pair, those of different blocks."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
-        for t in grouped(batches, "x"):
-            x, rep, size, pos, group = (column(t, k) for k in ("x", "rep", "size", "pos", "grp"))
+        for t in grouped(batches, "work"):
+            x, side, rep, size, pos, group = (column(t, k) for k in ("x", "side", "rep", "size", "pos", "grp"))
             begins = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
-            low, high = np.minimum.reduceat(group, begins), np.maximum.reduceat(group, begins)
-            ends = np.append(begins[1:], len(x))
             raw = column(t, "par")
-            for g in np.flatnonzero(low != high):
-                s, e = begins[g], ends[g]
+            for s, e in zip(begins, np.append(begins[1:], len(x)), strict=True):
+                apart = side[s:e].min() != side[s:e].max()
                 own = {k: np.frombuffer(raw[k], np.uint64) for k in range(s, e)}
                 for i in range(s, e - 1):
                     # The list ascends by size: the block of larger sets that may still match ends here.
                     j = s + int(np.searchsorted(size[s:e], size[i] * 100 // percent, "right"))
                     k = np.arange(i + 1, j)
                     k = k[(group[k] != group[i]) & (rep[k] != rep[i]) & (np.minimum(size[i] - pos[i], size[k] - pos[k]) >= need(size[i], size[k], percent))]
+                    if apart:
+                        k = k[side[k] != side[i]]
                     if len(k):
                         k = k[may_match(own[i], [own[o] for o in k.tolist()], size[i], size[k], percent)]
                     if len(k):
@@ -282,8 +339,8 @@ def ngram_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     heavy = spark.sparkContext.broadcast((hashes[order], np.array([r["c"] for r in top], np.int64)[order]))
 
     lists = texts.mapInArrow(_postings(n, percent, heavy), "x long, y long, c long, doc long, par binary")
-    dealt = lists.repartition("x").sortWithinPartitions("x", F.shiftright("c", 32), "y", "c")
-    found = materialize(dealt.mapInArrow(_chains(percent), "kind byte, x long, y long, c long, doc long, par binary"), "lists")
+    dealt = lists.repartition("x").sortWithinPartitions("x", "y", "c")
+    found = materialize(dealt.mapInArrow(_stars(percent), "kind byte, x long, y long, c long, doc long, par binary"), "lists")
 
     members = found.where("kind = 1").selectExpr("doc", "x as high", "y as low", "c as size", "par")
     classes = materialize(members.where(f"size > 0 and doc <> {NO_ID}").groupBy("high", "low").agg(F.min("doc").alias("rep"), F.min("size").alias("size"), F.first("par").alias("par")), "classes")
@@ -292,29 +349,55 @@ def ngram_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     near = found.where("kind = 0").select("x", "y").distinct()
     near = near.join(by_low.toDF("x", "a", "na", "pa"), "x").join(by_low.toDF("y", "b", "nb", "pb"), "y").where("a <> b")
     near = near.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_likely(percent), "a long, b long")
-    near = near.selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct()
+    near = near.distinct()
+
+    def contents(ids: DataFrame) -> DataFrame:
+        """(id, items) of the classes named in a column `id`."""
+        wanted = ids.distinct().join(classes.select(F.col("rep").alias("id"), "high", "low"), "id")
+        sets = texts.withColumnRenamed("doc_id", "id").join(wanted.hint("shuffle_hash"), "id")
+        return materialize(sets.mapInArrow(_contents(n), "id long, items binary"), "sets")
 
-    def verified(pairs: DataFrame, tag: str) -> DataFrame:
-        pairs = materialize(pairs, f"pairs-{tag}")
-        wanted = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "id").join(classes.select(F.col("rep").alias("id"), "high", "low"), "id")
-        sets = texts.withColumnRenamed("doc_id", "id").join(wanted.hint("shuffle_hash"), "id").mapInArrow(_contents(n), "id long, items binary")
-        sets = materialize(sets, f"sets-{tag}")
+    def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         sides = pairs.join(sets.withColumnRenamed("id", "b"), "b").select("a", "b", "items")
         own = sets.withColumnRenamed("id", "a").join(pairs.select("a").distinct(), "a").selectExpr("a", "cast(null as long) as b", "items")
         rows = sides.union(own).repartition("a").sortWithinPartitions("a", F.asc_nulls_first("b"))
-        out = materialize(rows.mapInArrow(_verify(percent), "a long, b long").distinct(), f"links-{tag}")
-        release(pairs, sets)
-        return out
-
-    links = verified(near, "chains")
+        return materialize(rows.mapInArrow(_verify(percent), "a long, b long").distinct(), "links")
+
+    def grouped_by(rows: DataFrame) -> DataFrame:
+        """Entries with their present group, of lists that hold several."""
+        own = rows.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("grp", F.coalesce("component", "rep")).drop("component")
+        mixed = own.groupBy("x").agg(F.min("grp").alias("g0"), F.max("grp").alias("g1"), F.count("*").alias("in_list")).where("g0 <> g1")
+        return own.join(mixed.select("x", "in_list"), "x")
+
+    near = materialize(near, "pairs")
+    sets = contents(near.selectExpr("a as id").union(near.selectExpr("b as id")))
+    links = verified(near, sets)
+    release(near, sets)
     groups = components(links)
-    entries = found.where("kind = 2").select("x", F.col("y").alias("low"), "c").join(by_low, "low")
-    entries = entries.join(groups.withColumnRenamed("node", "rep"), "rep", "left").selectExpr("x", "rep", "size", "c & 4294967295 as pos", "coalesce(component, rep) as grp", "par")
-    crossed = entries.repartition("x").sortWithinPartitions("x", "size", "rep").mapInArrow(_crossings(percent), "a long, b long").distinct()
-    crossed = materialize(crossed.join(links, ["a", "b"], "left_anti"), "crossed")
-    if not crossed.isEmpty():
-        links = links.union(verified(crossed, "crossed"))
-        groups = components(links)
+
+    entries = found.where("kind = 2").select("x", F.col("y").alias("low"), (F.col("c").bitwiseAND(0xFFFFFFFF)).alias("pos")).join(by_low.select("low", "rep", "size"), "low").drop("low")
+    entries = grouped_by(entries).select("x", "rep", "size", "pos").join(by_low.select("rep", "par"), "rep")
+    entries = materialize(entries, "entries")
+    if not entries.isEmpty():
+        sets = contents(entries.select(F.col("rep").alias("id")))
+        # A few rounds of neighbours let the sets of a dense family take over each other's group, so that few pairs are left.
+        for k in range(ROUNDS):
+            dealt = grouped_by(entries).withColumn("turn", F.xxhash64("rep", F.lit(k))).repartition("x").sortWithinPartitions("x", "turn", "rep")
+            pairs = materialize(dealt.mapInArrow(_neighbours(percent), "a long, b long").distinct(), "pairs")
+            links = links.union(verified(pairs, sets))
+            release(pairs)
+            groups = components(links)
+        # Whatever pairs of groups are left: all of them. Long lists are dealt as pairs of blocks.
+        left = grouped_by(entries).withColumn("blocks", F.ceil(F.col("in_list") / LIST_BLOCK).cast("long")).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
+        left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        work = F.xxhash64("x", F.least("block", "other"), F.greatest("block", "other"))
+        left = left.select(work.alias("work"), "x", (F.col("block") > F.col("other")).cast("int").alias("side"), "rep", "size", "pos", "grp", "par")
+        crossed = left.repartition("work").sortWithinPartitions("work", "x", "size", "rep").mapInArrow(_crossings(percent), "a long, b long").distinct()
+        crossed = materialize(crossed, "crossed")
+        if not crossed.isEmpty():
+            links = links.union(verified(crossed, sets))
+            groups = components(links)
+        release(sets, entries, crossed)
 
     reps = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").selectExpr("high", "low", "rep", "coalesce(component, rep) as component")
     named = members.join(reps, ["high", "low"], "left")
