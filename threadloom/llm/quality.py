@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, WordHasher, crc_fold, map_arrow, schema_with, slabs, table, utf8
+from .common import WS, WordHasher, crc_fold, distinct, map_arrow, schema_with, slabs, table, utf8
 
 STATS = ["chars", "words", "word_length", "word_spread", "upper", "digits", "symbols", "points", "wide", "lines", "distinct", "phrases", "marked_ends", "line_words", "short_words", "line_repeats"]
 SAMPLE = 20_000
@@ -76,10 +76,10 @@ def text_statistics(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher) -
     for i in range(n):
         w = hashes[where[i] : where[i + 1]]
         if len(w):
-            different[i] = len(np.unique(w)) / len(w)
+            different[i] = len(distinct(w)) / len(w)
         if len(w) > 2:
             phrase = w[:-2] * np.uint64(0x9E3779B97F4A7C15) + w[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + w[2:]
-            phrases[i] = len(np.unique(phrase)) / len(phrase)
+            phrases[i] = len(distinct(phrase)) / len(phrase)
         cuts = newline[np.searchsorted(newline, off[i]) : np.searchsorted(newline, off[i + 1])]
         if len(cuts):
             own = b[off[i] : off[i + 1]].tobytes().split(b"\n")
