@@ -78,9 +78,13 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     before = after.join(ids.select(F.col("doc_id").alias("k"), "need"), F.col("doc_id").eqNullSafe(F.col("k"))).select(F.col("next_id").alias("id"), F.col("doc_id").alias("to"), "need")
     before = before.join(ids.select(F.col("doc_id").alias("k"), "pick"), F.col("id").eqNullSafe(F.col("k"))).drop("k")
     heads = texts.join(before, texts["doc_id"].eqNullSafe(F.col("id")))
-    heads = heads.where(F.sha2("text", 256) == F.col("pick")).select("to", F.substring("text", F.lit(1), F.col("need")).alias("head"), leaves(F.col("text")).alias("next_leaves"))
+    # Only ids that repeat need their pick; as a filter it would become a join key and shuffle the texts once more.
+    repeated = ids.where("copies > 1").limit(1).count() > 0
+    if repeated:
+        heads = heads.where(F.sha2("text", 256) == F.col("pick"))
+    heads = heads.select("to", F.substring("text", F.lit(1), F.col("need")).alias("head"), leaves(F.col("text")).alias("next_leaves"))
     # Rows that repeat an id and a text give the same head more than once; where there are any, one stays.
-    if ids.where("copies > 1").limit(1).count():
+    if repeated:
         heads = heads.groupBy("to").agg(F.first("head").alias("head"), F.first("next_leaves").alias("next_leaves"))
     joined = texts.join(heads, texts["doc_id"].eqNullSafe(heads["to"]))
     whole = joined.select("doc_id", "text", edited(F.col("text"), F.col("head")).alias("new"), "next_leaves")
