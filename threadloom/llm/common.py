@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _OWN_DIR: list[str] = []
-_LEFT: dict[str, SparkSession] = {}
 
 #: Bytes of text handled at once by the vectorised kernels; a longer document is handled alone.
 SLAB = 1 << 20
