@@ -34,6 +34,8 @@ NO_ID = -(1 << 63)
 LIST_BLOCK = 8192
 #: Rounds of neighbours before what is left of pairs is compared whole.
 ROUNDS = 3
+#: In these rounds a set is compared in so many of its lists, the first; the pass over all pairs left takes every list.
+NEAR_LISTS = 32
 
 
 def need(a, b, percent: int):
@@ -376,13 +378,13 @@ def ngram_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     groups = components(links)
 
     entries = found.where("kind = 2").select("x", F.col("y").alias("low"), (F.col("c").bitwiseAND(0xFFFFFFFF)).alias("pos")).join(by_low.select("low", "rep", "size"), "low").drop("low")
-    entries = grouped_by(entries).select("x", "rep", "size", "pos").join(by_low.select("rep", "par"), "rep")
-    entries = materialize(entries, "entries")
+    entries = materialize(grouped_by(entries).select("x", "rep", "size", "pos"), "entries")
+    parities = by_low.select("rep", "par")
     if not entries.isEmpty():
         sets = contents(entries.select(F.col("rep").alias("id")))
         # A few rounds of neighbours let the sets of a dense family take over each other's group, so that few pairs are left.
         for k in range(ROUNDS):
-            dealt = grouped_by(entries).withColumn("turn", F.xxhash64("rep", F.lit(k))).repartition("x").sortWithinPartitions("x", "turn", "rep")
+            dealt = grouped_by(entries).where(F.col("pos") < NEAR_LISTS).join(parities, "rep").withColumn("turn", F.xxhash64("rep", F.lit(k))).repartition("x").sortWithinPartitions("x", "turn", "rep")
             pairs = materialize(dealt.mapInArrow(_neighbours(percent), "a long, b long").distinct(), "pairs")
             links = links.union(verified(pairs, sets))
             release(pairs)
@@ -391,7 +393,7 @@ def ngram_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         left = grouped_by(entries).withColumn("blocks", F.ceil(F.col("in_list") / LIST_BLOCK).cast("long")).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
         left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         work = F.xxhash64("x", F.least("block", "other"), F.greatest("block", "other"))
-        left = left.select(work.alias("work"), "x", (F.col("block") > F.col("other")).cast("int").alias("side"), "rep", "size", "pos", "grp", "par")
+        left = left.select(work.alias("work"), "x", (F.col("block") > F.col("other")).cast("int").alias("side"), "rep", "size", "pos", "grp").join(parities, "rep")
         crossed = left.repartition("work").sortWithinPartitions("work", "x", "size", "rep").mapInArrow(_crossings(percent), "a long, b long").distinct()
         crossed = materialize(crossed, "crossed")
         if not crossed.isEmpty():
