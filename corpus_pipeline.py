@@ -21,7 +21,7 @@ def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated passages out of the texts."""
-    out = substring_dedup.remove_repeats(docs)
+    out = substring_dedup.remove_runs(docs)
     return out.selectExpr(*(f"cast(length(text) as {t}) as n_chars" if c == "n_chars" else f"`{c}`" for c, t in docs.dtypes))
 
 

@@ -151,15 +151,20 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 class WordHasher:
-    """64-bit hashes of the words of a slab of texts (words: runs without \\x20 and \\x09-\\x0D; A-Z lower-cased)."""
+    """64-bit hashes of the words of a slab of texts (words: runs without \\x20 and \\x09-\\x0D; A-Z lower-cased by default)."""
 
-    def __init__(self):
+    def __init__(self, fold: np.ndarray = LOWER):
         self.up = self.down = np.zeros(0, np.uint64)
+        self.fold = fold
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray):
         """Word hashes, and for each document the index of its first word (n + 1 entries)."""
+        return self.places(data, offsets)[:2]
+
+    def places(self, data: np.ndarray, offsets: np.ndarray):
+        """The same, and where in the slab each word starts."""
         base = int(offsets[0])
-        b = LOWER[data[base : int(offsets[-1])]]
+        b = self.fold[data[base : int(offsets[-1])]]
         n = len(b)
         if len(self.up) < n + 1:
             self.up, self.down = _powers(_BASE, n + 1), _powers(_INVERSE, n + 1)
@@ -178,7 +183,7 @@ class WordHasher:
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(BYTE_KEYS[b] * self.up[:n], out=total[1:])
         h = mix64((total[ends] - total[starts]) * self.down[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        return h, np.searchsorted(starts, offsets - base)
+        return h, np.searchsorted(starts, offsets - base), starts
 
 
 _SHINGLE_BASE = np.uint64(0xA24BAED4963EE407)

@@ -1,31 +1,42 @@
-"""Operator 3: removal of repeated passages by content-defined chunking with a gear rolling hash.
+"""Operator 3: removal of repeated passages, to the word.
 
-Texts are cut behind white space where the gear hash of the last 32 bytes is zero in its top bits, so cuts depend on
-the content near them alone and an insertion shifts no later cut. Chunks are deduplicated by a 128-bit digest: the
-first occurrence, by (doc_id, position), stays. A later one goes if the run of repeated chunks it stands in holds at
-least `min_words` words, so that short phrases which recur by nature are left alone.
+`remove_runs` (the query and the pipeline's stage): every run of `min_words` words that occurred before, by
+(doc_id, position), goes, wherever it starts and ends. Each word starts a window of `min_words` words with an 80-bit
+hash; a window is a repeat if the first window of its hash is of another document, or stands wholly before it in its
+own. The words of all repeats are cut out, so a repeated passage goes from its first word to its last, and what two
+texts share in fewer words stays. Words are compared as they are written, white space between them isn't.
 
-A task sends each digest on at most once for every block of its chunks and reports further occurrences itself, so
-the most frequent chunk reaches its reducer once for each block, not once for each occurrence.
+Windows are dealt by ranges of their hash as packed blocks. A task sends a hash on once for every block of its windows
+and reports further occurrences itself, so the most frequent window reaches its reducer once for each block. The number
+of ranges grows with the text.
 
-Defined cases: null and empty texts and rows without doc_id come back unchanged and take no part; a text without
-white space is cut every `most` bytes; repeated rows of one id count as one document, so both keep the first
-occurrence; further columns, whatever their names, pass through; an empty table gives an empty table.
+`remove_repeats` works on whole chunks: texts are cut behind white space where the gear hash of the last 32 bytes is
+zero in its top bits, so cuts depend on the content near them alone and an insertion shifts no later cut. Chunks are
+deduplicated by a 128-bit digest: the first occurrence, by (doc_id, position), stays. A later one goes if the run of
+repeated chunks it stands in holds at least `min_words` words. It sees a passage only where whole chunks lie in it.
+
+Defined cases: null and empty texts and rows without doc_id come back unchanged and take no part; in `remove_repeats` a
+text without white space is cut every `most` bytes; repeated rows of one id count as one document, so both keep the
+first occurrence; further columns, whatever their names, pass through; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_KEYS, WS, batch_of, column, grouped, map_arrow, schema_with, slabs, table, utf8
+from .common import BYTE_KEYS, WS, WordHasher, batch_of, column, grouped, map_arrow, mix64, schema_with, slabs, table, utf8
 
 LEAST, MOST, BITS, MIN_WORDS = 32, 1024, 3, 20
 #: Chunks that a task compares among themselves before it sends them on.
 BLOCK = 200_000
+#: The same for windows, and the bytes of text whose windows make one range.
+WINDOWS, RANGE_BYTES = 1_500_000, 16 << 20
 
 
 def cut_points(data: np.ndarray, offsets: np.ndarray, least: int, most: int, bits: int):
@@ -178,7 +189,224 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, least: int = LEA
     return map_arrow(joined, _cleaned(least, most, bits, min_words), schema_with(docs, "_chunks_repeated long, _chars_removed long, _spans_removed string"))
 
 
+# ---------------------------------------------------------------- runs of words
+
+_PACKED = pa.schema([("key", pa.int32()), ("again", pa.bool_()), ("n", pa.int32()), ("size", pa.int32()), ("packed", pa.binary())])
+_PACKED_DDL = "key int, again boolean, n int, size int, packed binary"
+_NO_FOLD = np.arange(256, dtype=np.uint8)
+
+
+def _windows(hasher: WordHasher, data, offsets, k: int):
+    """(hashes, second hashes, first words, valid, word starts) of the windows of k words of a slab, one for each word."""
+    words, first, starts = hasher.places(data, offsets)
+    n = len(words)
+    h, g = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+    other = words ^ (words >> np.uint64(29))
+    for j in range(min(k, n)):
+        h[: n - j] = h[: n - j] * np.uint64(0xA24BAED4963EE407) + words[j:]
+        g[: n - j] = g[: n - j] * np.uint64(0x9FB21C651E98DF25) + other[j:]
+    valid = np.arange(n) + k <= np.repeat(first[1:], np.diff(first))
+    return mix64(h), (mix64(g) >> np.uint64(48)).astype(np.uint16), first, valid, starts
+
+
+def _pack(*arrays) -> tuple[int, bytes]:
+    """Arrays by planes of bytes, compressed."""
+    raw = b"".join(a.view(np.uint8).reshape(-1, a.dtype.itemsize).T.tobytes() for a in arrays)
+    return len(raw), pa.Codec("zstd").compress(raw, asbytes=True)
+
+
+def _unpack(packed: bytes, size: int, n: int, *kinds):
+    """Arrays of n values of these types; (type, m): of m values."""
+    raw, at, out = pa.Codec("zstd").decompress(packed, size, asbytes=True), 0, []
+    for kind in kinds:
+        kind, m = kind if isinstance(kind, tuple) else (kind, n)
+        wide = np.dtype(kind).itemsize
+        planes = np.frombuffer(raw, np.uint8, m * wide, at).reshape(wide, m)
+        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
+        at += m * wide
+    return out
+
+
+def _replies(ranges: int, doc, pos, mark):
+    """Repeats as packed rows, dealt by their documents."""
+    place = (mix64(doc.astype(np.uint64)) % np.uint64(ranges)).astype(np.int32)
+    order = np.lexsort((pos, doc, place))
+    doc, pos, mark, place = doc[order], pos[order], mark[order], place[order]
+    cuts = [0, *(np.flatnonzero(place[1:] != place[:-1]) + 1).tolist(), len(place)]
+    for s, e in zip(cuts, cuts[1:], strict=False):
+        if s < e:
+            yield batch_of(_PACKED, [place[s]], [True], [e - s], *([x] for x in _pack(np.diff(doc[s:e], prepend=0), pos[s:e], mark[s:e])))
+
+
+def _repeated(k: int, h, g, doc, pos):
+    """Over windows sorted by (h, g, doc, pos): which repeat the first of their hash, and which are that first itself again."""
+    same = np.zeros(len(h), bool)
+    same[1:] = (h[1:] == h[:-1]) & (g[1:] == g[:-1])
+    first = np.maximum.accumulate(np.where(same, 0, np.arange(len(h))))
+    own = doc == doc[first]
+    return same & (~own | (pos - pos[first] >= k)), same & own & (pos == pos[first])
+
+
+def _sent_windows(ranges: int, k: int):
+    def run(batches):
+        hasher, held, size = WordHasher(_NO_FOLD), [], 0
+
+        def flush():
+            held.sort(key=lambda x: x[0])
+            h, g, pos = (np.concatenate([x[c] for x in held]) for c in (1, 2, 3))
+            doc = np.repeat(np.array([x[0] for x in held], np.int64), [len(x[1]) for x in held])
+            order = np.lexsort((pos, doc, g, h)) if len({x[0] for x in held}) < len(held) else np.argsort(h, kind="stable")
+            h, g, doc, pos = h[order], g[order], doc[order], pos[order]
+            if ((h[1:] == h[:-1]) & (g[1:] != g[:-1])).any():
+                order = np.lexsort((pos, doc, g, h))
+                h, g, doc, pos = h[order], g[order], doc[order], pos[order]
+            again, twin = _repeated(k, h, g, doc, pos)
+            yield from _replies(ranges, doc[again], pos[again], h[again].astype(np.uint32))
+            left = ~again & ~twin
+            h, g, doc, pos = h[left], g[left], doc[left], pos[left]
+            key = ((h >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
+            cuts = np.searchsorted(key, np.arange(ranges + 1))
+            for r in np.flatnonzero(np.diff(cuts)):
+                s, e = cuts[r], cuts[r + 1]
+                ids, at = np.unique(doc[s:e], return_inverse=True)
+                steps = np.diff(h[s:e], prepend=np.uint64(0))
+                packed = _pack(np.diff(ids, prepend=0), steps, g[s:e], at.astype(np.uint32), pos[s:e])
+                yield batch_of(_PACKED, [r], [False], [e - s], *([x] for x in packed))
+
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            data, offsets, _ = utf8(batch.column(1))
+            for i, j in slabs(offsets):
+                h, g, first, valid, _ = _windows(hasher, data, offsets[i : j + 1], k)
+                for r in range(j - i):
+                    s = first[r]
+                    e = s + int(np.count_nonzero(valid[s : first[r + 1]]))
+                    if e > s:
+                        held.append((ids[i + r], h[s:e].copy(), g[s:e].copy(), np.arange(e - s, dtype=np.int32)))
+                        size += e - s
+                if size >= WINDOWS:
+                    yield from flush()
+                    held, size = [], 0
+        if held:
+            yield from flush()
+
+    return run
+
+
+def _window_repeats(ranges: int, k: int):
+    """Over packed windows sorted by key: packed repeats. Those that a task found itself pass through."""
+
+    def run(batches):
+        for t in grouped(batches, "key"):
+            parts = []
+            for again, n, size, packed in zip(*(t.column(c).to_pylist() for c in ("again", "n", "size", "packed")), strict=True):
+                if again:
+                    continue
+                m = (size - 18 * n) // 8
+                ids, steps, second, at, pos = _unpack(packed, size, n, ("i8", m), "u8", "u2", "u4", "i4")
+                parts.append((np.cumsum(steps, dtype=np.uint64), second, np.cumsum(ids)[at], pos))
+            for row in t.filter(t.column("again")).to_batches():
+                yield row.select(_PACKED.names).cast(_PACKED)
+            if not parts:
+                continue
+            h, g, doc, pos = (np.concatenate([x[c] for x in parts]) for c in range(4))
+            del parts
+            order = np.argsort(h, kind="stable")
+            s = h[order]
+            met = np.zeros(len(s), bool)
+            met[1:] = s[1:] == s[:-1]
+            met[:-1] |= met[1:]
+            order = order[met]  # only hashes that occur more than once
+            h, g, doc, pos = h[order], g[order], doc[order], pos[order]
+            order = np.lexsort((pos, doc, g, h))
+            h, g, doc, pos = h[order], g[order], doc[order], pos[order]
+            if len(h):
+                again, _ = _repeated(k, h, g, doc, pos)
+                yield from _replies(ranges, doc[again], pos[again], h[again].astype(np.uint32))
+
+    return run
+
+
+def _marks(batches):
+    """Over packed repeats sorted by key: of each document the first words of its repeated windows, and their hashes."""
+    schema = pa.schema([("doc", pa.int64()), ("marks", pa.binary())])
+    for t in grouped(batches, "key"):
+        parts = []
+        for n, size, packed in zip(*(t.column(c).to_pylist() for c in ("n", "size", "packed")), strict=True):
+            doc, pos, mark = _unpack(packed, size, n, "i8", "i4", "u4")
+            parts.append((np.cumsum(doc), pos, mark))
+        doc, pos, mark = (np.concatenate([x[c] for x in parts]) for c in range(3))
+        order = np.lexsort((pos, doc))
+        doc, both = doc[order], (pos[order].astype(np.uint64) << np.uint64(32)) | mark[order]
+        cuts = [0, *(np.flatnonzero(doc[1:] != doc[:-1]) + 1).tolist(), len(doc)]
+        yield batch_of(schema, doc[cuts[:-1]], [both[s:e].tobytes() for s, e in zip(cuts, cuts[1:], strict=False)])
+
+
+def _without_runs(k: int):
+    def run(batches):
+        hasher = WordHasher(_NO_FOLD)
+        for batch in batches:
+            at = {n: batch.schema.get_field_index(n) for n in ("text", "_marks")}
+            text, marks = batch.column(at["text"]), batch.column(at["_marks"])
+            n = batch.num_rows
+            stats, spans, new = np.zeros((2, n), np.int64), [""] * n, {}
+            rows = np.flatnonzero(np.asarray(marks.is_valid()))
+            data, offsets, _ = utf8(text.take(pa.array(rows)))
+            for i, j in slabs(offsets):
+                h, _, first, valid, starts = _windows(hasher, data, offsets[i : j + 1], k)
+                for r in range(j - i):
+                    s, e = first[r], first[r + 1]
+                    if not valid[s:e].any():
+                        continue
+                    m = e - s - k + 1
+                    keys = (np.arange(m, dtype=np.uint64) << np.uint64(32)) | h[s : s + m].astype(np.uint32)
+                    row = int(rows[i + r])
+                    hit = np.isin(keys, np.frombuffer(marks[row].as_py(), np.uint64))
+                    if not hit.any():
+                        continue
+                    depth = np.zeros(e - s + 1, np.int64)
+                    depth[:m] += hit
+                    depth[k : k + m] -= hit
+                    cut = np.cumsum(depth)[:-1] > 0
+                    edges = np.flatnonzero(np.diff(cut.astype(np.int8), prepend=0, append=0))
+                    own = memoryview(data[offsets[i + r] : offsets[i + r + 1]])
+                    to = np.append(starts[s:e] - (offsets[i + r] - offsets[i]), len(own))
+                    # A run goes with the white space behind it.
+                    cuts = [(int(to[a]), int(to[b])) for a, b in edges.reshape(-1, 2)]
+                    parts, last = [], 0
+                    for a, b in cuts:
+                        parts.append(own[last:a])
+                        stats[1, row] += len(bytes(own[a:b]).decode())
+                        last = b
+                    new[row] = b"".join([*parts, own[last:]]).decode()
+                    spans[row] = ",".join(f"{a}-{b}" for a, b in cuts)
+                    ends = next(cut_points(data, offsets[i + r : i + r + 2], LEAST, MOST, BITS))[1]
+                    stats[0, row] = sum(any(a < y and x < b for a, b in cuts) for x, y in zip([0, *ends[:-1]], ends, strict=True))
+            if new:
+                text = pa.array([new.get(r, x) for r, x in enumerate(text.to_pylist())], pa.string())
+            columns = [text if i == at["text"] else c for i, c in enumerate(batch.columns) if i != at["_marks"]]
+            names = [f.name for f in batch.schema if f.name != "_marks"]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(stats[0]), pa.array(stats[1]), pa.array(spans)], names=[*names, "_chunks_repeated", "_chars_removed", "_spans_removed"])
+
+    return run
+
+
+def remove_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """`docs` with every repeated run of `min_words` words or more removed from text, to the word.
+
+    _chunks_repeated: the content-defined chunks of the text that a cut touches; _chars_removed; _spans_removed as
+    those of `remove_repeats`.
+    """
+    texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    ranges = max(8, math.ceil((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / RANGE_BYTES))
+    sent = texts.mapInArrow(_sent_windows(ranges, min_words), _PACKED_DDL)
+    again = sent.repartition("key").sortWithinPartitions("key").mapInArrow(_window_repeats(ranges, min_words), _PACKED_DDL)
+    by_doc = again.repartition("key").sortWithinPartitions("key").mapInArrow(_marks, "_repeats_of long, _marks binary")
+    joined = docs.join(by_doc, docs["doc_id"] == by_doc["_repeats_of"], "left").drop("_repeats_of")
+    return map_arrow(joined, _without_runs(min_words), schema_with(docs, "_chunks_repeated long, _chars_removed long, _spans_removed string"))
+
+
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """Every document with what is left of its text."""
-    out = remove_repeats(table(spark, sf_dir, "documents"))
+    out = remove_runs(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "text", F.col("_chunks_repeated").alias("chunks_repeated"), F.col("_chars_removed").alias("chars_removed"), F.col("_spans_removed").alias("spans_removed"))
