@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from threadloom.llm import substring_dedup
+from threadloom.llm import embedding_dedup, substring_dedup
 
 
 def words(rng, n, size):
@@ -51,3 +51,27 @@ def test_op3_finds_every_repeated_run(spark, tmp_path, monkeypatch, block):
     both = spark.createDataFrame([(1, texts[50]), (2, texts[50]), (2, texts[52])], "doc_id long, text string")
     assert sorted(r["text"] for r in substring_dedup.remove_runs(both).collect()) == sorted(["", texts[50], texts[52]])
     assert substring_dedup.remove_runs(df.limit(0)).count() == 0
+
+
+def cone(rng, n, cosine, dims=64):
+    """Vectors about one axis, of that mean cosine to each other."""
+    axis = np.zeros(dims)
+    axis[0] = np.sqrt(cosine)
+    side = rng.standard_normal((n, dims))
+    side[:, 0] = 0
+    return axis + side * np.sqrt((1 - cosine) / (dims - 1))
+
+
+@pytest.mark.parametrize("block", [8192, 700])
+def test_op1_loses_no_link_of_a_hot_cone(spark, monkeypatch, block):
+    rng = np.random.default_rng(12)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+    v = np.concatenate([cone(rng, 3000, 0.9), rng.standard_normal((1000, 64))])
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    hit = (u @ u.T) >= 0.95
+    root = np.arange(len(v))
+    for a, b in zip(*np.nonzero(np.triu(hit, 1)), strict=True):
+        root[root == max(root[a], root[b])] = min(root[a], root[b])
+    df = spark.createDataFrame(list(enumerate(v.tolist())), "vec_id long, embedding array<double>").repartition(3)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_vectors(df).collect()}
+    assert hit.sum() > len(v) and got == {i: (int(hit[i].sum()) - 1, int(root[i])) for i in range(len(v))}

@@ -2,7 +2,9 @@
 
 Equal vectors form a class. In each pass, vectors are ordered by the concatenated bits of random hyperplane hashes,
 and each is compared with the next `window` vectors; windows that cross task borders are completed from the borders'
-rows. Verified pairs (cosine in double precision) of all passes are joined to components. A component's links are
+rows. Vectors that in a quarter of the passes are still alike (cosine `DENSE`) to the last one of their window lie too
+dense for it: they are cut into blocks, and block pairs are compared whole unless the blocks' centres and radii rule
+links out, so a dense range loses no pair. Verified pairs (cosine in double precision) are joined to components. A component's links are
 then counted whole: its members are dealt to blocks, and block pairs are multiplied, so that dense groups, whose
 links no bounded window shows, lose none and no pair of a group is written out.
 
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 from .common import batch_of, column, components, grouped, materialize, release, table
 
 PASSES, WINDOW, BITS, THRESHOLD, SEED = 20, 12, 62, 0.95, 20_240
+#: Cosine to the last vector of a window from which the window is too small for its range.
+DENSE = 0.6
 #: Vectors of a block when a component's links are counted.
 BLOCK = 8192
 STEP = 1024
@@ -155,6 +159,10 @@ def _windows(window: int, threshold: float):
                     n = len(pairs)
                     none = [None] * n
                     yield batch_of(_SEEN, [of[0]] * n, [of[1]] * n, [part] * n, [-2] * n, [0] * n, *zip(*pairs, strict=True), none)
+                far = (units[:-window] * units[window:]).sum(1) >= DENSE if len(units) > window else np.zeros(0, bool)
+                if far.any():
+                    n = int(far.sum())
+                    yield batch_of(_SEEN, [of[0]] * n, [of[1]] * n, [part] * n, [-3] * n, [0] * n, both[:-window][far], [None] * n, [None] * n)
                 if state["n"] < window:
                     k = min(window - state["n"], e - s)
                     yield border(of, list(range(state["n"], state["n"] + k)), own_ids[:k], own_raw[:k], -1)
@@ -200,6 +208,95 @@ def _borders(window: int, threshold: float):
     return run
 
 
+def _blocks(size: int):
+    """Over vectors sorted by (dim, key): (block, id, dim, v), and for each block a row without id that holds its centre."""
+    schema = pa.schema([("block", pa.int64()), ("id", pa.int64()), ("dim", pa.int32()), ("radius", pa.float64()), ("v", pa.binary())])
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        number, held, of = TaskContext.get().partitionId() << 32, [], None
+
+        def close(rows, n, dim):
+            raw = pa.array([v for _, v in rows], pa.binary())
+            unit = _unit(raw, dim)
+            centre = unit.sum(0)
+            length = np.sqrt((centre * centre).sum())
+            centre = centre / length if length > 0 else unit[0]
+            radius = float(np.arccos(np.clip((unit @ centre).min(), -1, 1)))
+            yield batch_of(schema, [n] * len(rows), [i for i, _ in rows], [dim] * len(rows), [0.0] * len(rows), raw)
+            yield batch_of(schema, [n], [None], [dim], [radius], [centre.tobytes()])
+
+        for batch in batches:
+            for dim, i, v in zip(*(batch.column(k).to_pylist() for k in (0, 3, 4)), strict=True):
+                if held and (dim != of or len(held) == size):
+                    yield from close(held, number, of)
+                    number, held = number + 1, []
+                of = dim
+                held.append((i, v))
+        if held:
+            yield from close(held, number, of)
+
+    return run
+
+
+def _dense_links(threshold: float):
+    """Over the vectors of pairs of blocks, sorted by (work, side): a spanning forest of the links of each pair."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        for t in grouped(batches, "work"):
+            work, side, ids, dim = (column(t, k) for k in ("work", "side", "id", "dim"))
+            raw = t.column("v")
+            raw = raw.combine_chunks() if isinstance(raw, pa.ChunkedArray) else raw
+            begins = np.flatnonzero(np.concatenate([[True], work[1:] != work[:-1]]))
+            for s, e in zip(begins, np.append(begins[1:], len(work)), strict=True):
+                unit, own = _unit(raw.slice(s, e - s), int(dim[s])), ids[s:e]
+                m = int(np.searchsorted(side[s:e], 1))
+                low = 0 if m == e - s else m  # a block with itself
+                root, out = np.arange(e - s), []
+                for k in range(0, m, STEP):
+                    rows = np.arange(k, min(k + STEP, m))
+                    hit = (unit[rows] @ unit[low:].T) >= threshold
+                    while True:
+                        new = hit & (root[rows][:, None] != root[low:][None, :])
+                        some = np.flatnonzero(new.any(1))
+                        if not len(some):
+                            break
+                        for r, c in zip(rows[some].tolist(), (low + new[some].argmax(1)).tolist(), strict=True):
+                            a, b = root[r], root[c]
+                            if a != b:
+                                root[root == max(a, b)] = min(a, b)
+                                out.append((own[r], own[c]))
+                if out:
+                    yield batch_of(schema, *zip(*out, strict=True))
+
+    return run
+
+
+def _links_of_dense(classes: DataFrame, dense: DataFrame, threshold: float, seed: int) -> DataFrame:
+    """Links that join the vectors of dense ranges, by whole comparison of the blocks that can hold any."""
+    spark = classes.sparkSession
+    rows = classes.join(dense, "id").select("id", "dim", "v").mapInArrow(_keys(1, BITS, seed), "dim int, pass int, key long, id long, v binary")
+    rows = rows.repartitionByRange("dim", "key", "id").sortWithinPartitions("dim", "key", "id")
+    rows = materialize(rows.mapInArrow(_blocks(BLOCK), "block long, id long, dim int, radius double, v binary"), "dense")
+    centres = rows.where("id is null").orderBy("block").collect()
+    pairs = []
+    for k, x in enumerate(centres):
+        same = [y for y in centres[k:] if y["dim"] == x["dim"]]
+        c = np.stack([np.frombuffer(y["v"]) for y in same]) @ np.frombuffer(x["v"])
+        apart = np.arccos(np.clip(c, -1, 1)) - x["radius"] - np.array([y["radius"] for y in same])
+        pairs += [(x["block"], y["block"]) for y, d in zip(same, apart, strict=True) if y is x or d <= np.arccos(threshold) + 1e-6]
+    # Both sides of a pair of blocks come in by their own row of the pair.
+    sides = [(n, b, k) for n, p in enumerate(pairs) for k, b in enumerate(p if p[0] != p[1] else p[:1])]
+    sides = spark.createDataFrame(sides, "work long, block long, side int")
+    work = rows.where("id is not null").join(sides, "block").select("work", "side", "id", "dim", "v")
+    work = work.repartition("work").sortWithinPartitions("work", "side", "id")
+    out = materialize(work.mapInArrow(_dense_links(threshold), "a long, b long"), "dense-links")
+    release(rows)
+    return out
+
+
 def _counts(threshold: float):
     """Over members sorted by (work, side): of each vector the weight of those of the other side that it links to."""
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64())])
@@ -241,11 +338,17 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, passes: int =
     seen = materialize(sorted_.mapInArrow(_windows(window, threshold), "dim int, pass int, part int, spot long, size long, a long, b long, v binary"), "windows")
     border = seen.where("spot > -2").withColumn("lane", F.col("pass").cast("long"))
     border = border.repartition("lane").sortWithinPartitions("lane", "dim", "part", "spot").mapInArrow(_borders(window, threshold), "a long, b long")
-    groups = components(seen.where("spot = -2").select("a", "b").union(border))
+    links = seen.where("spot = -2").select("a", "b").union(border)
+    dense = seen.where("spot = -3").groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n")).where(F.col("n") * 4 >= passes).select("id")
+    whole = None
+    if dense.limit(1).count():
+        whole = _links_of_dense(classes, dense, threshold, seed + 1)
+        links = links.union(whole)
+    groups = components(links)
 
     inside = groups.select(F.col("component").alias("id")).distinct().selectExpr("id", "id as component").union(groups.selectExpr("node as id", "component"))
     inside = materialize(inside, "groups")
-    release(seen)
+    release(seen, *([whole] if whole is not None else []))
     blocks = inside.groupBy("component").agg(F.count("*").alias("m")).select("component", F.ceil(F.col("m") / BLOCK).cast("long").alias("blocks"))
     members = classes.join(inside, "id").join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
