@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from threadloom.llm import embedding_dedup, substring_dedup
+from threadloom.llm import embedding_dedup, licenses, substring_dedup
 
 
 def words(rng, n, size):
@@ -75,3 +75,21 @@ def test_op1_loses_no_link_of_a_hot_cone(spark, monkeypatch, block):
     df = spark.createDataFrame(list(enumerate(v.tolist())), "vec_id long, embedding array<double>").repartition(3)
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_vectors(df).collect()}
     assert hit.sum() > len(v) and got == {i: (int(hit[i].sum()) - 1, int(root[i])) for i in range(len(v))}
+
+
+LGPL = """ * Copyright (C) 2020 A. Author
+ *
+ * This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 3 of the License, or any later version.
+ *
+int f(void);"""
+
+
+@pytest.mark.parametrize("text, name", [
+    ("// SPDX-License-Identifier: MIT\n\nint x;", "MIT"), ("# SPDX-License-Identifier: Apache-2.0", "Apache-2.0"), ("Licensed under GPL-3.0", "GPL-3.0"), ("Mozilla Public License Version 2.0", "MPL-2.0"),
+    ("   GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007\n\nEveryone may copy it.", "GPL-3.0"), (LGPL, "LGPL-3.0"), (LGPL.replace("Lesser", "Affero").replace("library", "program"), "AGPL-3.0"), ("see the licence of the shop", None)])
+def test_op8_reads_tags_titles_and_wrapped_headers(spark, text, name):
+    row = licenses.scan_licenses(spark.createDataFrame([(1, "a/x.c", text)], "doc_id long, path string, text string")).first()
+    assert (row["license"], row["origin"]) == (name, "header" if name else "none")

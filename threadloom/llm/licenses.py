@@ -1,8 +1,10 @@
 """Operator 8: licences of files, by built-in column functions alone.
 
-Pieces of a text (lines and sentences) that speak of licences are compared with templates of licence headers and
-notices by the cosine of sparse TF-IDF vectors; terms outside the templates weigh as the rarest of these. A file's
-licence is that of its most similar piece. A licence file - by its name, or because at least half its words stand in
+Blocks of a text (between blank lines, at most BLOCK_WORDS words) and their pieces (lines and sentences) that speak of
+licences are compared with templates of licence headers, notices, titles and SPDX tags by the cosine of sparse TF-IDF
+vectors; terms outside the templates weigh as the rarest of these. In a block that is similar to a template as a whole,
+pieces count only for the same licence, so a wrapped header isn't judged by one of its lines. A file's licence is that
+of its most similar block or piece. A licence file - by its name, or because at least half its words stand in
 such pieces - gives its licence to its directory; a file without a licence takes that of the nearest directory above
 it which has one, by joins of directories, each directory once.
 
@@ -48,8 +50,22 @@ TEMPLATES = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
+_TITLES = {
+    "AGPL-3.0": "GNU Affero General Public License Version 3", "Apache-2.0": "Apache License Version 2.0", "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License",
+    "EPL-2.0": "Eclipse Public License Version 2.0", "GPL-2.0": "GNU General Public License Version 2", "GPL-3.0": "GNU General Public License Version 3", "ISC": "ISC License",
+    "LGPL-3.0": "GNU Lesser General Public License Version 3", "MIT": "MIT License", "MPL-2.0": "Mozilla Public License Version 2.0",
+}
+_SPDX = sorted({name for name, _ in TEMPLATES})
+_GNU = "This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+TEMPLATES += [(name, f"SPDX-License-Identifier: {tag}") for name in _SPDX for tag in ([name, f"{name}-only", f"{name}-or-later"] if "GPL" in name else [name])]
+TEMPLATES += list(_TITLES.items())
+TEMPLATES += [(name, f"Licensed under {name}") for name in _SPDX]
+TEMPLATES += [(name, _GNU.format(what, kind, version)) for name, kind, version in (("AGPL-3.0", "Affero ", 3), ("GPL-2.0", "", 2), ("GPL-3.0", "", 3), ("LGPL-3.0", "Lesser ", 3)) for what in ("program", "library")]
+#: Longer blocks are compared by their pieces alone.
+BLOCK_WORDS = 300
 SPEAKS = r"(?i)licen[cs]e|spdx|public domain|permission (is hereby|to use)|redistribut|unencumbered"
 LICENSE_NAME = r"(?i)^(licen[cs]e|copying|unlicense)([.-].*)?$"
 _SPLIT = r"[^a-z0-9.+]+"
@@ -105,10 +121,21 @@ def scan_licenses(files: DataFrame, threshold: float = THRESHOLD, templates=None
     """`files` (doc_id, path, text): doc_id, path, license, score, origin (header, inherited, none), given_by."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = files.select("doc_id", F.col("path").cast("string").alias("path"), text.alias("text"))
-    pieces = F.filter(F.split("text", "\n|(?<=\\.) "), lambda p: p.rlike(SPEAKS))
-    words = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
-    rows = rows.select("doc_id", "path", F.when(F.col("text").rlike(SPEAKS), pieces).otherwise(F.array().cast("array<string>")).alias("pieces"), words.alias("words"))
-    rows = rows.withColumn("hits", F.filter(F.transform("pieces", lambda p: F.struct(best_template(p, templates).alias("best"), F.regexp_count(p, F.lit(r"[^\x20\x09-\x0D]+")).alias("words"))), lambda h: h["best"]["score"] >= threshold))
+    n_words = lambda c: F.regexp_count(c, F.lit(r"[^\x20\x09-\x0D]+"))
+    blocks = F.filter(F.split("text", r"\r?\n[ \t*/#;!%<>-]*\r?\n"), lambda b: b.rlike(SPEAKS))
+    rows = rows.select("doc_id", "path", F.when(F.col("text").rlike(SPEAKS), blocks).otherwise(F.array().cast("array<string>")).alias("blocks"), n_words("text").alias("words"))
+    hit = lambda p: F.struct(best_template(p, templates).alias("best"), n_words(p).alias("words"))
+    none = F.struct(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("turn"), F.lit("").alias("name")).alias("best"), F.lit(0).alias("words"))
+    pieces = lambda b: F.filter(F.split(b, "\n|(?<=\\.) "), lambda p: p.rlike(SPEAKS))
+    judged = F.transform("blocks", lambda b: F.struct(F.when(n_words(b) <= BLOCK_WORDS, hit(b)).otherwise(none).alias("whole"), F.filter(F.transform(pieces(b), hit), lambda h: h["best"]["score"] >= threshold).alias("parts")))
+    rows = rows.withColumn("judged", judged)
+
+    def hits(j):
+        alike = j["whole"]["best"]["score"] >= threshold
+        same = F.filter(j["parts"], lambda h: h["best"]["name"] == j["whole"]["best"]["name"])
+        return F.when(alike, F.concat(F.array(j["whole"]), F.transform(same, lambda h: F.struct(h["best"].alias("best"), F.lit(0).alias("words"))))).otherwise(j["parts"])
+
+    rows = rows.withColumn("hits", F.flatten(F.transform("judged", hits)))
     best = F.array_max(F.transform("hits", lambda h: h["best"]))
     spoken = F.aggregate("hits", F.lit(0), lambda a, h: a + h["words"])
     folder = F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).when(F.col("path").isNotNull(), F.lit(""))
