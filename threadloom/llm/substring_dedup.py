@@ -1,14 +1,20 @@
-"""Operator 3: removal of repeated passages, to the word.
-
-`remove_runs` (the query and the pipeline's stage): every run of `min_words` words that occurred before, by
-(doc_id, position), goes, wherever it starts and ends. Each word starts a window of `min_words` words with an 80-bit
-hash; a window is a repeat if the first window of its hash is of another document, or stands wholly before it in its
-own. The words of all repeats are cut out, so a repeated passage goes from its first word to its last, and what two
-texts share in fewer words stays. Words are compared as they are written, white space between them isn't.
-
-Windows are dealt by ranges of their hash as packed blocks. A task sends a hash on once for every block of its windows
-and reports further occurrences itself, so the most frequent window reaches its reducer once for each block. The number
-of ranges grows with the text.
+"""Operator 3: removal of repeated passages by content-defined chunks, to the word.
+
+`remove_runs` (the query and the pipeline's stage): a gear hash rolls over the words of a text, and each word where it
+is the least of some four neighbours starts a chunk, so cuts depend on the two words there and their neighbours alone
+and an insertion shifts no other cut. A chunk ends at the first cut that is `min_words` less 8 words on; chunks overlap.
+They are deduplicated by an 80-bit digest: a chunk is a repeat if its digest stood `min_words` words or more before it
+in its own text, or in another document with a smaller (doc_id, position). Repeats that stand alike in the same two texts form
+a run, which is extended word by word to its ends, by the CONTEXT words on either side of the place that it repeats.
+Runs of `min_words` words or more are cut out, with the white space behind them. Every run of `min_words` words that
+occurred before holds a whole chunk that did, so none is missed; a run is compared with one earlier place for each of
+its chunks, so where copies differ nearby, a part of less than `min_words` may stay. Words are compared as they are
+written, white space between them isn't.
+
+Chunks are dealt by ranges of their digests as packed blocks. A task sends a digest on once for every block of its
+chunks and reports further occurrences itself, so the most frequent chunk reaches its reducer once for each block. The
+number of ranges grows with the text. Places that runs repeat are asked for their contexts once for all runs that share
+them (SALTS times at most), over the one shuffle of the texts that also brings the runs to them.
 
 `remove_repeats` works on whole chunks: texts are cut behind white space where the gear hash of the last 32 bytes is
 zero in its top bits, so cuts depend on the content near them alone and an insertion shifts no later cut. Chunks are
@@ -16,8 +22,9 @@ deduplicated by a 128-bit digest: the first occurrence, by (doc_id, position), s
 repeated chunks it stands in holds at least `min_words` words. It sees a passage only where whole chunks lie in it.
 
 Defined cases: null and empty texts and rows without doc_id come back unchanged and take no part; in `remove_repeats` a
-text without white space is cut every `most` bytes; repeated rows of one id count as one document, so both keep the
-first occurrence; further columns, whatever their names, pass through; an empty table gives an empty table.
+text without white space is cut every `most` bytes; repeated rows of one id and text count as one document, so both keep
+the first occurrence, and in `remove_runs` rows of one id and different texts are different documents, in the order of a
+hash of the text; further columns, whatever their names, pass through; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -26,17 +33,18 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_KEYS, WS, WordHasher, batch_of, column, grouped, map_arrow, mix64, schema_with, slabs, table, utf8
+from .common import BYTE_KEYS, WS, WordHasher, batch_of, column, grouped, map_arrow, materialize, mix64, schema_with, slabs, table, utf8
 
 LEAST, MOST, BITS, MIN_WORDS = 32, 1024, 3, 20
 #: Chunks that a task compares among themselves before it sends them on.
 BLOCK = 200_000
-#: The same for windows, and the bytes of text whose windows make one range.
-WINDOWS, RANGE_BYTES = 1_500_000, 16 << 20
+#: The same for chunks of words, and the bytes of text whose chunks make one range.
+WINDOWS, RANGE_BYTES = 1_000_000, 32 << 20
 
 
 def cut_points(data: np.ndarray, offsets: np.ndarray, least: int, most: int, bits: int):
@@ -191,201 +199,315 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, least: int = LEA
 
 # ---------------------------------------------------------------- runs of words
 
-_PACKED = pa.schema([("key", pa.int32()), ("again", pa.bool_()), ("n", pa.int32()), ("size", pa.int32()), ("packed", pa.binary())])
-_PACKED_DDL = "key int, again boolean, n int, size int, packed binary"
+_PACKED = pa.schema([("key", pa.int32()), ("again", pa.bool_()), ("packed", pa.binary())])
+_PACKED_DDL = "key int, again boolean, packed binary"
 _NO_FOLD = np.arange(256, dtype=np.uint8)
+#: Words on each side of a place that runs are compared with, and rows that the runs at one place are spread over.
+CONTEXT, SALTS = 64, 64
 
 
-def _windows(hasher: WordHasher, data, offsets, k: int):
-    """(hashes, second hashes, first words, valid, word starts) of the windows of k words of a slab, one for each word."""
-    words, first, starts = hasher.places(data, offsets)
+def gear_cuts(words: np.ndarray, first: np.ndarray, near: int) -> np.ndarray:
+    """True at each word of a slab that starts a text, or where the gear hash of it and the next word is the least of
+    some `near` neighbours of its text (of equal ones, the last)."""
     n = len(words)
-    h, g = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-    other = words ^ (words >> np.uint64(29))
-    for j in range(min(k, n)):
-        h[: n - j] = h[: n - j] * np.uint64(0xA24BAED4963EE407) + words[j:]
-        g[: n - j] = g[: n - j] * np.uint64(0x9FB21C651E98DF25) + other[j:]
-    valid = np.arange(n) + k <= np.repeat(first[1:], np.diff(first))
-    return mix64(h), (mix64(g) >> np.uint64(48)).astype(np.uint16), first, valid, starts
-
-
-def _pack(*arrays) -> tuple[int, bytes]:
-    """Arrays by planes of bytes, compressed."""
-    raw = b"".join(a.view(np.uint8).reshape(-1, a.dtype.itemsize).T.tobytes() for a in arrays)
-    return len(raw), pa.Codec("zstd").compress(raw, asbytes=True)
-
-
-def _unpack(packed: bytes, size: int, n: int, *kinds):
-    """Arrays of n values of these types; (type, m): of m values."""
-    raw, at, out = pa.Codec("zstd").decompress(packed, size, asbytes=True), 0, []
-    for kind in kinds:
-        kind, m = kind if isinstance(kind, tuple) else (kind, n)
+    cut = np.zeros(n + 1, bool)
+    cut[first] = True
+    if n > near:
+        gear = ((words[:-1] << np.uint64(32)) + words[1:]) >> np.uint64(32)
+        m = n - near  # a window's hashes take in the word behind it
+        ranked = np.stack([gear[j : j + m] * np.uint64(near) + np.uint64(near - 1 - j) for j in range(near)])
+        place = np.arange(m) + ranked.argmin(0)
+        whole = np.arange(m) + near < np.repeat(first[1:], np.diff(first))[:m]
+        cut[place[whole]] = True
+    return cut[:-1]
+
+
+def _widths(min_words: int) -> tuple[int, int]:
+    """Neighbours of a cut, and the least words of a chunk: any run of `min_words` words holds a chunk of its own cuts."""
+    near = max(1, min(4, min_words // 5))
+    return near, max(1, min_words - 2 * near)
+
+
+def _gear_chunks(hasher: WordHasher, data, offsets, min_words: int):
+    """(digest, second digest, first word, words) of the chunks of a slab, the index of each text's first chunk and word,
+    and the words' hashes and starts."""
+    near, least = _widths(min_words)
+    words, first, starts = hasher.places(data, offsets)
+    at = np.flatnonzero(gear_cuts(words, first, near))
+    end = np.repeat(first[1:], np.diff(np.searchsorted(at, first)))
+    to = np.append(at, len(words))[np.searchsorted(at, at + least)]
+    to = np.minimum(to, end)
+    ok = to - at >= least
+    at, to = at[ok], to[ok]
+    up, down = hasher.up[: len(words)], hasher.down
+    out = []
+    for w in (words, mix64(words + np.uint64(0x9E3779B97F4A7C15))):
+        total = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(w * up, out=total[1:])
+        out.append(mix64((total[to] - total[at]) * down[at] + (to - at).astype(np.uint64)))
+    return out[0], (out[1] >> np.uint64(48)).astype(np.uint16), at, to - at, np.searchsorted(at, first), first, words, starts
+
+
+def _pack(*arrays) -> bytes:
+    """Arrays by planes of bytes, compressed, behind their lengths."""
+    raw = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T.tobytes() for a in arrays)
+    return np.array([len(raw), *map(len, arrays)], "<i8").tobytes() + pa.Codec("zstd").compress(raw, asbytes=True)
+
+
+def _unpack(packed: bytes, *kinds) -> list[np.ndarray]:
+    size, *lengths = np.frombuffer(packed, "<i8", len(kinds) + 1).tolist()
+    raw, at, out = pa.Codec("zstd").decompress(packed[8 * len(kinds) + 8 :], size, asbytes=True) if size else b"", 0, []
+    for kind, n in zip(kinds, lengths, strict=True):
         wide = np.dtype(kind).itemsize
-        planes = np.frombuffer(raw, np.uint8, m * wide, at).reshape(wide, m)
-        out.append(np.ascontiguousarray(planes.T).view(kind).ravel())
-        at += m * wide
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * wide, at).reshape(wide, n).T).view(kind).ravel())
+        at += n * wide
     return out
 
 
-def _replies(ranges: int, doc, pos, mark):
-    """Repeats as packed rows, dealt by their documents."""
-    place = (mix64(doc.astype(np.uint64)) % np.uint64(ranges)).astype(np.int32)
+def _named(rank: np.ndarray, ids, marks):
+    """Packed form of documents given by rank: the ids and text hashes of those that occur, and each one's place there."""
+    some, place = np.unique(rank, return_inverse=True)
+    return np.diff(ids[some], prepend=np.int64(0)), marks[some], place.astype(np.uint32)
+
+
+def _ranked(tables):
+    """The distinct documents (id, text hash) of some tables in order, and of each table its documents' ranks."""
+    ids, marks = (np.concatenate([t[k] for t in tables]) for k in (0, 1))
+    order = np.lexsort((marks, ids))
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[order][1:] != ids[order][:-1]) | (marks[order][1:] != marks[order][:-1])
+    rank = np.empty(len(ids), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    cuts = np.cumsum([0, *(len(t[0]) for t in tables)])
+    return ids[order][new], marks[order][new], [rank[s:e] for s, e in zip(cuts, cuts[1:], strict=False)]
+
+
+def _origins(h, g, doc, pos, least: int):
+    """Order of chunks by (h, g, doc, pos) and, in that order, the row that each one repeats (-1: none) and which are
+    met twice: the last one at least `least` words before it in its own text, or else the first one of all, if that is of
+    another text."""
+    order = np.lexsort((pos, doc, g, h)) if ((s := np.sort(h))[1:] == s[:-1]).any() else np.argsort(h)
+    h, g, doc, pos = h[order], g[order], doc[order], pos[order]
+    n = np.arange(len(h))
+    same = np.zeros(len(h), bool)
+    same[1:] = (h[1:] == h[:-1]) & (g[1:] == g[:-1])
+    own = same.copy()
+    own[1:] &= doc[1:] == doc[:-1]
+    twin = own.copy()
+    twin[1:] &= pos[1:] == pos[:-1]
+    first, begin = (np.maximum.accumulate(np.where(x, 0, n)) for x in (same, own))
+    place = (begin << 32) + pos
+    before = np.searchsorted(place, place - least, "right") - 1
+    origin = np.where(before >= begin, before, np.where(doc[first] != doc, first, -1))
+    return order, np.where(twin, -1, origin), twin
+
+
+def _replies(ranges: int, ids, marks, doc, pos, size, odoc, opos):
+    """Repeats and the places that they repeat as packed rows, dealt by their documents."""
+    place = (mix64(ids.view(np.uint64))[doc] % np.uint64(ranges)).astype(np.int32)
     order = np.lexsort((pos, doc, place))
-    doc, pos, mark, place = doc[order], pos[order], mark[order], place[order]
+    doc, pos, size, odoc, opos, place = (a[order] for a in (doc, pos, size, odoc, opos, place))
     cuts = [0, *(np.flatnonzero(place[1:] != place[:-1]) + 1).tolist(), len(place)]
     for s, e in zip(cuts, cuts[1:], strict=False):
         if s < e:
-            yield batch_of(_PACKED, [place[s]], [True], [e - s], *([x] for x in _pack(np.diff(doc[s:e], prepend=0), pos[s:e], mark[s:e])))
+            packed = _pack(*_named(doc[s:e], ids, marks), pos[s:e], size[s:e], *_named(odoc[s:e], ids, marks), opos[s:e])
+            yield batch_of(_PACKED, [place[s]], [True], [packed])
 
 
-def _repeated(k: int, h, g, doc, pos):
-    """Over windows sorted by (h, g, doc, pos): which repeat the first of their hash, and which are that first itself again."""
-    same = np.zeros(len(h), bool)
-    same[1:] = (h[1:] == h[:-1]) & (g[1:] == g[:-1])
-    first = np.maximum.accumulate(np.where(same, 0, np.arange(len(h))))
-    own = doc == doc[first]
-    return same & (~own | (pos - pos[first] >= k)), same & own & (pos == pos[first])
+_REPLY = ("i8", "u8", "u4", "i4", "u1", "i8", "u8", "u4", "i4")
 
 
-def _sent_windows(ranges: int, k: int):
+def _sent_chunks(ranges: int, min_words: int):
     def run(batches):
-        hasher, held, size = WordHasher(_NO_FOLD), [], 0
+        hasher, held, count = WordHasher(_NO_FOLD), [], 0
 
         def flush():
-            held.sort(key=lambda x: x[0])
-            h, g, pos = (np.concatenate([x[c] for x in held]) for c in (1, 2, 3))
-            doc = np.repeat(np.array([x[0] for x in held], np.int64), [len(x[1]) for x in held])
-            order = np.lexsort((pos, doc, g, h)) if len({x[0] for x in held}) < len(held) else np.argsort(h, kind="stable")
-            h, g, doc, pos = h[order], g[order], doc[order], pos[order]
-            if ((h[1:] == h[:-1]) & (g[1:] != g[:-1])).any():
-                order = np.lexsort((pos, doc, g, h))
-                h, g, doc, pos = h[order], g[order], doc[order], pos[order]
-            again, twin = _repeated(k, h, g, doc, pos)
-            yield from _replies(ranges, doc[again], pos[again], h[again].astype(np.uint32))
-            left = ~again & ~twin
-            h, g, doc, pos = h[left], g[left], doc[left], pos[left]
+            ids, marks, ranks = _ranked([(np.array([x[0] for x in held], np.int64), np.array([x[1] for x in held], np.uint64))])
+            h, g, pos, size = (np.concatenate([x[c] for x in held]) for c in (2, 3, 4, 5))
+            doc = np.repeat(ranks[0], [len(x[2]) for x in held])
+            order, origin, twin = _origins(h, g, doc, pos, min_words)
+            h, g, doc, pos, size = (a[order] for a in (h, g, doc, pos, size))
+            again = np.flatnonzero(origin >= 0)
+            yield from _replies(ranges, ids, marks, doc[again], pos[again], size[again], doc[origin[again]], pos[origin[again]])
+            left = (origin < 0) & ~twin
+            h, g, doc, pos, size = (a[left] for a in (h, g, doc, pos, size))
             key = ((h >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
             cuts = np.searchsorted(key, np.arange(ranges + 1))
             for r in np.flatnonzero(np.diff(cuts)):
                 s, e = cuts[r], cuts[r + 1]
-                ids, at = np.unique(doc[s:e], return_inverse=True)
-                steps = np.diff(h[s:e], prepend=np.uint64(0))
-                packed = _pack(np.diff(ids, prepend=0), steps, g[s:e], at.astype(np.uint32), pos[s:e])
-                yield batch_of(_PACKED, [r], [False], [e - s], *([x] for x in packed))
+                packed = _pack(*_named(doc[s:e], ids, marks), np.diff(h[s:e], prepend=np.uint64(0)), g[s:e], pos[s:e], size[s:e])
+                yield batch_of(_PACKED, [r], [False], [packed])
 
         for batch in batches:
-            ids = batch.column(0).to_pylist()
+            rows = batch.column(0).to_pylist()
             data, offsets, _ = utf8(batch.column(1))
             for i, j in slabs(offsets):
-                h, g, first, valid, _ = _windows(hasher, data, offsets[i : j + 1], k)
+                h, g, at, size, own, first, _, _ = _gear_chunks(hasher, data, offsets[i : j + 1], min_words)
                 for r in range(j - i):
-                    s = first[r]
-                    e = s + int(np.count_nonzero(valid[s : first[r + 1]]))
+                    s, e = own[r], own[r + 1]
                     if e > s:
-                        held.append((ids[i + r], h[s:e].copy(), g[s:e].copy(), np.arange(e - s, dtype=np.int32)))
-                        size += e - s
-                if size >= WINDOWS:
+                        mark = xxhash.xxh3_64_intdigest(memoryview(data[offsets[i + r] : offsets[i + r + 1]]))
+                        held.append((rows[i + r], mark, h[s:e].copy(), g[s:e].copy(), (at[s:e] - first[r]).astype(np.int32), size[s:e].astype(np.uint8)))
+                        count += e - s
+                if count >= WINDOWS:
                     yield from flush()
-                    held, size = [], 0
+                    held, count = [], 0
         if held:
             yield from flush()
 
     return run
 
 
-def _window_repeats(ranges: int, k: int):
-    """Over packed windows sorted by key: packed repeats. Those that a task found itself pass through."""
+def _chunk_repeats(ranges: int, min_words: int):
+    """Over packed chunks sorted by key: packed repeats. Those that a task found itself pass through."""
 
     def run(batches):
         for t in grouped(batches, "key"):
-            parts = []
-            for again, n, size, packed in zip(*(t.column(c).to_pylist() for c in ("again", "n", "size", "packed")), strict=True):
-                if again:
-                    continue
-                m = (size - 18 * n) // 8
-                ids, steps, second, at, pos = _unpack(packed, size, n, ("i8", m), "u8", "u2", "u4", "i4")
-                parts.append((np.cumsum(steps, dtype=np.uint64), second, np.cumsum(ids)[at], pos))
+            parts = [_unpack(x, "i8", "u8", "u4", "u8", "u2", "i4", "u1") for x in t.filter(pc.invert(t.column("again"))).column("packed").to_pylist()]
             for row in t.filter(t.column("again")).to_batches():
                 yield row.select(_PACKED.names).cast(_PACKED)
             if not parts:
                 continue
-            h, g, doc, pos = (np.concatenate([x[c] for x in parts]) for c in range(4))
+            ids, marks, ranks = _ranked([(np.cumsum(x[0]), x[1]) for x in parts])
+            doc = np.concatenate([k[x[2]] for k, x in zip(ranks, parts, strict=True)])
+            h = np.concatenate([np.cumsum(x[3], dtype=np.uint64) for x in parts])
+            g, pos, size = (np.concatenate([x[c] for x in parts]) for c in (4, 5, 6))
             del parts
-            order = np.argsort(h, kind="stable")
-            s = h[order]
-            met = np.zeros(len(s), bool)
-            met[1:] = s[1:] == s[:-1]
+            order = np.argsort(h)
+            met = np.zeros(len(h), bool)
+            met[1:] = h[order][1:] == h[order][:-1]
             met[:-1] |= met[1:]
-            order = order[met]  # only hashes that occur more than once
-            h, g, doc, pos = h[order], g[order], doc[order], pos[order]
-            order = np.lexsort((pos, doc, g, h))
-            h, g, doc, pos = h[order], g[order], doc[order], pos[order]
+            h, g, doc, pos, size = (a[order[met]] for a in (h, g, doc, pos, size))  # only digests met more than once
             if len(h):
-                again, _ = _repeated(k, h, g, doc, pos)
-                yield from _replies(ranges, doc[again], pos[again], h[again].astype(np.uint32))
+                order, origin, _ = _origins(h, g, doc, pos, min_words)
+                doc, pos, size = doc[order], pos[order], size[order]
+                again = np.flatnonzero(origin >= 0)
+                yield from _replies(ranges, ids, marks, doc[again], pos[again], size[again], doc[origin[again]], pos[origin[again]])
 
     return run
 
 
-def _marks(batches):
-    """Over packed repeats sorted by key: of each document the first words of its repeated windows, and their hashes."""
-    schema = pa.schema([("doc", pa.int64()), ("marks", pa.binary())])
+_EDGES_DDL = "doc long, mark long, run int, side int, odoc long, omark long, at int, salt int, low int, high int"
+_EDGES = pa.schema([(x.split()[0], {"long": pa.int64(), "int": pa.int32()}[x.split()[1]]) for x in _EDGES_DDL.split(", ")])
+
+
+def _edges(batches):
+    """Over packed repeats sorted by key: the two ends of each run of a document, with the place that each repeats."""
     for t in grouped(batches, "key"):
-        parts = []
-        for n, size, packed in zip(*(t.column(c).to_pylist() for c in ("n", "size", "packed")), strict=True):
-            doc, pos, mark = _unpack(packed, size, n, "i8", "i4", "u4")
-            parts.append((np.cumsum(doc), pos, mark))
-        doc, pos, mark = (np.concatenate([x[c] for x in parts]) for c in range(3))
-        order = np.lexsort((pos, doc))
-        doc, both = doc[order], (pos[order].astype(np.uint64) << np.uint64(32)) | mark[order]
-        cuts = [0, *(np.flatnonzero(doc[1:] != doc[:-1]) + 1).tolist(), len(doc)]
-        yield batch_of(schema, doc[cuts[:-1]], [both[s:e].tobytes() for s, e in zip(cuts, cuts[1:], strict=False)])
-
-
-def _without_runs(k: int):
+        parts = [_unpack(x, *_REPLY) for x in t.column("packed").to_pylist()]
+        ids, marks, ranks = _ranked([(np.cumsum(x[k]), x[k + 1]) for x in parts for k in (0, 5)])
+        doc, odoc = (np.concatenate([k[x[c]] for k, x in zip(ranks[o::2], parts, strict=True)]) for o, c in ((0, 2), (1, 7)))
+        pos, size, opos = (np.concatenate([x[c] for x in parts]).astype(np.int64) for c in (3, 4, 8))
+        order = np.lexsort((pos, pos - opos, odoc, doc))
+        doc, odoc, pos, size, opos = (a[order] for a in (doc, odoc, pos, size, opos))
+        apart = np.ones(len(doc), bool)
+        apart[1:] = (doc[1:] != doc[:-1]) | (odoc[1:] != odoc[:-1]) | ((pos - opos)[1:] != (pos - opos)[:-1]) | (pos[1:] > (pos + size)[:-1])
+        a = np.flatnonzero(apart)
+        z = np.append(a[1:], len(doc)) - 1
+        doc, odoc, low, high = doc[a], odoc[a], pos[a], (pos + size)[z]
+        number = (np.arange(len(a)) - np.searchsorted(doc, doc)).astype(np.int32)
+        salt = (mix64(marks[doc] ^ number.astype(np.uint64)) % np.uint64(SALTS)).astype(np.int32)
+        for side, at in ((0, opos[a]), (1, (opos + size)[z])):
+            for s in range(0, len(a), 50_000):
+                k = slice(s, s + 50_000)
+                d, o = doc[k], odoc[k]
+                n = len(d)
+                columns = [ids[d], marks[d].view(np.int64), number[k], np.full(n, side), ids[o], marks[o].view(np.int64), at[k], salt[k], low[k], high[k]]
+                yield batch_of(_EDGES, *(c.astype(f.type.to_pandas_dtype()) for c, f in zip(columns, _EDGES, strict=True)))
+
+
+_ANSWERS_DDL = "odoc long, omark long, side int, at int, salt int, context binary"
+
+
+def _texts_of(hasher, batch, text: str, wanted: str):
+    """(row, what is wanted of it, text, hash of the text, word hashes, word starts) of rows that anything is wanted of."""
+    listed = batch.column(batch.schema.get_field_index(wanted))
+    rows = np.flatnonzero(np.asarray(listed.is_valid()))
+    data, offsets, _ = utf8(batch.column(batch.schema.get_field_index(text)).take(pa.array(rows)))
+    for i, j in slabs(offsets):
+        words, first, starts = hasher.places(data, offsets[i : j + 1])
+        for r in range(j - i):
+            own = memoryview(data[offsets[i + r] : offsets[i + r + 1]])
+            s, e = first[r], first[r + 1]
+            mark = np.uint64(xxhash.xxh3_64_intdigest(own)).view(np.int64)
+            row = int(rows[i + r])
+            yield row, listed[row].as_py(), own, int(mark), words[s:e].astype(np.uint32), starts[s:e] - (offsets[i + r] - offsets[i])
+
+
+def _answers(text: str, id_: str):
+    """Of each place that is asked for, the words before it (side 0, outwards) or from it on."""
+    schema = pa.schema([("odoc", pa.int64()), ("omark", pa.int64()), ("side", pa.int32()), ("at", pa.int32()), ("salt", pa.int32()), ("context", pa.binary())])
+
+    def run(batches):
+        hasher = WordHasher(_NO_FOLD)
+        for batch in batches:
+            ids, out = batch.column(batch.schema.get_field_index(id_)), []
+            for row, asked, _, mark, words, _ in _texts_of(hasher, batch, text, "_asked"):
+                for x in asked:
+                    if x["omark"] == mark:
+                        at = x["at"]
+                        near = words[max(0, at - CONTEXT) : at][::-1] if x["side"] == 0 else words[at : at + CONTEXT]
+                        out.append((ids[row].as_py(), mark, x["side"], at, x["salt"], near.tobytes()))
+                if len(out) > 5000:
+                    yield batch_of(schema, *zip(*out, strict=True))
+                    out = []
+            if out:
+                yield batch_of(schema, *zip(*out, strict=True))
+
+    return run
+
+
+def _alike(words: np.ndarray, context: bytes | None) -> int:
+    """How many words are the context's from its start."""
+    c = np.frombuffer(context or b"", np.uint32)
+    n = min(len(words), len(c))
+    return int(np.append(words[:n] != c[:n], True).argmax())
+
+
+def _without_runs(text: str, min_words: int):
+    near, _ = _widths(min_words)
+
     def run(batches):
         hasher = WordHasher(_NO_FOLD)
         for batch in batches:
-            at = {n: batch.schema.get_field_index(n) for n in ("text", "_marks")}
-            text, marks = batch.column(at["text"]), batch.column(at["_marks"])
+            at = {n: batch.schema.get_field_index(n) for n in (text, "_runs")}
             n = batch.num_rows
             stats, spans, new = np.zeros((2, n), np.int64), [""] * n, {}
-            rows = np.flatnonzero(np.asarray(marks.is_valid()))
-            data, offsets, _ = utf8(text.take(pa.array(rows)))
-            for i, j in slabs(offsets):
-                h, _, first, valid, starts = _windows(hasher, data, offsets[i : j + 1], k)
-                for r in range(j - i):
-                    s, e = first[r], first[r + 1]
-                    if not valid[s:e].any():
-                        continue
-                    m = e - s - k + 1
-                    keys = (np.arange(m, dtype=np.uint64) << np.uint64(32)) | h[s : s + m].astype(np.uint32)
-                    row = int(rows[i + r])
-                    hit = np.isin(keys, np.frombuffer(marks[row].as_py(), np.uint64))
-                    if not hit.any():
-                        continue
-                    depth = np.zeros(e - s + 1, np.int64)
-                    depth[:m] += hit
-                    depth[k : k + m] -= hit
-                    cut = np.cumsum(depth)[:-1] > 0
-                    edges = np.flatnonzero(np.diff(cut.astype(np.int8), prepend=0, append=0))
-                    own = memoryview(data[offsets[i + r] : offsets[i + r + 1]])
-                    to = np.append(starts[s:e] - (offsets[i + r] - offsets[i]), len(own))
-                    # A run goes with the white space behind it.
-                    cuts = [(int(to[a]), int(to[b])) for a, b in edges.reshape(-1, 2)]
-                    parts, last = [], 0
-                    for a, b in cuts:
-                        parts.append(own[last:a])
-                        stats[1, row] += len(bytes(own[a:b]).decode())
-                        last = b
-                    new[row] = b"".join([*parts, own[last:]]).decode()
-                    spans[row] = ",".join(f"{a}-{b}" for a, b in cuts)
-                    ends = next(cut_points(data, offsets[i + r : i + r + 2], LEAST, MOST, BITS))[1]
-                    stats[0, row] = sum(any(a < y and x < b for a, b in cuts) for x, y in zip([0, *ends[:-1]], ends, strict=True))
+            for row, listed, own, mark, words, starts in _texts_of(hasher, batch, text, "_runs"):
+                ends: dict[int, list] = {}
+                for x in listed:
+                    if x["mark"] == mark:
+                        ends.setdefault(x["run"], [None, None])[x["side"]] = x
+                depth = np.zeros(len(words) + 1, np.int64)
+                for left, right in ends.values():
+                    low, high = left["low"], left["high"]
+                    before = _alike(words[:low][::-1], left["context"])
+                    after = _alike(words[high:], right["context"])
+                    start, stop = low - before, high + after
+                    if stop - start >= min_words:
+                        depth[start] += 1
+                        depth[stop] -= 1
+                cut = np.cumsum(depth)[:-1] > 0
+                if not cut.any():
+                    continue
+                edges = np.flatnonzero(np.diff(cut.astype(np.int8), prepend=0, append=0))
+                to = np.append(starts, len(own))
+                # A run goes with the white space behind it.
+                cuts = [(int(to[a]), int(to[b])) for a, b in edges.reshape(-1, 2)]
+                parts, last = [], 0
+                for a, b in cuts:
+                    parts.append(own[last:a])
+                    stats[1, row] += len(bytes(own[a:b]).decode())
+                    last = b
+                new[row] = b"".join([*parts, own[last:]]).decode()
+                spans[row] = ",".join(f"{a}-{b}" for a, b in cuts)
+                full = hasher.places(np.frombuffer(own, np.uint8), np.array([0, len(own)]))[0]
+                stats[0, row] = int((gear_cuts(full, np.array([0, len(full)]), near) & cut).sum())
+            column_ = batch.column(at[text])
             if new:
-                text = pa.array([new.get(r, x) for r, x in enumerate(text.to_pylist())], pa.string())
-            columns = [text if i == at["text"] else c for i, c in enumerate(batch.columns) if i != at["_marks"]]
-            names = [f.name for f in batch.schema if f.name != "_marks"]
+                column_ = pa.array([new.get(r, x) for r, x in enumerate(column_.to_pylist())], pa.string())
+            columns = [column_ if i == at[text] else c for i, c in enumerate(batch.columns) if i != at["_runs"]]
+            names = [f.name for f in batch.schema if f.name != "_runs"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(stats[0]), pa.array(stats[1]), pa.array(spans)], names=[*names, "_chunks_repeated", "_chars_removed", "_spans_removed"])
 
     return run
@@ -394,16 +516,28 @@ def _without_runs(k: int):
 def remove_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """`docs` with every repeated run of `min_words` words or more removed from text, to the word.
 
-    _chunks_repeated: the content-defined chunks of the text that a cut touches; _chars_removed; _spans_removed as
-    those of `remove_repeats`.
+    _chunks_repeated: the cuts of the text that lie in what was removed; _chars_removed; _spans_removed as those of
+    `remove_repeats`.
     """
     texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ranges = max(8, math.ceil((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / RANGE_BYTES))
-    sent = texts.mapInArrow(_sent_windows(ranges, min_words), _PACKED_DDL)
-    again = sent.repartition("key").sortWithinPartitions("key").mapInArrow(_window_repeats(ranges, min_words), _PACKED_DDL)
-    by_doc = again.repartition("key").sortWithinPartitions("key").mapInArrow(_marks, "_repeats_of long, _marks binary")
-    joined = docs.join(by_doc, docs["doc_id"] == by_doc["_repeats_of"], "left").drop("_repeats_of")
-    return map_arrow(joined, _without_runs(min_words), schema_with(docs, "_chunks_repeated long, _chars_removed long, _spans_removed string"))
+    sent = texts.mapInArrow(_sent_chunks(ranges, min_words), _PACKED_DDL)
+    again = sent.repartition("key").sortWithinPartitions("key").mapInArrow(_chunk_repeats(ranges, min_words), _PACKED_DDL)
+    edges = materialize(again.repartition("key").sortWithinPartitions("key").mapInArrow(_edges, _EDGES_DDL), "edges")
+
+    # Both joins take all columns of `docs`, so that they share one shuffle of the texts.
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    id_, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    asked = edges.where("side = 1 or at > 0").select("odoc", "omark", "side", "at", "salt").distinct()
+    asked = asked.groupBy(F.col("odoc").alias("_doc")).agg(F.collect_list(F.struct("omark", "side", "at", "salt")).alias("_asked"))
+    answers = plain.join(asked, F.col(id_) == F.col("_doc"), "left").drop("_doc").mapInArrow(_answers(text, id_), _ANSWERS_DDL)
+    place = ["odoc", "omark", "side", "at", "salt"]
+    told = edges.join(answers, place, "left").groupBy(F.col("doc").alias("_doc"))
+    runs = told.agg(F.collect_list(F.struct("mark", "run", "side", "low", "high", "context")).alias("_runs"))
+    joined = plain.join(runs, F.col(id_) == F.col("_doc"), "left").drop("_doc")
+    more = "_chunks_repeated long, _chars_removed long, _spans_removed string"
+    return joined.mapInArrow(_without_runs(text, min_words), schema_with(plain, more)).toDF(*docs.columns, *(x.split()[0] for x in more.split(", ")))
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
