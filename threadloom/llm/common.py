@@ -19,6 +19,8 @@ _OWN_DIR: list[str] = []
 SLAB = 1 << 20
 #: Edges per task when components are contracted locally.
 EDGES_PER_TASK = 500_000
+#: Bytes of text whose hashes make one range, where hashes are dealt by ranges.
+RANGE_BYTES = 32 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -243,6 +245,25 @@ def batch_of(schema: pa.Schema, *arrays) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, f.type) for a, f in zip(arrays, schema, strict=True)], schema=schema)
 
 
+# ---------------------------------------------------------------- packed arrays
+
+
+def pack(*arrays) -> bytes:
+    """Arrays by planes of bytes, compressed, behind their lengths."""
+    raw = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T.tobytes() for a in arrays)
+    return np.array([len(raw), *map(len, arrays)], "<i8").tobytes() + pa.Codec("zstd").compress(raw, asbytes=True)
+
+
+def unpack(packed: bytes, *kinds) -> list[np.ndarray]:
+    size, *lengths = np.frombuffer(packed, "<i8", len(kinds) + 1).tolist()
+    raw, at, out = pa.Codec("zstd").decompress(packed[8 * len(kinds) + 8 :], size, asbytes=True) if size else b"", 0, []
+    for kind, n in zip(kinds, lengths, strict=True):
+        wide = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * wide, at).reshape(wide, n).T).view(kind).ravel())
+        at += n * wide
+    return out
+
+
 # ---------------------------------------------------------------- connected components
 
 

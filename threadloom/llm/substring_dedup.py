@@ -38,13 +38,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_KEYS, WS, WordHasher, batch_of, column, grouped, map_arrow, materialize, mix64, schema_with, slabs, table, utf8
+from .common import BYTE_KEYS, RANGE_BYTES, WS, WordHasher, batch_of, column, grouped, map_arrow, materialize, mix64, pack, schema_with, slabs, table, unpack, utf8
 
 LEAST, MOST, BITS, MIN_WORDS = 32, 1024, 3, 20
 #: Chunks that a task compares among themselves before it sends them on.
 BLOCK = 200_000
-#: The same for chunks of words, and the bytes of text whose chunks make one range.
-WINDOWS, RANGE_BYTES = 1_000_000, 32 << 20
+#: The same for chunks of words.
+WINDOWS = 1_000_000
 
 
 def cut_points(data: np.ndarray, offsets: np.ndarray, least: int, most: int, bits: int):
@@ -248,22 +248,6 @@ def _gear_chunks(hasher: WordHasher, data, offsets, min_words: int):
     return out[0], (out[1] >> np.uint64(48)).astype(np.uint16), at, to - at, np.searchsorted(at, first), first, words, starts
 
 
-def _pack(*arrays) -> bytes:
-    """Arrays by planes of bytes, compressed, behind their lengths."""
-    raw = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.dtype.itemsize).T.tobytes() for a in arrays)
-    return np.array([len(raw), *map(len, arrays)], "<i8").tobytes() + pa.Codec("zstd").compress(raw, asbytes=True)
-
-
-def _unpack(packed: bytes, *kinds) -> list[np.ndarray]:
-    size, *lengths = np.frombuffer(packed, "<i8", len(kinds) + 1).tolist()
-    raw, at, out = pa.Codec("zstd").decompress(packed[8 * len(kinds) + 8 :], size, asbytes=True) if size else b"", 0, []
-    for kind, n in zip(kinds, lengths, strict=True):
-        wide = np.dtype(kind).itemsize
-        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * wide, at).reshape(wide, n).T).view(kind).ravel())
-        at += n * wide
-    return out
-
-
 def _named(rank: np.ndarray, ids, marks):
     """Packed form of documents given by rank: the ids and text hashes of those that occur, and each one's place there."""
     some, place = np.unique(rank, return_inverse=True)
@@ -310,7 +294,7 @@ def _replies(ranges: int, ids, marks, doc, pos, size, odoc, opos):
     cuts = [0, *(np.flatnonzero(place[1:] != place[:-1]) + 1).tolist(), len(place)]
     for s, e in zip(cuts, cuts[1:], strict=False):
         if s < e:
-            packed = _pack(*_named(doc[s:e], ids, marks), pos[s:e], size[s:e], *_named(odoc[s:e], ids, marks), opos[s:e])
+            packed = pack(*_named(doc[s:e], ids, marks), pos[s:e], size[s:e], *_named(odoc[s:e], ids, marks), opos[s:e])
             yield batch_of(_PACKED, [place[s]], [True], [packed])
 
 
@@ -335,7 +319,7 @@ def _sent_chunks(ranges: int, min_words: int):
             cuts = np.searchsorted(key, np.arange(ranges + 1))
             for r in np.flatnonzero(np.diff(cuts)):
                 s, e = cuts[r], cuts[r + 1]
-                packed = _pack(*_named(doc[s:e], ids, marks), np.diff(h[s:e], prepend=np.uint64(0)), g[s:e], pos[s:e], size[s:e])
+                packed = pack(*_named(doc[s:e], ids, marks), np.diff(h[s:e], prepend=np.uint64(0)), g[s:e], pos[s:e], size[s:e])
                 yield batch_of(_PACKED, [r], [False], [packed])
 
         for batch in batches:
@@ -363,7 +347,7 @@ def _chunk_repeats(ranges: int, min_words: int):
 
     def run(batches):
         for t in grouped(batches, "key"):
-            parts = [_unpack(x, "i8", "u8", "u4", "u8", "u2", "i4", "u1") for x in t.filter(pc.invert(t.column("again"))).column("packed").to_pylist()]
+            parts = [unpack(x, "i8", "u8", "u4", "u8", "u2", "i4", "u1") for x in t.filter(pc.invert(t.column("again"))).column("packed").to_pylist()]
             for row in t.filter(t.column("again")).to_batches():
                 yield row.select(_PACKED.names).cast(_PACKED)
             if not parts:
@@ -394,7 +378,7 @@ _EDGES = pa.schema([(x.split()[0], {"long": pa.int64(), "int": pa.int32()}[x.spl
 def _edges(batches):
     """Over packed repeats sorted by key: the two ends of each run of a document, with the place that each repeats."""
     for t in grouped(batches, "key"):
-        parts = [_unpack(x, *_REPLY) for x in t.column("packed").to_pylist()]
+        parts = [unpack(x, *_REPLY) for x in t.column("packed").to_pylist()]
         ids, marks, ranks = _ranked([(np.cumsum(x[k]), x[k + 1]) for x in parts for k in (0, 5)])
         doc, odoc = (np.concatenate([k[x[c]] for k, x in zip(ranks[o::2], parts, strict=True)]) for o, c in ((0, 2), (1, 7)))
         pos, size, opos = (np.concatenate([x[c] for x in parts]).astype(np.int64) for c in (3, 4, 8))
