@@ -81,3 +81,35 @@ def test_toxicity(spark, monkeypatch, held):
     assert len({s for _, s in want}) > 50
     assert [a for a, _ in got] == [a for a, _ in want]
     assert np.allclose([s for _, s in got], [s for _, s in want], atol=1e-7)
+
+
+@pytest.mark.parametrize("ids", ["dense", "spread"])
+def test_warc_revisits_everywhere(spark, tmp_path, ids):
+    """Copies in every place of many shards, ids far apart, and ids that repeat with other payloads."""
+    import base64
+    import hashlib
+
+    from threadloom.llm import warc
+
+    rng = np.random.default_rng(22)
+    place = lambda k: k if ids == "dense" else int(k) ** 9 - 5 * 10**17
+    pages = [(place(k), f"http://x/{k}", f"<p>{rng.integers(12)}</p>" * int(rng.integers(1, 4)) if k % 3 else None) for k in range(90)]
+    pages += [(place(4), "u", "other"), (place(5), "u", "other"), (place(5), "v", "<p>3</p>"), (place(89), "w", "x" * 3000), (place(88), "w", "x" * 3000), (None, "n", "other"), (None, "n", None)]
+    df = spark.createDataFrame([pages[k] for k in rng.permutation(len(pages))], "page_id long, url string, html string").repartition(5)
+    out = f"file://{tmp_path}/w"
+    manifest = warc.write_archives(df, out, shard_bytes=1500, roll_bytes=700).collect()
+    assert len({m["file"].split("-")[1] for m in manifest}) > 10
+    top = {}
+    for i, _, h in pages:
+        if i is not None:
+            top[h or ""] = max(top.get(h or "", i), i)
+    want = []
+    for i, u, h in pages:
+        b = (h or "").encode()
+        again = i is not None and i < top[h or ""]
+        want.append((i, u, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "revisit" if again else "response", top[h or ""] if again else None, None if again else h or ""))
+    got = [tuple(r) for r in warc.read_archives(spark, out).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    starts = warc.shard_starts(df.selectExpr("page_id", "cast(400 + length(coalesce(html, '')) as long) as bytes"), 1500)
+    other = warc.shard_starts(df.repartition(2).selectExpr("page_id", "cast(400 + length(coalesce(html, '')) as long) as bytes"), 1500)
+    assert starts.tolist() == other.tolist()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import atexit
 import math
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -36,12 +38,14 @@ def crc_fold(col):
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a local one only where that is unset (local mode, tests)."""
+    """The shared folder named by spark.checkpoint.dir. Where that is unset: a local one, in local mode alone."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if not _OWN_DIR:
             _OWN_DIR.append("file://" + tempfile.mkdtemp(prefix="threadloom-"))
-            atexit.register(__import__("shutil").rmtree, _OWN_DIR[0][7:], True)
+            atexit.register(shutil.rmtree, _OWN_DIR[0][7:], True)
         base = _OWN_DIR[0]
     return base.rstrip("/")
 

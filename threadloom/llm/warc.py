@@ -1,15 +1,17 @@
 """Operator 7: a deterministic sharded WARC writer, and its reader.
 
-Shards are ranges of page ids, cut from a histogram of payload bytes over at most BINS equal ranges of ids, so they
-depend on the data alone. A task sorts whole shards by id, writes each record as its own gzip member and rolls to a
-new file at a compressed size; headers and digests are made anew. Files are written under temporary names, renamed
-when complete, and count only once the manifest, a table written when all tasks are done, lists them: a task that
-runs again writes the same bytes to the same names. Of equal payloads of at least `least` bytes, the largest id's is
-a response and the others are revisits of it.
+Shards are ranges of page ids, cut where the running sum of payload bytes in id order passes multiples of
+`shard_bytes` (or of a SHARDS-th of all bytes, if that is more), so they depend on the data alone, however ids are
+spread. A task sorts whole shards by id, writes each record as its own gzip member and rolls to a new file at a
+compressed size; headers and digests are made anew. Files are written under temporary names, renamed when complete, and
+count only once the manifest, a table written when all tasks are done, lists them: a task that runs again writes the
+same bytes to the same names. Of equal payloads of at least `least` bytes, the largest id's is a response and the others
+are revisits of it.
 
 Defined cases: a null html is an empty payload; a null url becomes about:blank; a null page_id sorts first and is
-always a response; rows that repeat an id and its payload are written once each, both as responses if theirs is the
-largest id; an empty table gives an empty manifest and no file; other columns are ignored, whatever their names.
+always a response; rows that repeat an id are written once each and stand in one shard, each a revisit or response by
+its own payload, and both responses if they repeat the payload, too, and theirs is the largest id; an empty table gives
+an empty manifest and no file; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,13 +21,19 @@ import hashlib
 import uuid
 import zlib
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import scratch_path, table
+from .common import materialize, release, remove_path, scratch_path, table
 
-BINS, SHARD_BYTES, ROLL_BYTES, LEVEL = 4096, 32 << 20, 8 << 20, 4
+SHARD_BYTES, ROLL_BYTES, LEVEL = 16 << 20, 8 << 20, 4
+#: Shards at most: their first ids (1 MB) are sent to all tasks. Larger inputs have larger shards.
+SHARDS = 65_536
+#: Tasks that read archives back, at most.
+READERS = 20_000
 DATE = "2024-01-01T00:00:00Z"
 _ID = "urn:x-page:"
 
@@ -70,7 +78,7 @@ def _write(out_dir: str, roll: int):
         name = temp = ""
         shard = turn = count = size = 0
         digest = hashlib.sha256()
-        revisits: dict = {}
+        page, revisits = None, {}  # the page whose rows go on, and of its payloads' digests the pages they refer to
 
         def put(data):
             nonlocal size
@@ -84,16 +92,18 @@ def _write(out_dir: str, roll: int):
             return pa.RecordBatch.from_pylist([{"file": name, "records": count, "bytes": size, "sha256": digest.hexdigest()}], schema=_MANIFEST)
 
         for batch in batches:
-            rows = [batch.column(batch.schema.get_field_index(k)) for k in ("shard", "page_id", "kind", "url", "html", "refers_to")]
+            rows = [batch.column(batch.schema.get_field_index(k)) for k in ("shard", "page_id", "kind", "url", "html", "digest", "refers_to")]
             for i in range(batch.num_rows):
                 own, page_id, kind = rows[0][i].as_py(), rows[1][i].as_py(), rows[2][i].as_py()
-                if own != shard or stream is None:
+                if own != shard:
                     if stream is not None:
                         yield close()
                         stream = None
-                    shard, turn, revisits = own, 0, {}
+                    shard, turn = own, 0
+                if page_id != page:
+                    page, revisits = page_id, {}
                 if kind == 0:  # comes before its page
-                    revisits = {page_id: rows[5][i].as_py()}
+                    revisits[rows[5][i].as_py()] = rows[6][i].as_py()
                     continue
                 if stream is None or size >= roll:
                     if stream is not None:
@@ -104,7 +114,8 @@ def _write(out_dir: str, roll: int):
                     stream = store.open_output_stream(f"{base}/{temp}")
                     put(record("warcinfo", f"urn:x-file:{name}", [("WARC-Filename", name), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n"))
                 payload = (rows[4][i].as_py() or "").encode()
-                put(page_record(page_id, rows[3][i].as_py(), payload, revisits.get(page_id) if page_id is not None else None))
+                refers = revisits.get(hashlib.sha1(payload).digest()) if revisits else None
+                put(page_record(page_id, rows[3][i].as_py(), payload, refers))
                 count += 1
         if stream is not None:
             yield close()
@@ -112,32 +123,51 @@ def _write(out_dir: str, roll: int):
     return run
 
 
+def shard_starts(sizes: DataFrame, shard_bytes: int) -> np.ndarray:
+    """The first page_id of every shard but the first, ascending, of a written table (page_id, bytes).
+
+    Running sums take two levels: ids are range-partitioned, and a partition's rows follow the sums of those before it,
+    from a table with a row for each partition. The result doesn't depend on the partitions.
+    """
+    spark = sizes.sparkSession
+    total = sizes.where("page_id is not null").agg(F.sum("bytes")).first()[0] or 0
+    step = max(1, shard_bytes, -(-total // SHARDS))
+    by_id = sizes.where("page_id is not null").groupBy("page_id").agg(F.sum("bytes").alias("bytes"))
+    placed = materialize(by_id.repartitionByRange("page_id").withColumn("part", F.spark_partition_id()), "sizes")
+    sums = placed.groupBy("part").agg(F.sum("bytes").alias("own"))
+    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("part", F.coalesce(F.sum("own").over(upto(Window.orderBy("part"))), F.lit(0)).alias("earlier"))
+    inner = F.coalesce(F.sum("bytes").over(upto(Window.partitionBy("part").orderBy("page_id"))), F.lit(0))
+    shard = F.floor((F.col("earlier") + F.col("inner")) / step)
+    found = placed.withColumn("inner", inner).join(sums, "part").groupBy(shard.alias("shard")).agg(F.min("page_id").alias("first")).where("shard > 0")
+    out = np.sort(np.array([r["first"] for r in found.select("first").collect()], np.int64))
+    release(placed)
+    return out
+
+
 def write_archives(pages: DataFrame, out_dir: str, least: int = 0, shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES) -> DataFrame:
     """Writes `pages` (page_id, url, html) below out_dir and returns the manifest (file, records, bytes, sha256)."""
     spark = pages.sparkSession
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
-    low, high = rows.agg(F.min("page_id"), F.max("page_id")).first()
-    low, width = low or 0, max(1, ((high or 0) - (low or 0)) // BINS + 1)
-    spot = F.coalesce(F.expr(f"(page_id - {low}L) div {width}L"), F.lit(0)).cast("int")
-    weights = dict(rows.groupBy(spot.alias("spot")).agg(F.sum(F.octet_length("html") + 400).alias("b")).collect())
-    shard_of, shard, held = [], 0, 0
-    for k in sorted(weights):
-        if held and held + weights[k] > shard_bytes:
-            shard, held = shard + 1, 0
-        held += weights[k]
-        shard_of.append((k, shard))
-    shards = F.broadcast(spark.createDataFrame(shard_of or [(0, 0)], "spot int, shard int"))  # at most BINS + 1 rows
-
-    digests = rows.where(F.octet_length("html") >= least).select("page_id", F.unhex(F.sha1("html")).alias("d"))
-    tops = digests.groupBy("d").agg(F.max("page_id").alias("top"), F.count("*").alias("n")).where("n > 1")
-    revisits = digests.join(tops, "d").where("page_id < top").select("page_id", F.col("top").alias("refers_to")).distinct()
-    flags = revisits.select("page_id", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), "refers_to")
-    every = rows.select("page_id", F.lit(1).alias("kind"), "url", "html", F.lit(None).cast("long").alias("refers_to")).union(flags)
-    every = every.withColumn("spot", spot).join(shards, "spot").drop("spot")
-    ordered = every.repartition("shard").sortWithinPartitions("shard", "page_id", "kind")
+    sizes = materialize(rows.select("page_id", F.octet_length("html").cast("long").alias("payload"), F.unhex(F.sha1("html")).alias("digest")), "digests")
+    starts = spark.sparkContext.broadcast(shard_starts(sizes.select("page_id", (F.col("payload") + 400).alias("bytes")), shard_bytes))
+
+    @F.pandas_udf("int")
+    def shard_of(page_id: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(starts.value, page_id.to_numpy(np.int64), "right").astype(np.int32))
+
+    digests = sizes.where((F.col("payload") >= least) & F.col("page_id").isNotNull())
+    tops = digests.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
+    flags = digests.join(tops, "digest").where("page_id < refers_to").select("page_id", "digest", "refers_to").distinct()
+    no_text = F.lit(None).cast("string")
+    flags = flags.select("page_id", F.lit(0).alias("kind"), no_text.alias("url"), no_text.alias("html"), "digest", "refers_to")
+    every = rows.select("page_id", F.lit(1).alias("kind"), "url", "html", F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("long").alias("refers_to")).union(flags)
+    every = every.withColumn("shard", shard_of(F.coalesce("page_id", F.lit(-(1 << 63)))))  # no nulls: they would turn ids into doubles
+    ordered = every.repartition(len(starts.value) + 1, "shard").sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "kind", "url", "html", "digest")
     files = ordered.mapInArrow(_write(out_dir, roll_bytes), "file string, records long, bytes long, sha256 string")
     files.write.mode("overwrite").parquet(f"{out_dir}/_manifest")
+    release(sizes)
     return spark.read.schema("file string, records long, bytes long, sha256 string").parquet(f"{out_dir}/_manifest")
 
 
@@ -200,16 +230,21 @@ def _read(out_dir: str, with_html: bool):
 
 
 def read_archives(spark: SparkSession, out_dir: str, with_html: bool = True) -> DataFrame:
-    """The records of the archives that the manifest lists; html of responses where asked for."""
-    files = spark.read.schema("file string").parquet(f"{out_dir}/_manifest").select("file").repartition("file")
+    """The records of the archives that the manifest lists, a file a task; html of responses where asked for."""
+    files = spark.read.schema("file string").parquet(f"{out_dir}/_manifest").select("file")
+    files = files.repartition(max(1, min(READERS, files.count())))
     fields = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, html string"
     return files.mapInArrow(_read(out_dir, with_html), fields)
 
 
 def op7_warc(spark, sf_dir: str) -> DataFrame:
+    """What the archives of `pages` hold; they are deleted when they have been read back."""
     out_dir = scratch_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), out_dir)
-    return read_archives(spark, out_dir, with_html=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    read = read_archives(spark, out_dir, with_html=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    out = materialize(read, "records")
+    remove_path(spark, out_dir)
+    return out
 
 
 ORACLE_SQL = r"""
