@@ -67,3 +67,25 @@ def test_against_sql(spark, name):
     rel = c.sql(ORACLE_SQL[name])
     want = sorted((tuple(plain(r[rel.columns.index(k)]) for k in cols) for r in rel.fetchall()), key=repr)
     assert sorted((tuple(plain(r[k]) for k in cols) for r in out.collect()), key=repr) == want
+
+
+CLASHES = ["_score", "_chars", "_words", "_repeats", "_runs", "_asked", "_doc", "_chunks_repeated", "_chars_removed", "_spans_removed", "_mix_size", "_mix_key", "_kept", "_mark", "_turn", "c0", "c1", "c7", "a`b", "a.b", "a․b", "n_tokens", "mark"]
+
+
+def test_stages_keep_clashing_columns(spark, docs):
+    some = docs.select("doc_id", "text", "lang", "source", "n_chars", *(F.concat(F.lit(f"{k}-"), F.col("doc_id").cast("string")).alias(name) for k, name in enumerate(CLASHES)))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, some, SF)
+        assert out.columns == some.columns and out.dtypes == some.dtypes, name
+        for r in out.collect():
+            assert list(r)[5:] == [f"{k}-{r['doc_id']}" for k in range(len(CLASHES))], name
+    out = corpus_pipeline.STAGES[-1][1](spark, some, SF)
+    assert out.count() == some.count() and dict(out.dtypes)["n_tokens"] == "bigint"
+
+
+def test_near_duplicates_leave_one_row(spark):
+    t = " ".join(f"w{k}" for k in range(40))
+    u = " ".join(f"v{k}" for k in range(40))
+    rows = [(1, t), (1, t), (2, t + " more"), (2, u), (3, u), (3, t), (4, None), (4, None), (5, ""), (None, t), (None, t)]
+    out = ngram_join.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in out), key=repr) == sorted([(1, t), (2, u), (4, None), (4, None), (5, ""), (None, t), (None, t)], key=repr)

@@ -85,9 +85,15 @@ def schema_with(df: DataFrame, more: str, without=()) -> T.StructType:
 
 def map_arrow(df: DataFrame, f, schema: T.StructType) -> DataFrame:
     """df.mapInArrow, also for column names with dots and quotes, which mapInArrow takes for paths."""
-    safe = lambda name: name.replace(".", "\u2024").replace("`", "\u2035")
-    plain = T.StructType([T.StructField(safe(x.name), x.dataType, x.nullable) for x in schema])
-    return df.toDF(*map(safe, df.columns)).mapInArrow(f, plain).toDF(*schema.names)
+    safe = {c: c if re.fullmatch(r"\w+", c, re.ASCII) else f"\u2024{k}" for k, c in enumerate(df.columns)}
+    plain = T.StructType([T.StructField(safe.get(x.name, x.name), x.dataType, x.nullable) for x in schema])
+    return df.toDF(*safe.values()).mapInArrow(f, plain).toDF(*schema.names)
+
+
+def plain_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """df with columns c0, c1, ... and the new name of each: names that no column of an operator clashes with."""
+    names = {c: f"c{k}" for k, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
 
 
 # ---------------------------------------------------------------- Arrow views of text

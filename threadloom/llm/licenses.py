@@ -168,7 +168,8 @@ def _folders(found: DataFrame) -> DataFrame:
 
 
 def op8_license_scan(spark, sf_dir: str) -> DataFrame:
-    """Documents as files <source>/<lang>/<doc_id>.txt."""
+    """Documents as files <source>/<lang>/<doc_id>.txt, a null source or lang as "-"."""
     docs = table(spark, sf_dir, "documents")
-    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    level = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    path = F.concat_ws("/", level("source"), level("lang"), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
     return scan_licenses(docs.select("doc_id", path.alias("path"), "text"))

@@ -11,7 +11,7 @@ whole source. The tables of sources (a row each) pass through one task; nothing
 
 Defined cases: a null text has size 0, and size 0 is never taken; null is a source of its own, the last; a null
 doc_id is an id like others; repeated rows (same id, source and size) are taken together; an empty table gives an
-empty mix; other columns pass through `mix_documents` unless their names start with _mix.
+empty mix; other columns pass through `mix_documents`, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, plain_names, table
 
 WORDS = r"[^\x20\x09-\x0D]+"
 MOST = 3
@@ -97,7 +97,9 @@ def position(words_before: Column, schedules=SCHEDULES) -> Column:
 
 def mix_documents(docs: DataFrame, most: int = MOST, schedules=SCHEDULES) -> DataFrame:
     """The rows of `docs` as often as the mix takes them, range-sorted by training position."""
-    sized = docs.withColumn("_mix_size", size_of(F.col("text")))
+    rows, names = plain_names(docs)
+    named = {c: F.col(names[c]) for c in ("doc_id", "source")}
+    sized = rows.withColumns({**named, "_mix_size": size_of(F.col(names["text"]))})
     sizes = materialize(sized.select("doc_id", "source", F.col("_mix_size").alias("size")), "sizes")
     plan = plan_mix(sizes, most, schedules).where("copies > 0")
     turn = F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("_mix_turn")
@@ -106,7 +108,7 @@ def mix_documents(docs: DataFrame, most: int = MOST, schedules=SCHEDULES) -> Dat
     turns = turns.select("_mix_id", "_mix_key", "_mix_size", "_mix_turn", "_mix_position")
     mixed = _keyed(sized).join(turns, ["_mix_id", "_mix_key", "_mix_size"])
     order = ["_mix_position", "_mix_id", "_mix_turn"]
-    return mixed.repartitionByRange(*order).sortWithinPartitions(*order).select(*(mixed[f"`{c}`"] for c in docs.columns))
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order).select(*names.values()).toDF(*docs.columns)
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:

@@ -14,7 +14,8 @@ from per-task counts over all documents) moves these to the end, which keeps lis
 
 Defined cases: a null or empty text, or one of white space only, has no shingles and links with nothing; fewer words
 than n make one shingle; a null doc_id links with nothing and has a null component; repeated rows of an id stay, as
-one member each of the class of their own text; other columns are ignored, whatever their names.
+one member each of the class of their own text, so rows of one id and different texts are different documents; an empty table gives an empty table; other columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -22,14 +23,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHasher, batch_of, column, components, grouped, materialize, release, shingle_hashes, slabs, table, utf8
+from .common import WordHasher, batch_of, column, components, grouped, materialize, plain_names, release, shingle_hashes, slabs, table, utf8
 
 #: Frequent shingles that a task reports, and those kept of all (the table that is sent to the tasks: 1 MB at most).
 HEAVY_PER_TASK, HEAVY = 8192, 65_536
 NO_ID = -(1 << 63)
+BLANK = r"[\x20\x09-\x0D]+"
 #: Entries of a list that are compared among themselves in one task.
 LIST_BLOCK = 8192
 #: Rounds of neighbours before what is left of pairs is compared whole.
@@ -87,6 +89,15 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int(d[0]), int(d[1])
 
 
+def text_mark(text) -> bytes:
+    """The same 8 bytes as `_mark` of a text (a binary Arrow scalar)."""
+    return xxhash.xxh64_digest(text.as_buffer() if text.is_valid else b"\0", 42)
+
+
+def _mark(text):
+    return F.unhex(F.lpad(F.hex(F.xxhash64(F.coalesce(text.cast("string"), F.lit("\0")))), 16, "0"))
+
+
 def parity(s: np.ndarray) -> bytes:
     """Parities of the set's items over two to four times as many bits as it has items (a power of two, 64 to 32768)."""
     bits = min(32_768, max(64, 2 << (len(s) - 1).bit_length()))
@@ -109,7 +120,8 @@ def may_match(own: np.ndarray, others: list[np.ndarray], own_size: int, sizes: n
 
 
 def _postings(n: int, percent: int, heavy):
-    """(x, y, c, doc, par): of each document its class (digest, size, parities), and once for each set and task its prefix."""
+    """(x, y, c, doc, par): of each document its class (digest, size, text mark and parities), and once for each set and
+    task its prefix."""
 
     def run(batches):
         table = heavy.value
@@ -118,6 +130,7 @@ def _postings(n: int, percent: int, heavy):
         schema = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("par", pa.binary())])
         for batch in batches:
             ids = batch.column(0).to_pylist()
+            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary())
             out, held, rows, bits = [], 0, [], []
 
             def flush():
@@ -131,7 +144,7 @@ def _postings(n: int, percent: int, heavy):
                 size = len(s)
                 high, low = _digest(s)
                 rows.append((high, low, (size << 32) + 0xFFFFFFFF, NO_ID if ids[r] is None else ids[r]))
-                bits.append(parity(s) if size else None)
+                bits.append(text_mark(texts[r]) + (parity(s) if size else b""))
                 if size and ids[r] is not None and (high, low) not in seen:
                     seen.add((high, low))
                     keep = size - (percent * size + 99) // 100 + 1
@@ -332,6 +345,11 @@ def _verify(percent: int):
 
 def ngram_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, class_id (smallest id with the same set), component_id."""
+    return _classes(docs, n, percent).drop("mark")
+
+
+def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """The same, with a mark of the text."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counted = texts.mapInArrow(_heavy(n), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
@@ -344,8 +362,8 @@ def ngram_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     dealt = lists.repartition("x").sortWithinPartitions("x", "y", "c")
     found = materialize(dealt.mapInArrow(_stars(percent), "kind byte, x long, y long, c long, doc long, par binary"), "lists")
 
-    members = found.where("kind = 1").selectExpr("doc", "x as high", "y as low", "c as size", "par")
-    classes = materialize(members.where(f"size > 0 and doc <> {NO_ID}").groupBy("high", "low").agg(F.min("doc").alias("rep"), F.min("size").alias("size"), F.first("par").alias("par")), "classes")
+    members = found.where("kind = 1").selectExpr("doc", "x as high", "y as low", "c as size", "substring(par, 1, 8) as mark", "substring(par, 9) as par")
+    classes = materialize(members.where(f"size > 0 and doc <> {NO_ID}").groupBy("high", "low").agg(F.min("doc").alias("first_doc"), F.min("size").alias("size"), F.first("par").alias("par")).withColumn("rep", F.col("low")), "classes")
 
     by_low = classes.select("low", "rep", "size", "par")
     near = found.where("kind = 0").select("x", "y").distinct()
@@ -355,8 +373,8 @@ def ngram_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
     def contents(ids: DataFrame) -> DataFrame:
         """(id, items) of the classes named in a column `id`."""
-        wanted = ids.distinct().join(classes.select(F.col("rep").alias("id"), "high", "low"), "id")
-        sets = texts.withColumnRenamed("doc_id", "id").join(wanted.hint("shuffle_hash"), "id")
+        wanted = ids.distinct().join(classes.select(F.col("rep").alias("id"), "high", "low", F.col("first_doc").alias("doc_id")), "id")
+        sets = texts.join(wanted, "doc_id")
         return materialize(sets.mapInArrow(_contents(n), "id long, items binary"), "sets")
 
     def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -401,17 +419,32 @@ def ngram_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             groups = components(links)
         release(sets, entries, crossed)
 
-    reps = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").selectExpr("high", "low", "rep", "coalesce(component, rep) as component")
-    named = members.join(reps, ["high", "low"], "left")
+    reps = classes.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select("high", "low", "first_doc", F.coalesce("component", "rep").alias("group"))
+    least = reps.groupBy("group").agg(F.min("first_doc").alias("component"))
+    named = members.join(reps.join(least, "group").drop("group"), ["high", "low"], "left")
     doc = F.when(F.col("doc") != NO_ID, F.col("doc"))
     alone = (F.col("size") == 0) | F.col("doc").eqNullSafe(NO_ID)
-    return named.select(doc.alias("doc_id"), F.col("size").alias("n_shingles"), F.when(alone, doc).otherwise(F.col("rep")).alias("class_id"), F.when(alone, doc).otherwise(F.col("component")).alias("component_id"))
+    return named.select(doc.alias("doc_id"), F.col("size").alias("n_shingles"), F.when(alone, doc).otherwise(F.col("first_doc")).alias("class_id"), F.when(alone, doc).otherwise(F.col("component")).alias("component_id"), "mark")
 
 
 def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """Keeps the document with the smallest id of each component; rows without an id stay."""
-    keep = ngram_classes(docs, n, percent).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(keep, docs["doc_id"] == keep["_kept"], "left_semi").unionByName(docs.where("doc_id is null"))
+    """Keeps one row of each component: the smallest id, of its rows the text of the smallest mark, and of equal texts any.
+
+    Rows without an id stay, and so do texts without words.
+    """
+    found = materialize(_classes(docs, n, percent).where("doc_id is not null"), "members")
+    rank = F.struct("doc_id", "mark")
+    first = found.where("n_shingles > 0").groupBy("component_id").agg(F.min(rank).alias("k")).select("k.*")
+    keep = first.union(found.where("n_shingles = 0").select("doc_id", "mark")).groupBy(F.col("doc_id").alias("_kept"), F.col("mark").alias("_mark")).agg(F.lit(1).alias("_"))
+    rows, names = plain_names(docs)
+    id_, text = F.col(names["doc_id"]), F.col(names["text"])
+    own = _mark(text)
+    kept = rows.join(keep, (id_ == F.col("_kept")) & (own == F.col("_mark")), "left_semi")
+    if found.groupBy("doc_id", "mark").count().where("count > 1").limit(1).count():
+        plain = [F.col(f.name) for f in rows.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+        turn = F.row_number().over(Window.partitionBy(id_, own).orderBy(F.xxhash64(*plain)))
+        kept = kept.withColumn("_turn", F.when(F.length(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), BLANK, "")) > 0, turn).otherwise(F.lit(1))).where("_turn = 1").drop("_turn")
+    return kept.union(rows.where(id_.isNull())).toDF(*docs.columns)
 
 
 def op10_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ most `sample` of them (those with the smallest hash of the id): the one bound of
 
 Defined cases: null and empty texts have all statistics 0 and are scored like any other; without labels of both
 kinds every score is the share of label 1 (0.5 without any label); null labels are no labels; repeated rows are
-scored alike; other columns pass through `score_quality` whatever their names (its own start with an underscore).
+scored alike; a null doc_id is never labelled and is scored like others; an empty table gives an empty table; other
+columns pass through whatever their names, but for one named _score, whose place `score_quality` takes.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS, WordHasher, crc_fold, distinct, map_arrow, schema_with, slabs, table, utf8
+from .common import WS, WordHasher, crc_fold, distinct, map_arrow, plain_names, schema_with, slabs, table, utf8
 
 STATS = ["chars", "words", "word_length", "word_spread", "upper", "digits", "symbols", "points", "wide", "lines", "distinct", "phrases", "marked_ends", "line_words", "short_words", "line_repeats"]
 SAMPLE = 20_000
@@ -200,10 +201,25 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", samp
     return fit_rules(x, rows["_y"].to_numpy(float))
 
 
+def _scored(docs: DataFrame, model: dict):
+    """`docs` with plain names, their statistics and _score, and the plain names."""
+    rows, names = plain_names(docs)
+    text = names["text"]
+    out = with_statistics(rows.withColumnRenamed(text, "text")).withColumnRenamed("text", text)
+    return out.withColumn("_score", rule_column(model)), names
+
+
 def score_quality(docs: DataFrame, model: dict) -> DataFrame:
     """`docs` with the column _score."""
-    out = with_statistics(docs).withColumn("_score", rule_column(model))
-    return out.drop(*(f"_{s}" for s in STATS))
+    out, names = _scored(docs, model)
+    kept = [c for c in docs.columns if c != "_score"]
+    return out.select(*(names[c] for c in kept), "_score").toDF(*kept, "_score")
+
+
+def keep_quality(docs: DataFrame, model: dict, least: float) -> DataFrame:
+    """The rows of `docs` that score `least` or more."""
+    out, names = _scored(docs, model)
+    return out.where(F.col("_score") >= least).select(*names.values()).toDF(*docs.columns)
 
 
 def op4_quality_classifier(spark, sf_dir: str) -> DataFrame:

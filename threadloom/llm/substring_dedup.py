@@ -38,9 +38,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_KEYS, RANGE_BYTES, WS, WordHasher, batch_of, column, grouped, map_arrow, materialize, mix64, pack, schema_with, slabs, table, unpack, utf8
+from .common import BYTE_KEYS, RANGE_BYTES, WS, WordHasher, batch_of, column, grouped, materialize, mix64, pack, plain_names, schema_with, slabs, table, unpack, utf8
 
 LEAST, MOST, BITS, MIN_WORDS = 32, 1024, 3, 20
+STATS = ["_chunks_repeated", "_chars_removed", "_spans_removed"]
 #: Chunks that a task compares among themselves before it sends them on.
 BLOCK = 200_000
 #: The same for chunks of words.
@@ -193,8 +194,16 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, least: int = LEA
     dealt = sent.withColumn("key", place).repartition("key").sortWithinPartitions("key", "again", "d1", "d2", "doc", "pos")
     again = dealt.mapInArrow(_repeats(), "doc long, pos long, d1 long")
     by_doc = again.distinct().groupBy(F.col("doc").alias("_repeats_of")).agg(F.collect_list(F.struct("pos", "d1")).alias("_repeats"))
-    joined = docs.join(by_doc, docs["doc_id"] == by_doc["_repeats_of"], "left").drop("_repeats_of")
-    return map_arrow(joined, _cleaned(least, most, bits, min_words), schema_with(docs, "_chunks_repeated long, _chars_removed long, _spans_removed string"))
+    rows, names = plain_names(docs)
+    rows = rows.withColumnRenamed(names["text"], "text")
+    joined = rows.join(by_doc, F.col(names["doc_id"]) == F.col("_repeats_of"), "left").drop("_repeats_of")
+    more = "_chunks_repeated long, _chars_removed long, _spans_removed string"
+    fields = schema_with(rows, more)
+    out = joined.mapInArrow(_cleaned(least, most, bits, min_words), fields)
+    kept = [c for c in docs.columns if c not in STATS]
+    return out.withColumnRenamed("text", names["text"]).select(*(names[c] for c in kept), *STATS).toDF(*kept, *STATS)
+
+
 
 
 # ---------------------------------------------------------------- runs of words
@@ -501,18 +510,32 @@ def remove_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """`docs` with every repeated run of `min_words` words or more removed from text, to the word.
 
     _chunks_repeated: the cuts of the text that lie in what was removed; _chars_removed; _spans_removed as those of
-    `remove_repeats`.
+    `remove_repeats`. These take the place of columns of the same names.
     """
+    kept = [c for c in docs.columns if c not in STATS]
+    out, names = _without(docs, min_words)
+    return out.select(*(names[c] for c in kept), *STATS).toDF(*kept, *STATS)
+
+
+def drop_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """`docs` without repeated runs, all columns as they are; a column n_chars is counted anew."""
+    out, names = _without(docs, min_words)
+    if "n_chars" in names:
+        out = out.withColumn(names["n_chars"], F.length(names["text"]).cast(docs.schema["n_chars"].dataType))
+    return out.select(*names.values()).toDF(*docs.columns)
+
+
+def _without(docs: DataFrame, min_words: int):
+    """`docs` with plain names, less the runs, and STATS; and the plain names."""
     texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ranges = max(8, math.ceil((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / RANGE_BYTES))
     sent = texts.mapInArrow(_sent_chunks(ranges, min_words), _PACKED_DDL)
-    again = sent.repartition("key").sortWithinPartitions("key").mapInArrow(_chunk_repeats(ranges, min_words), _PACKED_DDL)
-    edges = materialize(again.repartition("key").sortWithinPartitions("key").mapInArrow(_edges, _EDGES_DDL), "edges")
+    again = sent.repartition(ranges, "key").sortWithinPartitions("key").mapInArrow(_chunk_repeats(ranges, min_words), _PACKED_DDL)
+    edges = materialize(again.repartition(ranges, "key").sortWithinPartitions("key").mapInArrow(_edges, _EDGES_DDL), "edges")
 
     # Both joins take all columns of `docs`, so that they share one shuffle of the texts.
-    names = [f"c{k}" for k in range(len(docs.columns))]
-    plain = docs.toDF(*names)
-    id_, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    plain, names = plain_names(docs)
+    id_, text = names["doc_id"], names["text"]
     asked = edges.where("side = 1 or at > 0").select("odoc", "omark", "side", "at", "salt").distinct()
     asked = asked.groupBy(F.col("odoc").alias("_doc")).agg(F.collect_list(F.struct("omark", "side", "at", "salt")).alias("_asked"))
     answers = plain.join(asked, F.col(id_) == F.col("_doc"), "left").drop("_doc").mapInArrow(_answers(text, id_), _ANSWERS_DDL)
@@ -521,7 +544,7 @@ def remove_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     runs = told.agg(F.collect_list(F.struct("mark", "run", "side", "low", "high", "context")).alias("_runs"))
     joined = plain.join(runs, F.col(id_) == F.col("_doc"), "left").drop("_doc")
     more = "_chunks_repeated long, _chars_removed long, _spans_removed string"
-    return joined.mapInArrow(_without_runs(text, min_words), schema_with(plain, more)).toDF(*docs.columns, *(x.split()[0] for x in more.split(", ")))
+    return joined.mapInArrow(_without_runs(text, min_words), schema_with(plain, more)), names
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
