@@ -11,7 +11,7 @@ from threadloom.llm.common import materialize, table
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents whose quality score is under 0.3."""
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
-    return quality.score_quality(docs, model).where("_score >= 0.3").drop("_score")
+    return quality.keep_quality(docs, model, 0.3)
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,8 +21,7 @@ def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated passages out of the texts."""
-    out = substring_dedup.remove_runs(docs)
-    return out.selectExpr(*(f"cast(length(text) as {t}) as n_chars" if c == "n_chars" else f"`{c}`" for c, t in docs.dtypes))
+    return substring_dedup.drop_passages(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
