@@ -44,8 +44,10 @@ LEAST, MOST, BITS, MIN_WORDS = 32, 1024, 3, 20
 STATS = ["_chunks_repeated", "_chars_removed", "_spans_removed"]
 #: Chunks that a task compares among themselves before it sends them on.
 BLOCK = 200_000
-#: The same for chunks of words.
-WINDOWS = 1_000_000
+#: The same for chunks of words, and the bytes of text whose chunks make one range.
+WINDOWS, RANGE = 500_000, RANGE_BYTES // 2
+#: Rows whose texts are cut at once.
+ROWS = 1000
 
 
 def cut_points(data: np.ndarray, offsets: np.ndarray, least: int, most: int, bits: int):
@@ -433,7 +435,7 @@ def _answers(text: str, id_: str):
 
     def run(batches):
         hasher = WordHasher(_NO_FOLD)
-        for batch in batches:
+        for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             ids, out = batch.column(batch.schema.get_field_index(id_)), []
             for row, asked, _, mark, words, _ in _texts_of(hasher, batch, text, "_asked"):
                 for x in asked:
@@ -462,7 +464,7 @@ def _without_runs(text: str, min_words: int):
 
     def run(batches):
         hasher = WordHasher(_NO_FOLD)
-        for batch in batches:
+        for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             at = {n: batch.schema.get_field_index(n) for n in (text, "_runs")}
             n = batch.num_rows
             stats, spans, new = np.zeros((2, n), np.int64), [""] * n, {}
@@ -528,10 +530,10 @@ def drop_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def _without(docs: DataFrame, min_words: int):
     """`docs` with plain names, less the runs, and STATS; and the plain names."""
     texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ranges = max(8, math.ceil((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / RANGE_BYTES))
+    ranges = max(8, math.ceil((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / RANGE))
     sent = texts.mapInArrow(_sent_chunks(ranges, min_words), _PACKED_DDL)
-    again = sent.repartition(ranges, "key").sortWithinPartitions("key").mapInArrow(_chunk_repeats(ranges, min_words), _PACKED_DDL)
-    edges = materialize(again.repartition(ranges, "key").sortWithinPartitions("key").mapInArrow(_edges, _EDGES_DDL), "edges")
+    again = sent.repartitionById(ranges, F.col("key")).mapInArrow(_chunk_repeats(ranges, min_words), _PACKED_DDL)
+    edges = materialize(again.repartitionById(ranges, F.col("key")).mapInArrow(_edges, _EDGES_DDL), "edges")
 
     # Both joins take all columns of `docs`, so that they share one shuffle of the texts.
     plain, names = plain_names(docs)
