@@ -374,7 +374,8 @@ def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
     def contents(ids: DataFrame) -> DataFrame:
         """(id, items) of the classes named in a column `id`."""
         wanted = ids.distinct().join(classes.select(F.col("rep").alias("id"), "high", "low", F.col("first_doc").alias("doc_id")), "id")
-        sets = texts.join(wanted, "doc_id")
+        # The build side has at most a row of 40 bytes for each text that stands in the same partition.
+        sets = texts.join(wanted.hint("shuffle_hash"), "doc_id")
         return materialize(sets.mapInArrow(_contents(n), "id long, items binary"), "sets")
 
     def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
