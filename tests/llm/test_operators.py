@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -296,25 +297,28 @@ def test_substring_blocks_agree(spark, docs):
 
 def test_fingerprints(spark, docs, texts):
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-    root = lambda t: sha("r" + "".join(sha("s" + "".join(sha("p" + p) for p in s.split("\n"))) for s in t.split("\n\n")))
-    leaf = lambda t: set(re.split("\n|\\. ", t))
+    pieces = lambda p: re.sub("([es.,;:!?] )", "\\1\x01", p).split("\x01")
+    below = lambda p: "".join(sha("l" + x) for x in pieces(p))
+    root = lambda t: sha("r" + "".join(sha("s" + "".join(sha("p" + below(p)) for p in s.split("\n"))) for s in t.split("\n\n")))
+    leaf = lambda t: {x for p in t.split("\n") for x in pieces(p)}
     like = lambda a, b: len(leaf(a) & leaf(b)) / len(leaf(a) | leaf(b))
     order = [(None, "no id here"), *enumerate(t or "" for t in texts)]
     want = {}
     for k, (i, t) in enumerate(order):
         n = order[(k + 1) % len(order)][1]
         e = t[: len(t) - len(t) // 2] + n[: len(t) // 2]
-        want[i] = (len(t), sha(e), root(t), root(e), like(t, e), like(t, n))
+        differ = [j for j, (x, y) in enumerate(itertools.zip_longest(*([p for s in v.split("\n\n") for p in s.split("\n")] for v in (t, e)))) if x != y and x is not None]
+        want[i] = (len(t), sha(e), root(t), root(e), like(t, e), like(t, n), (differ or [None])[0] if t != e else None)
     rows = fingerprints.fingerprint_documents(docs).collect()
     assert len(rows) == len(texts) + 2
     for r in rows:
-        assert all(x == y or abs(x - y) < 1e-12 for x, y in zip(tuple(r)[1:], want[r["doc_id"]], strict=True))
+        assert all(x == y or x is not None and y is not None and abs(x - y) < 1e-12 for x, y in zip(tuple(r)[1:], want[r["doc_id"]], strict=True)), r
     assert fingerprints.fingerprint_documents(docs.limit(0)).count() == 0
     alone = fingerprints.fingerprint_documents(docs.where("doc_id = 3").limit(1)).first()
     assert alone["near_next"] == 1.0
     from pyspark.sql import functions as F
 
-    d = spark.createDataFrame([("a\nb\n\nc", "a\nx\n\nc")], "a string, b string").select(fingerprints.differing_paragraphs(F.col("a"), F.col("b")).alias("d")).first()
+    d = spark.createDataFrame([("a\nb\n\nc", "a\nx\n\nc")], "a string, b string").select(fingerprints.differing_paragraphs(*(fingerprints.paragraph_digests(fingerprints.leaf_tree(F.col(c))) for c in "ab")).alias("d")).first()
     assert d["d"] == [1]
 
 

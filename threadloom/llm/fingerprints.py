@@ -1,11 +1,13 @@
 """Operator 5: Merkle fingerprints of documents, by built-in column functions alone.
 
-A text is a sequence of sections (split at blank lines), a section one of paragraphs (split at line breaks). A
-paragraph's digest is of its text, a section's of its paragraphs' digests, and the root's, the fingerprint, of its
-sections' digests: equal roots mean equal texts, and the branches that differ locate an edit. Likeness of two trees
-is the Jaccard index of their leaves, the pieces of paragraphs up to a full stop and a blank.
-
-Defined cases: a null text is the empty text (one empty section, paragraph and leaf); a null doc_id is an id, before
+A text is a sequence of sections (split at blank lines), a section one of paragraphs (split at line breaks), and a
+paragraph one of pieces, which end behind a blank that follows one of the characters in ENDS, so that cuts depend on the
+content there alone. A piece's digest is of its text, a paragraph's of its pieces' digests, a section's of its
+paragraphs', and the root's, the fingerprint, of its sections': equal roots mean equal texts, and the branches that differ
+locate an edit. Likeness of two trees is 1 if their roots are equal, else the Jaccard index of their leaves, the digests
+of the pieces.
+
+Defined cases: a null text is the empty text (one empty section, paragraph and piece); a null doc_id is an id, before
 all others; of rows that repeat an id with different texts, the one with the smallest digest is the "next document"
 of the id before, and each row has its own fingerprints; a lone document is next to itself; an empty table gives an
 empty table; other columns are ignored, whatever their names.
@@ -19,18 +21,35 @@ from pyspark.sql import functions as F
 from .common import materialize, table
 
 
-def paragraph_digests(text: Column) -> Column:
+ENDS = "es.,;:!?"
+
+
+def leaf_tree(text: Column) -> Column:
+    """The digests of pieces, by section and paragraph."""
+    piece = lambda x: F.sha2(F.concat(F.lit("l"), x), 256)
+    pieces = lambda p: F.split(F.regexp_replace(p, f"([{ENDS}] )", "$1\x01"), "\x01", -1)
+    return F.transform(F.split(text, "\n\n", -1), lambda s: F.transform(F.split(s, "\n", -1), lambda p: F.transform(pieces(p), piece)))
+
+
+def _node(kind: str, children: Column) -> Column:
+    return F.sha2(F.concat(F.lit(kind), F.array_join(children, "")), 256)
+
+
+def paragraph_digests(tree: Column) -> Column:
     """Of each section the digests of its paragraphs."""
-    return F.transform(F.split(text, "\n\n"), lambda s: F.transform(F.split(s, "\n"), lambda p: F.sha2(F.concat(F.lit("p"), p), 256)))
+    return F.transform(tree, lambda s: F.transform(s, lambda p: _node("p", p)))
+
+
+def root_of(paragraphs: Column) -> Column:
+    return _node("r", F.transform(paragraphs, lambda s: _node("s", s)))
 
 
 def merkle_root(text: Column) -> Column:
-    sections = F.transform(paragraph_digests(text), lambda s: F.sha2(F.concat(F.lit("s"), F.array_join(s, "")), 256))
-    return F.sha2(F.concat(F.lit("r"), F.array_join(sections, "")), 256)
+    return root_of(paragraph_digests(leaf_tree(text)))
 
 
-def leaves(text: Column) -> Column:
-    return F.array_distinct(F.transform(F.split(text, "\n|\\. "), lambda x: F.xxhash64(x)))
+def leaves(tree: Column) -> Column:
+    return F.array_distinct(F.transform(F.flatten(F.flatten(tree)), lambda x: F.xxhash64(x)))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -40,8 +59,8 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def differing_paragraphs(a: Column, b: Column) -> Column:
-    """Numbers, from 0, of the paragraphs of text a (by line) whose digests aren't at the same place in b."""
-    pairs = F.arrays_zip(F.flatten(paragraph_digests(a)).alias("x"), F.flatten(paragraph_digests(b)).alias("y"))
+    """Numbers, from 0, of the paragraphs of one tree (by line) whose digests aren't at the same place in another."""
+    pairs = F.arrays_zip(F.flatten(a).alias("x"), F.flatten(b).alias("y"))
     marked = F.transform(pairs, lambda p, i: F.when(~p["x"].eqNullSafe(p["y"]) & p["x"].isNotNull(), i))
     return F.array_compact(marked)
 
@@ -82,21 +101,24 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     repeated = ids.where("copies > 1").limit(1).count() > 0
     if repeated:
         heads = heads.where(F.sha2("text", 256) == F.col("pick"))
-    heads = heads.select("to", F.substring("text", F.lit(1), F.col("need")).alias("head"), leaves(F.col("text")).alias("next_leaves"))
+    heads = heads.select("to", F.substring("text", F.lit(1), F.col("need")).alias("head"), leaves(leaf_tree(F.col("text"))).alias("next_leaves"))
     # Rows that repeat an id and a text give the same head more than once; where there are any, one stays.
     if repeated:
         heads = heads.groupBy("to").agg(F.first("head").alias("head"), F.first("next_leaves").alias("next_leaves"))
     joined = texts.join(heads, texts["doc_id"].eqNullSafe(heads["to"]))
     whole = joined.select("doc_id", "text", edited(F.col("text"), F.col("head")).alias("new"), "next_leaves")
-    whole = whole.withColumn("own", leaves(F.col("text")))
+    whole = whole.withColumns({"tree": leaf_tree(F.col("text")), "new_tree": leaf_tree(F.col("new"))})
+    whole = whole.withColumns({"own": leaves(F.col("tree")), "paragraphs": paragraph_digests(F.col("tree")), "new_paragraphs": paragraph_digests(F.col("new_tree"))})
+    whole = whole.withColumns({"root": root_of(F.col("paragraphs")), "new_root": root_of(F.col("new_paragraphs"))})
     return whole.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("new", 256).alias("edited_sha256"),
-        merkle_root(F.col("text")).alias("fingerprint"),
-        merkle_root(F.col("new")).alias("edited_fingerprint"),
-        likeness(F.col("own"), leaves(F.col("new"))).alias("near_edited"),
+        F.col("root").alias("fingerprint"),
+        F.col("new_root").alias("edited_fingerprint"),
+        F.when(F.col("root") == F.col("new_root"), F.lit(1.0)).otherwise(likeness(F.col("own"), leaves(F.col("new_tree")))).alias("near_edited"),
         likeness(F.col("own"), F.col("next_leaves")).alias("near_next"),
+        F.when(F.col("root") != F.col("new_root"), F.try_element_at(differing_paragraphs(F.col("paragraphs"), F.col("new_paragraphs")), F.lit(1))).alias("first_edited_paragraph"),
     )
 
 
@@ -104,16 +126,24 @@ def op5_document_fingerprints(spark, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
-ORACLE_SQL = r"""
+def _tree_sql(text: str) -> str:
+    piece = f"list_transform(string_split(regexp_replace(p, '([{ENDS}] )', '\\1' || chr(1), 'g'), chr(1)), lambda x: sha256('l' || x))"
+    return f"list_transform(string_split({text}, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), lambda p: {piece}))"
+
+
+_PARAGRAPHS = "list_transform({0}, lambda s: list_transform(s, lambda p: sha256('p' || array_to_string(p, ''))))"
+_ROOT = "sha256('r' || array_to_string(list_transform({0}, lambda s: sha256('s' || array_to_string(s, ''))), ''))"
+
+ORACLE_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 n AS (SELECT doc_id, t, coalesce(lead(t) OVER (ORDER BY doc_id), first_value(t) OVER (ORDER BY doc_id)) AS u FROM d),
 e AS (SELECT doc_id, t, u, left(t, length(t) - length(t) // 2) || left(u, length(t) // 2) AS w FROM n),
-l AS (SELECT *, list_distinct(string_split_regex(t, '\n|\. ')) AS a, list_distinct(string_split_regex(w, '\n|\. ')) AS b,
-        list_distinct(string_split_regex(u, '\n|\. ')) AS c FROM e)
-SELECT doc_id, length(t)::BIGINT AS n_chars, sha256(w) AS edited_sha256,
-  sha256('r' || array_to_string(list_transform(string_split(t, chr(10) || chr(10)), lambda s: sha256('s' || array_to_string(list_transform(string_split(s, chr(10)), lambda p: sha256('p' || p)), ''))), '')) AS fingerprint,
-  sha256('r' || array_to_string(list_transform(string_split(w, chr(10) || chr(10)), lambda s: sha256('s' || array_to_string(list_transform(string_split(s, chr(10)), lambda p: sha256('p' || p)), ''))), '')) AS edited_fingerprint,
+l AS (SELECT doc_id, t, w, {_tree_sql('t')} AS a, {_tree_sql('w')} AS b, {_tree_sql('u')} AS c FROM e),
+p AS (SELECT doc_id, t, w, {_PARAGRAPHS.format('a')} AS x, {_PARAGRAPHS.format('b')} AS y, list_distinct(flatten(flatten(a))) AS a, list_distinct(flatten(flatten(b))) AS b, list_distinct(flatten(flatten(c))) AS c FROM l),
+r AS (SELECT *, {_ROOT.format('x')} AS fingerprint, {_ROOT.format('y')} AS edited_fingerprint, flatten(x) AS fx, flatten(y) AS fy FROM p)
+SELECT doc_id, length(t)::BIGINT AS n_chars, sha256(w) AS edited_sha256, fingerprint, edited_fingerprint,
   len(list_intersect(a, b))::DOUBLE / (len(a) + len(b) - len(list_intersect(a, b))) AS near_edited,
-  len(list_intersect(a, c))::DOUBLE / (len(a) + len(c) - len(list_intersect(a, c))) AS near_next
-FROM l
+  len(list_intersect(a, c))::DOUBLE / (len(a) + len(c) - len(list_intersect(a, c))) AS near_next,
+  CASE WHEN fingerprint <> edited_fingerprint THEN list_min(list_filter(range(0, len(fx)), lambda i: fx[i + 1] IS DISTINCT FROM fy[i + 1]))::INT END AS first_edited_paragraph
+FROM r
 """
