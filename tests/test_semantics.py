@@ -138,7 +138,82 @@ def test_html(spark):
     rows = {r["page_id"]: r for r in H.scrape_question(df).collect()}
     assert (rows[1]["title"], rows[1]["author"], rows[1]["body"], rows[1]["asked"]) == ("N", "me", "q & a\n\n---\n\nyes\nno", "2024-01-02")
     assert (rows[2]["title"], rows[2]["body"]) == ("T", "body")
-    assert one(spark, lambda c: H.nested_div(c, "class", "x"), '<div class="x">a<div>b</div>c</div>d', "none") == ["a<div>b</div>c</div>", None]
+    assert one(spark, lambda c: H.nested_div(c, "class", "x"), '<div class="x">a<div>b</div>c</div>d', "none") == ["a<div>b</div>c</div>", ""]
+
+
+def test_unescape_is_the_standard_librarys(spark):
+    import html
+
+    texts = ["a&amp;b", "&#8217;&#x27;&rsquo;&rdquo;", "&notit; &notin; &not", "&#0;&#128;&#13;&#x110000;&#xD800;&#xFDD0;&#x1F600;&#11;&#99999999999999;&#x1FFFE;", "& &; &#; &#x; &unknown;", "&AMP&amp;lt;", "&eacute x", "&CounterClockwiseContourIntegral;&NotEqualTilde;", "none", "", "&#x000041;&#00065", "&a&b;", "&ampamp;", "&nbsp;&frac12&copy2"]
+    texts += [f"&#{n};&#x{n:x}" for n in range(0, 300, 3)]
+    assert one(spark, T.unescape, *texts, None) == [*map(html.unescape, texts), None]
+
+
+def test_strip_html_of_both_kinds(spark):
+    page = "<ul><li>a</li></ul>b<pre>c</pre>d<article>e</article>\r\n<table><tr><td>f</td></tr></table>g<br/>h<SCRIPT>x</SCRIPT>i"
+    assert one(spark, T.strip_html, page) == ["a\n b c d e \r\n f \n g\nhi"]
+    assert one(spark, T.strip_doc_html, page) == ["a\nb\nc\nd\ne\n\r\n\nf \ng h i"]
+
+
+def test_noise_patterns_stay_within_a_line(spark):
+    assert one(spark, T.drop_noise_lines, "12\nvotes\n3 votes", "Add\n", "No", "a\nYes", "", "\n\nAdd file\n\n") == ["12\nvotes", "", "", "a", "", "\n\n\n"]
+    assert one(spark, T.cut_footer, "a\n\u00a0Module\nb", "\nTraining", "Training") == ["a", "", ""]
+
+
+def test_nested_div_follows_divisions(spark):
+    pages = ['<p id="x">a<div>b</div></div>c</p></div>', 'id="x">a', '<div id="x">a<div>b</div>', '<div id="x" class="y"><div></div></div></div>', None]
+    assert one(spark, lambda c: H.nested_div(c, "id", "x"), *pages) == ["a<div>b</div></div>", "", "a<div>b</div>", "<div></div></div>", ""]
+
+
+def test_title_and_body(spark):
+    df = spark.createDataFrame([(1, '<h1>My <b>T</b></h1>x<div data-bi-name="content">tool<h1>my  t</h1><p>Feedback</p><p> one </p>5 min to read\n\n\n\n<p>two</p></div>z'), (2, "<h1>T</h1><p>a</p><FOOTER>f"), (3, "<p>no heading</p>"), (4, "<h1>T</h1>" + "y" * 90_000)], "page_id long, html string")
+    rows = {r["page_id"]: (r["title"], r["body"]) for r in H.doc_title_body(df).collect()}
+    assert rows == {1: ("My T", "one\n\ntwo"), 2: ("T", "a"), 3: ("", ""), 4: ("T", "y" * 80_000)}
+
+
+def test_limits():
+    import pytest
+
+    from threadloom.functions import limits as L
+
+    assert L.bounded("assign", batch_size=99, max_workers=0) == {"batch_size": 25, "max_workers": 1}
+    assert (L.batches_for(100, 25), L.batches_for(100_000, 1), L.batches_for(10, 5, 3)) == (4, 200, 3)
+    with pytest.raises(KeyError):
+        L.bounded("assign", nothing=1)
+
+
+def test_the_last_add_wins(spark):
+    have = spark.createDataFrame([("a", 1)], "id string, v int")
+    adds = spark.createDataFrame([("b", 5, 1), ("b", 3, 2), ("a", 9, 1)], "id string, v int, at int")
+    none = have.limit(0)
+    for parts in (1, 3):
+        got = {r["id"]: r["v"] for r in V.refine(have, none, have, adds.repartition(parts), "id", order="at").collect()}
+        assert got == {"a": 9, "b": 3}
+    assert {r["id"]: r["v"] for r in V.refine(have, none, have, adds, "id").collect()} == {"a": 9, "b": 5}
+
+
+def test_load_per_minute_over_hours(spark):
+    from threadloom.streaming import ingest as S
+
+    rows = [(i, dt.datetime(2024, 1, 1, 10, 58, 30) + dt.timedelta(seconds=7 * i), "k", 1.0) for i in range(40)]
+    out = S.load_per_minute(spark.createDataFrame(rows, "event_id long, ts timestamp, event_type string, value double")).collect()
+    at = {r[0]: r[1] for r in rows}
+    assert {r["event_id"]: int(r["load"]) for r in out} == {i: sum(0 <= (at[i] - t).total_seconds() <= 60 for t in at.values()) for i in at}
+
+
+def test_shared_folder_is_asked_for(spark, monkeypatch):
+    import pytest
+
+    from threadloom.sources.scratch import shared_folder
+
+    assert shared_folder(spark)
+
+    class Session:
+        conf = type("C", (), {"get": staticmethod(lambda k, d: d)})
+        sparkContext = type("S", (), {"master": "local-cluster[2,1,1024]"})
+
+    with pytest.raises(ValueError):
+        shared_folder(Session)
 
 
 def test_lifecycle_bounds(spark):

@@ -108,3 +108,35 @@ def test_silence(spark):
     got = [r["stretch"] for r in ingest.split_by_silence(df).orderBy("added_on").collect()]
     assert got == [0, 0, 0, 1, 2]
     assert df.where(F.lit(True)).count() == 5
+
+
+def test_xlsx_and_upload(spark, tmp_path):
+    import xml.etree.ElementTree as ET
+    import zipfile
+
+    from threadloom.sources import raw
+
+    rows = [("qa1", "a < b & c", "http://x", "2024-01-01 00:00:00", None, "two\nlines \x01"), ("qa2", "é", None, "", "me", "")]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in raw.SHEET))
+    path = str(tmp_path / "t.xlsx")
+    assert raw.write_xlsx(df, path) == 2
+    ns = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
+    with zipfile.ZipFile(path) as z:
+        sheet = ET.fromstring(z.read("xl/worksheets/sheet1.xml"))
+        assert {"[Content_Types].xml", "_rels/.rels", "xl/workbook.xml", "xl/_rels/workbook.xml.rels"} <= set(z.namelist())
+    cells = [[c.find("m:is/m:t", ns).text or "" for c in r] for r in sheet.iterfind("m:sheetData/m:row", ns)]
+    assert cells == [raw.SHEET, *([("" if x is None else x.replace("\x01", "")) for x in r] for r in rows)]
+    import pytest
+
+    with pytest.raises(ValueError):
+        raw.write_xlsx(df, path, most=1)
+
+    folder = tmp_path / "up"
+    folder.mkdir()
+
+    def put(name, body):
+        (folder / name).write_bytes(body)
+
+    done = []
+    n = raw.upload(spark.createDataFrame([("a", "x"), ("b", "é"), (None, "z"), ("c", None)], "name string, content string"), put, lambda: done.append(len(list(folder.iterdir()))))
+    assert n == 2 and done == [2] and (folder / "b").read_bytes() == "é".encode()

@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import html
 import json
-import re
 from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import norm_space, strip_html, unescape
+from .text import norm_space, once, parse_utc, strip, strip_doc_html, strip_html, unescape
 
-LD_JSON = r'(?is)<script[^>]*type="application/ld\+json"[^>]*>(.*?)</script>'
+LD_JSON = r"(?s)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"
 _ANSWER = "array<struct<text string, updatedAt string, dateCreated string>>"
 
 
@@ -25,7 +23,10 @@ def pick_ld_json(page: Column, kind: str = "QAPage") -> Column:
 
 
 def scrape_question(rows: DataFrame, page: str = "html") -> DataFrame:
-    """Title, author, body and date of a question page: from JSON-LD, else from the markup."""
+    """Title, author, body and date of a question page: from JSON-LD; title and body else from the markup.
+
+    Dates that don't parse don't count; the date is as the page writes it.
+    """
     out = rows.withColumn("_v", F.try_parse_json(pick_ld_json(F.col(page))))
     get = lambda path, kind="string": F.try_variant_get("_v", f"$.mainEntity{path}", kind)
     # An accepted answer may be an object or a list of them.
@@ -34,18 +35,21 @@ def scrape_question(rows: DataFrame, page: str = "html") -> DataFrame:
     answers = F.filter(F.concat(accepted, suggested), lambda a: a.isNotNull())
     texts = F.concat(F.array(strip_html(get(".text"))), F.transform(answers, lambda a: strip_html(a["text"])))
     body = F.array_join(F.filter(texts, lambda x: F.trim(x) != ""), "\n\n---\n\n")
-    dates = F.array_min(F.filter(F.transform(answers, lambda a: F.coalesce(a["updatedAt"], a["dateCreated"])), lambda d: d.isNotNull()))
-    local = F.nullif(F.regexp_extract(page, r'(?i)<local-time[^>]*datetime="([^"]+)"', 1), F.lit(""))
-    heading = strip_html(F.regexp_extract(page, r"(?is)<h1[^>]*>(.*?)</h1>", 1))
-    rest = strip_html(F.regexp_extract(page, r"(?is)</h1>(.*?)(?:<footer|\z)", 1))
+    when = lambda d: F.when(parse_utc(d).isNotNull(), d)
+    dates = F.filter(F.transform(answers, lambda a: F.coalesce(when(a["updatedAt"]), when(a["dateCreated"]))), lambda d: d.isNotNull())
+    earliest = F.array_min(F.transform(dates, lambda d: F.struct(parse_utc(d).alias("t"), d.alias("d"))))["d"]
+    local = when(F.nullif(F.regexp_extract(page, r'(?i)<local-time[^>]+datetime="(20\d{2}-\d{2}-\d{2}T[\d:.]+(?:\+[\d:]+|Z)?)"', 1), F.lit("")))
+    heading = unescape(strip(F.regexp_extract(page, r"(?i)<h1[^>]*>([^<]+)</h1>", 1)))
+    rest = strip_html(F.regexp_extract(page, r"""(?s)</h1>(.*?)(?:<footer|<div[^>]+class="[^"]*(?:additional|related))""", 1))
     found = F.col("_v").isNotNull()
     # The author is an object with a name or plain text.
     author = F.coalesce(get(".author.name"), F.when(~F.coalesce(F.schema_of_variant(F.try_variant_get("_v", "$.mainEntity.author", "variant")).startswith("OBJECT"), F.lit(False)), get(".author")))
+    text = lambda c: F.coalesce(F.trim(c), F.lit(""))
     return out.withColumns({
-        "title": F.when(found, F.trim(get(".name"))).otherwise(heading),
-        "author": F.when(found, author),
+        "title": F.when(found, text(get(".name"))).otherwise(heading),
+        "author": F.when(found, text(author)).otherwise(F.lit("")),
         "body": F.when(found, body).otherwise(rest),
-        "asked": F.coalesce(F.when(found, F.coalesce(get(".dateCreated"), get(".datePublished"), dates)), local),
+        "asked": F.when(found, F.coalesce(when(get(".dateCreated")), when(get(".datePublished")), earliest, local)),
     }).drop("_v")
 
 
@@ -71,18 +75,27 @@ def link_dates(rows: DataFrame, key: str, page: str, pattern: str, reach: int =
     return out.groupBy(key, "href").agg(F.min_by("asked", "pos").alias("asked"))
 
 
-def doc_title_body(rows: DataFrame, page: str = "html") -> DataFrame:
-    """Adds title and body of a documentation page: the heading, and what stands between it and the footer, without the
-    lines up to one that repeats the title and without page furniture."""
-    from .text import drop_noise_lines, strip, strip_doc_html
+# Lines of documentation pages that aren't the article's.
+DOC_NOISE = r"(?i)^\s*(Article tested with|Feedback|Was this page helpful|Yes No|In this article|Submit and view feedback)\s*$|^\s*\d+\s+min(utes?)?\s+to\s+read\s*$"
+_LINE_END = "\r\n|[\n\r\u000b\u000c\u001c-\u001e\u0085\u2028\u2029]"
 
-    title = strip_doc_html(F.regexp_extract(page, r"(?is)<h1[^>]*>(.*?)</h1>", 1))
-    inner = F.nullif(F.regexp_extract(page, r"(?is)<h1[^>]*>.*?</h1>(.*?)(?:<footer|\z)", 1), F.lit(""))
-    text = F.coalesce(strip_doc_html(inner), F.substring(strip_doc_html(F.col(page)), 1, 80_000))
-    out = rows.withColumn("title", title).withColumn("_lines", F.split(text, "\n"))
-    at = F.array_position(F.transform("_lines", lambda x: F.lower(strip(x)) == F.lower(F.col("title"))), F.lit(True))
-    rest = F.when((at > 0) & (F.col("title") != ""), F.slice("_lines", (at + 1).cast("int"), F.greatest(F.size("_lines") - at.cast("int"), F.lit(0)))).otherwise(F.col("_lines"))
-    return out.withColumn("body", norm_space(drop_noise_lines(F.array_join(rest, "\n")))).drop("_lines")
+
+def doc_title_body(rows: DataFrame, page: str = "html") -> DataFrame:
+    """Adds title and body of a documentation page.
+
+    The title is the heading; the body the text of the content division, else of what stands between heading and footer
+    (at most 80,000 characters where there is no footer), without the lines up to one that repeats the title and without
+    page furniture.
+    """
+    names = rows.columns
+    parts = rows.withColumn("_h1", F.regexp_extract(page, r"(?is)<h1[^>]*>(.*?)</h1>", 1)).withColumn("_div", nested_div(F.col(page), "data-bi-name", "content"))
+    after = F.regexp_extract(page, r"(?is)<h1[^>]*>.*?</h1>(.*)\z", 1)
+    inner = F.when(after.rlike("(?i)<footer"), F.regexp_extract(after, r"(?is)\A(.*?)<footer", 1)).otherwise(F.substring(after, 1, 80_000))
+    parts = parts.select(*names, strip_doc_html(F.col("_h1")).alias("title"), F.split(strip_doc_html(F.when(F.col("_div") != "", F.col("_div")).otherwise(inner)), _LINE_END, -1).alias("_lines"))
+    at = F.array_position(F.transform("_lines", lambda x: F.lower(strip(x)) == F.lower(strip(F.col("title")))), F.lit(True)).cast("int")
+    rest = F.when((at > 0) & (F.col("title") != ""), F.slice("_lines", at + 1, F.greatest(F.size("_lines") - at, F.lit(0)))).otherwise(F.col("_lines"))
+    kept = F.filter(F.transform(rest, strip), lambda x: ~x.rlike(DOC_NOISE))
+    return parts.withColumn("body", strip(F.regexp_replace(F.array_join(kept, "\n"), "\n{3,}", "\n\n"))).drop("_lines")
 
 
 def last_page(page: Column) -> Column:
@@ -98,28 +111,35 @@ def page_url(url: Column, page: Column) -> Column:
     return F.when(mark != "", F.regexp_replace(url, F.lit(r"([?&])page=[^&#]*"), F.concat(mark, n))).otherwise(F.concat(url, F.when(url.contains("?"), F.lit("&")).otherwise(F.lit("?")), n))
 
 
-# ---------------------------------------------------------------- nesting and recursion: what regular expressions can't follow
+def nested_div(page: Column, attribute: str, value: str) -> Column:
+    """What stands in the first element with attribute="value", through its own closing tag, which is part of the result;
+    to the end if nothing closes it, and the empty text if there is no such element. Divisions are counted."""
+    token = "<div|</div>"
 
+    def inner(t):
+        marker = f'{attribute}="{value}"'
+        start = F.regexp_replace(F.substring_index(t, marker, 1), r"(?s)\A.*(?=<)", "")  # from the last < before the marker
+        before = F.length(F.substring_index(t, marker, 1)) - F.length(start)
+        rest = F.regexp_extract(F.substring(t, before + 1, F.length(t)), r"(?s)\A<[^>]*>(.*)\z", 1)
+        return F.when(t.contains(marker) & start.startswith("<"), once(rest, closed)).otherwise(F.lit(""))
 
-def _inner(text: str | None, attribute: str, value: str) -> str | None:
-    """From behind the first div with attribute="value" through its own closing tag, which is part of the result."""
-    m = re.search(rf'<div\b[^>]*\b{re.escape(attribute)}\s*=\s*["\']{re.escape(value)}["\'][^>]*>', text or "", re.I)
-    if not m:
-        return None
-    depth = 1
-    for tag in re.finditer(r"<(/?)div\b[^>]*>", text[m.end() :], re.I):
-        depth += -1 if tag[1] else 1
-        if depth == 0:
-            return text[m.end() : m.end() + tag.end()]
-    return text[m.end() :]
+    def closed(rest):
+        tags, between = F.regexp_extract_all(rest, F.lit(token), 0), F.split(rest, token, -1)
+        zero = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"), F.lit(0).alias("last"))
 
+        def step(state, tag):
+            depth = state["depth"] + F.when(tag == "<div", 1).otherwise(-1)
+            n = state["n"] + 1
+            return F.struct(depth.alias("depth"), n.alias("n"), F.when((state["last"] == 0) & (depth == 0), n).otherwise(state["last"]).alias("last"))
 
-def nested_div(page: Column, attribute: str, value: str) -> Column:
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: _inner(x, attribute, value))
+        last = F.aggregate(tags, zero, step)["last"]
+        upto = F.zip_with(F.slice(between, F.lit(1), last), F.slice(tags, F.lit(1), last), lambda a, b: F.concat(a, b))
+        return F.when(last == 0, rest).otherwise(F.array_join(upto, ""))
 
-    return run(page)
+    return once(F.coalesce(page, F.lit("")), inner)
+
+
+# ---------------------------------------------------------------- recursion: what regular expressions can't follow
 
 
 def _walk(node):
@@ -165,13 +185,3 @@ def ordered_urls(rows: DataFrame, most: int | None = None) -> DataFrame:
     first = rows.where("url is not null").groupBy("url").agg(F.min("pos").alias("pos"), F.min_by("title", "pos").alias("title"))
     out = first.withColumn("order", F.row_number().over(Window.orderBy("pos", "url")))
     return (out.where(F.col("order") <= most) if most else out).select("url", "title", "order")
-
-
-def unescape_all(text: Column) -> Column:
-    """All character references, by the standard library's table."""
-
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else html.unescape(x))
-
-    return run(text)

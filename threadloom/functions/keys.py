@@ -59,10 +59,16 @@ def sanitize_name(c: Column) -> Column:
     return F.substring(F.regexp_replace(F.lower(_text(c)), "[^a-z0-9_-]", "_"), 1, 60)
 
 
-def source_of(url: Column) -> Column:
-    """Which site a thread is from, by its host."""
-    u = F.lower(_text(url))
-    return F.when(u.contains("example.org"), "org").when(u.contains("example.net"), "net").when(u.contains("example.com"), "com").otherwise("org")
+# What stands in a url, and the source that this means, in turn.
+SOURCES = [("learn.microsoft.com", "msqa"), ("stackoverflow.com", "so"), ("github.com", "github")]
+
+
+def source_of(url: Column, sources=SOURCES, other: str = "msqa") -> Column:
+    """Which site a thread is from, by its url."""
+    u, out = F.lower(_text(url)), None
+    for part, name in sources:
+        out = F.when(u.contains(part), F.lit(name)) if out is None else out.when(u.contains(part), F.lit(name))
+    return F.lit(other) if out is None else out.otherwise(F.lit(other))
 
 
 def question_id(url: Column) -> Column:

@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
+import html
+import json
+import re
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+
+def once(c: Column, f) -> Column:
+    """f(c), where f uses its argument more than once and c is dear: c is computed a single time."""
+    return F.transform(F.array(c), f)[0]
+
+
 # Lines that are page furniture when they stand alone.
 NOISE_LINES = [
     "Add",
@@ -61,26 +72,25 @@ NOISE_PATTERNS = [
 # Headings from which on a page is a footer.
 FOOTER_HEADINGS = ["Additional resources", "Training", "Documentation", "Module", "Certification", "Show 2 more", "Show more"]
 
-_NOISE = r"(?iU)^(?:" + "|".join(NOISE_PATTERNS) + ")$"
-_EDGE = r"(?U)^\s+|\s+$"
+#: White space of any script inside a line.
+_H = r"[\s&&[^\n]]"
+_NOISE = (
+    rf"(?dmU)^{_H}*+(?:(?:" + "|".join(re.escape(x).replace("\\ ", " ") for x in NOISE_LINES) + ")|(?i:" + "|".join(x.replace(r"\s", _H) for x in NOISE_PATTERNS) + rf")){_H}*+\n")
+_FOOTER = rf"(?dmU)^{_H}*+(?:" + "|".join(FOOTER_HEADINGS) + rf"){_H}*+$"
 
 
 def strip(c: Column) -> Column:
     """Without white space of any script at both ends."""
-    return F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")
+    return F.regexp_replace(c, r"(?U)\A\s++|(?<!\s)\s++\z", "")
 
 
 def norm_newlines(c: Column) -> Column:
-    t = F.replace(F.coalesce(c, F.lit("")), F.lit("﻿"), F.lit(""))
+    t = F.replace(F.coalesce(c, F.lit("")), F.lit("\ufeff"), F.lit(""))
     return F.replace(F.replace(t, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
 
 
-def _lines(c: Column) -> Column:
-    return F.split(c, "\n", -1)
-
-
 def normalize_ws(c: Column) -> Column:
-    t = F.array_join(F.transform(_lines(norm_newlines(c)), lambda x: F.regexp_replace(x, r"(?U)\s+\z", "")), "\n")
+    t = F.regexp_replace(norm_newlines(c), rf"(?dmU)(?<!{_H}){_H}++$", "")
     return strip(F.regexp_replace(F.regexp_replace(t, "[ \t]+", " "), "\n{3,}", "\n\n"))
 
 
@@ -88,29 +98,24 @@ def drop_copy_lines(c: Column) -> Column:
     return F.regexp_replace(c, r"(?dmiU)^\s*Copy\s*$", "")
 
 
-def is_noise(line: Column) -> Column:
-    s = strip(line)
-    return (s != "") & (s.isin(*NOISE_LINES) | s.rlike(_NOISE))
-
-
 def drop_noise_lines(c: Column) -> Column:
-    return F.array_join(F.filter(_lines(c), lambda x: ~is_noise(x)), "\n")
+    """Without the lines that are page furniture; one pass over the text, whose last line gets an end for it."""
+    return F.regexp_replace(F.regexp_replace(F.concat(c, F.lit("\n")), _NOISE, ""), r"\n\z", "")
 
 
 def cut_footer(c: Column) -> Column:
     """Up to the first heading of a footer that stands alone. Headings are no noise, so the first one always cuts."""
-    lines = _lines(c)
-    marks = F.transform(lines, lambda x: strip(x).isin(*FOOTER_HEADINGS))
-    at = F.array_position(marks, F.lit(True))
-    return F.when(at > 0, F.array_join(F.slice(lines, F.lit(1), (at - 1).cast("int")), "\n")).otherwise(c)
+    at = F.regexp_instr(c, F.lit(_FOOTER))
+    return F.when(at > 0, F.substring(c, F.lit(1), F.greatest(at - 2, F.lit(0)))).otherwise(c)
 
 
 def clean_content(c: Column) -> Column:
-    t = cut_footer(drop_noise_lines(drop_copy_lines(norm_newlines(c))))
+    t = once(drop_noise_lines(drop_copy_lines(norm_newlines(c))), cut_footer)
     return normalize_ws(F.replace(t, F.lit("\t"), F.lit(" ")))
 
 
-HEAD, TAIL, MARKER = 8000, 3000, "\n\n[...truncated...]\n\n"
+# What is kept of a long text, and what stands for the rest.
+HEAD, TAIL, MARKER = 8000, 3000, "\n\n--- TRUNCATED ---\n\n"
 
 
 def trim_for_llm(c: Column, most: int = 12_000) -> Column:
@@ -164,31 +169,67 @@ def with_heading(text: Column, key: Column, least: int = 40) -> Column:
 
 # ---------------------------------------------------------------- HTML
 
-_BLOCKS = "p|div|li|ul|ol|h1|h2|h3|h4|h5|h6|pre|blockquote|table|tr|section"
+# Elements whose closing tags end a line on thread pages, and whose tags of either kind do on documentation pages.
+THREAD_BLOCKS = ["p", "div", "li", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote"]
+DOC_BLOCKS = ["p", "div", "li", "tr", "h1", "h2", "h3", "h4", "h5", "h6", "br", "blockquote", "pre", "section", "article", "aside"]
+
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+_COMMON = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&nbsp;": "\u00a0"}
+
 
-# Character references that pages use most; numbers are handled apart.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&nbsp;": " ", "&hellip;": "…", "&mdash;": "—", "&ndash;": "–", "&copy;": "©", "&eacute;": "é", "&amp;": "&"}
+def _table(values: dict) -> Column:
+    return F.from_json(F.lit(json.dumps(values)), "map<string,string>")
+
+
+def _decoded(ref: Column) -> Column:
+    """What a character reference of a page stands for, by the rules of HTML 5; itself if for nothing."""
+    body = F.substring(ref, 2, 40)
+    short = _table({k: v for k, v in html5.items() if not k.endswith(";")})
+    # Without its semicolon the longest name that it starts with counts.
+    starts = F.filter(F.transform(F.sequence(F.length(body) - 1, F.lit(2), F.lit(-1)), lambda k: F.concat(F.try_element_at(short, F.substring(body, F.lit(1), k)), F.substring(body, k + 1, F.lit(40)))), lambda x: x.isNotNull())
+    named = F.coalesce(F.try_element_at(_table(html5), body), F.when(F.length(body) > 2, F.try_element_at(starts, F.lit(1))), ref)
+    hexadecimal = F.lower(F.substring(ref, 3, 1)) == "x"
+    digits = F.regexp_replace(ref, "^&#[xX]?0*|;$", "")
+    number = F.when(F.length(digits) > 7, F.lit(0x110000)).when(digits == "", F.lit(0)).when(hexadecimal, F.conv(digits, 16, 10).cast("int")).otherwise(F.try_to_number(digits, F.lit("9999999")).cast("int"))
+    odd = _table({str(n): html.unescape(f"&#{n};") for n in range(160) if html.unescape(f"&#{n};") != chr(n)})
+
+    def char(n):
+        gone = n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(0xFFFE) == 0xFFFE)
+        plain = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        return F.when((n > 0x10FFFF) | n.between(0xD800, 0xDFFF), F.lit("\ufffd")).when(n < 160, F.coalesce(F.try_element_at(odd, n.cast("string")), plain)).when(gone, F.lit("")).otherwise(plain)
+
+    out = None
+    for k, v in _COMMON.items():
+        out = F.when(ref == k, F.lit(v)) if out is None else out.when(ref == k, F.lit(v))
+    return out.when(ref.startswith("&#"), once(number, char)).otherwise(named)
 
 
 def unescape(c: Column) -> Column:
-    """Replaces the references in ENTITIES, the ampersand last so that nothing is replaced twice."""
-    for k, v in ENTITIES.items():
-        c = F.replace(c, F.lit(k), F.lit(v))
-    return c
+    """Every character reference replaced, once: named ones by the table of HTML 5, and numbers."""
+
+    def run(t):
+        refs, between = F.regexp_extract_all(t, F.lit(_REFERENCE), 0), F.split(t, _REFERENCE, -1)
+        joined = F.concat(between[0], F.array_join(F.transform(refs, lambda r, i: F.concat(_decoded(r), F.get(between, i + 1))), ""))
+        return F.when(t.contains("&"), joined).otherwise(t)
+
+    return once(c, run)
 
 
 def strip_html(c: Column) -> Column:
-    """Text of a page: script and style bodies go, breaks and closing block tags are line ends, other tags blanks."""
-    t = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?is)<(script|style)\b[^>]*>.*?</\1>", "")
+    """Text of a thread page: script and style bodies go, breaks and closing block tags are line ends, other tags blanks."""
+    t = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?is)<script[^>]*>.*?</script>", "")
+    t = F.regexp_replace(t, r"(?is)<style[^>]*>.*?</style>", "")
     t = F.regexp_replace(t, r"(?i)<br\s*/?>", "\n")
-    t = F.regexp_replace(t, rf"(?i)</({_BLOCKS})>", "\n")
-    return norm_space(unescape(F.regexp_replace(t, r"<[^>]+>", " ")))
+    t = F.regexp_replace(t, rf"(?i)</(?:{'|'.join(THREAD_BLOCKS)})>", "\n")
+    t = unescape(F.regexp_replace(t, r"<[^>]+>", " "))
+    return strip(F.regexp_replace(F.regexp_replace(t, "[ \t]+", " "), "\n{3,}", "\n\n"))
 
 
 def strip_doc_html(c: Column) -> Column:
-    """As strip_html, but script bodies are blanks and opening block tags are line ends as well."""
-    t = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?is)<(script|style)\b[^>]*>.*?</\1>", " ")
-    t = F.regexp_replace(t, r"(?i)<br\s*/?>", "\n")
-    t = F.regexp_replace(t, rf"(?i)</?({_BLOCKS})\b[^>]*>", "\n")
+    """Text of a documentation page: script and style bodies are blanks, block tags of either kind are line ends."""
+    t = F.regexp_replace(F.coalesce(c, F.lit("")), r"(?is)<script[^>]*>.*?</script>", " ")
+    t = F.regexp_replace(t, r"(?is)<style[^>]*>.*?</style>", " ")
+    t = F.regexp_replace(t, rf"(?i)</?(?:{'|'.join(DOC_BLOCKS)})(?:\s[^>]*)?>", "\n")
     t = unescape(F.regexp_replace(t, r"<[^>]+>", " "))
-    return norm_space(F.regexp_replace(t, "\n[ \t]+", "\n"))
+    t = F.regexp_replace(F.regexp_replace(t, "[ \t]+", " "), "\n[ \t]+", "\n")
+    return strip(F.regexp_replace(t, "\n{3,}", "\n\n"))

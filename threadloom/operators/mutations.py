@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .rollup import first_of
+
 
 def upsert(base: DataFrame, changes: DataFrame, key: str | list[str], keep: dict[str, Column] | None = None) -> DataFrame:
     """Rows of `changes` replace or join those of `base`; `keep` overrides columns, over b.<col>, c.<col> and `matched`."""
@@ -41,9 +43,9 @@ def count_up(base: DataFrame, changes: DataFrame, key: str, counter: str, seen:
 
 
 def insert_absent(base: DataFrame, rows: DataFrame, key: str | list[str]) -> DataFrame:
-    """Adds the rows whose key isn't there yet, each key once."""
+    """Adds the rows whose key isn't there yet, each key once, of several the first by their values."""
     keys = [key] if isinstance(key, str) else key
-    new = rows.dropDuplicates(keys).join(base.select(*keys), keys, "left_anti")
+    new = first_of(rows, keys).join(base.select(*keys), keys, "left_anti")
     return base.unionByName(new.select(*base.columns))
 
 
@@ -162,7 +164,7 @@ def get_or_create_nodes(catalog: DataFrame, wanted: DataFrame, level: int, phase
     A key that an active node of the product and level has is taken as it is, whatever its parent. The parent is the
     newest active node of its key in the first lane (own phase, no phase, any phase) that has one.
     """
-    absent = wanted.dropDuplicates(["product", "cluster_key"]).join(catalog.where(F.col("is_active") & (F.col("cluster_level") == level)).select("product", "cluster_key"), ["product", "cluster_key"], "left_anti")
+    absent = first_of(wanted, ["product", "cluster_key"]).join(catalog.where(F.col("is_active") & (F.col("cluster_level") == level)).select("product", "cluster_key"), ["product", "cluster_key"], "left_anti")
     if level > 1:
         up = catalog.where(F.col("is_active") & (F.col("cluster_level") == level - 1))
         lane = {"own": F.col("created_by") == phase, "none": F.col("created_by").isNull(), "any": F.lit(True)}
@@ -181,3 +183,24 @@ def fill_blank(rows: DataFrame, values: DataFrame, keys: list[str], text: str) -
     blank = F.coalesce(F.trim(text) == "", F.lit(True))
     fresh = F.coalesce(F.trim("_new") != "", F.lit(False))
     return out.withColumn(text, F.when(blank & fresh, F.col("_new")).otherwise(F.col(text))).drop("_new", *(f"_{k}" for k in keys))
+
+
+def latest_with_signature(clusters: DataFrame, wanted: DataFrame, now, days: int = 0) -> DataFrame:
+    """(kind, signature_hash, cluster_id): for each signature of `wanted` the newest cluster of its kind that has it.
+
+    `days`: only clusters made so many days before `now` at most; 0: of any age. Of equal dates the largest id.
+    """
+    recent = clusters.where(F.col("created_on") >= F.date_sub(F.lit(now), days)) if days else clusters
+    keys = ["kind", "signature_hash"]
+    newest = recent.groupBy(*keys).agg(F.max(F.struct("created_on", "cluster_id")).alias("_n")).select(*keys, F.col("_n.cluster_id").alias("cluster_id"))
+    return wanted.select(*keys).distinct().join(newest, keys)
+
+
+def upsert_signatures(clusters: DataFrame, wanted: DataFrame, now, days: int = 0) -> DataFrame:
+    """The clusters, those found by signature with `last_seen` set, and a new one for each signature that wasn't found."""
+    keys = ["kind", "signature_hash"]
+    hits = latest_with_signature(clusters, wanted, now, days)
+    seen = hits.select(F.col("cluster_id").alias("_id"))
+    kept = clusters.join(seen, F.col("cluster_id") == F.col("_id"), "left").withColumn("last_seen", F.when(F.col("_id").isNotNull(), F.lit(now)).otherwise(F.col("last_seen"))).drop("_id")
+    new = surrogate_ids(first_of(wanted, keys).join(hits.select(*keys), keys, "left_anti"), keys, clusters, "cluster_id")
+    return kept.unionByName(new.withColumn("created_on", F.lit(now)).withColumn("last_seen", F.lit(now)).select(*kept.columns))

@@ -23,29 +23,44 @@ def fk_or_key_matches(threads: DataFrame, nodes: DataFrame, fk: str, key: str) -
     return by_id.select(cols).union(by_key.select(cols)).distinct()
 
 
+def level_matches(threads: DataFrame, catalog: DataFrame) -> DataFrame:
+    """(cluster_id, thread_id, usefulness) of the threads that name a node of any level by id or by (product, key).
+
+    Threads are read once: each gives a row for each of its up to eight names of nodes, and nodes join by name. A thread
+    that names a node both ways is there twice.
+    """
+    mark = lambda *parts: F.concat_ws("\x01", *parts)
+    names = [F.when(F.col(c).isNotNull(), mark(*parts)) for level, (fk, key) in LEVELS.items() for c, parts in ((fk, (F.lit(f"i{level}"), F.col(fk).cast("string"))), (key, (F.lit(f"k{level}"), "product", F.col(key))))]
+    t = threads.where(non_blank("product")).select("thread_id", "usefulness", F.explode(F.array_compact(F.array(*names))).alias("_name"))
+    level = F.col("cluster_level").cast("string")
+    by_id, by_key = mark(F.concat(F.lit("i"), level), F.col("cluster_id").cast("string")), F.when(F.col("product").isNotNull() & F.col("cluster_key").isNotNull(), mark(F.concat(F.lit("k"), level), "product", "cluster_key"))
+    nodes = catalog.where(F.col("cluster_level").isin(*LEVELS)).select("cluster_id", F.explode(F.array_compact(F.array(by_id, by_key))).alias("_node"))
+    return t.join(nodes, F.col("_name") == F.col("_node")).select("cluster_id", "thread_id", "usefulness")
+
+
+def active_lines(catalog: DataFrame) -> DataFrame:
+    """(cluster_id, to): a node and the ancestors that its best usefulness reaches, each through active nodes alone."""
+    up = catalog.select(F.col("cluster_id").alias("_id"), F.when(F.col("is_active"), F.col("parent_id")).alias("_up"))
+    out = catalog.select("cluster_id", F.when(F.col("is_active"), F.col("parent_id")).alias("_1"))
+    for k in (1, 2):
+        out = out.join(up.toDF("_id", f"_{k + 1}"), F.col(f"_{k}") == F.col("_id"), "left").drop("_id")
+    return out.select("cluster_id", F.explode(F.array_compact(F.array("cluster_id", "_1", "_2", "_3"))).alias("to"))
+
+
 def rollup_levels(threads: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Member counts and best usefulness of every node, bottom up.
+    """Member counts and best usefulness of every node.
 
-    A node's best is the larger of its own threads' and its active children's, whichever exist.
+    A node's best is the larger of its own threads' and its active children's, whichever exist; so a node's own best goes
+    to all nodes that a line of active ones leads to, and one aggregate serves all levels.
     """
     zero = F.lit(0).cast("decimal(4,3)")
-    below = None
-    out = None
-    for level in (4, 3, 2, 1):
-        fk, key = LEVELS[level]
-        nodes = catalog.where(F.col("cluster_level") == level)
-        direct = fk_or_key_matches(threads, nodes, fk, key).groupBy("cluster_id").agg(
-            F.countDistinct("thread_id").alias("member_count"), F.max(F.coalesce("usefulness", zero)).alias("own_max"))
-        done = nodes.select("cluster_id", "cluster_level", "product", "cluster_key", "parent_id", "is_active", "last_seen").join(direct, "cluster_id", "left")
-        best = F.col("own_max")
-        if below is not None:
-            child = below.where("is_active").groupBy(F.col("parent_id").alias("cluster_id")).agg(F.max("max_usefulness").alias("child_max"))
-            done = done.join(child, "cluster_id", "left")
-            best = F.greatest("own_max", "child_max")
-        done = done.select("cluster_id", "cluster_level", "product", "cluster_key", "parent_id", "is_active", "last_seen", F.coalesce("member_count", F.lit(0)).cast("long").alias("member_count"), best.alias("max_usefulness"))
-        out = done if out is None else out.unionByName(done)
-        below = done
-    return out
+    direct = level_matches(threads, catalog).groupBy("cluster_id").agg(F.countDistinct("thread_id").alias("members"), F.max(F.coalesce("usefulness", zero)).alias("best"))
+    spread = direct.join(active_lines(catalog), "cluster_id")
+    own = F.when(F.col("to") == F.col("cluster_id"), F.col("members"))
+    rolled = spread.groupBy(F.col("to").alias("_to")).agg(F.sum(own).alias("_members"), F.max("best").alias("max_usefulness"))
+    nodes = catalog.where(F.col("cluster_level").isin(*LEVELS)).select("cluster_id", "cluster_level", "product", "cluster_key", "parent_id", "is_active", "last_seen")
+    out = nodes.join(rolled, F.col("cluster_id") == F.col("_to"), "left")
+    return out.select(*nodes.columns, F.coalesce("_members", F.lit(0)).cast("long").alias("member_count"), "max_usefulness")
 
 
 def sum_members(catalog: DataFrame, memberships: DataFrame) -> DataFrame:
@@ -78,6 +93,13 @@ def with_ancestors(nodes: DataFrame, catalog: DataFrame) -> DataFrame:
     return out.drop("_id1", "_id2", "_id3", "_parent1", "_parent2", "_parent3")
 
 
+def first_of(rows: DataFrame, keys: list[str], order: list | None = None) -> DataFrame:
+    """One row of each key: the first in the given order, else by the values of the other columns, so that runs agree."""
+    plain = [c for c, t in rows.dtypes if c not in keys and "map<" not in t and "variant" not in t]
+    w = Window.partitionBy(*keys).orderBy(*(order or []), *(plain or keys))
+    return rows.withColumn("_first", F.row_number().over(w)).where("_first = 1").drop("_first")
+
+
 def top_n(rows: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
     """First n rows of each key in the given order, numbered in `rn`."""
     return rows.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rn") <= n)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .rollup import first_of
+
 # The states that an incident may be given.
 INCIDENT_STATUSES = ("active", "investigating", "mitigated", "resolved", "by-design", "false-positive", "archived")
 
@@ -69,14 +71,17 @@ def staged_merge(seed: DataFrame, *stages: tuple[DataFrame, list[str]]) -> DataF
     return out
 
 
-def refine(have: DataFrame, drops: DataFrame, keeps: DataFrame, adds: DataFrame, key: str, share: float = 0.85) -> DataFrame:
-    """Takes out drops; keeps only the keep-list if it holds at least int(share * prior) ids; then adds, the last of an id wins."""
+def refine(have: DataFrame, drops: DataFrame, keeps: DataFrame, adds: DataFrame, key: str, share: float = 0.85, order: str | None = None) -> DataFrame:
+    """Takes out drops; keeps only the keep-list if it holds at least int(share * prior) ids; then adds.
+
+    Of adds with one id the last by the column `order` wins, or without one the last by their values.
+    """
     left = have.join(drops.select(key), key, "left_anti")
     gate = left.agg(F.floor(F.count("*") * share).alias("_least")).crossJoin(keeps.join(left, key, "left_semi").agg(F.countDistinct(key).alias("_kept")))
     kept = keeps.select(F.col(key).alias("_k")).distinct()
     chosen = left.join(kept, F.col(key) == F.col("_k"), "left").crossJoin(F.broadcast(gate)).where((F.col("_kept") < F.col("_least")) | F.col("_k").isNotNull())
     chosen = chosen.select(*have.columns)
-    return chosen.join(adds.select(key), key, "left_anti").unionByName(adds.dropDuplicates([key]).select(*have.columns))
+    return chosen.join(adds.select(key), key, "left_anti").unionByName(first_of(adds, [key], [F.desc(c) for c in ([order] if order else [c for c in have.columns if c != key])]).select(*have.columns))
 
 
 def overlay(base: DataFrame, newer: DataFrame, key: str = "thread_id") -> DataFrame:

@@ -9,35 +9,47 @@ from ..functions import text as T
 from ..operators import rollup as R
 from ..operators import selection as K
 from ..registry import query
-from .texts import _noise as noise_filter
 
 _S = r"[\s\x{00a0}\x{2000}-\x{200a}\x{3000}]"
 
 
-def _norm(x):
-    return rf"regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace({x}, chr(13), chr(10)), '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), '^{_S}+', ''), '{_S}+$', '')"
+#: What the rules of character references give, written out for those of the test pages and of _MORE.
+_REFS = [("&#8217;", "\u2019"), ("&#x27;", "''"), ("&rsquo;", "\u2019"), ("&rdquo;", "\u201d"), ("&hellip;", "\u2026"), ("&middot;", "\u00b7"), ("&copy;", "\u00a9"), ("&eacute", "\u00e9"), ("&nbsp;", "\u00a0"), ("&notanentity;", "\u00acanentity;"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
+#: Markup that no test page has: references of all kinds, elements that end lines on one kind of page only, and line ends.
+_MORE = "html || '<ul><li>a&#8217;b</li></ul>u<pre>c&rsquo;&rdquo;</pre>v<article>d&#x27;e</article>w<table><tr><td>x&nbsp;y</td></tr></table>' || chr(13) || chr(10) || '<aside>z &hellip; &notanentity; &amp;lt; &eacute</aside>q<br/>r<br />s<blockquote>t</blockquote><section>o</section>p'"
 
 
 def _unescape(x):
-    for k, v in T.ENTITIES.items():
-        x = f"replace({x}, '{k}', '{v.replace(chr(39), chr(39) * 2)}')"
+    for k, v in _REFS:
+        x = f"replace({x}, '{k}', '{v}')"
     return x
 
 
-_GONE = r"regexp_replace(regexp_replace(html, '(?is)<script\b[^>]*>.*?</script>', '{0}', 'g'), '(?is)<style\b[^>]*>.*?</style>', '{0}', 'g')"
-_BR = r"regexp_replace({0}, '(?i)<br\s*/?>', chr(10), 'g')"
-_THREAD = _norm(_unescape(rf"regexp_replace(regexp_replace({_BR.format(_GONE.format(''))}, '(?i)</({T._BLOCKS})>', chr(10), 'g'), '<[^>]+>', ' ', 'g')"))
-_DOC = _norm(r"regexp_replace(" + _unescape(rf"regexp_replace(regexp_replace({_BR.format(_GONE.format(' '))}, '(?i)</?({T._BLOCKS})\b[^>]*>', chr(10), 'g'), '<[^>]+>', ' ', 'g')") + r", '\n[ \t]+', chr(10), 'g')")
+_GONE = r"regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', '{0}', 'g'), '(?is)<style[^>]*>.*?</style>', '{0}', 'g')"
 
 
-@query("t10_strip_html", f"SELECT page_id, {_THREAD} AS text FROM pages")
+def _squeezed(x):
+    return rf"regexp_replace(regexp_replace(regexp_replace({x}, '\n{{3,}}', chr(10) || chr(10), 'g'), '^{_S}+', ''), '{_S}+$', '')"
+
+
+def _thread(x):
+    t = rf"regexp_replace(regexp_replace({_GONE.format('')}, '(?i)<br\s*/?>', chr(10), 'g'), '(?i)</(p|div|li|tr|h1|h2|h3|h4|h5|h6|blockquote)>', chr(10), 'g')".replace("html", x, 1)
+    return _squeezed("regexp_replace(" + _unescape(f"regexp_replace({t}, '<[^>]+>', ' ', 'g')") + r", '[ \t]+', ' ', 'g')")
+
+
+def _doc(x):
+    t = rf"regexp_replace({_GONE.format(' ')}, '(?i)</?(p|div|li|tr|h1|h2|h3|h4|h5|h6|br|blockquote|pre|section|article|aside)(\s[^>]*)?>', chr(10), 'g')".replace("html", x, 1)
+    return _squeezed(r"regexp_replace(regexp_replace(" + _unescape(f"regexp_replace({t}, '<[^>]+>', ' ', 'g')") + r", '[ \t]+', ' ', 'g'), '\n[ \t]+', chr(10), 'g')")
+
+
+@query("t10_strip_html", f"SELECT page_id, {_thread('(' + _MORE + ')')} AS text FROM pages")
 def t10(t):
-    return t.pages.select("page_id", T.strip_html(F.col("html")).alias("text"))
+    return t.pages.select("page_id", T.strip_html(F.expr(_MORE)).alias("text"))
 
 
-@query("t11_strip_doc_html", f"SELECT page_id, {_DOC} AS text FROM pages")
+@query("t11_strip_doc_html", f"SELECT page_id, {_doc('(' + _MORE + ')')} AS text FROM pages")
 def t11(t):
-    return t.pages.select("page_id", T.strip_doc_html(F.col("html")).alias("text"))
+    return t.pages.select("page_id", T.strip_doc_html(F.expr(_MORE)).alias("text"))
 
 
 _LD = "html || '<script type=\"application/ld+json\">{broken</script><script type=\"application/ld+json\">{\"@type\":\"Other\"}</script>' || CASE WHEN page_id % 2 = 0 THEN '<script type=\"application/ld+json\">{\"@type\":\"QAPage\",\"n\":' || cast(page_id AS STRING) || '}</script>' ELSE '' END"
@@ -48,12 +60,19 @@ def t12(t):
     return t.pages.select("page_id", H.pick_ld_json(F.expr(_LD)).alias("ld"))
 
 
-_H1 = "regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]+>', ' ', 'g')"
+# By page_id modulo 4: no JSON-LD; everything given, the author as an object; dates of answers only, the author as text; no date but one in the markup.
+_QA = """CASE page_id % 4 WHEN 0 THEN html
+WHEN 1 THEN html || '<script nonce="n" type="application/ld+json">{"@type":"QAPage","mainEntity":{"name":" Title ' || cast(page_id AS STRING) || ' ","text":"<p>q &amp; a</p><ul>x</ul>y","author":{"name":" Ann "},"dateCreated":"2024-01-02T03:04:05.1234567Z","acceptedAnswer":[{"text":"yes<br>no","updatedAt":"2023-01-01"}],"suggestedAnswer":[{"text":" "},{"text":"<b>more</b>"}]}}</script>'
+WHEN 2 THEN html || '<script type="application/ld+json">{"@type":"QAPage","mainEntity":{"text":"only","author":"Bob","dateCreated":"nope","acceptedAnswer":[{"text":"a1","updatedAt":"2024-03-01T00:00:00Z"}],"suggestedAnswer":[{"text":"a2","dateCreated":"2024-02-01"}]}}</script>'
+ELSE html || '<local-time class="d" datetime="2024-05-06T07:08:09Z"></local-time><script type="application/ld+json">{"@type":"QAPage","mainEntity":{"name":"N","text":""}}</script>' END"""
 
 
-@query("t13_question_scrape", f"SELECT page_id, {_norm(_unescape(_H1))} AS title FROM pages")
+@query("t13_question_scrape", rf"""SELECT page_id, CASE page_id % 4 WHEN 0 THEN {_unescape("trim(regexp_extract(html, '(?i)<h1[^>]*>([^<]+)</h1>', 1))")} WHEN 1 THEN 'Title ' || page_id WHEN 2 THEN '' ELSE 'N' END AS title,
+CASE page_id % 4 WHEN 1 THEN 'Ann' WHEN 2 THEN 'Bob' ELSE '' END AS author, CASE page_id % 4 WHEN 1 THEN '2024-01-02T03:04:05.1234567Z' WHEN 2 THEN '2024-02-01' WHEN 3 THEN '2024-05-06T07:08:09Z' END AS asked,
+CASE page_id % 4 WHEN 0 THEN {_thread("regexp_extract(html, '(?s)</h1>(.*?)<footer', 1)")} WHEN 1 THEN 'q & a' || chr(10) || ' x y' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || 'yes' || chr(10) || 'no' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || 'more'
+WHEN 2 THEN 'only' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || 'a1' || chr(10) || chr(10) || '---' || chr(10) || chr(10) || 'a2' ELSE '' END AS body FROM pages""")
 def t13(t):
-    return H.scrape_question(t.pages).select("page_id", "title")
+    return H.scrape_question(t.pages.select("page_id", F.expr(_QA).alias("html"))).select("page_id", "title", "author", "asked", "body")
 
 
 @query("t14_link_extract", r"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*href="[^"]*"[^>]*>.*?</a>')) AS a, generate_subscripts(regexp_extract_all(html, '(?is)<a\s[^>]*href="[^"]*"[^>]*>.*?</a>'), 1) - 1 AS pos FROM pages),
@@ -73,20 +92,26 @@ def t16(t):
     return t.pages.select("page_id", H.page_url(F.col("url"), F.col("page_id") % 7).alias("url"))
 
 
-@query("t18_nested_div")
+@query("t18_nested_div", """WITH p AS (SELECT page_id, '<div>a</div>' || html || CASE page_id % 3 WHEN 0 THEN '</div>tail</div>' WHEN 1 THEN '<div>' ELSE '' END AS r FROM pages),
+t AS (SELECT page_id, r, regexp_extract_all(r, '<div|</div>') AS k, string_split_regex(r, '<div|</div>') AS s FROM p),
+u AS (SELECT page_id, i, k[i] AS tag, length(s[i]) + length(k[i]) AS n FROM t, unnest(range(1, len(k) + 1)) AS x(i)),
+d AS (SELECT page_id, 1 + sum(CASE WHEN tag = '<div' THEN 1 ELSE -1 END) OVER w AS depth, sum(n) OVER w AS upto FROM u WINDOW w AS (PARTITION BY page_id ORDER BY i))
+SELECT page_id, left(r, coalesce((SELECT min(upto) FROM d WHERE d.page_id = p.page_id AND depth = 0), length(r))::BIGINT) AS inner FROM p""")
 def t18(t):
-    return t.pages.select("page_id", H.nested_div(F.concat(F.lit('<div id="x"><div>a</div>'), "html", F.lit("</div>")), "id", "x").alias("inner"))
-
-
-_BODY = _DOC.replace("regexp_replace(regexp_replace(html, ", "regexp_replace(regexp_replace(inner_html, ")
-_TITLE = _DOC.replace("regexp_replace(regexp_replace(html, ", "regexp_replace(regexp_replace(h1, ")
+    end = F.expr("CASE page_id % 3 WHEN 0 THEN '</div>tail</div>' WHEN 1 THEN '<div>' ELSE '' END")
+    page = F.concat(F.lit('<p>id="y"</p><section id="x"><div>a</div>'), "html", end)
+    return t.pages.select("page_id", H.nested_div(page, "id", "x").alias("inner"))
 
 
-@query("t19_doc_title_body", f"""WITH x AS (SELECT page_id, regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) AS h1, regexp_extract(html, '(?is)<h1[^>]*>.*?</h1>(.*?)(?:<footer|$)', 1) AS inner_html FROM pages), y AS (SELECT page_id, {_TITLE} AS title, string_split({_BODY}, chr(10)) AS l FROM x),
-z AS (SELECT page_id, title, l, coalesce(list_position(list_transform(l, lambda v: lower(trim(v)) = lower(title)), true), 0) AS at_line FROM y), c AS (SELECT page_id, title, array_to_string(CASE WHEN at_line > 0 AND title <> '' THEN list_slice(l, at_line + 1, len(l)) ELSE l END, chr(10)) AS t FROM z)
-SELECT page_id, title, {_norm(noise_filter('t'))} AS body FROM c""")
+@query("t19_doc_title_body", f"""WITH x AS (SELECT page_id, regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) AS h1,
+ CASE WHEN page_id % 2 = 0 THEN '<h1>' || regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) || '</h1><p>3 minutes to read</p><div>In this article</div> <p>one</p><p>Feedback</p>' ELSE regexp_extract(html, '(?is)<h1[^>]*>.*?</h1>(.*?)<footer', 1) END AS part FROM pages),
+y AS (SELECT page_id, {_doc('h1')} AS title, string_split({_doc('part')}, chr(10)) AS l FROM x),
+z AS (SELECT page_id, title, l, coalesce(list_position(list_transform(l, lambda v: lower(trim(v)) = lower(title)), true), 0) AS at_line FROM y)
+SELECT page_id, title, {_squeezed("array_to_string(list_filter(list_transform(CASE WHEN at_line > 0 AND title <> '' THEN list_slice(l, at_line + 1, len(l)) ELSE l END, lambda v: trim(v)), lambda v: v NOT IN ('In this article', 'Feedback') AND NOT regexp_matches(v, '^[0-9]+ minutes to read$')), chr(10))")} AS body FROM z""")
 def t19(t):
-    return H.doc_title_body(t.pages).select("page_id", "title", "body")
+    inner = F.expr("""'<div class="c" data-bi-name="content"><h1>' || regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1) || '</h1><p>3 minutes to read</p><div>In this article</div> <p>one</p><p>Feedback</p></div>'""")
+    page = F.when(F.col("page_id") % 2 == 0, F.concat("html", inner)).otherwise(F.col("html"))
+    return H.doc_title_body(t.pages.select("page_id", page.alias("html"))).select("page_id", "title", "body")
 
 
 @query("t14_link_dates", r"""WITH h AS (SELECT page_id, '<a class="q" href="/q/' || page_id || '">x</a>' || repeat('.', (page_id % 3) * 3000) || '<local-time datetime="2024-01-0' || (1 + page_id % 9) || '">' AS html FROM pages) SELECT page_id, '/q/' || page_id AS href, CASE WHEN page_id % 3 < 2 THEN '2024-01-0' || (1 + page_id % 9) END AS asked FROM h""")

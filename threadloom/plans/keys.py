@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import annotations as A
 from ..functions import keys as N
+from ..functions import limits as L
 from ..functions import products as B
 from ..operators import validation as V
 from ..registry import query
@@ -81,9 +82,12 @@ def n9(t):
     return t.part.select("p_partkey", B.override_product(F.col("p_brand"), F.col("p_name"), ["gateway", "Network"], _SIGNALS).alias("product"))
 
 
-@query("n10_source_classifier", "SELECT page_id, CASE WHEN contains(lower(url), 'example.org') THEN 'org' WHEN contains(lower(url), 'example.net') THEN 'net' WHEN contains(lower(url), 'example.com') THEN 'com' ELSE 'org' END AS source FROM pages")
+_SITE = "CASE page_id % 5 WHEN 0 THEN 'https://LEARN.microsoft.com/a?u=github.com' WHEN 1 THEN 'https://StackOverflow.com/q/1' WHEN 2 THEN 'https://gist.github.com/x' WHEN 3 THEN NULL ELSE url END"
+
+
+@query("n10_source_classifier", "SELECT page_id, CASE page_id % 5 WHEN 1 THEN 'so' WHEN 2 THEN 'github' ELSE 'msqa' END AS source FROM pages")
 def n10(t):
-    return t.pages.select("page_id", N.source_of(F.col("url")).alias("source"))
+    return t.pages.select("page_id", N.source_of(F.expr(_SITE)).alias("source"))
 
 
 _PARSE = r"regexp_replace(regexp_replace(trim(output), '^```[a-zA-Z]*\s*', ''), '\s*```$', '')"
@@ -138,11 +142,28 @@ def n23(t):
     return t.part.select("p_partkey", N.sanitize_name(F.concat("p_brand", F.lit(" "), "p_name")).alias("name"))
 
 
-@query("n25_seed_products", "SELECT name, thread_count FROM products UNION ALL SELECT 'Seed A', 0::BIGINT UNION ALL SELECT 'Seed B', 0::BIGINT")
+@query("v5_parameter_clamps", """SELECT p_partkey, greatest(1, least(25, p_size * 2 - 40)) AS batch_size, greatest(200, least(2500, p_size * 90 - 100)) AS slice_limit, greatest(10, least(1440, p_partkey::INT)) AS stale_minutes, greatest(0.0::DOUBLE, least(1.0::DOUBLE, p_retailprice / 1000 - 1)) AS min_usefulness FROM part""")
+def v5(t):
+    size = F.col("p_size")
+    return t.part.select(
+        "p_partkey", L.bounded_column("assign", "batch_size", size * 2 - 40).alias("batch_size"), L.bounded_column("catalog", "slice_limit", size * 90 - 100).alias("slice_limit"),
+        L.bounded_column("emergent_assign", "stale_minutes", F.col("p_partkey").cast("int")).alias("stale_minutes"), L.bounded_column("variants", "min_usefulness", F.col("p_retailprice") / 1000 - 1).alias("min_usefulness"))
+
+
+@query("n25_alias_slugs", """WITH a AS (SELECT * FROM (VALUES ('Gateway', 'gateway'), ('Gateway', 'api-gateway'), ('Gateway', 'the-gateway'), ('Queue', 'queue'), ('Queue', 'queues'), ('Queue', 'message-queue')) v(product, slug)),
+k AS (SELECT p_partkey, p_size, CASE p_partkey % 5 WHEN 0 THEN 'queues-' || p_size WHEN 1 THEN 'api-gateway' WHEN 2 THEN 'The-Gateway-down' WHEN 3 THEN 'queue-' ELSE 'other-queue' END AS key FROM part)
+SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN p_size::VARCHAR WHEN 2 THEN 'down' ELSE key END AS key, EXISTS (SELECT 1 FROM a WHERE k.key = a.slug OR starts_with(k.key, a.slug || '-')) AS is_alias FROM k""")
+def n25b(t):
+    key = F.expr("CASE p_partkey % 5 WHEN 0 THEN 'queues-' || p_size WHEN 1 THEN 'api-gateway' WHEN 2 THEN 'The-Gateway-down' WHEN 3 THEN 'queue-' ELSE 'other-queue' END")
+    slugs = [s for p in ("Gateway", "Queue") for s in B.alias_slugs(p)]
+    return t.part.select("p_partkey", B.strip_alias(key, slugs).alias("key"), B.is_alias(key, slugs).alias("is_alias"))
+
+
+@query("n25_seed_products", "SELECT name, thread_count FROM products UNION ALL SELECT name, 0::BIGINT FROM (VALUES ('Gateway'), ('Pipelines'), ('Web Apps'), ('Functions'), ('Static Sites'), ('App Hosting'), ('Cache'), ('Storage'), ('Workflows'), ('Search'), ('Queue'), ('Event Grid'), ('Event Hub'), ('Templates'), ('Policy'), ('Network'), ('Monitor'), ('Models'), ('Identity'), ('Operations'), ('Web Server')) v(name)")
 def n25(t):
     from ..operators.mutations import insert_absent
 
-    seeds = t.spark.createDataFrame([("Seed A", 0), ("Seed B", 0), ("Brand#2", 0)], "name string, thread_count long")
+    seeds = t.spark.createDataFrame([(name, 0) for name in [*B.SEED_PRODUCTS, "Brand#2"]], "name string, thread_count long")
     return insert_absent(t.products.select("name", "thread_count"), seeds, "name")
 
 

@@ -245,3 +245,21 @@ def m26(t):
 @query("m27_nugget_insert", "SELECT nugget_id, substr(title, 1, 5) AS title, '{\"quote\":\"' || substr(title, 1, 4) || '\"}' AS evidence FROM nuggets WHERE action = 'keep'")
 def m27(t):
     return t.nuggets.where("action = 'keep'").select("nugget_id", F.substring("title", 1, 5).alias("title"), F.to_json(F.struct(F.substring("title", 1, 4).alias("quote"))).alias("evidence"))
+
+
+_CLUSTERS = "SELECT p_partkey AS cluster_id, 'k' || cast(p_size % 2 AS STRING) AS kind, p_type AS signature_hash, date '2024-01-01' + cast(p_partkey % 400 AS INT) AS created_on, date '2024-01-01' AS last_seen FROM part"
+
+
+@query("m28_signature_lookup", f"SELECT kind, signature_hash, arg_max(cluster_id, (created_on, cluster_id)) AS cluster_id FROM ({_CLUSTERS}) c WHERE created_on >= date '2024-12-01' - 30 AND signature_hash IN (SELECT p_type FROM part WHERE p_partkey % 3 = 0) GROUP BY ALL")
+def m28(t):
+    wanted = t.sql("SELECT p_type AS signature_hash, 'k0' AS kind FROM part WHERE p_partkey % 3 = 0 UNION SELECT p_type, 'k1' FROM part WHERE p_partkey % 3 = 0")
+    return M.latest_with_signature(t.sql(_CLUSTERS), wanted, dt.date(2024, 12, 1), 30)
+
+
+@query("m28_signature_upsert", f"""WITH c AS ({_CLUSTERS}), w AS (SELECT 'k0' AS kind, p_type AS signature_hash FROM part UNION SELECT 'k0', 'new ' || cast(p_size AS STRING) FROM part),
+h AS (SELECT arg_max(cluster_id, (created_on, cluster_id)) AS cluster_id, kind, signature_hash FROM c JOIN w USING (kind, signature_hash) GROUP BY ALL), a AS (SELECT * FROM w ANTI JOIN h USING (kind, signature_hash))
+SELECT cluster_id, kind, signature_hash, CASE WHEN cluster_id IN (SELECT cluster_id FROM h) THEN date '2025-05-05' ELSE last_seen END AS last_seen FROM c
+UNION ALL SELECT (SELECT max(cluster_id) FROM c) + row_number() OVER (ORDER BY kind, signature_hash), kind, signature_hash, date '2025-05-05' FROM a""")
+def m28b(t):
+    wanted = t.sql("SELECT 'k0' AS kind, p_type AS signature_hash FROM part UNION SELECT 'k0', 'new ' || cast(p_size AS STRING) FROM part")
+    return M.upsert_signatures(t.sql(_CLUSTERS), wanted, dt.date(2025, 5, 5)).select("cluster_id", "kind", "signature_hash", "last_seen")

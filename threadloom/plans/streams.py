@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions import annotations as A
 from ..registry import query
+from ..sources.scratch import shared_folder
 from ..streaming import ingest as S
 
 _DAYS = "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, sum(cast(value AS DECIMAL(18,2)))::DECIMAL(28,2) AS total FROM events GROUP BY ALL"
@@ -16,8 +16,7 @@ _DAYS = "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, sum(c
 
 @query("w1_incremental_ingest", "SELECT event_id, event_type FROM events WHERE event_type <> 'view'")
 def w1(t):
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="threadloom-stream-")
-    run = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    run = f"{shared_folder(t.spark)}/stream-{uuid.uuid4().hex}"
     events = t.events
     S.run_available(t.spark, f"{t.sf_dir}/events.parquet*", events.schema, lambda s: s.where("event_type <> 'view'").select("event_id", "event_type"), f"{run}/out", f"{run}/state")
     return t.spark.read.schema("event_id long, event_type string").parquet(f"{run}/out")

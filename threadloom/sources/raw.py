@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import zipfile
+from collections.abc import Callable
+from xml.sax.saxutils import escape
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .scratch import shared_folder
+
 
 def scan_prefix(spark: SparkSession, prefix: str) -> DataFrame:
     """All Parquet files below a prefix, however their extension is written."""
@@ -39,7 +45,54 @@ def csv_round_trip(rows: DataFrame, columns: list[str], schema: str) -> DataFram
     import uuid
 
     spark = rows.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/threadloom"
-    path = f"{base.rstrip('/')}/csv-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
     write_csv(rows, path, columns)
     return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+
+
+SHEET = ["question_id", "title", "source_url", "asked_utc", "asker", "body_raw"]
+_XML = '<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
+_MAIN, _REL = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+_PACKAGE = "http://schemas.openxmlformats.org/package/2006"
+
+
+def write_xlsx(rows: DataFrame, path: str, columns: list[str] = SHEET, most: int = 1_048_575) -> int:
+    """One sheet of text cells under a header, written at the driver for people to open; the number of rows.
+
+    A sheet holds 1,048,575 rows: a table with more is an error, and CSV its form. Rows stream to the driver by partition.
+    """
+    if rows.limit(most + 1).count() > most:
+        raise ValueError(f"a sheet holds {most} rows")
+    text = lambda x: escape("".join(c for c in ("" if x is None else str(x)) if c >= " " or c in "\t\n\r")[:32_767])
+    line = lambda cells: "<row>" + "".join(f'<c t="inlineStr"><is><t xml:space="preserve">{text(x)}</t></is></c>' for x in cells) + "</row>"
+    count = 0
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("[Content_Types].xml", f'{_XML}<Types xmlns="{_PACKAGE}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>')
+        z.writestr("_rels/.rels", f'{_XML}<Relationships xmlns="{_PACKAGE}/relationships"><Relationship Id="rId1" Type="{_REL}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
+        z.writestr("xl/workbook.xml", f'{_XML}<workbook xmlns="{_MAIN}" xmlns:r="{_REL}"><sheets><sheet name="Sheet1" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", f'{_XML}<Relationships xmlns="{_PACKAGE}/relationships"><Relationship Id="rId1" Type="{_REL}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>')
+        with z.open("xl/worksheets/sheet1.xml", "w") as sheet:
+            sheet.write(f'{_XML}<worksheet xmlns="{_MAIN}"><sheetData>{line(columns)}'.encode())
+            for r in rows.select(*columns).toLocalIterator():
+                sheet.write(line(r).encode())
+                count += 1
+            sheet.write(b"</sheetData></worksheet>")
+    return count
+
+
+def upload(files: DataFrame, put: Callable[[str, bytes], None], trigger: Callable[[], None] | None = None, name: str = "name", content: str = "content") -> int:
+    """Calls `put(name, content)` for every row in the tasks, and once all are done `trigger()`, such as an indexer's run.
+
+    A task that runs again puts its rows again, so `put` must overwrite. The number of rows is returned.
+    """
+
+    def each(rows):
+        for r in rows:
+            body = r[content]
+            put(r[name], body if isinstance(body, (bytes, bytearray)) else str(body).encode())
+
+    kept = files.select(name, content).where(F.col(name).isNotNull() & F.col(content).isNotNull())
+    kept.foreachPartition(each)
+    if trigger is not None:
+        trigger()
+    return kept.count()

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.limits import bounded
+
 K1, B = 1.2, 0.75
 
 
@@ -12,15 +14,12 @@ def search(docs: DataFrame, query: str, top: int = 5) -> DataFrame:
     """(doc_id, score, title, content) of the best documents; top is kept within 1 and 10."""
     import re
 
-    top = max(1, min(10, top))
+    top = bounded("search", top=top)["top"]
     words = sorted({w for w in re.split("[^a-z0-9]+", query.lower()) if w})
-    every = F.filter(F.split(F.lower("text"), "[^a-z0-9]+"), lambda x: x != "")
-    # Only the words asked for are counted; no other word leaves the scan.
-    def count(word):
-        return F.size(F.filter("_w", lambda x: x == word))
-
-    counts = [count(w).alias(f"_{i}") for i, w in enumerate(words)]
-    rows = docs.withColumn("_w", every).select("doc_id", "text", F.size("_w").alias("_n"), *counts)
+    # Words are counted where they stand; no list of words is made.
+    low = F.lower("text")
+    counts = [F.regexp_count(low, F.lit(f"(?<![a-z0-9]){w}(?![a-z0-9])")).alias(f"_{i}") for i, w in enumerate(words)]
+    rows = docs.select("doc_id", "text", F.regexp_count(low, F.lit("[a-z0-9]++")).alias("_n"), *counts)
     facts = rows.agg(F.count_if(F.col("_n") > 0).alias("docs"), F.avg(F.when(F.col("_n") > 0, F.col("_n"))).alias("mean"), *(F.count_if(F.col(f"_{i}") > 0).alias(f"df{i}") for i in range(len(words))))
     joined = rows.crossJoin(F.broadcast(facts))  # one row
     score = F.lit(0.0)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import ancestors, single_slashes
+from ..operators.rollup import first_of
 
 
 def sanitize(path):
@@ -17,7 +18,7 @@ def sanitize(path):
 
 def upsert_plan(pages: DataFrame) -> DataFrame:
     """(path, content, stub, depth): the pages and a stub for each missing ancestor, parents first by depth."""
-    own = pages.select(sanitize(F.col("path")).alias("path"), "content").dropDuplicates(["path"])
+    own = first_of(pages.select(sanitize(F.col("path")).alias("path"), "content"), ["path"])
     stubs = own.select(F.explode(ancestors(F.col("path"))).alias("path")).distinct().join(own.select("path"), "path", "left_anti")
     every = own.withColumn("stub", F.lit(False)).unionByName(stubs.select("path", F.lit("").alias("content"), F.lit(True).alias("stub")))
     return every.withColumn("depth", F.size(F.split("path", "/")) - 1)
