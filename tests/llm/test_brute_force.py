@@ -113,3 +113,99 @@ def test_warc_revisits_everywhere(spark, tmp_path, ids):
     starts = warc.shard_starts(df.selectExpr("page_id", "cast(400 + length(coalesce(html, '')) as long) as bytes"), 1500)
     other = warc.shard_starts(df.repartition(2).selectExpr("page_id", "cast(400 + length(coalesce(html, '')) as long) as bytes"), 1500)
     assert starts.tolist() == other.tolist()
+
+
+def licences_by_hand(files):
+    """doc_id -> (license, score, origin, given_by) by dictionaries and loops."""
+    import re
+
+    from threadloom.llm import licenses as L
+
+    def model(templates):
+        counted = [(n, collections.Counter(L.terms(t))) for n, t in templates]
+        df = collections.Counter(t for _, c in counted for t in c)
+        idf = collections.defaultdict(lambda: math.log(1 + len(counted)) + 1, {t: math.log((1 + len(counted)) / (1 + k)) + 1 for t, k in df.items()})
+        return idf, sorted(counted, key=lambda x: x[0])
+
+    def best(text, m):
+        idf, counted = m
+        own = {t: k * idf[t] for t, k in collections.Counter(L.terms(text)).items()}
+        norm = lambda w: math.sqrt(sum(x * x for x in w.values()))
+        top = (0.0, "")
+        for name, c in counted:
+            w = {t: k * idf[t] for t, k in c.items()}
+            score = round(sum(own.get(t, 0) * x for t, x in w.items()) / (norm(own) * norm(w)), 9) if own else 0.0
+            if score > top[0]:
+                top = (score, name)
+        return top
+
+    n_words = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
+    speaks = lambda t: re.search(L.SPEAKS, t)
+    headers, whole_files = model(L.TEMPLATES), model(L.FILES)
+    own = []
+    for i, path, text in files:
+        t, hits, found, is_file = text or "", [], None, False
+        if speaks(t):
+            if re.search(L.FILE_SPEAKS, t) and n_words(t) <= L.FILE_WORDS:
+                found = best(t, whole_files)
+                is_file = found[0] >= L.FILE_THRESHOLD
+            if not is_file:
+                for b in re.split(r"\r?\n[ \t*/#;!%<>-]*\r?\n", t):
+                    if not speaks(b):
+                        continue
+                    parts = []
+                    for p in re.split(r"\n|(?<=\.) ", b):
+                        w = re.findall(r"[^\x20\x09-\x0D]+", p)
+                        for k in range(0, len(w), 300):
+                            part = " ".join(w[k : k + 300])
+                            if speaks(part) and (s := best(part, headers))[0] >= 0.6:
+                                parts.append((s, len(w[k : k + 300])))
+                    block = best(b, headers) if n_words(b) <= 300 else (0.0, "")
+                    hits += [(block, n_words(b)), *((s, 0) for s, _ in parts if s[1] == block[1])] if block[0] >= 0.6 else parts
+        if not is_file:
+            found = min((s for s, _ in hits), key=lambda s: (-s[0], s[1])) if hits else None
+        folder = None if path is None else path.rpartition("/")[0]
+        gives = path is not None and (re.search(L.LICENSE_NAME, path.rpartition("/")[2]) or is_file or n_words(t) and 2 * sum(n for _, n in hits) >= n_words(t))
+        own.append((i, path, folder, found, gives))
+    givers = {}
+    for _, path, folder, found, gives in own:
+        if found and gives:
+            givers[folder] = min(givers.get(folder, (0, "~", "")), (-found[0], path, found[1]))
+    out = []
+    for i, path, folder, found, _ in own:
+        if found:
+            out.append((i, path, found[1], found[0], "header", None))
+            continue
+        up = folder
+        while up is not None and up not in givers:
+            up = up.rpartition("/")[0] if up else None
+        g = givers.get(up) if up is not None else None
+        out.append((i, path, g[2], -g[0], "inherited", g[1]) if g else (i, path, None, None, "none", None))
+    return out
+
+
+def test_licences(spark):
+    from threadloom.llm import licenses as L
+
+    rng = np.random.default_rng(23)
+    lesser = "# This library is free software; you can redistribute it and/or\n# modify it under the terms of the GNU Lesser General Public\n# License as published by the Free Software Foundation; either\n# version {} of the License, or (at your option) any later version.\n"
+    general = lesser.replace("library", "program").replace("Lesser ", "")
+    texts = {
+        "LGPL-2.1": lesser.format("2.1") + "\ncode", "LGPL-3.0": lesser.format("3"), "GPL-2.0": "x\n#\n" + general.format("2") + "#\ny", "GPL-3.0": general.format("3"), "BSD-2-Clause": "Copyright (c) 2020, A\n\n" + L._BSD.format(""), "BSD-3-Clause": "Copyright (c) 2020, A\n\n" + L._BSD.format(L._NO_NAME),
+        "MIT": "The MIT License\n\n" + L.FILES[3][1], "ISC": L.FILES[2][1], "Apache-2.0": "// Licensed under the Apache License, Version 2.0.\nint x;", "EPL-2.0": "/* SPDX-License-Identifier: EPL-2.0 */", None: "The license of the bar was revoked, and people redistribute wealth.",
+    }
+    files = [(k, f"own/{name}/x.c", t) for k, (name, t) in enumerate(texts.items())]
+    long = words(rng, 1500, 300)
+    bodies = [*texts.values(), None, "", "int x;", long, long + "\n\nReleased under the MIT License.", "license " * 700 + "MIT", "Released under the MIT License. " * 30, "Licensed under Apache-2.0.\n\nLicensed under Apache-2.0. Licensed under MIT.", "see LICENSE\r\n\r\nSPDX-License-Identifier: MPL-2.0\r\n"]
+    folders = ["", "a", "a/b", "a/b/c", "a/b/c/d", "e", "e/f", "e//g", "a/bb"]
+    for k in range(120):
+        folder, name = folders[int(rng.integers(len(folders)))], ["LICENSE", "COPYING.txt", "x.c", "y.py", "license.md"][int(rng.integers(5))]
+        files.append((100 + k, None if k % 29 == 0 else f"{folder}/{name}" if folder else name, bodies[int(rng.integers(len(bodies)))]))
+    files += [files[20], files[20], (None, "a/b/z.c", "int x;")]
+    df = spark.createDataFrame([files[k] for k in rng.permutation(len(files))], "doc_id long, path string, text string").repartition(4)
+    got = [(r["doc_id"], r["path"], r["license"], r["score"], r["origin"], r["given_by"]) for r in L.scan_licenses(df).collect()]
+    plain = lambda rows: sorted((str((*r[:3], r[4], r[5])), round(r[3] or 0, 7)) for r in rows)
+    want = licences_by_hand(files)
+    assert plain(got) == plain(want)
+    assert [(r[2], r[4]) for r in want[: len(texts) - 1]] == [(name, "header") for name in list(texts)[:-1]] and want[len(texts) - 1][4] == "inherited"
+    assert L.scan_licenses(df.limit(0)).count() == 0

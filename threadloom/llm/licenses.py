@@ -1,16 +1,18 @@
 """Operator 8: licences of files, by built-in column functions alone.
 
-Blocks of a text (between blank lines, at most BLOCK_WORDS words) and their pieces (lines and sentences) that speak of
-licences are compared with templates of licence headers, notices, titles and SPDX tags by the cosine of sparse TF-IDF
-vectors; terms outside the templates weigh as the rarest of these. In a block that is similar to a template as a whole,
-pieces count only for the same licence, so a wrapped header isn't judged by one of its lines. A file's licence is that
-of its most similar block or piece. A licence file - by its name, or because at least half its words stand in
-such pieces - gives its licence to its directory; a file without a licence takes that of the nearest directory above
-it which has one, by joins of directories, each directory once.
+Sparse TF-IDF vectors are compared with templates by their cosine; terms outside the templates weigh as the rarest of
+these. First a whole file's vector, with the full texts of short licences (FILES). Then, unless that is similar, blocks
+of its text (between blank lines) and their pieces (lines and sentences, at most PIECE_WORDS words each) that speak of
+licences, with licence headers, notices, titles and SPDX tags (TEMPLATES). In a block that is similar to a template as a
+whole, pieces count only for the same licence, so a wrapped header isn't judged by one of its lines. A file's licence is
+that of its most similar block or piece. A licence file - by its name, by its whole text, or because at least half its
+words stand in such pieces - gives its licence to its directory; a file without a licence takes that of the nearest
+directory above it which has one, by joins of directories, each directory once.
 
 Defined cases: a null or empty text has no licence of its own; a null path has no directory and inherits nothing; of
 several licence files in a directory the most similar counts, then the one with the first path; of templates that tie,
-the first by name; repeated rows are treated alike; other columns are ignored, whatever their names.
+the first by name; repeated rows are treated alike; an empty table gives an empty table; other columns are ignored,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -46,6 +48,7 @@ TEMPLATES = [
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
     ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
@@ -56,16 +59,36 @@ TEMPLATES = [
 _TITLES = {
     "AGPL-3.0": "GNU Affero General Public License Version 3", "Apache-2.0": "Apache License Version 2.0", "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License",
     "EPL-2.0": "Eclipse Public License Version 2.0", "GPL-2.0": "GNU General Public License Version 2", "GPL-3.0": "GNU General Public License Version 3", "ISC": "ISC License",
-    "LGPL-3.0": "GNU Lesser General Public License Version 3", "MIT": "MIT License", "MPL-2.0": "Mozilla Public License Version 2.0",
+    "LGPL-2.1": "GNU Lesser General Public License Version 2.1", "LGPL-3.0": "GNU Lesser General Public License Version 3", "MIT": "MIT License", "MPL-2.0": "Mozilla Public License Version 2.0",
 }
 _SPDX = sorted({name for name, _ in TEMPLATES})
 _GNU = "This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
 TEMPLATES += [(name, f"SPDX-License-Identifier: {tag}") for name in _SPDX for tag in ([name, f"{name}-only", f"{name}-or-later"] if "GPL" in name else [name])]
 TEMPLATES += list(_TITLES.items())
 TEMPLATES += [(name, f"Licensed under {name}") for name in _SPDX]
-TEMPLATES += [(name, _GNU.format(what, kind, version)) for name, kind, version in (("AGPL-3.0", "Affero ", 3), ("GPL-2.0", "", 2), ("GPL-3.0", "", 3), ("LGPL-3.0", "Lesser ", 3)) for what in ("program", "library")]
-#: Longer blocks are compared by their pieces alone.
-BLOCK_WORDS = 300
+TEMPLATES += [(name, _GNU.format(what, kind, version)) for name, kind, version in (("AGPL-3.0", "Affero ", 3), ("GPL-2.0", "", 2), ("GPL-3.0", "", 3), ("LGPL-2.1", "Lesser ", 2.1), ("LGPL-3.0", "Lesser ", 3)) for what in ("program", "library")]
+# The full texts of short licences, without their titles and copyright lines.
+_AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.'
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+{}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_NO_NAME = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n"
+FILES = [
+    ("BSD-2-Clause", _BSD.format("")),
+    ("BSD-3-Clause", _BSD.format(_NO_NAME)),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+     ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.'),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+     " The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. " + _AS_IS + " IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+]
+FILE_THRESHOLD = 0.75
+#: A text of more words is more than such a licence and is judged by its blocks.
+FILE_WORDS = 1000
+FILE_SPEAKS = r"(?i)redistribution and use|permission (is hereby|to use)|unencumbered"
+#: Longer pieces are compared in parts, so that counting their terms takes bounded time; longer blocks by their pieces.
+PIECE_WORDS = 300
 SPEAKS = r"(?i)licen[cs]e|spdx|public domain|permission (is hereby|to use)|redistribut|unencumbered"
 LICENSE_NAME = r"(?i)^(licen[cs]e|copying|unlicense)([.-].*)?$"
 _SPLIT = r"[^a-z0-9.+]+"
@@ -117,17 +140,23 @@ def best_template(piece: Column, templates=None) -> Column:
     return F.transform(F.array(own), scored)[0]
 
 
-def scan_licenses(files: DataFrame, threshold: float = THRESHOLD, templates=None) -> DataFrame:
+def scan_licenses(files: DataFrame, threshold: float = THRESHOLD, templates=None, file_templates=None) -> DataFrame:
     """`files` (doc_id, path, text): doc_id, path, license, score, origin (header, inherited, none), given_by."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = files.select("doc_id", F.col("path").cast("string").alias("path"), text.alias("text"))
     n_words = lambda c: F.regexp_count(c, F.lit(r"[^\x20\x09-\x0D]+"))
+    speaks = F.col("text").rlike(SPEAKS)
+    nothing = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("turn"), F.lit("").alias("name"))
     blocks = F.filter(F.split("text", r"\r?\n[ \t*/#;!%<>-]*\r?\n"), lambda b: b.rlike(SPEAKS))
-    rows = rows.select("doc_id", "path", F.when(F.col("text").rlike(SPEAKS), blocks).otherwise(F.array().cast("array<string>")).alias("blocks"), n_words("text").alias("words"))
+    rows = rows.withColumn("words", n_words("text"))
+    whole = F.when(speaks & F.col("text").rlike(FILE_SPEAKS) & (F.col("words") <= FILE_WORDS), best_template(F.col("text"), file_templates or FILES)).otherwise(nothing)
+    rows = rows.withColumn("file", whole).withColumn("is_file", F.col("file.score") >= FILE_THRESHOLD)
+    rows = rows.select("doc_id", "path", "file", "is_file", F.when(speaks & ~F.col("is_file"), blocks).otherwise(F.array().cast("array<string>")).alias("blocks"), "words")
     hit = lambda p: F.struct(best_template(p, templates).alias("best"), n_words(p).alias("words"))
-    none = F.struct(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("turn"), F.lit("").alias("name")).alias("best"), F.lit(0).alias("words"))
-    pieces = lambda b: F.filter(F.split(b, "\n|(?<=\\.) "), lambda p: p.rlike(SPEAKS))
-    judged = F.transform("blocks", lambda b: F.struct(F.when(n_words(b) <= BLOCK_WORDS, hit(b)).otherwise(none).alias("whole"), F.filter(F.transform(pieces(b), hit), lambda h: h["best"]["score"] >= threshold).alias("parts")))
+    none = F.struct(nothing.alias("best"), F.lit(0).alias("words"))
+    parts = rf"(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){{1,{PIECE_WORDS}}}+"
+    pieces = lambda b: F.filter(F.flatten(F.transform(F.split(b, "\n|(?<=\\.) "), lambda p: F.regexp_extract_all(p, F.lit(parts), 0))), lambda p: p.rlike(SPEAKS))
+    judged = F.transform("blocks", lambda b: F.struct(F.when(n_words(b) <= PIECE_WORDS, hit(b)).otherwise(none).alias("whole"), F.filter(F.transform(pieces(b), hit), lambda h: h["best"]["score"] >= threshold).alias("parts")))
     rows = rows.withColumn("judged", judged)
 
     def hits(j):
@@ -136,11 +165,12 @@ def scan_licenses(files: DataFrame, threshold: float = THRESHOLD, templates=None
         return F.when(alike, F.concat(F.array(j["whole"]), F.transform(same, lambda h: F.struct(h["best"].alias("best"), F.lit(0).alias("words"))))).otherwise(j["parts"])
 
     rows = rows.withColumn("hits", F.flatten(F.transform("judged", hits)))
-    best = F.array_max(F.transform("hits", lambda h: h["best"]))
+    best = F.when(F.col("is_file"), F.col("file")).otherwise(F.array_max(F.transform("hits", lambda h: h["best"])))
     spoken = F.aggregate("hits", F.lit(0), lambda a, h: a + h["words"])
     folder = F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).when(F.col("path").isNotNull(), F.lit(""))
     named = F.coalesce(F.regexp_replace("path", "^.*/", "").rlike(LICENSE_NAME), F.lit(False))
-    found = rows.select("doc_id", "path", folder.alias("folder"), best["name"].alias("own"), best["score"].alias("own_score"), (named | (2 * spoken >= F.col("words")) & (F.col("words") > 0)).alias("gives"))
+    gives = named | F.col("is_file") | (2 * spoken >= F.col("words")) & (F.col("words") > 0)
+    found = rows.select("doc_id", "path", folder.alias("folder"), best["name"].alias("own"), best["score"].alias("own_score"), gives.alias("gives"))
 
     given = _folders(found)
     folders = found.where("own is null and folder is not null").select("folder").distinct()
