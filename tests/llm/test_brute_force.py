@@ -209,3 +209,28 @@ def test_licences(spark):
     assert plain(got) == plain(want)
     assert [(r[2], r[4]) for r in want[: len(texts) - 1]] == [(name, "header") for name in list(texts)[:-1]] and want[len(texts) - 1][4] == "inherited"
     assert L.scan_licenses(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_bpe_of_any_tokenizer(spark, name):
+    """Also of one whose cuts aren't safe: it lower-cases, composes and squeezes blanks."""
+    import hashlib
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from threadloom.llm import bpe
+
+    rng = np.random.default_rng(24)
+    texts = [words(rng, 400, 50), None, "", "  A  B \n\n c", "é" * 300 + " ü", "x" * 9000, words(rng, 400, 50) + "<|endoftext|>" + "q " * 500, "日本 語　a"]
+    path = public_tokenizers.path(name)
+    exact = Tokenizer.from_file(path)
+    df = spark.createDataFrame([*enumerate(texts), (None, "no id"), (0, texts[0])], "doc_id long, text string").repartition(2)
+    rows = bpe.encode(df, path).collect()
+    assert len(rows) == len(texts) + 2
+    for r in rows:
+        ids = exact.encode(r["text"] or "", add_special_tokens=False).ids
+        assert r["token_ids"] == ids and r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(exact.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    assert bpe.encode(df.limit(0), path).count() == 0

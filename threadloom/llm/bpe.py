@@ -8,7 +8,10 @@ the join is re-encoded, and the ids kept on both sides must agree with an encodi
 repair widens to the next safe points, up to the whole text.
 
 Defined cases: a null text is the empty text, which has no ids; strings of special tokens in a text become their ids,
-as in the library; repeated rows are encoded alike; other columns pass through `encode`, whose own are named below.
+as in the library; a tokenizer for which such cuts aren't safe (a normaliser, another pre-tokenizer, a prefix space, special
+tokens that take in white space) encodes whole texts; a null doc_id is an id like others; repeated rows are encoded alike;
+an empty table gives an empty table; other columns pass through `encode`, whose own, named below, take the place of any of
+the same name.
 """
 
 from __future__ import annotations
@@ -54,7 +57,7 @@ class Codec:
         self.pieces: dict[int, bytes] = {i: t.encode() for t, i in special.items()}
         ranks = {}
         for t, i in vocab.items():
-            if i not in self.pieces:
+            if i not in self.pieces and not t.strip("".join(letters)):
                 self.pieces[i] = bytes(letters[c] for c in t)
                 ranks[self.pieces[i]] = i
         self.special = [t.encode() for t in special]
@@ -64,7 +67,11 @@ class Codec:
         joined = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in spec["model"]["merges"]]
         ids = [vocab[m] for m in joined]
         plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex") and spec["normalizer"] is None
-        if plain and ids == sorted(ids) and len(set(joined)) == len(joined) == len(ranks) - 256:
+        # Chunks are safe where white space starts a piece and nothing is changed or added around it; else texts are whole.
+        loose = any(t.get("lstrip") or t.get("rstrip") or t.get("normalized") and spec["normalizer"] or any(c.isspace() for c in t["content"]) for t in spec["added_tokens"])
+        byte_level = (spec["decoder"] or {}).get("type") == "ByteLevel" and spec["model"].get("type") == "BPE" and len(letters.keys() - vocab.keys()) == 0
+        self.cuttable = plain and byte_level and not loose
+        if self.cuttable and ids == sorted(ids) and len(set(joined)) == len(joined) == len(ranks) - 256:
             self.quick = tiktoken.Encoding("byte level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: bytes) -> list[int]:
@@ -75,6 +82,8 @@ class Codec:
         return self.exact.encode(s, add_special_tokens=False).ids
 
     def decode(self, ids: list[int]) -> bytes:
+        if not self.cuttable:
+            return self.exact.decode(ids, skip_special_tokens=False).encode()
         return b"".join(map(self.pieces.__getitem__, ids))
 
 
@@ -163,6 +172,8 @@ def _encoded(definition, least: int, most: int, bits: int, with_ids: bool):
             count, hashes, plain, lists = [], [], [], []
             for i, j in slabs(offsets):
                 for r, ends, good in cuts(data, offsets[i : j + 1], least, most, bits):
+                    if not codec.cuttable and ends:
+                        ends, good = ends[-1:], good[-1:]
                     text = data[offsets[i + r] : offsets[i + r + 1]].tobytes()
                     parts, start, decoded = [], 0, []
                     for e in ends:
