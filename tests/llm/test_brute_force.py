@@ -234,3 +234,35 @@ def test_bpe_of_any_tokenizer(spark, name):
         assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256(exact.decode(ids, skip_special_tokens=False).encode()).hexdigest()
     assert bpe.encode(df.limit(0), path).count() == 0
+
+
+@pytest.mark.parametrize("block", [256, 7])
+def test_ngram_links(spark, monkeypatch, block):
+    import re
+
+    from threadloom.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "LINK_BLOCK", block)
+    rng = np.random.default_rng(25)
+    texts = []
+    for _ in range(12):
+        base = words(rng, int(rng.integers(20, 90)), 900).split(" ")
+        for _ in range(int(rng.integers(1, 9))):
+            own = list(base)
+            for _ in range(int(rng.integers(0, 3))):
+                own[int(rng.integers(len(own)))] = f"new{rng.integers(99)}"
+            texts.append(" ".join(own))
+    chain = words(rng, 60, 900).split(" ")
+    texts += [" ".join(chain[k : k + 40]) for k in range(0, 20, 2)] + [texts[0], texts[0].upper(), None, "", " ", "one two", "one two"]
+    rows = [*enumerate(texts), (None, texts[0]), (3, texts[3])]
+
+    def shingles(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
+        return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+    sets = [shingles(t) for _, t in rows]
+    link = lambda a, b: a and b and 100 * len(a & b) >= 80 * len(a | b)
+    want = sorted((str(i), 0 if i is None else sum(bool(link(sets[k], sets[j])) for j in range(len(rows)) if j != k and rows[j][0] is not None)) for k, (i, _) in enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((str(r["doc_id"]), r["n_links"]) for r in ngram_join.ngram_links(df).collect())
+    assert got == want and max(n for _, n in want) > 3

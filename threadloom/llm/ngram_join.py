@@ -34,6 +34,8 @@ NO_ID = -(1 << 63)
 BLANK = r"[\x20\x09-\x0D]+"
 #: Entries of a list that are compared among themselves in one task.
 LIST_BLOCK = 8192
+#: Sets of a block when links are counted.
+LINK_BLOCK = 256
 #: Rounds of neighbours before what is left of pairs is compared whole.
 ROUNDS = 3
 #: In these rounds a set is compared in so many of its lists, the first; the pass over all pairs left takes every list.
@@ -345,11 +347,11 @@ def _verify(percent: int):
 
 def ngram_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, class_id (smallest id with the same set), component_id."""
-    return _classes(docs, n, percent).drop("mark")
+    return _classes(docs, n, percent).drop("mark", "high", "low")
 
 
 def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The same, with a mark of the text."""
+    """The same, with a mark of the text and the digest of the set."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counted = texts.mapInArrow(_heavy(n), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
@@ -425,7 +427,90 @@ def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
     named = members.join(reps.join(least, "group").drop("group"), ["high", "low"], "left")
     doc = F.when(F.col("doc") != NO_ID, F.col("doc"))
     alone = (F.col("size") == 0) | F.col("doc").eqNullSafe(NO_ID)
-    return named.select(doc.alias("doc_id"), F.col("size").alias("n_shingles"), F.when(alone, doc).otherwise(F.col("first_doc")).alias("class_id"), F.when(alone, doc).otherwise(F.col("component")).alias("component_id"), "mark")
+    return named.select(doc.alias("doc_id"), F.col("size").alias("n_shingles"), F.when(alone, doc).otherwise(F.col("first_doc")).alias("class_id"), F.when(alone, doc).otherwise(F.col("component")).alias("component_id"), "mark", "high", "low")
+
+
+def _link_counts(percent: int):
+    """Over sets of a component sorted by (work, side): of each the weight of the sets of the other side that it links to."""
+    schema = pa.schema([("key", pa.int64()), ("n", pa.int64())])
+
+    def common(sets, m):
+        """Sizes of the intersections of the first m sets with the others (or of all with all), by matrix products."""
+        items = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        number = np.unique(items, return_inverse=True)[1]
+        order = np.argsort(number, kind="stable")
+        number, owner = number[order], owner[order]
+        low = 0 if m == len(sets) else m
+        out = np.zeros((m, len(sets) - low), np.float32)
+        for k in range(0, int(number[-1]) + 1, 4096):
+            s, e = np.searchsorted(number, [k, k + 4096])
+            has = np.zeros((len(sets), 4096), np.float32)
+            has[owner[s:e], number[s:e] - k] = 1
+            out += has[:m] @ has[low:].T
+        return out.astype(np.int64)
+
+    def run(batches):
+        for t in grouped(batches, "work"):
+            work, side, key, weight = (column(t, k) for k in ("work", "side", "key", "weight"))
+            raw = t.column("items").to_pylist()
+            begins = np.flatnonzero(np.concatenate([[True], work[1:] != work[:-1]]))
+            for s, e in zip(begins, np.append(begins[1:], len(work)), strict=True):
+                sets, w = [np.frombuffer(x, np.uint64) for x in raw[s:e]], weight[s:e]
+                m = int(np.searchsorted(side[s:e], 1))
+                size = np.array([len(x) for x in sets])
+                low = 0 if m == e - s else m
+                both = common(sets, m)
+                hit = 100 * both >= percent * (size[:m, None] + size[None, low:] - both)
+                if low:
+                    n = np.concatenate([hit @ w[m:], w[:m] @ hit])
+                else:
+                    np.fill_diagonal(hit, False)
+                    n = hit @ w
+                yield batch_of(schema, key[s:e], n)
+
+    return run
+
+
+def _keyed_sets(n: int):
+    """(key, items) of texts."""
+    schema = pa.schema([("key", pa.int64()), ("items", pa.binary())])
+
+    def run(batches):
+        hasher = WordHasher()
+        for batch in batches:
+            keys = batch.column(batch.schema.get_field_index("key")).to_pylist()
+            for k in range(0, batch.num_rows, 500):
+                some = batch.slice(k, 500)
+                yield batch_of(schema, *zip(*((keys[k + r], s.tobytes()) for r, s in _sets(some, n, hasher, "text")), strict=True))
+
+    return run
+
+
+def ngram_links(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """`ngram_classes` with n_links, the number of other documents that each one links to directly.
+
+    Copies of a set link to each other. Links of different sets are counted inside components: their members are dealt
+    to blocks, and pairs of blocks are intersected by matrix products, so no pair is written out and none is left out.
+    """
+    found = materialize(_classes(docs, n, percent).withColumn("key", F.xxhash64("high", "low")), "members")
+    own = found.where("n_shingles > 0 and doc_id is not null").groupBy("component_id", "key").agg(F.count("*").alias("weight"), F.min(F.struct("doc_id", "mark")).alias("one"))
+    several = own.groupBy("component_id").agg(F.count("*").alias("m")).where("m > 1").select("component_id", F.ceil(F.col("m") / LINK_BLOCK).cast("long").alias("blocks"))
+    wanted = materialize(own.join(several, "component_id").select("component_id", "blocks", "key", "weight", "one.doc_id", "one.mark"), "wanted")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    picked = texts.withColumn("mark", _mark(F.col("text"))).join(wanted.select("doc_id", "mark", "key").distinct(), ["doc_id", "mark"]).select("key", "text")
+    sets = materialize(picked.mapInArrow(_keyed_sets(n), "key long, items binary").dropDuplicates(["key"]), "sets")
+    rows = wanted.select("component_id", "blocks", "key", "weight").join(sets, "key").withColumn("block", F.pmod(F.xxhash64("key", F.lit(1)), "blocks"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    work = F.xxhash64("component_id", F.least("block", "other"), F.greatest("block", "other"))
+    # Both sides of a pair of blocks come in by their own row of the pair.
+    dealt = rows.select(work.alias("work"), (F.col("block") > F.col("other")).cast("int").alias("side"), "key", "weight", "items").repartition("work").sortWithinPartitions("work", "side", "key")
+    linked = dealt.mapInArrow(_link_counts(percent), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    copies = own.groupBy("key").agg(F.sum("weight").alias("weight"))
+    out = found.join(copies, "key", "left").join(linked, "key", "left")
+    none = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
+    n_links = F.when(none, F.lit(0)).otherwise(F.col("weight") - 1 + F.coalesce("n", F.lit(0))).cast("long")
+    return out.select("doc_id", "n_shingles", "class_id", "component_id", n_links.alias("n_links"))
 
 
 def drop_near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
