@@ -89,3 +89,40 @@ def test_near_duplicates_leave_one_row(spark):
     rows = [(1, t), (1, t), (2, t + " more"), (2, u), (3, u), (3, t), (4, None), (4, None), (5, ""), (None, t), (None, t)]
     out = ngram_join.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert sorted(((r["doc_id"], r["text"]) for r in out), key=repr) == sorted([(1, t), (2, u), (4, None), (4, None), (5, ""), (None, t), (None, t)], key=repr)
+
+
+def test_vectors_of_repeated_ids_and_other_columns(spark):
+    from threadloom.llm import embedding_dedup
+
+    a, b, c = [1.0, 0.0, 0.0], [0.999, 0.01, 0.0], [0.0, 1.0, 0.0]
+    rows = [(1, a), (1, a), (2, b), (3, c), (3, a), (None, a), (4, None), (5, [0.0, 0.0, 0.0]), (6, [1.0, float("nan"), 0.0]), (7, [2.0, 0.0]), (8, []), (9, [1.0, None, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    clashes = ["id", "dim", "v", "n", "key", "weight", "component", "block", "_n", "_c", "a.b", "n_links", "component_id"]
+    out = embedding_dedup.near_vectors(df.select("*", *(F.lit("x").alias(x) for x in clashes)))
+    assert out.columns == ["vec_id", "n_links", "component_id", "kept"]
+    got = sorted((tuple(r) for r in out.collect()), key=repr)
+    # The vector of id 1 is there twice and that of a row of id 3 once more: each counts as a vector of its own.
+    assert got == sorted([(1, 6, 1, True)] * 2 + [(2, 3, 1, False)] + [(3, 3, 1, False)] * 2 + [(None, 0, None, None)] + [(i, 0, i, True) for i in (4, 5, 6, 7, 8, 9)], key=repr)
+    assert embedding_dedup.near_vectors(df.limit(0)).count() == 0
+
+
+def test_quality_of_hard_rows(spark):
+    from threadloom.llm import quality
+
+    rng_words = ["alpha", "beta", "gamma", "delta", "of", "the"]
+    rows = [(i, " ".join(rng_words[(i * k) % 6] for k in range(1, 30)) + ("." if i % 2 else "$$$ ###")) for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)] + [(5, None), (None, 1)], "doc_id long, quality int")
+    hard = [(100, None), (101, ""), (102, "x" * 200_000), (None, "no id"), rows[7], rows[7]]
+    df = spark.createDataFrame(rows + hard, "doc_id long, text string").repartition(3)
+    model = quality.fit_quality(df, labels)
+    out = quality.score_quality(df, model).collect()
+    assert len(out) == len(rows) + len(hard) and all(0 <= r["_score"] <= 1 for r in out)
+    by_id: dict = {}
+    for r in out:
+        by_id.setdefault(r["doc_id"], set()).add(r["_score"])
+    assert all(len(v) == 1 for v in by_id.values()) and by_id[100] == by_id[101]
+    empty = df.limit(0)
+    assert quality.score_quality(empty, model).count() == 0
+    none = quality.fit_quality(empty, labels)
+    assert none == {"bias": 0.0, "rules": []} and quality.score_quality(df, none).where("_score <> 0.5").count() == 0
+    assert quality.keep_quality(df, model, 0.0).count() == df.count() and quality.keep_quality(df, model, 0.3).columns == df.columns

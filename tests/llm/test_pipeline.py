@@ -31,6 +31,8 @@ def test_quality_keeps_good_documents(spark, steps):
     kept = {r["doc_id"] for r in steps[1][1].select("doc_id").collect()}
     good = [i for i, q in labels.items() if q == 1]
     assert sum(i in kept for i in good) >= 0.95 * len(good)
+    bad = [i for i, q in labels.items() if q == 0]
+    assert bad and sum(i not in kept for i in bad) >= 0.9 * len(bad)
 
 
 def test_near_duplicates_go(steps):
@@ -51,6 +53,17 @@ def test_repeats_only_shrink(steps):
         assert r["n_chars"] == len(r["text"]) <= len(before[r["doc_id"]])
 
 
+def test_repeated_runs_go_and_nothing_else(steps):
+    """Every run of 20 words that an earlier kept document holds is cut, to the word."""
+    from test_advice import without_repeated_runs
+
+    before = dict(sorted((r["doc_id"], r["text"]) for r in steps[2][1].collect()))
+    want = without_repeated_runs(list(before.values()), 20)
+    got = {r["doc_id"]: r["text"] for r in steps[3][1].collect()}
+    assert got == {i: want[k] for k, i in enumerate(before)}
+    assert sum(got[i] != t for i, t in before.items()) > 0
+
+
 def test_mix_takes_whole_documents(steps):
     before = {r["doc_id"]: r["text"] for r in steps[3][1].collect()}
     times: dict = {}

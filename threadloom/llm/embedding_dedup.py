@@ -11,7 +11,8 @@ links no bounded window shows, lose none and no pair of a group is written out.
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing and are
 their own component; vectors of different lengths never link; a null vec_id links with nothing and has a null
 component; rows that repeat an id and a vector count as one vector each time they occur; rows that repeat an id with
-different vectors share a component, and each has the links of all of them; an empty table gives an empty table.
+different vectors share a component, and each has the links of all of them; an empty table gives an empty table; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
