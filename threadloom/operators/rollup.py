@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .predicates import non_blank
@@ -24,7 +24,9 @@ def fk_or_key_matches(threads: DataFrame, nodes: DataFrame, fk: str, key: str) -
 
 
 def level_matches(threads: DataFrame, catalog: DataFrame) -> DataFrame:
-    """(cluster_id, thread_id, usefulness) of the threads that name a node of any level by id or by (product, key).
+    """(cluster_id, up, thread_id, usefulness) of the threads that name a node of any level by id or by (product, key).
+
+    up: the node's parent, if the node is active.
 
     Threads are read once: each gives a row for each of its up to eight names of nodes, and nodes join by name. A thread
     that names a node both ways is there twice.
@@ -34,17 +36,25 @@ def level_matches(threads: DataFrame, catalog: DataFrame) -> DataFrame:
     t = threads.where(non_blank("product")).select("thread_id", "usefulness", F.explode(F.array_compact(F.array(*names))).alias("_name"))
     level = F.col("cluster_level").cast("string")
     by_id, by_key = mark(F.concat(F.lit("i"), level), F.col("cluster_id").cast("string")), F.when(F.col("product").isNotNull() & F.col("cluster_key").isNotNull(), mark(F.concat(F.lit("k"), level), "product", "cluster_key"))
-    nodes = catalog.where(F.col("cluster_level").isin(*LEVELS)).select("cluster_id", F.explode(F.array_compact(F.array(by_id, by_key))).alias("_node"))
-    return t.join(nodes, F.col("_name") == F.col("_node")).select("cluster_id", "thread_id", "usefulness")
+    nodes = catalog.where(F.col("cluster_level").isin(*LEVELS)).select("cluster_id", active_parent().alias("up"), F.explode(F.array_compact(F.array(by_id, by_key))).alias("_node"))
+    return t.join(nodes, F.col("_name") == F.col("_node")).select("cluster_id", "up", "thread_id", "usefulness")
+
+
+def active_parent() -> Column:
+    return F.when(F.col("is_active"), F.col("parent_id"))
 
 
-def active_lines(catalog: DataFrame) -> DataFrame:
-    """(cluster_id, to): a node and the ancestors that its best usefulness reaches, each through active nodes alone."""
-    up = catalog.select(F.col("cluster_id").alias("_id"), F.when(F.col("is_active"), F.col("parent_id")).alias("_up"))
-    out = catalog.select("cluster_id", F.when(F.col("is_active"), F.col("parent_id")).alias("_1"))
-    for k in (1, 2):
-        out = out.join(up.toDF("_id", f"_{k + 1}"), F.col(f"_{k}") == F.col("_id"), "left").drop("_id")
-    return out.select("cluster_id", F.explode(F.array_compact(F.array("cluster_id", "_1", "_2", "_3"))).alias("to"))
+def with_lines(rows: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Adds `to`: for each row (cluster_id, up) the node and its ancestors, as far as a line of active nodes leads.
+
+    Only nodes that can be reached are looked up: those of levels 2 and 3 for the second step, of level 2 for the third.
+    """
+    out, last = rows, "up"
+    for k, levels in ((2, (2, 3)), (3, (2,))):
+        nodes = catalog.where(F.col("cluster_level").isin(*levels)).select(F.col("cluster_id").alias("_id"), active_parent().alias(f"_{k}"))
+        out = out.join(nodes, F.col(last) == F.col("_id"), "left").drop("_id")
+        last = f"_{k}"
+    return out.withColumn("to", F.explode(F.array_compact(F.array("cluster_id", "up", "_2", "_3"))))
 
 
 def rollup_levels(threads: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -54,8 +64,8 @@ def rollup_levels(threads: DataFrame, catalog: DataFrame) -> DataFrame:
     to all nodes that a line of active ones leads to, and one aggregate serves all levels.
     """
     zero = F.lit(0).cast("decimal(4,3)")
-    direct = level_matches(threads, catalog).groupBy("cluster_id").agg(F.countDistinct("thread_id").alias("members"), F.max(F.coalesce("usefulness", zero)).alias("best"))
-    spread = direct.join(active_lines(catalog), "cluster_id")
+    direct = level_matches(threads, catalog).groupBy("cluster_id", "up").agg(F.countDistinct("thread_id").alias("members"), F.max(F.coalesce("usefulness", zero)).alias("best"))
+    spread = with_lines(direct, catalog)
     own = F.when(F.col("to") == F.col("cluster_id"), F.col("members"))
     rolled = spread.groupBy(F.col("to").alias("_to")).agg(F.sum(own).alias("_members"), F.max("best").alias("max_usefulness"))
     nodes = catalog.where(F.col("cluster_level").isin(*LEVELS)).select("cluster_id", "cluster_level", "product", "cluster_key", "parent_id", "is_active", "last_seen")
