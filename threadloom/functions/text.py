@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import html
-import json
 import re
 from html.entities import html5
 
@@ -178,7 +177,9 @@ _COMMON = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&nbsp;": "\u0
 
 
 def _table(values: dict) -> Column:
-    return F.from_json(F.lit(json.dumps(values)), "map<string,string>")
+    """A map that the planner turns into one literal."""
+    part = lambda xs: F.split(F.lit("\x01".join(xs)), "\x01", -1)
+    return F.map_from_arrays(part(values), part(values.values()))
 
 
 def _decoded(ref: Column) -> Column:
@@ -209,7 +210,7 @@ def unescape(c: Column) -> Column:
 
     def run(t):
         refs, between = F.regexp_extract_all(t, F.lit(_REFERENCE), 0), F.split(t, _REFERENCE, -1)
-        joined = F.concat(between[0], F.array_join(F.transform(refs, lambda r, i: F.concat(_decoded(r), F.get(between, i + 1))), ""))
+        joined = F.concat(between[0], F.array_join(F.zip_with(refs, F.slice(between, F.lit(2), F.size(refs)), lambda r, b: F.concat(_decoded(r), b)), ""))
         return F.when(t.contains("&"), joined).otherwise(t)
 
     return once(c, run)

@@ -16,10 +16,13 @@ def search(docs: DataFrame, query: str, top: int = 5) -> DataFrame:
 
     top = bounded("search", top=top)["top"]
     words = sorted({w for w in re.split("[^a-z0-9]+", query.lower()) if w})
-    # Words are counted where they stand; no list of words is made.
-    low = F.lower("text")
-    counts = [F.regexp_count(low, F.lit(f"(?<![a-z0-9]){w}(?![a-z0-9])")).alias(f"_{i}") for i, w in enumerate(words)]
-    rows = docs.select("doc_id", "text", F.regexp_count(low, F.lit("[a-z0-9]++")).alias("_n"), *counts)
+    # Words are counted where they stand, by how much shorter the text gets without them; no list of words is made.
+    spaced = F.trim(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "))
+    gone = lambda c, part: (F.length(c) - F.length(F.replace(c, F.lit(part), F.lit("")))) / F.lit(len(part))
+    doubled = F.concat(F.lit(" "), F.replace(F.col("_s"), F.lit(" "), F.lit("  ")), F.lit(" "))
+    rows = docs.select("doc_id", "text", spaced.alias("_s")).select("doc_id", "text", "_s", doubled.alias("_d"))
+    n = F.when(F.col("_s") == "", F.lit(0)).otherwise(gone("_s", " ").cast("int") + 1)
+    rows = rows.select("doc_id", "text", n.alias("_n"), *(gone("_d", f" {w} ").cast("int").alias(f"_{i}") for i, w in enumerate(words)))
     facts = rows.agg(F.count_if(F.col("_n") > 0).alias("docs"), F.avg(F.when(F.col("_n") > 0, F.col("_n"))).alias("mean"), *(F.count_if(F.col(f"_{i}") > 0).alias(f"df{i}") for i in range(len(words))))
     joined = rows.crossJoin(F.broadcast(facts))  # one row
     score = F.lit(0.0)
