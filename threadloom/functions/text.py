@@ -71,8 +71,10 @@ NOISE_PATTERNS = [
 # Headings from which on a page is a footer.
 FOOTER_HEADINGS = ["Additional resources", "Training", "Documentation", "Module", "Certification", "Show 2 more", "Show more"]
 
-#: White space of any script inside a line.
-_H = r"[\s&&[^\n]]"
+#: White space of any script; what of it stands inside a line; and what of that is neither a blank nor a tab.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+_FEW = r"\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_H, _RARE = rf"[\t {_FEW}]", f"[{_FEW}]"
 _NOISE = (
     rf"(?dmU)^{_H}*+(?:(?:" + "|".join(re.escape(x).replace("\\ ", " ") for x in NOISE_LINES) + ")|(?i:" + "|".join(x.replace(r"\s", _H) for x in NOISE_PATTERNS) + rf")){_H}*+\n")
 _FOOTER = rf"(?dmU)^{_H}*+(?:" + "|".join(FOOTER_HEADINGS) + rf"){_H}*+$"
@@ -80,7 +82,7 @@ _FOOTER = rf"(?dmU)^{_H}*+(?:" + "|".join(FOOTER_HEADINGS) + rf"){_H}*+$"
 
 def strip(c: Column) -> Column:
     """Without white space of any script at both ends."""
-    return F.regexp_replace(c, r"(?U)\A\s++|(?<!\s)\s++\z", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def norm_newlines(c: Column) -> Column:
@@ -89,8 +91,10 @@ def norm_newlines(c: Column) -> Column:
 
 
 def normalize_ws(c: Column) -> Column:
-    t = F.regexp_replace(norm_newlines(c), rf"(?dmU)(?<!{_H}){_H}++$", "")
-    return strip(F.regexp_replace(F.regexp_replace(t, "[ \t]+", " "), "\n{3,}", "\n\n"))
+    blanks = F.replace(F.regexp_replace(norm_newlines(c), "[ \t]++", " "), F.lit(" \n"), F.lit("\n"))
+    # White space other than blanks at the ends of lines is rare, and dear to look for.
+    t = once(blanks, lambda x: F.when(x.rlike(_RARE), F.regexp_replace(x, rf"(?dm)(?<!{_H}){_H}++$", "")).otherwise(x))
+    return strip(F.regexp_replace(t, "\n{3,}", "\n\n"))
 
 
 def drop_copy_lines(c: Column) -> Column:
