@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import materialize, table
 
 
-ENDS = "es.,;:!?"
+ENDS = "s.,;:!?"
 
 
 def leaf_tree(text: Column) -> Column:
