@@ -243,6 +243,7 @@ def test_ngram_links(spark, monkeypatch, block):
     from threadloom.llm import ngram_join
 
     monkeypatch.setattr(ngram_join, "LINK_BLOCK", block)
+    monkeypatch.setattr(ngram_join, "SKIP", 64 if block == 256 else 2)
     rng = np.random.default_rng(25)
     texts = []
     for _ in range(12):

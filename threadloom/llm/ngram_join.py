@@ -1,8 +1,8 @@
 """Operator 10: exact Jaccard self-join of documents on word n-grams, with set-relation skipping.
 
 Documents of one shingle set form a class and are handled once. Each class puts the prefix of its set in inverted
-lists. When pairs are made, a list is sorted by set size, so that the block of sets which are too large, and those whose
-positions leave too few shingles, are skipped; parities of the items over a small bitmap, which bound how much two sets
+lists. When pairs are made, a list is sorted by set size and cut into blocks with headers, so that blocks of sets which are
+too large, or whose positions all leave too few shingles, are skipped whole; parities of the items over a small bitmap, which bound how much two sets
 differ, drop most pairs that would fail before any set is moved. Answers are shared between similar sets: first each
 list links its sets to one leader only, then, in a few rounds, to one neighbour of another group. Verified links join
 sets to groups, a set takes over its group's answers, and only pairs of different groups, of lists with three sets or
@@ -34,6 +34,8 @@ NO_ID = -(1 << 63)
 BLANK = r"[\x20\x09-\x0D]+"
 #: Entries of a list that are compared among themselves in one task.
 LIST_BLOCK = 8192
+#: Entries of a block that is skipped whole.
+SKIP = 64
 #: Sets of a block when links are counted.
 LINK_BLOCK = 256
 #: Rounds of neighbours before what is left of pairs is compared whole.
@@ -272,11 +274,20 @@ def _crossings(percent: int):
             for s, e in zip(begins, np.append(begins[1:], len(x)), strict=True):
                 apart = side[s:e].min() != side[s:e].max()
                 own = {k: np.frombuffer(raw[k], np.uint64) for k in range(s, e)}
+                # Headers of the list's blocks: the least size, and the most shingles that a set has from its position on.
+                edges = np.arange(s, e, SKIP)
+                least, room = size[edges], np.maximum.reduceat((size - pos)[s:e], edges - s)
                 for i in range(s, e - 1):
-                    # The list ascends by size: the block of larger sets that may still match ends here.
-                    j = s + int(np.searchsorted(size[s:e], size[i] * 100 // percent, "right"))
-                    k = np.arange(i + 1, j)
-                    k = k[(group[k] != group[i]) & (rep[k] != rep[i]) & (np.minimum(size[i] - pos[i], size[k] - pos[k]) >= need(size[i], size[k], percent))]
+                    # The list ascends by size: later blocks hold sets that are too large, and of the others those are
+                    # skipped whole whose positions leave every set too few shingles.
+                    own_room = size[i] - pos[i]
+                    upto = int(np.searchsorted(least, size[i] * 100 // percent, "right"))
+                    first = (i + 1 - s) // SKIP
+                    need_of = need(size[i], np.maximum(least[first:upto], size[i]), percent)
+                    read = first + np.flatnonzero(np.minimum(own_room, room[first:upto]) >= need_of)
+                    k = (edges[read][:, None] + np.arange(SKIP)).ravel()
+                    k = k[(k > i) & (k < e)]
+                    k = k[(group[k] != group[i]) & (rep[k] != rep[i]) & (100 * size[i] >= percent * size[k]) & (np.minimum(own_room, size[k] - pos[k]) >= need(size[i], size[k], percent))]
                     if apart:
                         k = k[side[k] != side[i]]
                     if len(k):
