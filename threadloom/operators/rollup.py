@@ -13,36 +13,42 @@ LEVELS = {1: ("topic_id", "topic_key"), 2: ("scenario_id", "scenario_key"), 3: (
 def fk_or_key_matches(threads: DataFrame, nodes: DataFrame, fk: str, key: str) -> DataFrame:
     """(cluster_id, thread_id, usefulness) of threads that name a node by id or by (product, key).
 
-    The disjunction is a union of two equi-joins: joined as it stands, it would compare all pairs.
+    The disjunction is a union of two equi-joins: joined as it stands, it would compare all pairs. `threads` has a row for
+    each thread; what a thread's id found already, its key doesn't find again, so nothing has to be made distinct.
     """
     t = threads.where(non_blank("product")).select("thread_id", "usefulness", "product", fk, key)
     by_id = t.join(nodes.select("cluster_id"), F.col(fk) == F.col("cluster_id"))
     n = nodes.select("cluster_id", F.col("product").alias("_p"), F.col("cluster_key").alias("_k"))
-    by_key = t.join(n, (F.col("product") == F.col("_p")) & (F.col(key) == F.col("_k")))
+    by_key = t.join(n, (F.col("product") == F.col("_p")) & (F.col(key) == F.col("_k"))).where(~F.col("cluster_id").eqNullSafe(F.col(fk)))
     cols = ["cluster_id", "thread_id", "usefulness"]
-    return by_id.select(cols).union(by_key.select(cols)).distinct()
+    return by_id.select(cols).union(by_key.select(cols))
 
 
 def level_matches(threads: DataFrame, catalog: DataFrame) -> DataFrame:
-    """(cluster_id, up, thread_id, usefulness) of the threads that name a node of any level by id or by (product, key).
+    """(cluster_id, up, n, best): numbers of threads that name a node of any level by id or by (product, key).
 
-    up: the node's parent, if the node is active.
-
-    Threads are read once: each gives a row for each of its up to eight names of nodes, and nodes join by name. A thread
-    that names a node both ways is there twice.
+    `threads` has a row for each thread. It is read once: each thread gives a row for each level, and threads that name the
+    same things there are counted together before anything is joined, so a node that many threads name meets a few rows.
+    These join the nodes by name; where a node is named both ways, its key doesn't count. up: the node's parent, if the node
+    is active; best: the largest usefulness, a missing one counting 0.
     """
-    names = [F.when(F.col(c).isNotNull(), _name(kind, F.lit(level), *parts)) for level, (fk, key) in LEVELS.items() for c, kind, parts in ((fk, "id", (F.col(fk).cast("long"),)), (key, "key", (F.col("product"), F.col(key))))]
-    t = threads.where(non_blank("product")).select("thread_id", "usefulness", F.explode(F.array_compact(F.array(*names))).alias("_n"))
+    levels = F.array(*(F.struct(F.lit(level).alias("level"), F.col(fk).cast("long").alias("fk"), F.col(key).alias("key")) for level, (fk, key) in LEVELS.items()))
+    t = threads.where(non_blank("product")).select("product", "usefulness", F.explode(levels).alias("_l")).select("product", "usefulness", "_l.*")
+    zero = F.lit(0).cast("decimal(4,3)")
+    t = t.groupBy("level", "fk", "product", "key").agg(F.count("*").alias("n"), F.max(F.coalesce("usefulness", zero)).alias("best"))
+    names = F.array(F.when(F.col("fk").isNotNull(), _name("id", F.col("level"), F.col("fk"))), F.when(F.col("key").isNotNull(), _name("key", F.col("level"), F.col("product"), F.col("key"))))
+    t = t.select("fk", "n", "best", F.explode(F.array_compact(names)).alias("_n")).select("fk", "n", "best", "_n.*")
     level = F.col("cluster_level").cast("int")
     by_id = _name("id", level, F.col("cluster_id").cast("long"))
     by_key = F.when(F.col("product").isNotNull() & F.col("cluster_key").isNotNull(), _name("key", level, F.col("product"), F.col("cluster_key")))
     nodes = catalog.where(F.col("cluster_level").isin(*LEVELS)).select("cluster_id", active_parent().alias("up"), F.explode(F.array_compact(F.array(by_id, by_key))).alias("_n"))
-    return t.select("thread_id", "usefulness", "_n.*").join(nodes.select("cluster_id", "up", "_n.*"), ["h", "g"]).select("cluster_id", "up", "thread_id", "usefulness")
+    both = t.join(nodes.select("cluster_id", "up", "_n.*"), ["h", "g", "kind"])
+    return both.where((F.col("kind") == "id") | ~F.col("cluster_id").eqNullSafe(F.col("fk"))).select("cluster_id", "up", "n", "best")
 
 
 def _name(kind: str, level: Column, *parts: Column) -> Column:
     """128 bits for a name of a node: two numbers are dealt and sorted faster than the text."""
-    return F.struct(F.xxhash64(F.lit(kind), level, *parts).alias("h"), F.xxhash64(*parts, level, F.lit(kind)).alias("g"))
+    return F.struct(F.xxhash64(F.lit(kind), level, *parts).alias("h"), F.xxhash64(*parts, level, F.lit(kind)).alias("g"), F.lit(kind).alias("kind"))
 
 
 def active_parent() -> Column:
@@ -68,8 +74,7 @@ def rollup_levels(threads: DataFrame, catalog: DataFrame) -> DataFrame:
     A node's best is the larger of its own threads' and its active children's, whichever exist; so a node's own best goes
     to all nodes that a line of active ones leads to, and one aggregate serves all levels.
     """
-    zero = F.lit(0).cast("decimal(4,3)")
-    direct = level_matches(threads, catalog).groupBy("cluster_id", "up").agg(F.countDistinct("thread_id").alias("members"), F.max(F.coalesce("usefulness", zero)).alias("best"))
+    direct = level_matches(threads, catalog).groupBy("cluster_id", "up").agg(F.sum("n").alias("members"), F.max("best").alias("best"))
     spread = with_lines(direct, catalog)
     own = F.when(F.col("to") == F.col("cluster_id"), F.col("members"))
     rolled = spread.groupBy(F.col("to").alias("_to")).agg(F.sum(own).alias("_members"), F.max("best").alias("max_usefulness"))

@@ -28,7 +28,7 @@ def a1(t):
 
 @query("j5_fk_or_key_join", "SELECT DISTINCT n.cluster_id, t.thread_id FROM catalog n JOIN threads t ON trim(t.product) <> '' AND n.cluster_level = 4 AND t.leaf_id = n.cluster_id UNION SELECT n.cluster_id, t.thread_id FROM catalog n JOIN threads t ON trim(t.product) <> '' AND n.cluster_level = 4 AND t.product = n.product AND t.leaf_key = n.cluster_key")
 def j5(t):
-    return R.fk_or_key_matches(t.threads, t.catalog.where("cluster_level = 4"), "leaf_id", "leaf_key").select("cluster_id", "thread_id").distinct()
+    return R.fk_or_key_matches(t.threads, t.catalog.where("cluster_level = 4"), "leaf_id", "leaf_key").select("cluster_id", "thread_id")
 
 
 @query("a2_sum_members", """WITH l AS (SELECT c.cluster_id, c.parent_id, count(DISTINCT thread_id) AS members FROM catalog c JOIN memberships m ON m.leaf_id = c.cluster_id WHERE cluster_level = 4 GROUP BY ALL),
