@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import sys
 
 import numpy as np
 import pyarrow as pa
@@ -162,9 +161,7 @@ def _repair(codec: Codec, text: bytes, points: list[int], joins: list[int], part
 
 def _encoded(definition, least: int, most: int, bits: int, with_ids: bool):
     def run(batches):
-        cache = sys.__dict__.setdefault("_threadloom_codecs", {})
-        name = xxhash.xxh3_64_hexdigest(definition.value)
-        codec = cache.get(name) or cache.setdefault(name, Codec(definition.value))
+        codec = Codec(definition.value)  # in a third of a second; kept, it would hold 50 MB of every worker
         known: dict[bytes, tuple[list[int], bytes]] = {}
         held = 0
         for batch in batches:

@@ -83,11 +83,29 @@ def schema_with(df: DataFrame, more: str, without=()) -> T.StructType:
     return T.StructType(fields + T.StructType.fromDDL(more).fields)
 
 
+def lean(f):
+    """f for mapInArrow; when it is done, the worker, which Spark keeps for other tasks, gives free memory back."""
+
+    def run(batches):
+        import ctypes
+
+        try:
+            yield from f(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return run
+
+
 def map_arrow(df: DataFrame, f, schema: T.StructType) -> DataFrame:
     """df.mapInArrow, also for column names with dots and quotes, which mapInArrow takes for paths."""
     safe = {c: c if re.fullmatch(r"\w+", c, re.ASCII) else f"\u2024{k}" for k, c in enumerate(df.columns)}
     plain = T.StructType([T.StructField(safe.get(x.name, x.name), x.dataType, x.nullable) for x in schema])
-    return df.toDF(*safe.values()).mapInArrow(f, plain).toDF(*schema.names)
+    return df.toDF(*safe.values()).mapInArrow(lean(f), plain).toDF(*schema.names)
 
 
 def plain_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -311,7 +329,7 @@ def components(edges: DataFrame) -> DataFrame:
     e = edges.where("a is not null and b is not null and a <> b").selectExpr("greatest(a, b) as a", "least(a, b) as b").distinct()
     now = materialize(e, "edges")
     parts = max(1, math.ceil(now.count() / EDGES_PER_TASK))
-    forest = materialize(now.repartition(parts).mapInArrow(_forest, "a long, b long"), "forest")
+    forest = materialize(now.repartition(parts).mapInArrow(lean(_forest), "a long, b long"), "forest")
     release(now)
     now = forest
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_of, column, components, grouped, materialize, release, table
+from .common import batch_of, column, components, grouped, lean, materialize, release, table
 
 PASSES, WINDOW, BITS, THRESHOLD, SEED = 20, 12, 62, 0.95, 20_240
 #: Cosine to the last vector of a window from which the window is too small for its range.
@@ -278,9 +278,9 @@ def _dense_links(threshold: float):
 def _links_of_dense(classes: DataFrame, dense: DataFrame, threshold: float, seed: int) -> DataFrame:
     """Links that join the vectors of dense ranges, by whole comparison of the blocks that can hold any."""
     spark = classes.sparkSession
-    rows = classes.join(dense, "id").select("id", "dim", "v").mapInArrow(_keys(1, BITS, seed), "dim int, pass int, key long, id long, v binary")
+    rows = classes.join(dense, "id").select("id", "dim", "v").mapInArrow(lean(_keys(1, BITS, seed)), "dim int, pass int, key long, id long, v binary")
     rows = rows.repartitionByRange("dim", "key", "id").sortWithinPartitions("dim", "key", "id")
-    rows = materialize(rows.mapInArrow(_blocks(BLOCK), "block long, id long, dim int, radius double, v binary"), "dense")
+    rows = materialize(rows.mapInArrow(lean(_blocks(BLOCK)), "block long, id long, dim int, radius double, v binary"), "dense")
     centres = rows.where("id is null").orderBy("block").collect()
     pairs = []
     for k, x in enumerate(centres):
@@ -293,7 +293,7 @@ def _links_of_dense(classes: DataFrame, dense: DataFrame, threshold: float, seed
     sides = spark.createDataFrame(sides, "work long, block long, side int")
     work = rows.where("id is not null").join(sides, "block").select("work", "side", "id", "dim", "v")
     work = work.repartition("work").sortWithinPartitions("work", "side", "id")
-    out = materialize(work.mapInArrow(_dense_links(threshold), "a long, b long"), "dense-links")
+    out = materialize(work.mapInArrow(lean(_dense_links(threshold)), "a long, b long"), "dense-links")
     release(rows)
     return out
 
@@ -330,15 +330,15 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, passes: int =
     """One row per row of `vectors` (vec_id, embedding): vec_id, n_links, component_id, kept."""
     kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
-    usable = materialize(rows.mapInArrow(_vectors("<f4" if kind == "float" else "<f8"), "vec_id long, dim int, v binary"), "vectors")
+    usable = materialize(rows.mapInArrow(lean(_vectors("<f4" if kind == "float" else "<f8")), "vec_id long, dim int, v binary"), "vectors")
     classes = materialize(usable.groupBy("dim", "v").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight")).select("id", "dim", "v", "weight"), "classes")
 
-    sorted_ = classes.select("id", "dim", "v").mapInArrow(_keys(passes, BITS, seed), "dim int, pass int, key long, id long, v binary")
+    sorted_ = classes.select("id", "dim", "v").mapInArrow(lean(_keys(passes, BITS, seed)), "dim int, pass int, key long, id long, v binary")
     order = ["dim", "pass", "key", "id"]
     sorted_ = sorted_.repartitionByRange(*order).sortWithinPartitions(*order)
-    seen = materialize(sorted_.mapInArrow(_windows(window, threshold), "dim int, pass int, part int, spot long, size long, a long, b long, v binary"), "windows")
+    seen = materialize(sorted_.mapInArrow(lean(_windows(window, threshold)), "dim int, pass int, part int, spot long, size long, a long, b long, v binary"), "windows")
     border = seen.where("spot > -2").withColumn("lane", F.col("pass").cast("long"))
-    border = border.repartition("lane").sortWithinPartitions("lane", "dim", "part", "spot").mapInArrow(_borders(window, threshold), "a long, b long")
+    border = border.repartition("lane").sortWithinPartitions("lane", "dim", "part", "spot").mapInArrow(lean(_borders(window, threshold)), "a long, b long")
     links = seen.where("spot = -2").select("a", "b").union(border)
     dense = seen.where("spot = -3").groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n")).where(F.col("n") * 4 >= passes).select("id")
     whole = None
@@ -357,7 +357,7 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, passes: int =
     work = members.withColumn("work", F.xxhash64("component", low, high, "dim")).withColumn("side", (F.col("block") > F.col("other")).cast("int"))
     # Both sides of a pair of blocks come in by their own row of the pair.
     work = work.repartition("work").sortWithinPartitions("work", "side", "id").select("work", "side", "id", "dim", "weight", "v")
-    linked = work.mapInArrow(_counts(threshold), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    linked = work.mapInArrow(lean(_counts(threshold)), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
     found = classes.join(linked, "id", "left").join(inside, "id", "left")
     found = found.select("dim", "v", (F.col("weight") - 1 + F.coalesce("n", F.lit(0))).alias("n"), F.coalesce("component", "id").alias("component"))

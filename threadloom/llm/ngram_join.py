@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHasher, batch_of, column, components, grouped, materialize, plain_names, release, shingle_hashes, slabs, table, utf8
+from .common import WordHasher, batch_of, column, components, grouped, lean, materialize, plain_names, release, shingle_hashes, slabs, table, utf8
 
 #: Frequent shingles that a task reports, and those kept of all (the table that is sent to the tasks: 1 MB at most).
 HEAVY_PER_TASK, HEAVY = 8192, 65_536
@@ -365,15 +365,15 @@ def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """The same, with a mark of the text and the digest of the set."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    counted = texts.mapInArrow(_heavy(n), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    counted = texts.mapInArrow(lean(_heavy(n)), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
     top = counted.orderBy(F.desc("c"), "h").limit(HEAVY).collect()
     hashes = np.array([r["h"] for r in top], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     heavy = spark.sparkContext.broadcast((hashes[order], np.array([r["c"] for r in top], np.int64)[order]))
 
-    lists = texts.mapInArrow(_postings(n, percent, heavy), "x long, y long, c long, doc long, par binary")
+    lists = texts.mapInArrow(lean(_postings(n, percent, heavy)), "x long, y long, c long, doc long, par binary")
     dealt = lists.repartition("x").sortWithinPartitions("x", "y", "c")
-    found = materialize(dealt.mapInArrow(_stars(percent), "kind byte, x long, y long, c long, doc long, par binary"), "lists")
+    found = materialize(dealt.mapInArrow(lean(_stars(percent)), "kind byte, x long, y long, c long, doc long, par binary"), "lists")
 
     members = found.where("kind = 1").selectExpr("doc", "x as high", "y as low", "c as size", "substring(par, 1, 8) as mark", "substring(par, 9) as par")
     classes = materialize(members.where(f"size > 0 and doc <> {NO_ID}").groupBy("high", "low").agg(F.min("doc").alias("first_doc"), F.min("size").alias("size"), F.first("par").alias("par")).withColumn("rep", F.col("low")), "classes")
@@ -381,7 +381,7 @@ def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
     by_low = classes.select("low", "rep", "size", "par")
     near = found.where("kind = 0").select("x", "y").distinct()
     near = near.join(by_low.toDF("x", "a", "na", "pa"), "x").join(by_low.toDF("y", "b", "nb", "pb"), "y").where("a <> b")
-    near = near.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_likely(percent), "a long, b long")
+    near = near.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(lean(_likely(percent)), "a long, b long")
     near = near.distinct()
 
     def contents(ids: DataFrame) -> DataFrame:
@@ -389,13 +389,13 @@ def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
         wanted = ids.distinct().join(classes.select(F.col("rep").alias("id"), "high", "low", F.col("first_doc").alias("doc_id")), "id")
         # The build side has at most a row of 40 bytes for each text that stands in the same partition.
         sets = texts.join(wanted.hint("shuffle_hash"), "doc_id")
-        return materialize(sets.mapInArrow(_contents(n), "id long, items binary"), "sets")
+        return materialize(sets.mapInArrow(lean(_contents(n)), "id long, items binary"), "sets")
 
     def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         sides = pairs.join(sets.withColumnRenamed("id", "b"), "b").select("a", "b", "items")
         own = sets.withColumnRenamed("id", "a").join(pairs.select("a").distinct(), "a").selectExpr("a", "cast(null as long) as b", "items")
         rows = sides.union(own).repartition("a").sortWithinPartitions("a", F.asc_nulls_first("b"))
-        return materialize(rows.mapInArrow(_verify(percent), "a long, b long").distinct(), "links")
+        return materialize(rows.mapInArrow(lean(_verify(percent)), "a long, b long").distinct(), "links")
 
     def grouped_by(rows: DataFrame) -> DataFrame:
         """Entries with their present group, of lists that hold several."""
@@ -417,7 +417,7 @@ def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
         # A few rounds of neighbours let the sets of a dense family take over each other's group, so that few pairs are left.
         for k in range(ROUNDS):
             dealt = grouped_by(entries).where(F.col("pos") < NEAR_LISTS).join(parities, "rep").withColumn("turn", F.xxhash64("rep", F.lit(k))).repartition("x").sortWithinPartitions("x", "turn", "rep")
-            pairs = materialize(dealt.mapInArrow(_neighbours(percent), "a long, b long").distinct(), "pairs")
+            pairs = materialize(dealt.mapInArrow(lean(_neighbours(percent)), "a long, b long").distinct(), "pairs")
             links = links.union(verified(pairs, sets))
             release(pairs)
             groups = components(links)
@@ -426,7 +426,7 @@ def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
         left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         work = F.xxhash64("x", F.least("block", "other"), F.greatest("block", "other"))
         left = left.select(work.alias("work"), "x", (F.col("block") > F.col("other")).cast("int").alias("side"), "rep", "size", "pos", "grp").join(parities, "rep")
-        crossed = left.repartition("work").sortWithinPartitions("work", "x", "size", "rep").mapInArrow(_crossings(percent), "a long, b long").distinct()
+        crossed = left.repartition("work").sortWithinPartitions("work", "x", "size", "rep").mapInArrow(lean(_crossings(percent)), "a long, b long").distinct()
         crossed = materialize(crossed, "crossed")
         if not crossed.isEmpty():
             links = links.union(verified(crossed, sets))
@@ -510,13 +510,13 @@ def ngram_links(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     wanted = materialize(own.join(several, "component_id").select("component_id", "blocks", "key", "weight", "one.doc_id", "one.mark"), "wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     picked = texts.withColumn("mark", _mark(F.col("text"))).join(wanted.select("doc_id", "mark", "key").distinct(), ["doc_id", "mark"]).select("key", "text")
-    sets = materialize(picked.mapInArrow(_keyed_sets(n), "key long, items binary").dropDuplicates(["key"]), "sets")
+    sets = materialize(picked.mapInArrow(lean(_keyed_sets(n)), "key long, items binary").dropDuplicates(["key"]), "sets")
     rows = wanted.select("component_id", "blocks", "key", "weight").join(sets, "key").withColumn("block", F.pmod(F.xxhash64("key", F.lit(1)), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     work = F.xxhash64("component_id", F.least("block", "other"), F.greatest("block", "other"))
     # Both sides of a pair of blocks come in by their own row of the pair.
     dealt = rows.select(work.alias("work"), (F.col("block") > F.col("other")).cast("int").alias("side"), "key", "weight", "items").repartition("work").sortWithinPartitions("work", "side", "key")
-    linked = dealt.mapInArrow(_link_counts(percent), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    linked = dealt.mapInArrow(lean(_link_counts(percent)), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     copies = own.groupBy("key").agg(F.sum("weight").alias("weight"))
     out = found.join(copies, "key", "left").join(linked, "key", "left")
     none = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_KEYS, RANGE_BYTES, WS, WordHasher, batch_of, column, grouped, materialize, mix64, pack, plain_names, schema_with, slabs, table, unpack, utf8
+from .common import BYTE_KEYS, RANGE_BYTES, WS, WordHasher, batch_of, column, grouped, lean, materialize, mix64, pack, plain_names, schema_with, slabs, table, unpack, utf8
 
 LEAST, MOST, BITS, MIN_WORDS = 32, 1024, 3, 20
 STATS = ["_chunks_repeated", "_chars_removed", "_spans_removed"]
@@ -190,18 +190,18 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, least: int = LEA
     _spans_removed: the byte spans cut from the UTF-8 text, "from-to" joined by commas.
     """
     texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sent = texts.mapInArrow(_occurrences(least, most, bits), "d1 long, d2 long, doc long, pos long, again boolean")
+    sent = texts.mapInArrow(lean(_occurrences(least, most, bits)), "d1 long, d2 long, doc long, pos long, again boolean")
     # What a task saw before is known to be a repeat; such rows are dealt by their place, not by their digest.
     place = F.when(F.col("again"), F.xxhash64("doc", "pos")).otherwise(F.col("d1"))
     dealt = sent.withColumn("key", place).repartition("key").sortWithinPartitions("key", "again", "d1", "d2", "doc", "pos")
-    again = dealt.mapInArrow(_repeats(), "doc long, pos long, d1 long")
+    again = dealt.mapInArrow(lean(_repeats()), "doc long, pos long, d1 long")
     by_doc = again.distinct().groupBy(F.col("doc").alias("_repeats_of")).agg(F.collect_list(F.struct("pos", "d1")).alias("_repeats"))
     rows, names = plain_names(docs)
     rows = rows.withColumnRenamed(names["text"], "text")
     joined = rows.join(by_doc, F.col(names["doc_id"]) == F.col("_repeats_of"), "left").drop("_repeats_of")
     more = "_chunks_repeated long, _chars_removed long, _spans_removed string"
     fields = schema_with(rows, more)
-    out = joined.mapInArrow(_cleaned(least, most, bits, min_words), fields)
+    out = joined.mapInArrow(lean(_cleaned(least, most, bits, min_words)), fields)
     kept = [c for c in docs.columns if c not in STATS]
     return out.withColumnRenamed("text", names["text"]).select(*(names[c] for c in kept), *STATS).toDF(*kept, *STATS)
 
@@ -531,22 +531,22 @@ def _without(docs: DataFrame, min_words: int):
     """`docs` with plain names, less the runs, and STATS; and the plain names."""
     texts = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ranges = max(8, math.ceil((texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / RANGE))
-    sent = texts.mapInArrow(_sent_chunks(ranges, min_words), _PACKED_DDL)
-    again = sent.repartitionById(ranges, F.col("key")).mapInArrow(_chunk_repeats(ranges, min_words), _PACKED_DDL)
-    edges = materialize(again.repartitionById(ranges, F.col("key")).mapInArrow(_edges, _EDGES_DDL), "edges")
+    sent = texts.mapInArrow(lean(_sent_chunks(ranges, min_words)), _PACKED_DDL)
+    again = sent.repartitionById(ranges, F.col("key")).mapInArrow(lean(_chunk_repeats(ranges, min_words)), _PACKED_DDL)
+    edges = materialize(again.repartitionById(ranges, F.col("key")).mapInArrow(lean(_edges), _EDGES_DDL), "edges")
 
     # Both joins take all columns of `docs`, so that they share one shuffle of the texts.
     plain, names = plain_names(docs)
     id_, text = names["doc_id"], names["text"]
     asked = edges.where("side = 1 or at > 0").select("odoc", "omark", "side", "at", "salt").distinct()
     asked = asked.groupBy(F.col("odoc").alias("_doc")).agg(F.collect_list(F.struct("omark", "side", "at", "salt")).alias("_asked"))
-    answers = plain.join(asked, F.col(id_) == F.col("_doc"), "left").drop("_doc").mapInArrow(_answers(text, id_), _ANSWERS_DDL)
+    answers = plain.join(asked, F.col(id_) == F.col("_doc"), "left").drop("_doc").mapInArrow(lean(_answers(text, id_)), _ANSWERS_DDL)
     place = ["odoc", "omark", "side", "at", "salt"]
     told = edges.join(answers, place, "left").groupBy(F.col("doc").alias("_doc"))
     runs = told.agg(F.collect_list(F.struct("mark", "run", "side", "low", "high", "context")).alias("_runs"))
     joined = plain.join(runs, F.col(id_) == F.col("_doc"), "left").drop("_doc")
     more = "_chunks_repeated long, _chars_removed long, _spans_removed string"
-    return joined.mapInArrow(_without_runs(text, min_words), schema_with(plain, more)), names
+    return joined.mapInArrow(lean(_without_runs(text, min_words)), schema_with(plain, more)), names
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:

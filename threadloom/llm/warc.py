@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, release, remove_path, scratch_path, table
+from .common import lean, materialize, release, remove_path, scratch_path, table
 
 SHARD_BYTES, ROLL_BYTES, LEVEL = 16 << 20, 8 << 20, 4
 #: Shards at most: their first ids (1 MB) are sent to all tasks. Larger inputs have larger shards.
@@ -165,7 +165,7 @@ def write_archives(pages: DataFrame, out_dir: str, least: int = 0, shard_bytes:
     every = rows.select("page_id", F.lit(1).alias("kind"), "url", "html", F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("long").alias("refers_to")).union(flags)
     every = every.withColumn("shard", shard_of(F.coalesce("page_id", F.lit(-(1 << 63)))))  # no nulls: they would turn ids into doubles
     ordered = every.repartition(len(starts.value) + 1, "shard").sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "kind", "url", "html", "digest")
-    files = ordered.mapInArrow(_write(out_dir, roll_bytes), "file string, records long, bytes long, sha256 string")
+    files = ordered.mapInArrow(lean(_write(out_dir, roll_bytes)), "file string, records long, bytes long, sha256 string")
     files.write.mode("overwrite").parquet(f"{out_dir}/_manifest")
     release(sizes)
     return spark.read.schema("file string, records long, bytes long, sha256 string").parquet(f"{out_dir}/_manifest")
@@ -234,7 +234,7 @@ def read_archives(spark: SparkSession, out_dir: str, with_html: bool = True) ->
     files = spark.read.schema("file string").parquet(f"{out_dir}/_manifest").select("file")
     files = files.repartition(max(1, min(READERS, files.count())))
     fields = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, html string"
-    return files.mapInArrow(_read(out_dir, with_html), fields)
+    return files.mapInArrow(lean(_read(out_dir, with_html)), fields)
 
 
 def op7_warc(spark, sf_dir: str) -> DataFrame:
