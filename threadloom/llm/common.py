@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 _OWN_DIR: list[str] = []
 
 #: Bytes of text handled at once by the vectorised kernels; a longer document is handled alone.
-SLAB = 1 << 20
+SLAB = 1 << 19
 #: Edges per task when components are contracted locally.
 EDGES_PER_TASK = 500_000
 #: Bytes of text whose hashes make one range, where hashes are dealt by ranges.

@@ -45,7 +45,7 @@ STATS = ["_chunks_repeated", "_chars_removed", "_spans_removed"]
 #: Chunks that a task compares among themselves before it sends them on.
 BLOCK = 200_000
 #: The same for chunks of words, and the bytes of text whose chunks make one range.
-WINDOWS, RANGE = 500_000, RANGE_BYTES // 2
+WINDOWS, RANGE = 300_000, RANGE_BYTES // 2
 #: Rows whose texts are cut at once.
 ROWS = 1000
 
