@@ -28,7 +28,9 @@ from .common import BYTE_KEYS, WS, map_arrow, schema_with, slabs, table, utf8
 
 LEAST, MOST, BITS = 96, 4096, 4
 #: Bytes of chunk texts whose ids a task keeps at most.
-KEPT = 24 << 20
+KEPT = 16 << 20
+#: Rows whose ids are sent on at once.
+ROWS = 500
 
 #: Fixed value: the pre-tokenization pattern of byte-level BPE.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -164,7 +166,7 @@ def _encoded(definition, least: int, most: int, bits: int, with_ids: bool):
         codec = Codec(definition.value)  # in a third of a second; kept, it would hold 50 MB of every worker
         known: dict[bytes, tuple[list[int], bytes]] = {}
         held = 0
-        for batch in batches:
+        for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             data, offsets, _ = utf8(batch.column(batch.schema.get_field_index("text")))
             count, hashes, plain, lists = [], [], [], []
             for i, j in slabs(offsets):

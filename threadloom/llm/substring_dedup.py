@@ -45,9 +45,9 @@ STATS = ["_chunks_repeated", "_chars_removed", "_spans_removed"]
 #: Chunks that a task compares among themselves before it sends them on.
 BLOCK = 200_000
 #: The same for chunks of words, and the bytes of text whose chunks make one range.
-WINDOWS, RANGE = 300_000, RANGE_BYTES // 2
+WINDOWS, RANGE = 300_000, RANGE_BYTES // 4
 #: Rows whose texts are cut at once.
-ROWS = 1000
+ROWS = 500
 
 
 def cut_points(data: np.ndarray, offsets: np.ndarray, least: int, most: int, bits: int):
