@@ -108,6 +108,13 @@ def map_arrow(df: DataFrame, f, schema: T.StructType) -> DataFrame:
     return df.toDF(*safe.values()).mapInArrow(lean(f), plain).toDF(*schema.names)
 
 
+def without(df: DataFrame, names) -> DataFrame:
+    """df without the columns of these (lower-case) names, however their letters are cased."""
+    every = df.toDF(*(f"c{k}" for k in range(len(df.columns))))
+    kept = [k for k, c in enumerate(df.columns) if c.lower() not in names]
+    return every.select(*(f"c{k}" for k in kept)).toDF(*(df.columns[k] for k in kept)) if len(kept) < len(df.columns) else df
+
+
 def plain_names(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """df with columns c0, c1, ... and the new name of each: names that no column of an operator clashes with."""
     names = {c: f"c{k}" for k, c in enumerate(df.columns)}
