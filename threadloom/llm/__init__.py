@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, embedding_dedup, fingerprints, licenses, mixing, ngram_join, quality, substring_dedup, token_counts, toxicity, warc
+from . import bpe, embedding_dedup, fingerprints, lexical_search, licenses, mixing, ngram_join, quality, substring_dedup, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_license_scan": licenses.op8_license_scan,
     "op9_mixing": mixing.op9_mixing,
     "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,
+    "op11_lexical_search": lexical_search.op11_lexical_search,
     "op12_token_counts": token_counts.op12_token_counts,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_document_fingerprints": fingerprints.ORACLE_SQL,
     "op7_warc": warc.ORACLE_SQL,
     "op9_mixing": mixing.ORACLE_SQL,
+    "op11_lexical_search": lexical_search.ORACLE_SQL,
 }
