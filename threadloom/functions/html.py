@@ -180,8 +180,8 @@ def resolve_href(href: Column, base: str, site: str) -> Column:
 
 def ordered_urls(rows: DataFrame, most: int | None = None) -> DataFrame:
     """(url, title, order): each url once, at its first place; numbers run on after the cap."""
-    from pyspark.sql import Window
+    from ..operators.numbering import numbered
 
     first = rows.where("url is not null").groupBy("url").agg(F.min("pos").alias("pos"), F.min_by("title", "pos").alias("title"))
-    out = first.withColumn("order", F.row_number().over(Window.orderBy("pos", "url")))
+    out = numbered(first, ["pos", "url"], "order").withColumn("order", F.col("order").cast("int"))
     return (out.where(F.col("order") <= most) if most else out).select("url", "title", "order")

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import numbered
 from .rollup import first_of
 
 
@@ -154,7 +155,7 @@ def reset_states(rows: DataFrame, where: Column, columns: list[str]) -> DataFram
 def surrogate_ids(rows: DataFrame, keys: list[str], after: DataFrame, id_: str) -> DataFrame:
     """Ids for new keys: the largest there is plus the rank of the key."""
     top = after.agg(F.coalesce(F.max(id_), F.lit(0)).alias("_top"))
-    ranked = rows.withColumn("_rn", F.row_number().over(Window.orderBy(*keys)))
+    ranked = numbered(rows, keys, "_rn")
     return ranked.crossJoin(F.broadcast(top)).withColumn(id_, F.col("_top") + F.col("_rn")).drop("_top", "_rn")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import numbered, numbered_by
 from .predicates import non_blank
 from .rollup import top_n
 
@@ -16,9 +17,9 @@ def newest_product(eligible: DataFrame, exclude: list[str] = ()) -> DataFrame:
 
 
 def pages_of(rows: DataFrame, order: list, size: int, by: list[str] | None = None) -> DataFrame:
-    """Numbers every row and its page: what a loop of keyset pages fetches, in one pass for each key of `by`."""
-    w = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order)
-    return rows.withColumn("rn", F.row_number().over(w)).withColumn("page", F.floor((F.col("rn") - 1) / size).cast("long"))
+    """Numbers every row and its page: what a loop of keyset pages fetches, of the whole table or of each value of `by`."""
+    out = numbered_by(rows, by, order) if by else numbered(rows, order)
+    return out.withColumn("page", F.floor((F.col("rn") - 1) / size).cast("long"))
 
 
 def claim(rows: DataFrame, eligible: Column, order: list, n: int, now) -> tuple[DataFrame, DataFrame]:
@@ -89,9 +90,10 @@ def orphans(results: DataFrame, n: int = 12) -> DataFrame:
 
 def circular_window(rows: DataFrame, order: list, start: int, size: int) -> DataFrame:
     """`size` rows from place start modulo n, going round: a numbered pass and one count."""
-    w = Window.orderBy(*order)
-    placed = rows.withColumn("rn", F.row_number().over(w) - 1).withColumn("n", F.count("*").over(Window.partitionBy()))
-    return placed.withColumn("turn", F.pmod(F.col("rn") - F.pmod(F.lit(start), F.col("n")), F.col("n"))).where(F.col("turn") < size).drop("rn", "n")
+    placed = numbered(rows, order, "_rn")
+    counted = placed.crossJoin(F.broadcast(placed.agg(F.count("*").alias("_n"))))  # one row
+    turn = F.pmod(F.col("_rn") - 1 - F.pmod(F.lit(start), F.col("_n")), F.col("_n"))
+    return counted.withColumn("turn", turn).where(F.col("turn") < size).drop("_rn", "_n")
 
 
 def eligible_signature(rows: DataFrame) -> DataFrame:

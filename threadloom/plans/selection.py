@@ -140,6 +140,11 @@ def k17(t):
     return K.pages_of(t.nuggets, [F.col("nugget_id")], 12, ["product"]).select("nugget_id", "product", "page")
 
 
+@query("k2_table_pages", "SELECT thread_id, row_number() OVER (ORDER BY created_on DESC, thread_id DESC) AS rn, (row_number() OVER (ORDER BY created_on DESC, thread_id DESC) - 1) // 2000 AS page FROM threads")
+def k2_table(t):
+    return K.pages_of(t.threads.select("thread_id", "created_on"), _order(), 2000).select("thread_id", "rn", "page")
+
+
 @query("k18_lookups", "SELECT name, thread_count FROM products WHERE name = 'Brand#2'")
 def k18(t):
     return t.products.where("name = 'Brand#2'").select("name", "thread_count")
