@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, embedding_dedup, fingerprints, lexical_search, licenses, mixing, ngram_join, quality, substring_dedup, token_counts, toxicity, warc
+from . import bpe, embedding_dedup, fingerprints, lexical_search, licenses, mixing, ngram_join, quality, sequenced_changes, substring_dedup, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_ngram_jaccard_join": ngram_join.op10_ngram_jaccard_join,
     "op11_lexical_search": lexical_search.op11_lexical_search,
     "op12_token_counts": token_counts.op12_token_counts,
+    "op13_sequenced_changes": sequenced_changes.op13_sequenced_changes,
 }
 ORACLE_SQL: dict[str, str] = {
     "op5_document_fingerprints": fingerprints.ORACLE_SQL,
