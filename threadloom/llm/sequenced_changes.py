@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators.numbering import dense_rank_by
-from .common import materialize, scratch_path, table
+from ..streaming.stateful import state_session
+from .common import scratch_path, table
 
 COLUMNS = ["change_id", "client_id", "seq", "op", "valid_at", "source", "segment", "city", "balance"]
 FIRST_DAY, DAYS, BATCHES, WAIT = 19723, 160, 10, 8
@@ -207,16 +208,6 @@ class Applier(StatefulProcessor):
         pass
 
 
-def _state_session(spark: SparkSession) -> SparkSession:
-    """A session beside the user's, with its settings for shuffles and times, and a state store that ListState needs."""
-    out = spark.newSession()
-    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
-        out.conf.set(name, spark.conf.get(name))
-    out.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    out.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
-    return out
-
-
 def run_batch(session: SparkSession, root: str, wait: int = WAIT, compact: int = COMPACT) -> None:
     """Starts the query on its checkpoint below `root`, takes in what was added to root/feed, and ends."""
     fed = session.readStream.schema(FED).parquet(f"{root}/feed")
@@ -234,7 +225,7 @@ def apply_changes(rows: DataFrame, batches: int = BATCHES, wait: int = WAIT, com
     stored = spark.read.schema(schema).parquet(f"{root}/batches")
     facts = {r["batch"]: (r["n"], r["day"]) for r in stored.groupBy("batch").agg(F.count("*").alias("n"), F.max("day").alias("day")).collect()}  # a row for each batch
     shards = max(1, math.ceil(sum(n for n, _ in facts.values()) / shard_rows))
-    session = _state_session(spark)
+    session = state_session(spark, shards)
     spread = lambda c: F.pmod(F.xxhash64(c), F.lit(shards))
     shard = F.when(F.col("spare"), -1 - spread("change_id")).otherwise(spread("client_id"))
     seen = None
