@@ -97,12 +97,6 @@ def test_windows_in_a_stream(spark, tmp_path):
     assert sorted(map(tuple, spark.table("wins").collect())) == sorted(map(tuple, ingest.event_windows(rows).collect()))
 
 
-def test_branches_keep_state(spark):
-    df = spark.createDataFrame([(1, "a", 2), (1, "b", 3), (2, "c", 4)], "branch long, at string, n long")
-    out = ingest.fold_branches(df, "branch", ["at"], lambda s, r: {"path": s.get("path", "") + r["at"], "total": s.get("total", 0) + r["n"]}, "branch long, path string, total long")
-    assert sorted(map(tuple, out.collect())) == [(1, "ab", 5), (2, "c", 4)]
-
-
 def test_silence(spark):
     df = spark.sql("select 1L as incident_id, cast(id as string) as thread_id, date'2024-01-01' + cast(id * id as int) as added_on from range(5)")
     got = [r["stretch"] for r in ingest.split_by_silence(df).orderBy("added_on").collect()]

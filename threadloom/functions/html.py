@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import json
-from urllib.parse import urljoin
+from urllib.parse import urlsplit
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,16 +97,25 @@ def doc_title_body(rows: DataFrame, page: str = "html") -> DataFrame:
 
 
 def last_page(page: Column) -> Column:
-    """The largest number of the pagination, else of page= in any link, else 1."""
+    """The largest number of the pagination's links, else of page= in any link, else 1."""
     ints = lambda pattern: F.array_max(F.transform(F.regexp_extract_all(page, F.lit(pattern), 1), lambda x: x.cast("int")))
-    return F.coalesce(ints(r'(?is)<a[^>]*class="[^"]*page[^"]*"[^>]*>\s*(\d{1,9})\s*</a>'), ints(r"[?&;]page=(\d{1,9})"), F.lit(1))
+    return F.coalesce(ints(r'(?is)<a[^>]*class="[^"]*pagination-link[^"]*"[^>]*>\s*(\d{1,9})\s*</a>'), ints(r"[?&]page=(\d{1,9})"), F.lit(1))
 
 
 def page_url(url: Column, page: Column) -> Column:
-    """The url with its page parameter set."""
-    n = F.concat(F.lit("page="), page.cast("string"))
-    mark = F.regexp_extract(url, r"([?&])page=[^&#]*", 1)
-    return F.when(mark != "", F.regexp_replace(url, F.lit(r"([?&])page=[^&#]*"), F.concat(mark, n))).otherwise(F.concat(url, F.when(url.contains("?"), F.lit("&")).otherwise(F.lit("?")), n))
+    """The url with its page parameter set, behind the other parameters if it had none; these are decoded and encoded again, those
+    without a value go, values of one name stand together, and a fragment stays behind them."""
+    bare, fragment = F.substring_index(url, "#", 1), F.regexp_extract(url, r"(?s)#(.+)\z", 1)
+    base, query = F.substring_index(bare, "?", 1), F.regexp_extract(bare, r"(?s)\?(.*)\z", 1)
+    decode = lambda x: F.coalesce(F.try_url_decode(x), x)
+    encode = lambda x: F.replace(F.replace(F.url_encode(x), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+    given = F.filter(F.split(query, "&", -1), lambda x: x.rlike("(?s)=."))
+    pairs = F.transform(given, lambda x: F.struct(decode(F.substring_index(x, "=", 1)).alias("k"), decode(F.regexp_extract(x, r"(?s)=(.*)\z", 1)).alias("v")))
+    names = F.array_distinct(F.concat(F.transform(pairs, lambda p: p["k"]), F.array(F.lit("page"))))
+    line = lambda k, v: F.concat(encode(k), F.lit("="), encode(v))
+    own = lambda k: F.transform(F.filter(pairs, lambda p: p["k"] == k), lambda p: line(p["k"], p["v"]))
+    lines = F.transform(names, lambda k: F.when(k == "page", F.array(F.concat(F.lit("page="), page.cast("string")))).otherwise(own(k)))
+    return F.concat(base, F.lit("?"), F.array_join(F.flatten(lines), "&"), F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(F.lit("")))
 
 
 def nested_div(page: Column, attribute: str, value: str) -> Column:
@@ -139,43 +146,61 @@ def nested_div(page: Column, attribute: str, value: str) -> Column:
     return once(F.coalesce(page, F.lit("")), inner)
 
 
-# ---------------------------------------------------------------- recursion: what regular expressions can't follow
+# ---------------------------------------------------------------- tables of contents
 
 
-def _walk(node):
-    if isinstance(node, list):
-        for x in node:
-            yield from _walk(x)
-    elif isinstance(node, dict):
-        if node.get("href"):
-            yield {"href": str(node["href"]), "title": str(node.get("toc_title") or "")}
-        yield from _walk(node.get("children"))
-        yield from _walk(node.get("items"))
+def flatten_toc(rows: DataFrame, toc: str = "toc") -> DataFrame:
+    """(…, pos, href, title) of a table of contents (JSON) of any depth, children before items.
 
+    Nodes are taken apart level by level, each level written once; a node's place is the way to it, so places sort as the nodes
+    stand. What isn't JSON, or repeats a key in an object, has no entries. `rows` must have a row for each value of its other
+    columns.
+    """
+    from ..sources.scratch import written
 
-def flatten_toc(rows: DataFrame, toc: str = "toc") -> DataFrame:
-    """(…, pos, href, title) of a table of contents of any depth, children before items."""
+    spark = rows.sparkSession
+    keys = [c for c in rows.columns if c != toc]
+    level = rows.select(*keys, F.array().cast("array<int>").alias("_way"), F.try_parse_json(toc).alias("_node")).where("_node is not null")
+    found = None
+    while True:
+        level = written(level, "toc")
+        if level.isEmpty():
+            break
+        own = level.select(*keys, "_way", F.try_variant_get("_node", "$.href", "string").alias("href"), F.coalesce(F.try_variant_get("_node", "$.toc_title", "string"), F.lit("")).alias("title")).where("href <> ''")
+        found = own if found is None else found.unionByName(own)
+        step = F.when(F.col("key").isNull(), F.col("pos")).when(F.col("key") == "children", 0).when(F.col("key") == "items", 1)
+        parts = level.lateralJoin(spark.tvf.variant_explode(F.col("_node").outer()))
+        level = parts.withColumn("_step", step).where("_step is not null").select(*keys, F.concat("_way", F.array("_step")).alias("_way"), F.col("value").alias("_node"))
+    if found is None:
+        return spark.createDataFrame([], rows.select(*keys, F.lit(0).alias("pos"), F.lit("").alias("href"), F.lit("").alias("title")).schema)
+    entry = found.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_way", "href", "title"))).alias("_t"))  # one table of contents
+    return entry.select(*keys, F.posexplode("_t").alias("pos", "_x")).select(*keys, "pos", "_x.href", "_x.title")
 
-    @F.pandas_udf("array<struct<href: string, title: string>>")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: list(_walk(json.loads(x))) if x else [])
 
-    out = rows.withColumn("_t", run(F.col(toc))).drop(toc)
-    keys = [c for c in out.columns if c != "_t"]
-    return out.select(*keys, F.posexplode("_t").alias("pos", "_x")).select(*keys, "pos", "_x.href", "_x.title")
+def without_dots(segments: Column) -> Column:
+    """Path segments after . and .. have done their work; what would lead above the root stays at it."""
 
+    def step(done, s):
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        return F.when(s == "..", up).when(s.isin(".", ""), done).otherwise(F.concat(done, F.array(s)))
 
-def resolve_href(href: Column, base: str, site: str) -> Column:
-    """Absolute urls of a site from the targets of a table of contents; null for others."""
+    return F.aggregate(segments, F.array().cast("array<string>"), step)
 
-    @F.pandas_udf("string")
-    def join(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: None if x is None else urljoin(base if base.endswith("/") else base + "/", x))
 
+def resolve_href(href: Column, base: str, site: str) -> Column:
+    """Absolute urls of a site from the targets of a table of contents below `base`; null for others."""
+    parts = urlsplit(base)
+    root = f"{parts.scheme}://{parts.netloc}"
+    below = F.array(*(F.lit(s) for s in parts.path.split("/") if s))
     plain = F.regexp_replace(F.trim(href), r"[?#].*$", "")
+    segments = F.split(plain, "/", -1)
+    open_end = F.element_at(segments, -1).isin("", ".", "..")
+    path = F.array_join(without_dots(F.concat(below, segments)), "/")
+    joined = F.concat(F.lit(root + "/"), path, F.when(open_end & (path != ""), F.lit("/")).otherwise(F.lit("")))
+    joined = F.when(plain.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), plain).otherwise(joined)
     own = F.when(plain.startswith("http://"), F.lit(None)).when(plain.startswith("https://"), F.when(plain.startswith(site), plain)).when(plain == "", F.lit(None)).when(plain.startswith("/"), F.concat(F.lit(site), plain))
     relative = ~plain.startswith("/") & ~plain.rlike("^https?://") & (plain != "")
-    return F.when(relative, join(plain)).otherwise(own)
+    return F.when(relative, joined).otherwise(own)
 
 
 def ordered_urls(rows: DataFrame, most: int | None = None) -> DataFrame:

@@ -72,8 +72,8 @@ def source_of(url: Column, sources=SOURCES, other: str = "msqa") -> Column:
 
 
 def question_id(url: Column) -> Column:
-    """'qa' and the digits behind the section of a url, or the empty text."""
-    d = F.regexp_extract(_text(url), r"/(?:en|de|fr|es)/(\d+)", 1)
+    """'qa' and the digits behind /questions/ in a url, or the empty text."""
+    d = F.regexp_extract(_text(url), r"/questions/(\d+)", 1)
     return F.when(d != "", F.concat(F.lit("qa"), d)).otherwise("")
 
 

@@ -82,14 +82,23 @@ def t14(t):
     return H.page_links(t.pages, "page_id", "html", "^/[A-Za-z]", F.lit("https://site")).select("page_id", "href", "pos")
 
 
-@query("t15_last_page", "SELECT page_id, coalesce(list_max(list_transform(regexp_extract_all(url || html, '[?&;]page=([0-9]{1,9})', 1), lambda x: x::INT)), 1)::INT AS pages FROM pages")
+_PAGED = """url || html || CASE WHEN page_id % 3 = 0 THEN '<a class="x pagination-link" href="#">' || cast(page_id % 50 AS STRING) || '</a><A CLASS="pagination-link current">' || chr(10) || ' 7 </A><a class="page">99</a>' WHEN page_id % 3 = 1 THEN '<i>x&amp;page=98</i>' ELSE '' END"""
+
+
+@query("t15_last_page", "SELECT page_id, CASE WHEN page_id % 3 = 0 THEN greatest(page_id % 50, 7) ELSE coalesce(list_max(list_transform(regexp_extract_all(url || html, '[?&]page=([0-9]{1,9})', 1), lambda x: x::INT)), 1) END::INT AS pages FROM pages")
 def t15(t):
-    return t.pages.select("page_id", H.last_page(F.concat("url", "html")).alias("pages"))
+    return t.pages.select("page_id", H.last_page(F.expr(_PAGED)).alias("pages"))
+
 
+_URLS = "CASE page_id % 4 WHEN 0 THEN url WHEN 1 THEN b || '?b=1#f' WHEN 2 THEN b || '?page=3&a=x%20y*&e&a=2&c=' ELSE b || '?q=a+b~&page=9&z=ä&page=8#top?x' END"
 
-@query("t16_page_url", "SELECT page_id, CASE WHEN regexp_matches(url, '[?&]page=') THEN regexp_replace(url, '([?&])page=[^&#]*', '\\1page=' || (page_id % 7)) ELSE url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'page=' || (page_id % 7) END AS url FROM pages")
+
+@query("t16_page_url", """WITH u AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS b, regexp_extract(url, '[?]([^#]*)', 1) AS q, regexp_extract(url, '#(.+)$', 1) AS f, 'page=' || (page_id % 7) AS n FROM pages)
+SELECT page_id, b || '?' || CASE page_id % 4 WHEN 0 THEN CASE WHEN q = '' THEN n WHEN regexp_matches(q, '(^|&)page=') THEN regexp_replace(q, '(^|&)page=[^&]*', '\\1' || n) ELSE q || '&' || n END || CASE WHEN f <> '' THEN '#' || f ELSE '' END
+WHEN 1 THEN 'b=1&' || n || '#f' WHEN 2 THEN n || '&a=x+y%2A&a=2' ELSE 'q=a+b~&' || n || '&z=%C3%A4#top?x' END AS url FROM u""")
 def t16(t):
-    return t.pages.select("page_id", H.page_url(F.col("url"), F.col("page_id") % 7).alias("url"))
+    url = t.pages.withColumn("b", F.regexp_replace("url", "[?#].*$", "")).select("page_id", F.expr(_URLS).alias("url"))
+    return url.select("page_id", H.page_url(F.col("url"), F.col("page_id") % 7).alias("url"))
 
 
 @query("t18_nested_div", """WITH p AS (SELECT page_id, '<div>a</div>' || html || CASE page_id % 3 WHEN 0 THEN '</div>tail</div>' WHEN 1 THEN '<div>' ELSE '' END AS r FROM pages),
@@ -120,15 +129,20 @@ def t14b(t):
     return H.link_dates(t.pages.select("page_id", html.alias("html")), "page_id", "html", "^/q/")
 
 
-_TOC = "'[{\"href\":\"a' || cast(p_partkey AS STRING) || '\",\"toc_title\":\"A\",\"children\":[{\"href\":\"../b\",\"toc_title\":\"B\"}],\"items\":[{\"items\":[{\"href\":\"/c?x=1\",\"toc_title\":\"C\"}]}]},{\"href\":\"http://off\",\"toc_title\":\"D\"}]'"
+_TOC = """CASE p_partkey % 7 WHEN 0 THEN '[{"href":"a' || cast(p_partkey AS STRING) || '","toc_title":"A","children":[{"href":"../b","toc_title":"B"}],"items":[{"items":[{"href":"/c?x=1","toc_title":"C"}]}]},{"href":"http://off","toc_title":"D"}]'
+WHEN 1 THEN '{"children":{"children":{"children":[[{"href":"x/./y/../z","toc_title":"Z"}],{"href":""},5,null,"s"]}}}' WHEN 2 THEN 'not json' WHEN 4 THEN '[]'
+WHEN 5 THEN '[{"href":"../../../../up/","items":[{"href":"mailto:a@b"},{"href":"a//b/.."}]}]' WHEN 6 THEN '{"items":[{"href":"i"}],"href":"self","children":[[[{"items":{"items":{"items":{"items":{"href":"deep"}}}}}]],{"href":"k"}]}' END"""
+_ENTRIES = """(VALUES (0, 0, 'a', 'A', 'base/dir/a'), (0, 1, '../b', 'B', 'base/b'), (0, 2, '/c?x=1', 'C', 'c'), (0, 3, 'http://off', 'D', NULL), (1, 0, 'x/./y/../z', 'Z', 'base/dir/x/z'),
+(5, 0, '../../../../up/', '', 'up/'), (5, 1, 'mailto:a@b', '', 'mailto:a@b'), (5, 2, 'a//b/..', '', 'base/dir/a/'), (6, 0, 'self', '', 'base/dir/self'), (6, 1, 'deep', '', 'base/dir/deep'), (6, 2, 'k', '', 'base/dir/k'), (6, 3, 'i', '', 'base/dir/i')) e(m, pos, href, title, url)"""
+_OWN = "CASE WHEN m = 0 AND pos = 0 THEN p_partkey::VARCHAR ELSE '' END"
 
 
-@query("t20_toc_flatten", "SELECT p_partkey, pos::INT AS pos, CASE pos WHEN 0 THEN 'a' || p_partkey WHEN 1 THEN '../b' WHEN 2 THEN '/c?x=1' ELSE 'http://off' END AS href FROM part, range(0, 4) r(pos)")
+@query("t20_toc_flatten", f"SELECT p_partkey, pos::INT AS pos, href || {_OWN} AS href, title FROM part, {_ENTRIES} WHERE p_partkey % 7 = m")
 def t20(t):
-    return H.flatten_toc(t.part.select("p_partkey", F.expr(_TOC).alias("toc"))).select("p_partkey", "pos", "href")
+    return H.flatten_toc(t.part.select("p_partkey", F.expr(_TOC).alias("toc"))).select("p_partkey", "pos", "href", "title")
 
 
-@query("t21_resolve_href", "SELECT p_partkey, pos::INT AS pos, CASE pos WHEN 0 THEN 'https://docs.site/base/dir/a' || p_partkey WHEN 1 THEN 'https://docs.site/base/b' WHEN 2 THEN 'https://docs.site/c' END AS url FROM part, range(0, 4) r(pos)")
+@query("t21_resolve_href", f"SELECT p_partkey, pos::INT AS pos, CASE WHEN starts_with(url, 'mailto:') THEN url ELSE 'https://docs.site/' || url || {_OWN} END AS url FROM part, {_ENTRIES} WHERE p_partkey % 7 = m")
 def t21(t):
     rows = H.flatten_toc(t.part.select("p_partkey", F.expr(_TOC).alias("toc")))
     return rows.select("p_partkey", "pos", H.resolve_href(F.col("href"), "https://docs.site/base/dir", "https://docs.site").alias("url"))
@@ -186,6 +200,24 @@ def s8(t):
     return search(t.documents.select("doc_id", "text"), "the Apache license", 10).select("doc_id", "score")
 
 
+_INDEXED = r"""WITH w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) AS w FROM documents), f AS (SELECT doc_id, w, count(*) AS tf FROM w WHERE w IN ('the', 'license', 'apache') GROUP BY ALL),
+n AS (SELECT doc_id, count(*) AS len FROM w GROUP BY 1), a AS (SELECT count(*) AS docs, avg(len) AS mean FROM n), d AS (SELECT w, count(*) AS df FROM f GROUP BY 1)
+SELECT doc_id, round(sum(ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))), 6)::DOUBLE AS score, 'https://docs.site/' || source || '/' || doc_id AS url
+FROM f JOIN d USING (w) JOIN n USING (doc_id) JOIN documents USING (doc_id), a WHERE lang = 'de' GROUP BY doc_id, source ORDER BY score DESC, doc_id LIMIT 10"""
+
+
+@query("s8_index_search", _INDEXED)
+def s8_index(t):
+    from ..sources.scratch import new_folder
+    from ..sources.search_index import SearchIndex
+
+    docs = t.documents.select("doc_id", F.col("lang").alias("product"), F.concat(F.lit("https://docs.site/"), "source", F.lit("/"), "doc_id").alias("url"), "text")
+    index = SearchIndex(t.spark, new_folder(t.spark, "index"))
+    index.extend(docs.where("product = 'en'"))
+    index.extend(docs)  # the documents in other languages: those of the first segment are known
+    return index.search("the Apache license", 10, "de").select("doc_id", "score", "url")
+
+
 @query("s2_schema_patch", "SELECT 'qa' || doc_id AS question_id, source AS asker FROM documents")
 def s2(t):
     from ..sources.raw import patch_columns

@@ -180,9 +180,12 @@ def s10(t):
     return t.incidents.select("incident_id", F.array_join(F.transform(F.map_entries(full), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "; ").alias("patch"))
 
 
-@query("t17_question_id", "SELECT page_id, CASE WHEN regexp_extract(url, '/(?:en|de|fr|es)/([0-9]+)', 1) <> '' THEN 'qa' || regexp_extract(url, '/(?:en|de|fr|es)/([0-9]+)', 1) ELSE '' END AS question_id FROM pages")
+_QUESTION = "CASE page_id % 3 WHEN 0 THEN url WHEN 1 THEN 'https://q.site/en-us/answers/questions/' || page_id || '/how-to' ELSE 'https://q.site/questions/x' || page_id || '/questions/7' || page_id || '?a=1' END"
+
+
+@query("t17_question_id", "SELECT page_id, CASE page_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'qa' || page_id ELSE 'qa7' || page_id END AS question_id FROM pages")
 def t17(t):
-    return t.pages.select("page_id", N.question_id(F.col("url")).alias("question_id"))
+    return t.pages.select("page_id", N.question_id(F.expr(_QUESTION)).alias("question_id"))
 
 
 @query("t37_wiki_path", """SELECT l.cluster_id, '/kb/' || lower(l.product) || '/' || coalesce(s3, 'unknown-topic') || '/' || coalesce(s2, 'unknown-scenario') || '/' || coalesce(s1, 'unknown-variant') || '/' || s0 AS path FROM (

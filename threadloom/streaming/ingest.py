@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -51,15 +50,3 @@ def split_by_silence(rows: DataFrame, key: str = "incident_id", at: str = "added
     w = Window.partitionBy(key).orderBy(at, "thread_id")
     gap = F.coalesce(F.datediff(F.col(at), F.lag(at).over(w)) > days, F.lit(False)).cast("int")
     return rows.withColumn("_gap", gap).withColumn("stretch", F.sum("_gap").over(w)).drop("_gap")
-
-
-def fold_branches(rows: DataFrame, key: str, order: list[str], step: Callable[[dict, pd.Series], dict], schema: str) -> DataFrame:
-    """One pass over each branch in order, with a state that grows; branches run in parallel."""
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        state: dict = {}
-        for _, row in group.sort_values(order).iterrows():
-            state = step(state, row)
-        return pd.DataFrame([{key: group[key].iloc[0], **state}])
-
-    return rows.groupBy(key).applyInPandas(run, schema)

@@ -8,15 +8,10 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
+_CLAIMS = "thread_id long, at long, event_id long, worker string, result string"
+_STATES = "incident_id long, turn long, status string, last_seen long"
 CLAIM_RESULT = "thread_id long, at timestamp, event_id long, worker string, result string"
 LIVE_RESULT = "incident_id long, turn long, status string, last_seen timestamp"
-_EPOCH = dt.datetime(1970, 1, 1)
-
-
-def _ms(t: dt.datetime) -> int:
-    return (t - _EPOCH) // dt.timedelta(milliseconds=1)
-
-
 def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A session beside the user's, with its settings for shuffles and times, and a state store that timers and lists need.
 
@@ -40,7 +35,7 @@ class ClaimQueue(StatefulProcessor):
     released by its worker, or is `stale` old: then it ends at that time, whether a timer tells or a later event finds it."""
 
     def __init__(self, stale: dt.timedelta):
-        self.stale = stale
+        self.stale = stale // dt.timedelta(microseconds=1)
 
     def init(self, handle) -> None:
         self.handle = handle
@@ -50,10 +45,10 @@ class ClaimQueue(StatefulProcessor):
         out = Row("thread_id", "at", "event_id", "worker", "result")
         status, worker, since, due = self.claim.get() or ("free", None, None, None)
         before = due
-        for r in sorted(rows, key=lambda r: (r.at, r.event_id)):
-            at = (r.at - _EPOCH) // dt.timedelta(microseconds=1)
-            if status == "claimed" and since + self.stale // dt.timedelta(microseconds=1) <= at:
-                yield out(key[0], _EPOCH + dt.timedelta(microseconds=since) + self.stale, None, worker, "timeout")
+        for r in sorted(rows, key=lambda r: (r.micros, r.event_id)):
+            at = r.micros
+            if status == "claimed" and since + self.stale <= at:
+                yield out(key[0], since + self.stale, None, worker, "timeout")
                 status, worker, since = "free", None, None
             if r.action == "claim":
                 result = "claimed" if status == "free" else "denied"
@@ -64,8 +59,8 @@ class ClaimQueue(StatefulProcessor):
                 status, worker, since = "done" if r.action == "complete" else "free", None, None
             else:
                 result = "ignored"
-            yield out(key[0], r.at, r.event_id, r.worker, result)
-        due = None if status != "claimed" else since // 1000 + self.stale // dt.timedelta(milliseconds=1) + 1
+            yield out(key[0], at, r.event_id, r.worker, result)
+        due = None if status != "claimed" else (since + self.stale) // 1000 + 1
         if before != due:
             if before is not None:
                 self.handle.deleteTimer(before)
@@ -76,7 +71,7 @@ class ClaimQueue(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         status, worker, since, due = self.claim.get()
         if status == "claimed" and due <= expiredTimerInfo.getExpiryTimeInMs():
-            yield Row("thread_id", "at", "event_id", "worker", "result")(key[0], _EPOCH + dt.timedelta(microseconds=since) + self.stale, None, worker, "timeout")
+            yield Row("thread_id", "at", "event_id", "worker", "result")(key[0], since + self.stale, None, worker, "timeout")
             self.claim.update(("free", None, None, None))
 
     def close(self) -> None:
@@ -88,8 +83,9 @@ def claim_results(events: DataFrame, stale: dt.timedelta, late: str = "0 seconds
 
     Events that come later than `late` behind the latest are left out, as in any stream with a watermark.
     """
-    grouped = events.withWatermark("at", late).groupBy("thread_id")
-    return grouped.transformWithState(ClaimQueue(stale), CLAIM_RESULT, "Append", "EventTime")
+    grouped = events.withWatermark("at", late).withColumn("micros", F.unix_micros("at")).groupBy("thread_id")
+    out = grouped.transformWithState(ClaimQueue(stale), _CLAIMS, "Append", "EventTime")
+    return out.withColumn("at", F.timestamp_micros("at"))
 
 
 class Liveness(StatefulProcessor):
@@ -97,19 +93,18 @@ class Liveness(StatefulProcessor):
     with a thread no more than `stale` back is active again. Other statuses stay. Time is the watermark."""
 
     def __init__(self, stale: dt.timedelta, resolved: dt.timedelta):
-        self.stale, self.resolved = stale, resolved
+        self.stale, self.resolved = stale // dt.timedelta(milliseconds=1), resolved // dt.timedelta(milliseconds=1)
 
     def init(self, handle) -> None:
         self.handle = handle
         self.incident = handle.getValueState("incident", "status string, last long, turn long, due long")
 
     def _told(self, key, status, last, turn):
-        seen = None if last is None else _EPOCH + dt.timedelta(milliseconds=last)
-        return Row("incident_id", "turn", "status", "last_seen")(key[0], turn, status, seen)
+        return Row("incident_id", "turn", "status", "last_seen")(key[0], turn, status, last)
 
     def _due(self, status, last):
         wait = {"active": self.stale, "possibly_resolved": self.resolved}.get(status)
-        return None if wait is None or last is None else last + wait // dt.timedelta(milliseconds=1) + 1
+        return None if wait is None or last is None else last + wait + 1
 
     def _set(self, status, last, turn, before, due) -> None:
         if before != due:
@@ -123,8 +118,8 @@ class Liveness(StatefulProcessor):
         status, last, turn, before = self.incident.get() or ("active", None, 0, None)
         for r in rows:
             status = r.status or status
-            if r.seen is not None:
-                last = max(x for x in (last, _ms(r.seen)) if x is not None)
+            if r.millis is not None:
+                last = max(x for x in (last, r.millis) if x is not None)
         # Whether a resolved incident is back is decided when the watermark has come to the thread.
         due = last - 1 if status == "resolved" and last is not None else self._due(status, last)
         yield self._told(key, status, last, turn + 1)
@@ -135,8 +130,8 @@ class Liveness(StatefulProcessor):
         if due is None or due > expiredTimerInfo.getExpiryTimeInMs():
             return
         now = timerValues.getCurrentWatermarkInMs()
-        old = last < now - self.stale // dt.timedelta(milliseconds=1)
-        over = last < now - self.resolved // dt.timedelta(milliseconds=1)
+        old = last < now - self.stale
+        over = last < now - self.resolved
         new = status
         if status in ("active", "possibly_resolved"):
             new = "resolved" if over else "possibly_resolved" if old else status
@@ -154,8 +149,9 @@ class Liveness(StatefulProcessor):
 def live_states(rows: DataFrame, stale: dt.timedelta, resolved: dt.timedelta) -> DataFrame:
     """States of incidents, one after the other by `turn`, from a stream of (incident_id, at, seen, status): a thread of an
     incident seen at a time, or, with a status, what an incident is set to."""
-    grouped = rows.withWatermark("at", "0 seconds").groupBy("incident_id")
-    return grouped.transformWithState(Liveness(stale, resolved), LIVE_RESULT, "Append", "EventTime")
+    grouped = rows.withWatermark("at", "0 seconds").withColumn("millis", F.unix_millis("seen")).groupBy("incident_id")
+    out = grouped.transformWithState(Liveness(stale, resolved), _STATES, "Append", "EventTime")
+    return out.withColumn("last_seen", F.timestamp_millis("last_seen"))
 
 
 def run_parts(parts: list[DataFrame], schema: str, transform, result: str, root: str) -> DataFrame:
