@@ -71,6 +71,56 @@ def staged_merge(seed: DataFrame, *stages: tuple[DataFrame, list[str]]) -> DataF
     return out
 
 
+def staged_assign(threads: DataFrame, topics: DataFrame, scenarios: DataFrame, leaves: DataFrame, full: DataFrame, most_topics: int = 4, most_scenarios: int = 6) -> DataFrame:
+    """(batch, thread_id, topic_key, scenario_key, variant_key, leaf_key, source): batches of threads (batch, thread_id) answered in
+    stages, or at once.
+
+    topics (batch, thread_id, topic_key) answer a whole batch, scenarios (…, asked, scenario_key) the threads of a batch with
+    the topic `asked`, leaves (…, asked, variant_key, leaf_key) those with a scenario; full (…, all four keys) answers a batch in
+    one call. An answer stands if it names exactly the threads it was asked for, the last of a thread's (`pos`) counting. A batch
+    whose topics don't stand takes those of its full answer; where its threads fall into more than `most_topics` topics (no topic
+    is one), or then into more than `most_scenarios` scenarios, the full answer stands for all stages. A group whose scenario
+    or leaf stage doesn't stand keeps what it had. Where a full answer is needed and doesn't stand either, `source` says which
+    failed and keys are null.
+    """
+    from ..sources.scratch import written
+
+    keys = ["topic_key", "scenario_key", "variant_key", "leaf_key"]
+
+    def standing(asked: DataFrame, answers: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
+        """The last answers, for groups that are answered exactly."""
+        last = answers.groupBy(*group, "thread_id").agg(F.max_by(F.struct(*columns), "pos").alias("_x"))
+        both = asked.select(*group, "thread_id").distinct().withColumn("_asked", F.lit(True)).join(last, [*group, "thread_id"], "full_outer")
+        odd = F.count_if(F.col("_asked").isNull() | F.col("_x").isNull())
+        good = both.groupBy(*group).agg(odd.alias("_odd")).where("_odd = 0").select(*group)
+        return last.join(good, group).select(*group, "thread_id", *(F.col(f"_x.{c}").alias(f"_{c}") for c in columns))
+
+    text = lambda c: F.coalesce(F.trim(c), F.lit(""))
+    whole = standing(threads, full, ["batch"], keys).select("batch", "thread_id", *(text(f"_{k}").alias(f"full_{k}") for k in keys))
+    first = standing(threads, topics, ["batch"], ["topic_key"]).withColumn("_staged", F.lit(True))
+    out = threads.select("batch", "thread_id").distinct().join(whole.withColumn("_full", F.lit(True)), ["batch", "thread_id"], "left").join(first, ["batch", "thread_id"], "left")
+    lost = F.col("_staged").isNull() & F.col("_full").isNull()
+    out = out.withColumn("topic_key", text(F.when(F.col("_staged"), F.col("_topic_key")).otherwise(F.col("full_topic_key")))).withColumn("source", F.when(lost, F.lit("fallback_full_validation_failed")))
+
+    def over(rows: DataFrame, key: str, most: int, none_counts: bool) -> DataFrame:
+        groups = rows.where(F.col("source").isNull() & (F.lit(none_counts) | (F.col(key) != ""))).groupBy("batch").agg(F.countDistinct(key).alias("_groups"))
+        rows = rows.join(groups.where(F.col("_groups") > most), "batch", "left")
+        at_once = F.when(F.col("_full"), F.lit("full")).otherwise(F.lit("full_validation_failed"))
+        return rows.withColumn("source", F.when(F.col("_groups").isNotNull() & F.col("source").isNull(), at_once).otherwise(F.col("source"))).drop("_groups")
+
+    out = written(over(out, "topic_key", most_topics, True), "topics")  # so that later stages' plans stay small
+    asked = out.where(F.col("source").isNull() & (F.col("topic_key") != "")).select("batch", F.col("topic_key").alias("asked"), "thread_id")
+    second = standing(asked, scenarios, ["batch", "asked"], ["scenario_key"]).join(asked, ["batch", "asked", "thread_id"], "left_semi")
+    out = out.join(second.drop("asked"), ["batch", "thread_id"], "left").withColumn("scenario_key", text("_scenario_key"))
+    out = written(over(out, "scenario_key", most_scenarios, False), "scenarios")
+    asked = out.where(F.col("source").isNull() & (F.col("scenario_key") != "")).select("batch", F.col("scenario_key").alias("asked"), "thread_id")
+    third = standing(asked, leaves, ["batch", "asked"], ["variant_key", "leaf_key"])
+    out = out.join(third.drop("asked"), ["batch", "thread_id"], "left").withColumns({k: text(f"_{k}") for k in ("variant_key", "leaf_key")})
+    staged = F.col("source").isNull()
+    chosen = [F.when(staged, F.col(k)).when(F.col("source") == "full", F.col(f"full_{k}")).alias(k) for k in keys]
+    return out.select("batch", "thread_id", *chosen, F.coalesce("source", F.lit("stages")).alias("source"))
+
+
 def refine(have: DataFrame, drops: DataFrame, keeps: DataFrame, adds: DataFrame, key: str, share: float = 0.85, order: str | None = None) -> DataFrame:
     """Takes out drops; keeps only the keep-list if it holds at least int(share * prior) ids; then adds.
 
@@ -84,6 +134,29 @@ def refine(have: DataFrame, drops: DataFrame, keeps: DataFrame, adds: DataFrame,
     return chosen.join(adds.select(key), key, "left_anti").unionByName(first_of(adds, [key], [F.desc(c) for c in ([order] if order else [c for c in have.columns if c != key])]).select(*have.columns))
 
 
+def refine_until_stable(have: DataFrame, propose, key: str, share: float = 0.85, order: str | None = None, rounds: int = 10) -> tuple[DataFrame, int]:
+    """Rounds of `refine` until one leaves the set of ids as the round before did, `rounds` of them at most; and their number.
+
+    `propose(k, rows)` gives drops, keeps and adds for the rows of round k, from 1. A round's rows are written once, which
+    cuts their lineage; sets are compared by their size and a 128-bit sum of hashes of their ids, the only thing the driver gets.
+    """
+    from ..sources.scratch import written
+
+    def mark(rows):
+        wide = lambda c: F.sum(c.cast("decimal(38,0)"))
+        return tuple(rows.select(key).distinct().agg(F.count("*"), wide(F.xxhash64(key)), wide(F.xxhash64(F.lit(1), key))).first())
+
+    now, before, k = have, None, 0
+    while k < rounds:
+        k += 1
+        now = written(refine(now, *propose(k, now), key, share, order), f"refine-{k}")
+        this = mark(now)
+        if this == before:
+            break
+        before = this
+    return now, k
+
+
 def overlay(base: DataFrame, newer: DataFrame, key: str = "thread_id") -> DataFrame:
     """Rows of `newer` stand for those of `base`, field by field where they have a value."""
     rest = [c for c in base.columns if c != key]

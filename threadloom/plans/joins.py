@@ -48,6 +48,17 @@ def j8(t):
     return R.with_ancestors(t.catalog.where("cluster_level = 4"), t.catalog).select("cluster_id", "up1_key", "up2_key", "up3_key")
 
 
+_UP = "CASE WHEN p_partkey % 12 <> 0 THEN p_partkey - 1 WHEN p_partkey % 5 = 0 THEN p_partkey + 3 WHEN p_partkey % 7 = 0 THEN -1 END"
+
+
+@query("j8_deep_lines", f"""WITH RECURSIVE n AS (SELECT p_partkey AS id, {_UP} AS up FROM part), w AS (SELECT n.id, [n.up] AS line, n.up AS cur FROM n JOIN n x ON x.id = n.up WHERE n.up <> n.id
+UNION ALL SELECT w.id, list_append(w.line, n.up), n.up FROM w JOIN n ON n.id = w.cur JOIN n x ON x.id = n.up WHERE len(w.line) < 10 AND n.up <> w.id AND NOT list_contains(w.line, n.up))
+SELECT n.id, coalesce(array_to_string(arg_max(line, len(line)), '>'), '') AS line FROM n LEFT JOIN w USING (id) GROUP BY n.id""")
+def j8_deep(t):
+    nodes = t.part.select(F.col("p_partkey").alias("id"), F.expr(_UP).alias("up"))
+    return R.ancestor_lines(nodes, "id", "up").select("id", F.array_join(F.col("ancestors").cast("array<string>"), ">").alias("line"))
+
+
 @query("j9_lateral_top1", "SELECT t.product, t.topic_key, coalesce(max(CASE WHEN created_by = 'phase1b' THEN cluster_id END), max(CASE WHEN created_by IS NULL THEN cluster_id END)) AS parent_id FROM (SELECT DISTINCT product, topic_key FROM threads) t LEFT JOIN catalog c ON c.product = t.product AND c.cluster_key = t.topic_key AND c.cluster_level = 1 AND c.is_active GROUP BY ALL")
 def j9(t):
     lane = lambda cond: F.max(F.when(cond, F.col("cluster_id")))

@@ -150,20 +150,28 @@ def v5(t):
         L.bounded_column("emergent_assign", "stale_minutes", F.col("p_partkey").cast("int")).alias("stale_minutes"), L.bounded_column("variants", "min_usefulness", F.col("p_retailprice") / 1000 - 1).alias("min_usefulness"))
 
 
-@query("n25_alias_slugs", """WITH a AS (SELECT * FROM (VALUES ('Gateway', 'gateway'), ('Gateway', 'api-gateway'), ('Gateway', 'the-gateway'), ('Queue', 'queue'), ('Queue', 'queues'), ('Queue', 'message-queue')) v(product, slug)),
-k AS (SELECT p_partkey, p_size, CASE p_partkey % 5 WHEN 0 THEN 'queues-' || p_size WHEN 1 THEN 'api-gateway' WHEN 2 THEN 'The-Gateway-down' WHEN 3 THEN 'queue-' ELSE 'other-queue' END AS key FROM part)
-SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN p_size::VARCHAR WHEN 2 THEN 'down' ELSE key END AS key, EXISTS (SELECT 1 FROM a WHERE k.key = a.slug OR starts_with(k.key, a.slug || '-')) AS is_alias FROM k""")
+_ALIASED = "SELECT DISTINCT p_brand AS name, 'The ' || p_brand || '!' AS alias FROM part WHERE p_size % 2 = 0 UNION SELECT DISTINCT p_brand, lower(p_type) FROM part WHERE p_size = 7"
+_LISTED = "SELECT DISTINCT p_brand AS name, 'b' || substr(p_brand, 7) AS slug FROM part WHERE p_size % 5 = 0 AND p_brand LIKE '%2'"
+_KEYS = "CASE p_partkey % 5 WHEN 0 THEN 'the-brand-' || substr(p_brand, 7) || '-' || p_size WHEN 1 THEN 'brand-' || substr(p_brand, 7) WHEN 2 THEN 'B' || substr(p_brand, 7) || '-down' WHEN 3 THEN 'brand-' || substr(p_brand, 7) || '-' ELSE 'other-' || p_size END"
+_SLUG = "trim(regexp_replace(lower({}), '[^a-z0-9]+', '-', 'g'), '-')"
+
+
+@query("n25_alias_slugs", f"""WITH own AS (SELECT DISTINCT p_brand AS name, {_SLUG.format('p_brand')} AS slug FROM part UNION SELECT name, {_SLUG.format('alias')} FROM ({_ALIASED})), l AS ({_LISTED}),
+s AS (SELECT * FROM l UNION SELECT name, slug FROM own WHERE name NOT IN (SELECT name FROM l)), k AS (SELECT p_partkey, p_brand, {_KEYS} AS key FROM part),
+f AS (SELECT p_partkey, key, max(CASE WHEN starts_with(lower(key), slug || '-') AND length(key) > length(slug) + 1 THEN length(slug) END) AS n, bool_or(key = slug OR starts_with(key, slug || '-')) AS is_alias FROM k JOIN s ON s.name = p_brand GROUP BY ALL)
+SELECT p_partkey, CASE WHEN n IS NULL THEN key ELSE substr(key, n + 2) END AS key, is_alias FROM f""")
 def n25b(t):
-    key = F.expr("CASE p_partkey % 5 WHEN 0 THEN 'queues-' || p_size WHEN 1 THEN 'api-gateway' WHEN 2 THEN 'The-Gateway-down' WHEN 3 THEN 'queue-' ELSE 'other-queue' END")
-    slugs = [s for p in ("Gateway", "Queue") for s in B.alias_slugs(p)]
-    return t.part.select("p_partkey", B.strip_alias(key, slugs).alias("key"), B.is_alias(key, slugs).alias("is_alias"))
+    slugs = B.slug_table(t.part.select(F.col("p_brand").alias("name")).distinct(), t.sql(_ALIASED), t.sql(_LISTED))
+    rows = t.part.select("p_partkey", F.col("p_brand").alias("name"), F.expr(_KEYS).alias("key")).join(slugs, "name")
+    told = rows.withColumn("is_alias", B.is_slug(F.col("key"), F.col("slugs")))  # alone: in one select, lambdas would see the new key
+    return told.select("p_partkey", B.strip_slug(F.col("key"), F.col("slugs")).alias("key"), "is_alias")
 
 
-@query("n25_seed_products", "SELECT name, thread_count FROM products UNION ALL SELECT name, 0::BIGINT FROM (VALUES ('Gateway'), ('Pipelines'), ('Web Apps'), ('Functions'), ('Static Sites'), ('App Hosting'), ('Cache'), ('Storage'), ('Workflows'), ('Search'), ('Queue'), ('Event Grid'), ('Event Hub'), ('Templates'), ('Policy'), ('Network'), ('Monitor'), ('Models'), ('Identity'), ('Operations'), ('Web Server')) v(name)")
+@query("n25_seed_products", "SELECT name, thread_count FROM products UNION ALL SELECT DISTINCT p_name, 0::BIGINT FROM part WHERE p_name NOT IN (SELECT name FROM products)")
 def n25(t):
     from ..operators.mutations import insert_absent
 
-    seeds = t.spark.createDataFrame([(name, 0) for name in [*B.SEED_PRODUCTS, "Brand#2"]], "name string, thread_count long")
+    seeds = t.part.select(F.col("p_name").alias("name")).union(t.part.select("p_brand")).withColumn("thread_count", F.lit(0).cast("long"))
     return insert_absent(t.products.select("name", "thread_count"), seeds, "name")
 
 

@@ -22,6 +22,22 @@ def m1(t):
     return M.upsert(base, t.sql(f"SELECT * FROM {_CHANGES}"), "question_id", {"processed_on": F.when(M.matched(), F.lit(NOW)).otherwise(F.col("b.processed_on"))})
 
 
+@query("m1_parted_upsert", """WITH c AS (SELECT thread_id, product, 'new' AS signature_text FROM threads WHERE product = 'BUILDING' AND usefulness > 0.3 UNION ALL SELECT thread_id, 'Fresh', 'moved' FROM threads WHERE product IS NULL)
+SELECT product, signature_text, count(*) AS n FROM (SELECT t.thread_id, t.product, CASE WHEN c.thread_id IS NOT NULL THEN c.signature_text ELSE t.signature_text END AS signature_text FROM threads t LEFT JOIN c ON c.thread_id = t.thread_id AND c.product = t.product UNION ALL SELECT * FROM c WHERE product = 'Fresh') GROUP BY ALL""")
+def m1_parted(t):
+    # Two parts of six are written again: the one that changes touch, and the new one.
+    from ..sources.scratch import new_folder
+    from ..sources.tables import PartedTable
+
+    threads = t.threads.select("thread_id", "product", "signature_text")
+    table = PartedTable(t.spark, new_folder(t.spark, "threads"), threads.schema, "product")
+    table.replace(threads)
+    changed = t.threads.where("product = 'BUILDING' and usefulness > 0.3").select("thread_id", "product", F.lit("new").alias("signature_text"))
+    moved = t.threads.where("product is null").select("thread_id", F.lit("Fresh").alias("product"), F.lit("moved").alias("signature_text"))
+    table.upsert(changed.union(moved), "thread_id")
+    return table.read().groupBy("product", "signature_text").agg(F.count("*").alias("n"))
+
+
 @query("m2_upsert_enrichment", "SELECT coalesce(b.nugget_id, c.nugget_id) AS nugget_id, coalesce(b.source, 'fresh') AS source, CASE WHEN c.nugget_id IS NOT NULL THEN c.title ELSE b.title END AS title FROM (SELECT nugget_id, action AS source, title FROM nuggets WHERE action = 'keep') b FULL JOIN (SELECT nugget_id, 'T ' || title AS title FROM nuggets WHERE cluster_ref = 'x') c ON b.nugget_id = c.nugget_id")
 def m2(t):
     base = t.nuggets.where("action = 'keep'").select("nugget_id", F.col("action").alias("source"), "title")
@@ -36,17 +52,20 @@ def m3(t):
     return M.count_up(base, rows, "name", "thread_count", "seen", NOW)
 
 
-@query("m4_alias_seed", "SELECT alias, product FROM (VALUES ('ring', 'Rings'), ('cog', 'Cogs')) v(alias, product) UNION ALL SELECT alias, product FROM (VALUES ('ring', 'Ring seed'), ('bolt', 'Bolts')) s(alias, product) WHERE alias NOT IN ('ring', 'cog')")
+_HAVE = "SELECT lower(p_name || ' ' || p_type) AS alias, min(p_brand) AS product FROM part WHERE p_size % 3 <> 0 GROUP BY 1"
+_SEED = "SELECT lower(p_name || ' ' || p_type) AS alias, 'seed ' || max(p_brand) AS product FROM part WHERE p_partkey % 2 = 0 GROUP BY 1"
+_NEWER = "SELECT '  ' || lower(p_name || ' ' || p_type) AS alias, max(p_brand) || ' ' AS product FROM part WHERE p_size % 4 = 0 GROUP BY 1"
+
+
+@query("m4_alias_seed", f"WITH h AS ({_HAVE}) SELECT alias, product FROM h UNION ALL SELECT alias, product FROM ({_SEED}) WHERE alias NOT IN (SELECT alias FROM h)")
 def m4(t):
-    have = t.spark.createDataFrame([("ring", "Rings"), ("cog", "Cogs")], "alias string, product string")
-    return M.insert_absent(have, t.spark.createDataFrame([("ring", "Ring seed"), ("bolt", "Bolts")], "alias string, product string"), "alias")
+    return M.insert_absent(t.sql(_HAVE), t.sql(_SEED), "alias")
 
 
-@query("m4_alias_upsert", "SELECT alias, product FROM (VALUES ('ring', 'Rings 2'), ('cog', 'Cogs'), ('nut', 'Nuts')) v(alias, product)")
+@query("m4_alias_upsert", f"SELECT coalesce(n.alias, h.alias) AS alias, coalesce(n.product, h.product) AS product FROM ({_HAVE}) h FULL JOIN (SELECT trim(alias) AS alias, trim(product) AS product FROM ({_NEWER})) n ON n.alias = h.alias")
 def m4b(t):
-    have = t.spark.createDataFrame([("ring", "Rings"), ("cog", "Cogs")], "alias string, product string")
-    new = t.spark.createDataFrame([(" ring", "Rings 2 "), ("nut", "Nuts")], "alias string, product string").select(F.trim("alias").alias("alias"), F.trim("product").alias("product"))
-    return M.upsert(have, new, "alias")
+    new = t.sql(_NEWER).select(F.trim("alias").alias("alias"), F.trim("product").alias("product"))
+    return M.upsert(t.sql(_HAVE), new, "alias")
 
 
 _CHAIN = [("BUILDING", "MACHINERY"), ("MACHINERY", "Tools"), ("Tools", "Tools 2"), ("HOUSEHOLD", "BUILDING")]

@@ -49,6 +49,36 @@ def v6(t):
     return V.staged_merge(seed, (a, ["topic_key"]), (b, ["title"]))
 
 
+# Batches are orders and threads their lines. Topic and scenario answers fall into few or many groups; some lack a thread
+# (a stage that fails), some full answers too, and some name a thread twice.
+_B = "l_orderkey AS batch, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || cast(cast(l_shipdate AS DATE) AS STRING) AS thread_id, l_linenumber AS line, l_partkey AS p, l_suppkey AS s, l_orderkey AS o"
+_ANSWERS = {
+    "asks": f"SELECT {_B} FROM lineitem",
+    "topics": "SELECT batch, thread_id, line, p, s, o, CASE WHEN p % 13 = 0 THEN '' ELSE 't' || (p % (2 + o % 7)) END AS topic_key, 1 AS pos FROM asks WHERE NOT (o % 5 = 0 AND line = 2)",
+    "fulls": "SELECT batch, thread_id, 'ft' || (p % 3) AS topic_key, 'fs' || (s % 3) AS scenario_key, ' fv ' AS variant_key, 'fl' || line AS leaf_key, 1 AS pos FROM asks WHERE NOT (o % 9 = 0 AND line = 1) UNION ALL SELECT batch, thread_id, 'late', 'late', 'late', 'late', 2 FROM asks WHERE o % 11 = 0 AND line = 3",
+    "scenarios": "SELECT batch, thread_id, topic_key AS asked, CASE WHEN p % 17 = 0 THEN NULL ELSE 's' || (s % 4) || topic_key END AS scenario_key, pos, o, s FROM topics WHERE topic_key <> '' AND NOT (o % 4 = 1 AND topic_key = 't1' AND line = 1)",
+    "leaves": "SELECT batch, thread_id, scenario_key AS asked, 'v' || (s % 2) AS variant_key, 'l' || scenario_key AS leaf_key, pos FROM scenarios WHERE scenario_key IS NOT NULL AND NOT (o % 3 = 1 AND s % 5 = 0)",
+}
+_WITH = "WITH " + ", ".join(f"{n} AS ({sql})" for n, sql in _ANSWERS.items())
+
+
+@query("v6_group_limits", _WITH + """, fl AS (SELECT batch, thread_id, arg_max(row(topic_key, scenario_key, trim(variant_key), leaf_key), pos) AS f FROM fulls GROUP BY ALL),
+fo AS (SELECT batch, count(*) AS n FROM fl GROUP BY 1), ac AS (SELECT batch, count(*) AS n FROM asks GROUP BY 1), tc AS (SELECT batch, count(*) AS n FROM topics GROUP BY 1),
+a AS (SELECT asks.batch, asks.thread_id, fo.n IS NOT DISTINCT FROM ac.n AS full_ok, tc.n IS NOT DISTINCT FROM ac.n AS topic_ok, CASE WHEN fo.n = ac.n THEN fl.f END AS f, CASE WHEN tc.n = ac.n THEN topics.topic_key WHEN fo.n = ac.n THEN fl.f[1] END AS topic_key
+FROM asks JOIN ac USING (batch) LEFT JOIN fo USING (batch) LEFT JOIN tc USING (batch) LEFT JOIN fl USING (batch, thread_id) LEFT JOIN topics USING (batch, thread_id)),
+b AS (SELECT *, CASE WHEN NOT topic_ok AND NOT full_ok THEN 'fallback_full_validation_failed' WHEN g > 4 THEN CASE WHEN full_ok THEN 'full' ELSE 'full_validation_failed' END END AS source FROM (SELECT *, (SELECT count(DISTINCT x.topic_key) FROM a x WHERE x.batch = a.batch) AS g FROM a)),
+sg AS (SELECT b.batch, b.topic_key, count(*) AS n, count(sc.thread_id) AS m, (SELECT count(*) FROM scenarios y WHERE y.batch = b.batch AND y.asked = b.topic_key) AS k FROM b LEFT JOIN scenarios sc ON sc.batch = b.batch AND sc.thread_id = b.thread_id AND sc.asked = b.topic_key WHERE b.source IS NULL AND b.topic_key <> '' GROUP BY b.batch, b.topic_key),
+c AS (SELECT b.*, CASE WHEN sg.n = sg.m AND sg.m = sg.k THEN coalesce(sc.scenario_key, '') ELSE '' END AS scenario_key FROM b LEFT JOIN sg ON sg.batch = b.batch AND sg.topic_key = b.topic_key LEFT JOIN scenarios sc ON sc.batch = b.batch AND sc.thread_id = b.thread_id AND sc.asked = b.topic_key),
+d AS (SELECT * EXCLUDE (source), coalesce(source, CASE WHEN h > 6 THEN CASE WHEN full_ok THEN 'full' ELSE 'full_validation_failed' END END) AS source FROM (SELECT *, (SELECT count(DISTINCT x.scenario_key) FROM c x WHERE x.batch = c.batch AND x.scenario_key <> '' AND x.source IS NULL) AS h FROM c)),
+lg AS (SELECT d.batch, d.scenario_key, count(*) AS n, count(l.thread_id) AS m, (SELECT count(*) FROM leaves y WHERE y.batch = d.batch AND y.asked = d.scenario_key) AS k FROM d LEFT JOIN leaves l ON l.batch = d.batch AND l.thread_id = d.thread_id AND l.asked = d.scenario_key WHERE d.source IS NULL AND d.scenario_key <> '' GROUP BY d.batch, d.scenario_key),
+e AS (SELECT d.*, CASE WHEN lg.n = lg.m AND lg.m = lg.k THEN l.variant_key ELSE '' END AS variant_key, CASE WHEN lg.n = lg.m AND lg.m = lg.k THEN l.leaf_key ELSE '' END AS leaf_key FROM d LEFT JOIN lg ON lg.batch = d.batch AND lg.scenario_key = d.scenario_key LEFT JOIN leaves l ON l.batch = d.batch AND l.thread_id = d.thread_id AND l.asked = d.scenario_key)
+SELECT batch, thread_id, CASE WHEN source IS NULL THEN topic_key WHEN source = 'full' THEN f[1] END AS topic_key, CASE WHEN source IS NULL THEN scenario_key WHEN source = 'full' THEN f[2] END AS scenario_key,
+CASE WHEN source IS NULL THEN variant_key WHEN source = 'full' THEN f[3] END AS variant_key, CASE WHEN source IS NULL THEN leaf_key WHEN source = 'full' THEN f[4] END AS leaf_key, coalesce(source, 'stages') AS source FROM e""")
+def v6_limits(t):
+    read = lambda name: t.sql(f"{_WITH} SELECT * FROM {name}")
+    return V.staged_assign(read("asks"), read("topics"), read("scenarios"), read("leaves"), read("fulls"))
+
+
 @query("v7_refine_merge", "WITH h AS (SELECT nugget_id, title FROM nuggets WHERE action = 'keep' AND cluster_ref <> 'x') SELECT nugget_id, title FROM h WHERE nugget_id NOT IN (SELECT nugget_id FROM nuggets WHERE action = 'discard' AND score > 0.2) UNION ALL SELECT nugget_id, 'added' FROM nuggets WHERE action = 'discard' AND score > 0.2")
 def v7(t):
     have = t.nuggets.where("action = 'keep' and cluster_ref <> 'x'").select("nugget_id", "title")
@@ -56,6 +86,27 @@ def v7(t):
     return V.refine(have, have.limit(0), have.select("nugget_id"), adds, "nugget_id")
 
 
+_K = "cast(substr(nugget_id, 2) AS BIGINT)"
+
+
+@query("v7_fixpoint", f"""WITH h AS (SELECT nugget_id, title, {_K} AS k FROM nuggets), a AS (SELECT * FROM h WHERE k % 10 <> 1), b0 AS (SELECT * FROM a WHERE k % 10 <> 2),
+b1 AS (SELECT * FROM b0 WHERE k % 10 <> 5 OR (SELECT count(*) FROM b0 WHERE k % 10 <> 5) < floor((SELECT count(*) FROM b0) * 0.85)), b AS (SELECT nugget_id, title, k FROM b1 UNION ALL SELECT nugget_id, 'again', k FROM h WHERE k % 10 = 1),
+c AS (SELECT * FROM b WHERE k % 10 <> 3) SELECT nugget_id, title, 4::BIGINT AS rounds FROM c""")
+def v7_fixpoint(t):
+    every = t.nuggets.select("nugget_id", "title", F.expr(_K).alias("k"))
+
+    def propose(k, rows):
+        """Each round drops a tenth; the first keep-list is too short to be taken, the second isn't; the fourth changes nothing."""
+        ids = rows.select("nugget_id", "k")
+        drops = ids.where(F.col("k") % 10 == k) if k < 4 else ids.limit(0)
+        keeps = ids.where({1: "k % 2 = 0", 2: "k % 10 <> 5"}.get(k, "true"))
+        adds = every.where(F.col("k") % 10 == 1).withColumn("title", F.lit("again")) if k == 2 else rows.limit(0)
+        return drops.select("nugget_id"), keeps.select("nugget_id"), adds
+
+    out, rounds = V.refine_until_stable(every, propose, "nugget_id")
+    return out.select("nugget_id", "title", F.lit(rounds).cast("long").alias("rounds"))
+
+
 @query("v8_overlay", "SELECT thread_id, coalesce(CASE WHEN leaf_id IS NULL THEN 4000000000 END, leaf_id) AS leaf_id, topic_id FROM threads")
 def v8(t):
     base = t.threads.select("thread_id", "leaf_id", "topic_id")
