@@ -200,6 +200,47 @@ def s8(t):
     return search(t.documents.select("doc_id", "text"), "the Apache license", 10).select("doc_id", "score")
 
 
+_SIG = "CASE WHEN usefulness > 0.9 THEN repeat(coalesce(signature_text, '?'), 90) ELSE signature_text END"
+_RES = "CASE WHEN usefulness > 0.8 THEN repeat(leaf_key || ' ', 80) END"
+
+
+@query("t36_batch_payloads", f"""SELECT product, page, to_json(struct_pack(product := product, threads := list(struct_pack(thread_id := thread_id, signature_text := left(coalesce(s, ''), 600), resolution_text := left(coalesce(r, ''), 400), topic_hint := coalesce(topic_key, '')) ORDER BY rn)))::VARCHAR AS payload
+FROM (SELECT *, {_SIG} AS s, {_RES} AS r, row_number() OVER (PARTITION BY product ORDER BY created_on DESC, thread_id) AS rn, (row_number() OVER (PARTITION BY product ORDER BY created_on DESC, thread_id) - 1) // 25 AS page FROM threads WHERE is_emergent AND product IS NOT NULL) GROUP BY product, page""")
+def t36_batches(t):
+    from ..operators.prompts import batch_payloads
+
+    rows = t.threads.where("is_emergent and product is not null").select("thread_id", "product", "created_on", "topic_key", F.expr(_SIG).alias("signature_text"), F.expr(_RES).alias("resolution_text"))
+    return batch_payloads(rows, "emergent_assign", [F.desc("created_on"), "thread_id"], 25, {"topic_hint": F.coalesce("topic_key", F.lit(""))})
+
+
+@query("t35_leaf_blocks", """SELECT cluster_id, 'LEAF ' || rn || ': ' || cluster_key || CASE WHEN wiki_path IS NULL THEN ' [not on the wiki]' ELSE ' [on the wiki]' END || chr(10) || '  Signature: ' || left(coalesce(signature_text, ''), 200) || chr(10) || '  Fix: ' || left(coalesce(resolution_text, ''), 200) || chr(10) || '  Members: ' || member_count || chr(10)
+|| '  Playbook: ' || title || chr(10) || '  Symptoms: ' || left(repeat(problem || ' ', 20), 120) || '; ' || problem || chr(10) || '  Solution: ' || regexp_extract(steps, '"([^"]*)"', 1) || '; ; ' || regexp_extract(steps, ',"","([^"]*)"', 1) || chr(10) AS block
+FROM (SELECT c.*, s.title, s.problem, s.steps, row_number() OVER (PARTITION BY parent_id ORDER BY member_count DESC, c.cluster_id) AS rn FROM catalog c JOIN solutions s USING (cluster_id) WHERE c.is_active)""")
+def t35_leaves(t):
+    from ..operators.prompts import leaf_block
+
+    rows = t.catalog.where("is_active").join(t.solutions, "cluster_id")
+    ranked = R.top_n(rows, ["parent_id"], [F.desc("member_count"), F.col("cluster_id")], 1_000_000)
+    symptoms = F.array(F.repeat(F.concat("problem", F.lit(" ")), F.lit(20)), "problem")
+    return ranked.select("cluster_id", leaf_block(F.col("rn"), symptoms, F.array().cast("array<string>"), F.from_json("steps", "array<string>")).alias("block"))
+
+
+@query("t38_diagnostic_bundle", """WITH l AS (SELECT cluster_id, problem AS p, [regexp_extract(steps, '"([^"]*)"', 1), '', regexp_extract(steps, ',"","([^"]*)"', 1)] AS a FROM solutions),
+h AS (SELECT leaf_id, thread_id, row_number() OVER (PARTITION BY leaf_id ORDER BY usefulness DESC NULLS LAST, created_on DESC, thread_id) AS rn FROM threads WHERE leaf_id IS NOT NULL),
+s AS (SELECT leaf_id AS cluster_id, list(struct_pack(thread_id := thread_id, source_url := 'https://q.site/' || thread_id) ORDER BY rn) AS src FROM h WHERE rn <= 4 GROUP BY 1)
+SELECT cluster_id, 'Symptoms:' || chr(10) || '- ' || p || chr(10) || chr(10) || 'Checks:' || chr(10) || '- ' || array_to_string(a, chr(10) || '- ') || chr(10) AS problem,
+to_json(struct_pack(symptoms := [p], anti_symptoms := []::VARCHAR[], checks := a, solution := a, verification := []::VARCHAR[], flows := []::VARCHAR[], notes := []::VARCHAR[], source_threads := src, docs := []::VARCHAR[]))::VARCHAR AS bundle FROM l JOIN s USING (cluster_id)""")
+def t38_bundle(t):
+    from ..operators.prompts import diagnostic_bundle, problem_text
+
+    top = K.top_threads(t.threads, "leaf_id", 4)
+    entry = F.struct("rn", F.struct("thread_id", F.concat(F.lit("https://q.site/"), "thread_id").alias("source_url")).alias("t"))
+    threads = top.groupBy(F.col("leaf_id").alias("cluster_id")).agg(F.sort_array(F.collect_list(entry)).alias("x"))
+    rows = t.solutions.select("cluster_id", F.array("problem").alias("symptoms"), F.from_json("steps", "array<string>").alias("steps")).join(threads, "cluster_id")
+    lists = {"symptoms": F.col("symptoms"), "checks": F.col("steps"), "solution": F.col("steps")}
+    return rows.select("cluster_id", problem_text(F.col("symptoms"), F.col("steps")).alias("problem"), diagnostic_bundle(lists, F.transform("x", lambda v: v["t"]), F.array().cast("array<string>")).alias("bundle"))
+
+
 _INDEXED = r"""WITH w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '[^a-z0-9]+'), lambda x: x <> '')) AS w FROM documents), f AS (SELECT doc_id, w, count(*) AS tf FROM w WHERE w IN ('the', 'license', 'apache') GROUP BY ALL),
 n AS (SELECT doc_id, count(*) AS len FROM w GROUP BY 1), a AS (SELECT count(*) AS docs, avg(len) AS mean FROM n), d AS (SELECT w, count(*) AS df FROM f GROUP BY 1)
 SELECT doc_id, round(sum(ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))), 6)::DOUBLE AS score, 'https://docs.site/' || source || '/' || doc_id AS url
@@ -247,6 +288,20 @@ def s5(t):
     return csv_round_trip(t.solutions, ["cluster_id", "title", "problem"], "cluster_id long, title string, problem string")
 
 
+@query("s5_document_sheet", """SELECT page_id AS "Order", 'p' || (page_id % 3) AS "Product", url AS "URL", 'a "b", ' || page_id AS "Title", url || chr(10) || 'é' AS "Body", true AS marked FROM pages""")
+def s5_sheet(t):
+    from ..sources.raw import DOCUMENT_SHEET, write_document_sheet
+    from ..sources.scratch import new_folder
+
+    rows = t.pages.select(F.col("page_id").alias("Order"), F.concat(F.lit("p"), F.col("page_id") % 3).alias("Product"), F.col("url").alias("URL"), F.concat(F.lit('a "b", '), "page_id").alias("Title"), F.concat("url", F.lit("\né")).alias("Body"))
+    path = new_folder(t.spark, "sheet")
+    write_document_sheet(rows, path)
+    schema = ", ".join(f"{c} {'long' if c == 'Order' else 'string'}" for c in DOCUMENT_SHEET)
+    back = t.spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).option("enforceSchema", True).csv(path)
+    marks = t.spark.read.format("binaryFile").load(path).agg(F.bool_and(F.substring("content", 1, 3) == F.lit(b"\xef\xbb\xbf")).alias("marked"))
+    return back.crossJoin(F.broadcast(marks))  # one row
+
+
 @query("s9_wiki_upsert", "SELECT '/kb' AS path, true AS stub UNION ALL SELECT DISTINCT wiki_path, false FROM catalog WHERE wiki_path IS NOT NULL")
 def s9(t):
     from ..sources.wiki import upsert_plan

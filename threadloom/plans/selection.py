@@ -199,3 +199,16 @@ def n24(t):
     every = b.select("product", "page").distinct().join(firsts, ["product", "page"], "left")
     before = Window.partitionBy("product").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
     return every.select("product", "page", F.coalesce(F.sum("new").over(before), F.lit(0)).alias("known"))
+
+
+_TOPIC = "lower(p_type) || (p_size % 4)"
+
+
+@query("n24_carried_slices", f"""WITH b AS (SELECT p_brand AS product, p_partkey AS id, {_TOPIC} AS topic_key, (row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1) // 10 AS page FROM part), f AS (SELECT product, topic_key, min(page) AS first FROM b GROUP BY ALL), p AS (SELECT DISTINCT product, page FROM b),
+k AS (SELECT p.product, p.page, f.topic_key, f.first, row_number() OVER (PARTITION BY p.product, p.page ORDER BY first DESC, topic_key DESC) AS back FROM p JOIN f ON f.product = p.product AND f.first < p.page)
+SELECT product, page, (row_number() OVER (PARTITION BY product, page ORDER BY first, topic_key))::INT AS place, topic_key FROM k WHERE back <= 6""")
+def n24_slices(t):
+    from ..operators.prompts import carried_over
+
+    rows = t.part.select(F.col("p_brand").alias("product"), F.col("p_partkey").alias("id"), F.expr(_TOPIC).alias("topic_key"))
+    return carried_over(K.pages_of(rows, ["id"], 10, ["product"]), 6)

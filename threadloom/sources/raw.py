@@ -9,7 +9,7 @@ from xml.sax.saxutils import escape
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import shared_folder
+from .scratch import new_folder
 
 
 def scan_prefix(spark: SparkSession, prefix: str) -> DataFrame:
@@ -40,12 +40,22 @@ def write_csv(rows: DataFrame, path: str, columns: list[str]) -> None:
     rows.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
+#: The columns of a sheet of documents, in order.
+DOCUMENT_SHEET = ["Order", "Product", "URL", "Title", "Body"]
+
+
+def write_document_sheet(rows: DataFrame, path: str) -> None:
+    """A CSV of the columns of DOCUMENT_SHEET, in UTF-8 behind a byte order mark, which spreadsheet programs ask for: the mark is
+    the first character of each file's header. Files are ranges by Order, so their names sort as the rows do."""
+    ordered = rows.select(*DOCUMENT_SHEET).repartitionByRange("Order").sortWithinPartitions("Order")
+    marked = ordered.withColumnRenamed("Order", "\ufeffOrder")
+    marked.write.mode("overwrite").option("header", True).option("escape", '"').option("encoding", "UTF-8").csv(path)
+
+
 def csv_round_trip(rows: DataFrame, columns: list[str], schema: str) -> DataFrame:
     """What a reader of the written CSV gets, from the shared folder."""
-    import uuid
-
     spark = rows.sparkSession
-    path = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    path = new_folder(spark, "csv")
     write_csv(rows, path, columns)
     return spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True).csv(path)
 
