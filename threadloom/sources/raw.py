@@ -93,16 +93,20 @@ def write_xlsx(rows: DataFrame, path: str, columns: list[str] = SHEET, most: int
 def upload(files: DataFrame, put: Callable[[str, bytes], None], trigger: Callable[[], None] | None = None, name: str = "name", content: str = "content") -> int:
     """Calls `put(name, content)` for every row in the tasks, and once all are done `trigger()`, such as an indexer's run.
 
-    A task that runs again puts its rows again, so `put` must overwrite. The number of rows is returned.
+    A task that runs again puts its rows again, so `put` must overwrite. The number of rows is returned, as the tasks counted it.
     """
+    done = files.sparkSession.sparkContext.accumulator(0)
 
     def each(rows):
+        n = 0
         for r in rows:
             body = r[content]
             put(r[name], body if isinstance(body, (bytes, bytearray)) else str(body).encode())
+            n += 1
+        done.add(n)
 
     kept = files.select(name, content).where(F.col(name).isNotNull() & F.col(content).isNotNull())
     kept.foreachPartition(each)
     if trigger is not None:
         trigger()
-    return kept.count()
+    return done.value

@@ -31,7 +31,9 @@ def ensure_tables(spark: SparkSession, root: str) -> list[str]:
 
 
 def swap_in(spark: SparkSession, root: str, name: str, snapshot) -> None:
-    """Writes a new snapshot of a table beside the old one and puts it in its place."""
+    """Writes a new snapshot of a table beside the old one and puts it in its place.
+
+    Between two renames there is no table: for small state that one job reads. `sources/tables.py` keeps tables whole."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = lambda x: jvm.org.apache.hadoop.fs.Path(f"{root}/{x}")
