@@ -36,7 +36,7 @@ def test_segments(spark, docs, tmp_path, monkeypatch):
         for r in every.join(docs.where("product = 'a'"), "doc_id").collect():
             assert mine[r.doc_id] == r.score
         assert set(mine) <= {r.doc_id for r in docs.where("product = 'a'").collect()}
-    hit = index.search("w7", 1).first()
+    hit = index.search("w7", 1, docs=docs).first()
     assert (hit.doc_id, hit.url, len(hit.title)) == (902, "u902", 200)
 
 

@@ -1,8 +1,8 @@
 """A stored inverted index over documents, by segments: BM25 searches read the postings of their own terms alone.
 
-Below a folder, for each segment: parts, a row for each 1,024 documents or fewer (their ids and lengths); postings, a row for
+Below a folder, for each segment: parts, a row for each 8,192 documents or so (their ids and lengths); postings, a row for
 each term and part (which of its documents hold the term, how often, and the part's largest count and least length), in
-folders by a hash of the term; docs, what a hit shows, in folders by a hash of the id; facts, one row, whose presence
+folders by a hash of the term; docs, the product and url of each, in folders by a hash of the id; facts, one row, whose presence
 commits the segment. `extend` adds a segment of documents that aren't indexed yet. Texts are dealt once, by part, and counted
 and grouped where they lie; what is dealt by term are postings, six bytes or so for a document.
 """
@@ -20,13 +20,13 @@ from .scratch import written
 from .search import B, K1
 
 #: Folders of postings by term and of documents by id, and documents of a part.
-BUCKETS, SLOTS, PART = 64, 64, 1024
+BUCKETS, SLOTS, PART = 64, 64, 8192
 #: Parts of the largest bounds that are scored first, for the score that other parts must be able to reach.
 TRIAL = 8
 
 POSTINGS = "term string, pk string, part int, held int, top_tf int, least_n int, places array<short>, tfs array<int>, bucket int"
 PARTS = "pk string, part int, doc_ids array<long>, ns array<int>"
-DOCS = "doc_id long, product string, url string, title string, content string, slot int"
+DOCS = "doc_id long, product string, url string, slot int"
 FACTS = "docs long, terms long"
 
 
@@ -99,8 +99,8 @@ class SearchIndex:
         dealt = postings.repartition(F.col("bucket"), F.pmod("part", F.lit(8))).sortWithinPartitions("bucket", "term", "pk", "part")
         dealt.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{at}/postings")
 
-        shown = new.join(lengths.select("doc_id").distinct(), "doc_id", "left_semi") if known else new
-        shown = shown.select("doc_id", "product", "url", F.substring("text", 1, 200).alias("title"), F.substring("text", 1, 1400).alias("content"), _slot("doc_id").alias("slot"))
+        shown = new.select("doc_id", "product", "url", _slot("doc_id").alias("slot"))
+        shown = shown.join(lengths.select("doc_id").distinct(), "doc_id", "left_semi") if known else shown
         shown.repartition(F.col("slot")).write.mode("overwrite").option("compression", "zstd").partitionBy("slot").parquet(f"{at}/docs")
         facts = parts.select(F.explode("ns").alias("n")).agg(F.count_if(F.col("n") > 0).alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("terms"))
         facts.coalesce(1).write.mode("overwrite").parquet(f"{at}/facts")
@@ -111,8 +111,8 @@ class SearchIndex:
         buckets = sorted({r[0] for r in self.spark.createDataFrame([(w,) for w in words], "w string").select(_bucket("w")).collect()}) if words else []
         return self._read("postings", POSTINGS).where(F.col("bucket").isin(*buckets) & F.col("term").isin(*words))
 
-    def search(self, query: str, top: int = 5, product: str | None = None) -> DataFrame:
-        """(doc_id, score, title, content, url) of the best documents, of one product or all; how rare a term is, and how long
+    def search(self, query: str, top: int = 5, product: str | None = None, docs: DataFrame | None = None) -> DataFrame:
+        """(doc_id, score, url), and with `docs` (doc_id, text) title and content, of the best documents, of one product or all; how rare a term is, and how long
         documents are, is told from all. Parts of documents whose terms can't add up to the score of the last hit aren't scored."""
         top = bounded("search", top=top)["top"]
         words = sorted({w for w in re.split("[^a-z0-9]+", query.lower()) if w})
@@ -139,4 +139,7 @@ class SearchIndex:
         best = scored(parts).withColumn("slot", _slot("doc_id"))
         shown = self._read("docs", DOCS).drop("segment")
         out = shown.join(F.broadcast(best), ["slot", "doc_id"])  # at most ten rows
-        return out.select("doc_id", "score", "title", "content", "url").orderBy(F.desc("score"), "doc_id")
+        if docs is None:
+            return out.select("doc_id", "score", "url").orderBy(F.desc("score"), "doc_id")
+        out = docs.select("doc_id", "text").join(F.broadcast(out.select("doc_id", "score", "url")), "doc_id")  # at most ten rows
+        return out.select("doc_id", "score", F.substring("text", 1, 200).alias("title"), F.substring("text", 1, 1400).alias("content"), "url").orderBy(F.desc("score"), "doc_id")
