@@ -15,8 +15,9 @@ LIVE_RESULT = "incident_id long, turn long, status string, last_seen timestamp"
 def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
     """A session beside the user's, with its settings for shuffles and times, and a state store that timers and lists need.
 
-    `partitions`: of the state at most. Each start of a query opens a store for each of them, which the store's upkeep closes
-    once the query has ended; it runs often, and stores don't reserve disk ahead, so that many starts don't pile up.
+    `partitions`: of the state at most. Each start of a query opens a store for each of them. A task closes its store when it
+    has committed, so an executor holds as many stores as it runs tasks, however many partitions and starts there are; the
+    stores of an executor share their buffers and caches, and don't reserve disk ahead.
     """
     out = spark.newSession()
     most = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -27,6 +28,9 @@ def state_session(spark: SparkSession, partitions: int | None = None) -> SparkSe
     out.conf.set(f"{store}.rocksdb.changelogCheckpointing.enabled", "true")
     out.conf.set(f"{store}.rocksdb.allowFAllocate", "false")
     out.conf.set(f"{store}.maintenanceInterval", "10s")
+    out.conf.set(f"{store}.unloadOnCommit", "true")
+    out.conf.set(f"{store}.rocksdb.boundedMemoryUsage", "true")
+    out.conf.set(f"{store}.rocksdb.maxMemoryUsageMB", "128")
     return out
 
 
