@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, embedding_dedup, fingerprints, lexical_search, licenses, mixing, ngram_join, quality, sequenced_changes, substring_dedup, token_counts, toxicity, warc
+from . import bpe, class_models, embedding_dedup, fingerprints, lexical_search, licenses, mixing, ngram_join, quality, sequenced_changes, substring_dedup, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_embedding_near_dedup": embedding_dedup.op1_embedding_near_dedup,
-    "op2_toxicity": toxicity.op2_toxicity,
+    "op2_toxicity": class_models.op2_toxicity,
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_quality_classifier": quality.op4_quality_classifier,
     "op5_document_fingerprints": fingerprints.op5_document_fingerprints,

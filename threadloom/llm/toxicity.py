@@ -1,4 +1,4 @@
-"""Operator 2: toxicity by class-conditional Kneser-Ney models of character expressions.
+"""Toxicity by significant expressions alone: an earlier form of operator 2, which class_models.py replaces in the query.
 
 An expression is six characters of the lower-cased text (what sorts before "0", such as spaces and marks, counts as a
 space), known by a 64-bit hash: the vocabulary is the corpus's own and grows with it. Each class has an
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RANGE_BYTES, batch_of, crc_fold, distinct, lean, materialize, mix64, pack, release, table, unpack
+from .common import RANGE_BYTES, batch_of, crc_fold, distinct, lean, materialize, mix64, pack, release, unpack
 
 ORDER, SIGNIFICANT, SAMPLE = 6, 3.0, 250_000
 #: Expressions that a task holds before it sends their counts on.
@@ -297,8 +297,3 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sam
     slope, bias = fit_curve(x, bins["label"].to_numpy(float), bins["n"].to_numpy(float))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return texts.mapInArrow(lean(_scored(models, slope, bias)), f"doc_id {kind}, score double")
-
-
-def op2_toxicity(spark, sf_dir: str) -> DataFrame:
-    out = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return out.select("doc_id", (crc_fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
