@@ -10,6 +10,9 @@ from .rollup import first_of
 # The states that an incident may be given.
 INCIDENT_STATUSES = ("active", "investigating", "mitigated", "resolved", "by-design", "false-positive", "archived")
 
+#: What a thread is assigned, from the widest group to the narrowest.
+KEYS = ["topic_key", "scenario_key", "variant_key", "leaf_key"]
+
 
 def coverage(expected: DataFrame, answers: DataFrame, what: str = "assignments") -> DataFrame:
     """(batch, error): missing_<what>:n before extra_<what>:n, null where every expected id is answered and no other."""
@@ -83,42 +86,56 @@ def staged_assign(threads: DataFrame, topics: DataFrame, scenarios: DataFrame, l
     or leaf stage doesn't stand keeps what it had. Where a full answer is needed and doesn't stand either, `source` says which
     failed and keys are null.
     """
-    from ..sources.scratch import written
+    stages = {"topic": (topics, ["topic_key"]), "full": (full, KEYS), "scenario": (scenarios, ["asked", "scenario_key"]), "leaf": (leaves, ["asked", "variant_key", "leaf_key"])}
+    rows = threads.select("batch", "thread_id", F.lit(True).alias("asked"))
+    for stage, (answers, columns) in stages.items():
+        rows = rows.unionByName(answers.select("batch", "thread_id", F.struct("pos", *columns).alias(stage)), allowMissingColumns=True)
+    return assign_dealt(rows.repartition("batch"), most_topics, most_scenarios)
 
-    keys = ["topic_key", "scenario_key", "variant_key", "leaf_key"]
 
-    def standing(asked: DataFrame, answers: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
-        """The last answers, for groups that are answered exactly."""
-        last = answers.groupBy(*group, "thread_id").agg(F.max_by(F.struct(*columns), "pos").alias("_x"))
-        both = asked.select(*group, "thread_id").distinct().withColumn("_asked", F.lit(True)).join(last, [*group, "thread_id"], "full_outer")
-        odd = F.count_if(F.col("_asked").isNull() | F.col("_x").isNull())
-        good = both.groupBy(*group).agg(odd.alias("_odd")).where("_odd = 0").select(*group)
-        return last.join(good, group).select(*group, "thread_id", *(F.col(f"_x.{c}").alias(f"_{c}") for c in columns))
+def assign_dealt(rows: DataFrame, most_topics: int = 4, most_scenarios: int = 6) -> DataFrame:
+    """`staged_assign` of rows that hold what is known of a thread: (batch, thread_id, asked, topic, full, scenario, leaf).
 
+    `asked` is true in a row of a thread of the batch; the others are structs of an answer, `pos` first, then its columns, and null
+    where the row has none. Any number of rows may speak of a thread. Rows that are dealt by batch aren't dealt again: a batch is
+    what one call answers, so its rows are held together and what its groups were told is kept beside each of its threads.
+    """
+    thread, batch = Window.partitionBy("batch", "thread_id").orderBy("thread_id"), Window.partitionBy("batch")
+    every = thread.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     text = lambda c: F.coalesce(F.trim(c), F.lit(""))
-    whole = standing(threads, full, ["batch"], keys).select("batch", "thread_id", *(text(f"_{k}").alias(f"full_{k}") for k in keys))
-    first = standing(threads, topics, ["batch"], ["topic_key"]).withColumn("_staged", F.lit(True))
-    out = threads.select("batch", "thread_id").distinct().join(whole.withColumn("_full", F.lit(True)), ["batch", "thread_id"], "left").join(first, ["batch", "thread_id"], "left")
-    lost = F.col("_staged").isNull() & F.col("_full").isNull()
-    out = out.withColumn("topic_key", text(F.when(F.col("_staged"), F.col("_topic_key")).otherwise(F.col("full_topic_key")))).withColumn("source", F.when(lost, F.lit("fallback_full_validation_failed")))
-
-    def over(rows: DataFrame, key: str, most: int, none_counts: bool) -> DataFrame:
-        groups = rows.where(F.col("source").isNull() & (F.lit(none_counts) | (F.col(key) != ""))).groupBy("batch").agg(F.countDistinct(key).alias("_groups"))
-        rows = rows.join(groups.where(F.col("_groups") > most), "batch", "left")
+
+    # One row for each thread: its last answers to a batch's stages, and all that were given to groups.
+    out = rows.select(
+        "batch", "thread_id", F.row_number().over(thread).alias("_row"), F.coalesce(F.max("asked").over(every), F.lit(False)).alias("_asked"),
+        *(F.max_by(s, F.col(s)["pos"]).over(every).alias(s) for s in ("topic", "full")), *((F.count(s).over(every) > 0).alias(f"_{s}_said") for s in ("topic", "full")),
+        *(F.collect_list(s).over(every).alias(f"_{s}s") for s in ("scenario", "leaf"))).where("_row = 1").drop("_row")
+    known = F.col("_asked") & F.col("batch").isNotNull() & F.col("thread_id").isNotNull()  # an answer can't name a null
+    odd = lambda s: F.count_if((F.col("_asked") | F.col(f"_{s}_said")) & ~(known & F.col(s).isNotNull())).over(batch)
+    out = out.withColumns({"_staged": odd("topic") == 0, "_full": odd("full") == 0})
+    out = out.withColumn("source", F.when(~F.col("_staged") & ~F.col("_full"), F.lit("fallback_full_validation_failed")))
+    out = out.withColumn("topic_key", text(F.when(F.col("_staged"), F.col("topic.topic_key")).when(F.col("_full"), F.col("full.topic_key"))))
+
+    def stage(rows: DataFrame, group: str, said: str, most: int, none_counts: bool) -> DataFrame:
+        """Asks the threads by the column `group`: `_answer` is the last answer of a thread whose group is answered exactly.
+
+        A group is spoilt by a thread that lacks an answer, and by an answer to it for a thread that isn't of it.
+        """
+        counted = F.when(F.col("_asked") & F.col("source").isNull() & (F.lit(none_counts) | (F.col(group) != "")), F.col(group))
+        rows = rows.withColumn("_group", F.when(F.col("_asked") & F.col("source").isNull() & (F.col(group) != ""), F.col(group)))
+        rows = rows.withColumn("_answer", F.array_max(F.filter(said, lambda x: (x["asked"] == F.col("_group")) & x["pos"].isNotNull())))
+        strange = F.transform(F.filter(said, lambda x: x["asked"].isNotNull() & ~x["asked"].eqNullSafe(F.col("_group"))), lambda x: x["asked"])
+        spoils = F.concat(strange, F.when(F.col("_group").isNotNull() & F.col("_answer").isNull(), F.array("_group")).otherwise(F.array().cast("array<string>")))
+        rows = rows.withColumn("_spoils", F.when(F.size(spoils) > 0, spoils))
+        rows = rows.withColumns({"_groups": F.size(F.collect_set(counted).over(batch)), "_spoilt": F.collect_set("_spoils").over(batch)})
         at_once = F.when(F.col("_full"), F.lit("full")).otherwise(F.lit("full_validation_failed"))
-        return rows.withColumn("source", F.when(F.col("_groups").isNotNull() & F.col("source").isNull(), at_once).otherwise(F.col("source"))).drop("_groups")
-
-    out = written(over(out, "topic_key", most_topics, True), "topics")  # so that later stages' plans stay small
-    asked = out.where(F.col("source").isNull() & (F.col("topic_key") != "")).select("batch", F.col("topic_key").alias("asked"), "thread_id")
-    second = standing(asked, scenarios, ["batch", "asked"], ["scenario_key"]).join(asked, ["batch", "asked", "thread_id"], "left_semi")
-    out = out.join(second.drop("asked"), ["batch", "thread_id"], "left").withColumn("scenario_key", text("_scenario_key"))
-    out = written(over(out, "scenario_key", most_scenarios, False), "scenarios")
-    asked = out.where(F.col("source").isNull() & (F.col("scenario_key") != "")).select("batch", F.col("scenario_key").alias("asked"), "thread_id")
-    third = standing(asked, leaves, ["batch", "asked"], ["variant_key", "leaf_key"])
-    out = out.join(third.drop("asked"), ["batch", "thread_id"], "left").withColumns({k: text(f"_{k}") for k in ("variant_key", "leaf_key")})
-    staged = F.col("source").isNull()
-    chosen = [F.when(staged, F.col(k)).when(F.col("source") == "full", F.col(f"full_{k}")).alias(k) for k in keys]
-    return out.select("batch", "thread_id", *chosen, F.coalesce("source", F.lit("stages")).alias("source"))
+        stands = F.col("_group").isNotNull() & ~F.exists("_spoilt", lambda x: F.array_contains(x, F.col("_group")))
+        rows = rows.withColumns({"source": F.when(F.col("source").isNull() & (F.col("_groups") > most), at_once).otherwise(F.col("source")), "_answer": F.when(stands, F.col("_answer"))})
+        return rows.drop("_group", "_groups", "_spoils", "_spoilt", said)
+
+    out = stage(out, "topic_key", "_scenarios", most_topics, True).withColumn("scenario_key", text(F.col("_answer")["scenario_key"]))
+    out = stage(out, "scenario_key", "_leafs", most_scenarios, False).withColumns({k: text(F.col("_answer")[k]) for k in ("variant_key", "leaf_key")})
+    chosen = [F.when(F.col("source").isNull(), F.col(k)).when(F.col("source") == "full", text(F.col("full")[k])).alias(k) for k in KEYS]
+    return out.where("_asked").select("batch", "thread_id", *chosen, F.coalesce("source", F.lit("stages")).alias("source"))
 
 
 def refine(have: DataFrame, drops: DataFrame, keeps: DataFrame, adds: DataFrame, key: str, share: float = 0.85, order: str | None = None) -> DataFrame:
